@@ -197,9 +197,9 @@ def outlier_counts(flagged: DataFrame, groups: list[str]) -> DataFrame:
     """Outliers per group and side."""
     return (flagged.groupBy(*groups)
             .agg(F.count(F.lit(1)).alias("rows"),
-                 F.sum(F.col("is_outlier").cast("long")).alias("outliers"),
-                 F.sum((F.col("outlier_side") == "low").cast("long")).alias("low_outliers"),
-                 F.sum((F.col("outlier_side") == "high").cast("long")).alias("high_outliers")))
+                 F.count(F.when(F.col("is_outlier"), 1)).alias("outliers"),
+                 F.count(F.when(F.col("outlier_side") == "low", 1)).alias("low_outliers"),
+                 F.count(F.when(F.col("outlier_side") == "high", 1)).alias("high_outliers")))
 
 
 def threshold_sweep(df: DataFrame, value: str, thresholds: list[float]) -> DataFrame:

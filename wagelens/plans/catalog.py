@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +34,16 @@ def register(name: str, sql: str | None = None):
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return postings(spark, sf_dir)
+    """Bronze postings for a folder.  The fixture is a projection of
+    ``orders``; it is persisted once per session so it behaves like the
+    stored Bronze table it stands for (filters then run over stored
+    columns instead of being inlined into the generator expressions)."""
+    key = (id(spark), sf_dir, "bronze")
+    hit = _CACHE.get(key)
+    if hit is None:
+        hit = postings(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+        _CACHE[key] = hit
+    return hit
 
 
 def silver(spark: SparkSession, sf_dir: str, rules=STRICT) -> DataFrame:
@@ -633,3 +643,336 @@ SELECT country, count(*) AS total_postings,
 FROM silver_x WHERE duplicate_action = 'keep' GROUP BY country"""))
 def g1(spark, d):
     return eda.coverage_by_group(silver(spark, d), "country").orderBy(F.desc("coverage_pct"))
+
+
+# ----------------------------------------------------------------- F4-F9
+_SPLIT_ORDER = "md5(concat(job_id, '#', '42'))"
+
+
+@register("f4_stratified_split", with_silver(f"""
+SELECT job_id, country, CASE WHEN rn <= floor(n * 0.2E0 + 0.5E0) THEN 'test' ELSE 'development' END AS split
+FROM (SELECT job_id, country, row_number() OVER (PARTITION BY country ORDER BY {_SPLIT_ORDER}, job_id) AS rn,
+             count(*) OVER (PARTITION BY country) AS n FROM training) t"""))
+def f4(spark, d):
+    return splits.stratified_split(training(spark, d).select("job_id", "country"), ["country"], "job_id")
+
+
+@register("f5_stratified_folds", with_silver(f"""
+SELECT job_id, country, CAST((rn - 1) % 5 AS INTEGER) AS fold
+FROM (SELECT job_id, country, row_number() OVER (PARTITION BY country ORDER BY {_SPLIT_ORDER}, job_id) AS rn
+      FROM training) t"""))
+def f5(spark, d):
+    return splits.stratified_folds(training(spark, d).select("job_id", "country"), ["country"], "job_id")
+
+
+@register("f6_hash_folds", with_silver(f"""
+SELECT job_id, CAST(CAST(('0x' || substr({_SPLIT_ORDER}, 1, 8)) AS BIGINT) % 5 AS INTEGER) AS fold FROM training"""))
+def f6(spark, d):
+    return splits.hash_folds(training(spark, d).select("job_id"), "job_id")
+
+
+@register("f7_split_balance", with_silver(f"""
+SELECT country, split, count(*) AS rows FROM (
+  SELECT country, CASE WHEN rn <= floor(n * 0.2E0 + 0.5E0) THEN 'test' ELSE 'development' END AS split
+  FROM (SELECT job_id, country, row_number() OVER (PARTITION BY country ORDER BY {_SPLIT_ORDER}, job_id) AS rn,
+               count(*) OVER (PARTITION BY country) AS n FROM training) t) s GROUP BY 1, 2"""))
+def f7(spark, d):
+    return splits.split_balance(f4(spark, d), "country")
+
+
+@register("f8_reattach_by_key", with_silver(f"""
+SELECT s.job_id, s.split, t.job_level, round(t.salary_avg_usd, 6) AS salary_avg_usd FROM (
+  SELECT job_id, CASE WHEN rn <= floor(n * 0.2E0 + 0.5E0) THEN 'test' ELSE 'development' END AS split
+  FROM (SELECT job_id, row_number() OVER (PARTITION BY country ORDER BY {_SPLIT_ORDER}, job_id) AS rn,
+               count(*) OVER (PARTITION BY country) AS n FROM training) x) s
+JOIN training t USING (job_id)"""))
+def f8(spark, d):
+    ids = f4(spark, d).select("job_id", "split")
+    return splits.reattach(ids, training(spark, d), "job_id", ["job_level", "salary_avg_usd"]) \
+        .select("job_id", "split", "job_level", R6("salary_avg_usd"))
+
+
+@register("f9_group_split", with_silver("""
+SELECT job_id, posting_fingerprint,
+  CASE WHEN CAST(('0x' || substr(md5(concat(posting_fingerprint, '#', '42')), 1, 8)) AS BIGINT) / 4294967296.0E0 < 0.2E0
+       THEN 'test' ELSE 'development' END AS split
+FROM silver_x"""))
+def f9(spark, d):
+    return splits.group_split(silver(spark, d).select("job_id", "posting_fingerprint"), "posting_fingerprint")
+
+
+# ----------------------------------------------------------------- G2-G22
+@register("g2_remote_share_by_country", with_silver("""
+SELECT country, count(*) AS postings, round(avg(CAST(is_remote AS INTEGER)) * 100, 6) AS remote_pct
+FROM training WHERE country IS NOT NULL GROUP BY country"""))
+def g2(spark, d):
+    return eda.share_by_group(training(spark, d), "country", "is_remote", "remote_pct")
+
+
+@register("g3_level_remote_coverage", with_silver("""
+SELECT job_level, is_remote, count(*) AS postings,
+       round(avg(CASE WHEN salary_avg IS NOT NULL THEN 1 ELSE 0 END) * 100, 6) AS labelled_pct,
+       concat_ws(' / ', job_level, CASE WHEN is_remote THEN 'Remote' ELSE 'On-site' END) AS label
+FROM silver_x GROUP BY job_level, is_remote"""))
+def g3(spark, d):
+    return eda.coverage_two_keys(silver(spark, d), "job_level", "is_remote")
+
+
+def _summary_sql(groups, value, table_name="training"):
+    g = ", ".join(groups)
+    return f"""
+SELECT {g}, count({value}) AS n, round(avg({value}), 6) AS mean, round(median({value}), 6) AS median,
+       round(min({value}), 6) AS min, round(max({value}), 6) AS max,
+       round(CASE WHEN count({value}) >= 3 THEN skewness({value}) END, 6) AS skew
+FROM {table_name} WHERE {value} IS NOT NULL GROUP BY {g}"""
+
+
+@register("g4_salary_summary_by_country", with_silver(_summary_sql(["country"], "salary_avg_usd")))
+def g4(spark, d):
+    return eda.group_summary(training(spark, d), ["country"], "salary_avg_usd")
+
+
+@register("g4_price_summary_lineitem", _summary_sql(["l_returnflag", "l_linestatus"], "l_extendedprice", "lineitem"))
+def g4l(spark, d):
+    return eda.group_summary(table(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice")
+
+
+@register("g5_local_vs_usd_medians", with_silver("""
+SELECT country, currency, count(*) AS postings, round(median(salary_avg_local), 6) AS median_local,
+       round(median(salary_avg_usd), 6) AS median_usd FROM training GROUP BY country, currency"""))
+def g5(spark, d):
+    return eda.local_vs_usd_medians(training(spark, d))
+
+
+@register("g6_country_level_summary", with_silver(_summary_sql(["country", "job_level"], "salary_avg_usd")))
+def g6(spark, d):
+    return eda.group_summary(training(spark, d), ["country", "job_level"], "salary_avg_usd")
+
+
+@register("g7_salary_range_summary", with_silver("""
+SELECT country, job_level, count(*) AS postings, round(median(salary_range_usd), 6) AS median_range,
+       round(avg(salary_range_usd), 6) AS mean_range
+FROM training WHERE salary_range_usd IS NOT NULL GROUP BY country, job_level"""))
+def g7(spark, d):
+    return eda.range_summary(training(spark, d))
+
+
+@register("g8_role_country_medians", with_silver("""
+SELECT search_keyword, country, count(*) AS postings, round(median(salary_avg_usd), 6) AS median_salary_usd
+FROM training GROUP BY search_keyword, country"""))
+def g8(spark, d):
+    return eda.median_by(training(spark, d), ["search_keyword", "country"])
+
+
+@register("g9_role_mix_by_country", with_silver("""
+SELECT country, search_keyword, count(*) AS postings FROM silver_x WHERE duplicate_action = 'keep' GROUP BY 1, 2"""))
+def g9(spark, d):
+    return eda.mix_counts(silver(spark, d).where(F.col("duplicate_action") == "keep"), ["country", "search_keyword"])
+
+
+@register("g10_histogram_lineitem", """
+WITH b AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem)
+SELECT bin, round(lo + bin * ((hi - lo) / 30), 6) AS bin_lo, round(lo + (bin + 1) * ((hi - lo) / 30), 6) AS bin_hi,
+       count(*) AS count
+FROM (SELECT CAST(least(floor((l_extendedprice - lo) / ((hi - lo) / 30)), 29) AS INTEGER) AS bin, lo, hi
+      FROM lineitem, b WHERE l_extendedprice IS NOT NULL) t
+GROUP BY bin, lo, hi""")
+def g10(spark, d):
+    return eda.histogram(table(spark, d, "lineitem"), "l_extendedprice", 30)
+
+
+@register("g10_histogram_salary_by_country", with_silver("""
+, b AS (SELECT country, min(salary_avg_usd) AS lo, max(salary_avg_usd) AS hi FROM training GROUP BY country)
+SELECT country, bin, round(lo + bin * ((hi - lo) / 20), 6) AS bin_lo, round(lo + (bin + 1) * ((hi - lo) / 20), 6) AS bin_hi,
+       count(*) AS count
+FROM (SELECT t.country, CASE WHEN (hi - lo) / 20 = 0 THEN 0 ELSE
+             CAST(least(floor((salary_avg_usd - lo) / ((hi - lo) / 20)), 19) AS INTEGER) END AS bin, lo, hi
+      FROM training t JOIN b USING (country)) x
+GROUP BY country, bin, lo, hi"""))
+def g10s(spark, d):
+    return eda.histogram(training(spark, d), "salary_avg_usd", 20, ["country"])
+
+
+@register("g11_kde_quantity", """
+WITH s AS (SELECT count(l_quantity) AS n, stddev_samp(l_quantity) AS sd, min(l_quantity) AS lo, max(l_quantity) AS hi
+           FROM lineitem),
+d AS (SELECT l_quantity AS xv, count(*) AS w FROM lineitem WHERE l_quantity IS NOT NULL GROUP BY 1),
+g AS (SELECT CAST(range AS INTEGER) AS grid FROM range(0, 50))
+SELECT grid, round(x, 6) AS x, round(sum(w * exp(-0.5 * z * z)) / (n * sd * pow(n, -0.2) * sqrt(2 * pi())), 12) AS density
+FROM (SELECT g.grid, s.n, s.sd, d.w, s.lo + g.grid * ((s.hi - s.lo) / 49) AS x,
+             ((s.lo + g.grid * ((s.hi - s.lo) / 49)) - d.xv) / (s.sd * pow(s.n, -0.2)) AS z
+      FROM g, s, d) t
+GROUP BY grid, x, n, sd""")
+def g11(spark, d):
+    return eda.kde_grid(table(spark, d, "lineitem"), "l_quantity", 50)
+
+
+@register("g12_box_stats_country_level", with_silver("""
+, q AS (SELECT country, job_level, count(*) AS n, quantile_cont(salary_avg_usd, 0.25) AS q1,
+               quantile_cont(salary_avg_usd, 0.5) AS median, quantile_cont(salary_avg_usd, 0.75) AS q3
+        FROM training GROUP BY 1, 2)
+SELECT q.country, q.job_level, q.n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+       round(q3 - q1, 6) AS iqr,
+       round(min(CASE WHEN salary_avg_usd >= q1 - 1.5 * (q3 - q1) THEN salary_avg_usd END), 6) AS whisker_low,
+       round(max(CASE WHEN salary_avg_usd <= q3 + 1.5 * (q3 - q1) THEN salary_avg_usd END), 6) AS whisker_high
+FROM training t JOIN q USING (country, job_level)
+GROUP BY q.country, q.job_level, q.n, q1, median, q3"""))
+def g12(spark, d):
+    return eda.box_stats(training(spark, d), ["country", "job_level"], "salary_avg_usd")
+
+
+@register("g13_qq_positions", with_silver("""
+SELECT job_id, salary_avg_usd, rank, round(CASE WHEN rank = n THEN pow(0.5, 1.0E0 / n)
+                                              WHEN rank = 1 THEN 1 - pow(0.5, 1.0E0 / n)
+                                              ELSE (rank - 0.3175) / (n + 0.365) END, 9) AS position
+FROM (SELECT job_id, salary_avg_usd, row_number() OVER (ORDER BY salary_avg_usd, job_id) AS rank,
+             count(*) OVER () AS n FROM training) t"""))
+def g13(spark, d):
+    from wagelens.operators import stats
+    pts = stats.qq_points(training(spark, d), "salary_avg_usd", "job_id")
+    return pts.select("job_id", "salary_avg_usd", "rank", F.round("position", 9).alias("position"))
+
+
+@register("g13_qq_fit")
+def g13f(spark, d):
+    from wagelens.operators import stats
+    t = training(spark, d)
+    pts = stats.qq_points(t, "salary_avg_usd", "job_id").withColumn("scale", F.lit("usd"))
+    pts_log = stats.qq_points(t.withColumn("salary_avg_usd", F.col("log_salary_avg_usd")),
+                              "salary_avg_usd", "job_id").withColumn("scale", F.lit("log"))
+    return stats.qq_fit(pts.unionByName(pts_log), "salary_avg_usd", ["scale"])
+
+
+_CORR_FEATURES = ["num_skills", "experience_required_clean", "is_remote", "is_senior", "skills_extracted",
+                  "skill_python", "skill_sql", "skill_spark", "skill_aws"]
+
+
+def _corr_sql(t, a, b):
+    both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
+    ca, cb = f"CAST({a} AS DOUBLE)", f"CAST({b} AS DOUBLE)"
+    return (f"CASE WHEN stddev_pop({ca}) FILTER (WHERE {both}) = 0 OR stddev_pop({cb}) FILTER (WHERE {both}) = 0 "
+            f"THEN NULL ELSE corr({ca}, {cb}) END")
+
+
+@register("g14_target_correlations", with_silver(" UNION ALL ".join(
+    f"SELECT '{f}' AS feature, round({_corr_sql('training', 'salary_avg_usd', f)}, 6) AS pearson_r, "
+    f"count(*) FILTER (WHERE salary_avg_usd IS NOT NULL AND {f} IS NOT NULL) AS pair_count FROM training"
+    for f in _CORR_FEATURES)))
+def g14(spark, d):
+    from wagelens.operators import stats
+    return stats.target_correlations(training(spark, d), "salary_avg_usd", _CORR_FEATURES)
+
+
+_LI_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("g15_correlation_matrix", " UNION ALL ".join(
+    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round({_corr_sql('lineitem', a, b)}, 6) AS r FROM lineitem"
+    for i, a in enumerate(_LI_FEATURES) for b in _LI_FEATURES[i + 1:]))
+def g15(spark, d):
+    from wagelens.operators import stats
+    return stats.correlation_matrix(table(spark, d, "lineitem"), _LI_FEATURES)
+
+
+_VIF_COLUMNS = ["num_skills", "is_remote", "is_senior", "experience_missing", "skills_extracted"] + _FLAGS
+
+
+@register("g16_vif")
+def g16(spark, d):
+    from wagelens.operators import stats
+    return stats.vif(training(spark, d), _VIF_COLUMNS, with_constant=True)
+
+
+@register("g16_vif_pair", """
+SELECT feature, round(1 / (1 - r * r), 6) AS VIF FROM (SELECT corr(l_quantity, l_extendedprice) AS r FROM lineitem) c,
+  (SELECT unnest(['l_quantity', 'l_extendedprice']) AS feature) f""")
+def g16p(spark, d):
+    from wagelens.operators import stats
+    v = stats.vif(table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice"], with_constant=True)
+    return v.select("feature", F.round("VIF", 6).alias("VIF"))
+
+
+@register("g17_skew_raw_vs_log", with_silver("""
+SELECT 'raw' AS scale, count(salary_avg_usd) AS n, round(avg(salary_avg_usd), 6) AS mean,
+       round(median(salary_avg_usd), 6) AS median, round(skewness(salary_avg_usd), 6) AS skew FROM training
+UNION ALL
+SELECT 'log', count(log_salary_avg_usd), round(avg(log_salary_avg_usd), 6), round(median(log_salary_avg_usd), 6),
+       round(skewness(log_salary_avg_usd), 6) FROM training"""))
+def g17(spark, d):
+    return eda.skew_comparison(training(spark, d), {"raw": "salary_avg_usd", "log": "log_salary_avg_usd"})
+
+
+@register("g18_bootstrap_mean_ci")
+def g18(spark, d):
+    from wagelens.operators import stats
+    return stats.bootstrap_mean_ci(training(spark, d), ["country", "job_level"], "salary_avg_usd", "job_id",
+                                   replicates=200)
+
+
+@register("g19_iqr_outliers_lineitem", """
+WITH q AS (SELECT l_returnflag, quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.75) AS q3
+           FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY 1)
+SELECT l_orderkey, l_linenumber, l_returnflag, round(l_extendedprice, 6) AS l_extendedprice,
+       round(q1 - 1.5 * (q3 - q1), 6) AS lower_fence, round(q3 + 1.5 * (q3 - q1), 6) AS upper_fence,
+       CASE WHEN l_extendedprice < q1 - 1.5 * (q3 - q1) THEN 'low' ELSE 'high' END AS outlier_side
+FROM lineitem JOIN q USING (l_returnflag)
+WHERE l_extendedprice < q1 - 1.5 * (q3 - q1) OR l_extendedprice > q3 + 1.5 * (q3 - q1)""")
+def g19(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
+    f = eda.iqr_fences(li, ["l_returnflag"], "l_extendedprice").where("is_outlier")
+    return f.select("l_orderkey", "l_linenumber", "l_returnflag", R6("l_extendedprice"), R6("lower_fence"),
+                    R6("upper_fence"), "outlier_side")
+
+
+@register("g19_iqr_outliers_salary", with_silver("""
+, q AS (SELECT country, quantile_cont(salary_avg_usd, 0.25) AS q1, quantile_cont(salary_avg_usd, 0.75) AS q3
+        FROM training GROUP BY 1)
+SELECT job_id, country, round(salary_avg_usd, 6) AS salary_avg_usd,
+       CASE WHEN salary_avg_usd < q1 - 1.5 * (q3 - q1) THEN 'low' ELSE 'high' END AS outlier_side
+FROM training JOIN q USING (country)
+WHERE salary_avg_usd < q1 - 1.5 * (q3 - q1) OR salary_avg_usd > q3 + 1.5 * (q3 - q1)"""))
+def g19s(spark, d):
+    f = eda.iqr_fences(training(spark, d), ["country"], "salary_avg_usd").where("is_outlier")
+    return f.select("job_id", "country", R6("salary_avg_usd"), "outlier_side")
+
+
+@register("g20_outlier_counts", """
+WITH q AS (SELECT l_returnflag, quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.75) AS q3
+           FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY 1)
+SELECT l_returnflag, count(*) AS rows,
+  count(*) FILTER (WHERE l_extendedprice < q1 - 1.5 * (q3 - q1) OR l_extendedprice > q3 + 1.5 * (q3 - q1)) AS outliers,
+  count(*) FILTER (WHERE l_extendedprice < q1 - 1.5 * (q3 - q1)) AS low_outliers,
+  count(*) FILTER (WHERE l_extendedprice > q3 + 1.5 * (q3 - q1)) AS high_outliers
+FROM lineitem JOIN q USING (l_returnflag) GROUP BY 1""")
+def g20(spark, d):
+    li = table(spark, d, "lineitem").select("l_returnflag", "l_extendedprice")
+    return eda.outlier_counts(eda.iqr_fences(li, ["l_returnflag"], "l_extendedprice"), ["l_returnflag"])
+
+
+_THRESHOLDS = [1000.0, 5000.0, 10000.0, 20000.0, 30000.0]
+
+
+@register("g21_threshold_sweep", with_silver(" UNION ALL ".join(
+    f"SELECT {t}E0 AS threshold, count(*) FILTER (WHERE salary_avg_usd < {t}) AS rows_below, "
+    f"round(100.0E0 * count(*) FILTER (WHERE salary_avg_usd < {t}) / count(salary_avg_usd), 6) AS pct_below "
+    f"FROM silver_x" for t in _THRESHOLDS)))
+def g21(spark, d):
+    return eda.threshold_sweep(silver(spark, d), "salary_avg_usd", _THRESHOLDS)
+
+
+@register("g22_lowest_salaries", with_silver("""
+SELECT job_id, country, job_level, round(salary_avg_usd, 6) AS salary_avg_usd FROM training
+ORDER BY salary_avg_usd, job_id LIMIT 20"""))
+def g22(spark, d):
+    return eda.top_k(training(spark, d), [F.col("salary_avg_usd"), F.col("job_id")], 20,
+                     ["job_id", "country", "job_level", "salary_avg_usd"]).select(
+        "job_id", "country", "job_level", R6("salary_avg_usd"))
+
+
+@register("g22_highest_prices", """
+SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT 20""")
+def g22h(spark, d):
+    return eda.top_k(table(spark, d, "lineitem"),
+                     [F.desc("l_extendedprice"), F.col("l_orderkey"), F.col("l_linenumber")], 20,
+                     ["l_orderkey", "l_linenumber", "l_extendedprice"])

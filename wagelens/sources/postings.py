@@ -69,31 +69,42 @@ def _fdiv(x: Column, d: int) -> Column:
 
 
 def postings_from_orders(orders: DataFrame) -> DataFrame:
-    """Synthetic Bronze postings, one per order (pure projection: no shuffle)."""
-    k = F.col("o_orderkey").cast("bigint")
-    g = F.when(k % 40 == 1, k - 1).otherwise(k)
-    ci = _fdiv(g, 7) % 5
-    ri = _fdiv(g, 3) % 5
-    h = (g * 31) % 256
-    b = (F.when(k % 73 == 0, F.lit(10)).otherwise(F.lit(1)) * (F.lit(30000) + (g * 7919) % 120000)).cast("double")
-    country = _pick(ci, FIXTURE_COUNTRIES)
+    """Synthetic Bronze postings, one per order (narrow projections only:
+    no shuffle).  Built in stages so shared intermediate values (g, the
+    salary base, the bounds) are columns computed once rather than
+    expression trees repeated inside later expressions."""
+    k = F.col("k")
+    g = F.col("g")
+    s1 = orders.select(F.col("o_orderkey").cast("bigint").alias("k")) \
+        .withColumn("g", F.when(k % 40 == 1, k - 1).otherwise(k))
+    country = _pick(_fdiv(g, 7) % 5, FIXTURE_COUNTRIES)
     fx = F.lit(None).cast("double")
     for c, _, rate, _, _ in COUNTRY_FX:
         fx = F.when(country == c, F.lit(rate)).otherwise(fx)
-    kw = _pick(ri, FIXTURE_KEYWORDS)
-    nosal = ((ci >= 2) & (g % 4 != 0)) | (k % 80 == 41)
     lv = (F.when(g % 20 == 0, "Junior").when(g % 20 < 10, "Mid")
           .when(g % 20 < 18, "Senior").otherwise("Lead"))
+    s2 = s1.select(
+        "k", "g", country.alias("country"),
+        _pick(_fdiv(g, 3) % 5, FIXTURE_KEYWORDS).alias("kw"),
+        ((g * 31) % 256).alias("h"),
+        (F.when(k % 73 == 0, F.lit(10)).otherwise(F.lit(1)) * (F.lit(30000) + (g * 7919) % 120000))
+        .cast("double").alias("b"),
+        (((_fdiv(g, 7) % 5) >= 2) & (g % 4 != 0) | (k % 80 == 41)).alias("nosal"),
+        lv.alias("lv"))
+    s2 = s2.withColumn("fx", fx)
+    nosal, b, fxc, h, kw, lvc = (F.col(c) for c in ("nosal", "b", "fx", "h", "kw", "lv"))
     bump = F.when(k % 120 == 1, F.lit(5000.0)).otherwise(F.lit(0.0))
     smin = (F.when(nosal, F.lit(None).cast("double"))
             .when(k % 97 == 0, F.lit(0.0)).when(k % 89 == 0, F.lit(10000.0))
             .when(k % 83 == 0, F.lit(40.0)).when(k % 71 == 0, F.lit(0.0))
-            .otherwise(F.round(b * 0.9 * fx, 2) + bump))
+            .otherwise(F.round(b * 0.9 * fxc, 2) + bump))
     smax = (F.when(nosal, F.lit(None).cast("double"))
             .when(k % 89 == 0, F.lit(None).cast("double"))
             .when(k % 83 == 0, F.lit(60.0))
             .when((k % 97 != 0) & (k % 71 == 0), F.lit(0.0))
-            .otherwise(F.round(b * 1.1 * fx, 2) + bump))
+            .otherwise(F.round(b * 1.1 * fxc, 2) + bump))
+    s3 = s2.select("*", smin.alias("salary_min"), smax.alias("salary_max"))
+    smin, smax = F.col("salary_min"), F.col("salary_max")
     mid = (smin + smax) / 2
     skew_mid = (k % 79 == 0) & (k % 97 != 0) & (k % 83 != 0) & (k % 71 != 0)
     savg = (F.when(nosal, F.lit(None).cast("double"))
@@ -103,9 +114,9 @@ def postings_from_orders(orders: DataFrame) -> DataFrame:
     skills = (F.when(g % 500 == 8, F.lit("not a list"))
               .when(g % 10 >= 7, F.concat(F.lit("["), F.concat_ws(", ", *bits), F.lit("]")))
               .otherwise(F.lit("[]")))
-    title = F.when(g % 11 == 0, F.concat(F.lit(" "), F.upper(kw), F.lit("   "), lv, F.lit(" "))) \
-             .otherwise(F.concat(kw, F.lit(" "), F.lower(lv)))
-    return orders.select(
+    title = F.when(g % 11 == 0, F.concat(F.lit(" "), F.upper(kw), F.lit("   "), lvc, F.lit(" "))) \
+             .otherwise(F.concat(kw, F.lit(" "), F.lower(lvc)))
+    return s3.select(
         k.alias("job_id"),
         title.alias("job_title"),
         F.when(g % 1000 == 999, F.lit(None).cast("string"))
@@ -114,13 +125,13 @@ def postings_from_orders(orders: DataFrame) -> DataFrame:
         smin.alias("salary_min"),
         smax.alias("salary_max"),
         F.concat(F.lit("Posting "), g.cast("string")).alias("description"),
-        country.alias("country"),
+        F.col("country"),
         kw.alias("search_keyword"),
         F.when(g % 10 == 0, (_fdiv(g, 10) % 45).cast("double")).alias("experience_required"),
         _pick(g % 4, FIXTURE_DEGREES).alias("degree_required"),
         skills.alias("skills"),
         F.when(g % 10 >= 7, F.bit_count(h)).otherwise(F.lit(0)).cast("int").alias("num_skills"),
-        F.when(k % 200 == 1, F.lit("Lead")).otherwise(lv).alias("job_level"),
+        F.when(k % 200 == 1, F.lit("Lead")).otherwise(lvc).alias("job_level"),
         ((g % 3 == 0) != (k % 280 == 1)).alias("is_remote"),
         savg.alias("salary_avg"),
         ((~nosal) & smax.isNotNull()).alias("has_salary"),
