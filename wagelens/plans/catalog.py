@@ -976,3 +976,355 @@ def g22h(spark, d):
     return eda.top_k(table(spark, d, "lineitem"),
                      [F.desc("l_extendedprice"), F.col("l_orderkey"), F.col("l_linenumber")], 20,
                      ["l_orderkey", "l_linenumber", "l_extendedprice"])
+
+
+# ======================================================================= H / I
+# Development / test split (F4, stratified by country) and stratified folds
+# on the development rows (F5); the same CTEs are spelled out for DuckDB.
+_SPLIT_CTES = f"""
+, sp0 AS (SELECT *, row_number() OVER (PARTITION BY country ORDER BY {_SPLIT_ORDER}, job_id) AS split_rn,
+                count(*) OVER (PARTITION BY country) AS split_n FROM training),
+sp AS (SELECT *, CASE WHEN split_rn <= floor(split_n * 0.2E0 + 0.5E0) THEN 'test' ELSE 'development' END AS split
+       FROM sp0),
+dev AS (SELECT *, CAST((row_number() OVER (PARTITION BY country ORDER BY {_SPLIT_ORDER}, job_id) - 1) % 5 AS INTEGER)
+                  AS fold FROM sp WHERE split = 'development'),
+test AS (SELECT * FROM sp WHERE split = 'test'),
+gm AS (SELECT country, job_level, avg(salary_avg_usd) AS m FROM dev GROUP BY 1, 2),
+gglob AS (SELECT avg(salary_avg_usd) AS g FROM dev),
+audit AS (SELECT job_id, country, job_level, salary_segment, job_title, search_keyword,
+                 salary_avg_usd AS actual_salary, coalesce(gm.m, gglob.g) AS predicted_salary,
+                 salary_avg_usd - coalesce(gm.m, gglob.g) AS residual,
+                 abs(salary_avg_usd - coalesce(gm.m, gglob.g)) AS absolute_error
+          FROM test LEFT JOIN gm USING (country, job_level) CROSS JOIN gglob)"""
+
+_GM_KEYS = ["country", "job_level"]
+
+
+def dev_test(spark, d):
+    """(development with fold, test) for the strict training layer, cached."""
+    key = (id(spark), d, "devtest")
+    hit = _CACHE.get(key)
+    if hit is None:
+        sp = splits.stratified_split(training(spark, d), ["country"], "job_id")
+        dev = splits.stratified_folds(sp.where("split = 'development'"), ["country"], "job_id")
+        test = sp.where("split = 'test'")
+        hit = (dev.persist(StorageLevel.MEMORY_AND_DISK), test.persist(StorageLevel.MEMORY_AND_DISK))
+        _CACHE[key] = hit
+    return hit
+
+
+def _gm_audit(spark, d):
+    from wagelens.ml import evaluate, models
+    dev, test = dev_test(spark, d)
+    m = models.GroupMeanRegressor(groupCols=_GM_KEYS, labelCol="salary_avg_usd").fit(dev)
+    return evaluate.prediction_audit(m.transform(test), "salary_avg_usd")
+
+
+R4 = lambda c: F.round(F.col(c), 4).alias(c)
+
+
+@register("h2_mode_imputation", with_silver("""
+SELECT c AS column, mode FROM (
+  SELECT 'country' AS c, (SELECT CAST(country AS VARCHAR) FROM training WHERE country IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS mode
+  UNION ALL SELECT 'job_level', (SELECT job_level FROM training WHERE job_level IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+  UNION ALL SELECT 'is_remote', (SELECT CAST(is_remote AS VARCHAR) FROM training WHERE is_remote IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+  UNION ALL SELECT 'experience_tier', (SELECT experience_tier FROM training WHERE experience_tier IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+) t"""))
+def h2(spark, d):
+    import json
+    from wagelens.ml.features import OneHotDropFirst
+    cols = ["country", "job_level", "is_remote", "experience_tier"]
+    m = OneHotDropFirst(inputCols=cols).fit(training(spark, d))
+    st = json.loads(m.getOrDefault(m.state))
+    return spark.createDataFrame([(c, st["mode"][c]) for c in cols], "column string, mode string")
+
+
+_OH_COLS = ["country", "job_level", "is_remote", "experience_tier"]
+
+
+def _oh_safe(name):
+    import re
+    return re.sub(r"[^0-9A-Za-z_]", "_", name)
+
+
+@register("h3_one_hot_encoding", with_silver("""
+, md AS (SELECT (SELECT experience_tier FROM training WHERE experience_tier IS NOT NULL GROUP BY 1
+                 ORDER BY count(*) DESC, 1 LIMIT 1) AS tier_mode)
+SELECT job_id,
+  CAST(country = 'Canada' AS DOUBLE) AS oh__country__Canada, CAST(country = 'India' AS DOUBLE) AS oh__country__India,
+  CAST(country = 'UK' AS DOUBLE) AS oh__country__UK, CAST(country = 'USA' AS DOUBLE) AS oh__country__USA,
+  CAST(job_level = 'Lead' AS DOUBLE) AS oh__job_level__Lead, CAST(job_level = 'Mid' AS DOUBLE) AS oh__job_level__Mid,
+  CAST(job_level = 'Senior' AS DOUBLE) AS oh__job_level__Senior,
+  CAST(is_remote AS DOUBLE) AS oh__is_remote__true,
+  CAST(coalesce(experience_tier, tier_mode) = 'Experienced' AS DOUBLE) AS oh__experience_tier__Experienced,
+  CAST(coalesce(experience_tier, tier_mode) = 'Highly Experienced' AS DOUBLE) AS oh__experience_tier__Highly_Experienced,
+  CAST(coalesce(experience_tier, tier_mode) = 'Intermediate' AS DOUBLE) AS oh__experience_tier__Intermediate
+FROM training CROSS JOIN md"""))
+def h3(spark, d):
+    from wagelens.ml.features import OneHotDropFirst
+    t = training(spark, d)
+    m = OneHotDropFirst(inputCols=_OH_COLS, minFrequency=3, dropFirst=True).fit(t)
+    outs = m.output_columns()
+    return m.transform(t).select("job_id", *[F.col(c).alias(_oh_safe(c)) for c in outs])
+
+
+_NUM_COLS = ["experience_required_clean", "num_skills", "skills_extracted"]
+
+
+@register("h4_median_imputation", with_silver("""
+SELECT 'experience_required_clean' AS column, median(experience_required_clean) AS median,
+       count(*) FILTER (WHERE experience_required_clean IS NULL) > 0 AS indicator FROM training
+UNION ALL SELECT 'num_skills', median(num_skills), count(*) FILTER (WHERE num_skills IS NULL) > 0 FROM training
+UNION ALL SELECT 'skills_extracted', median(skills_extracted), count(*) FILTER (WHERE skills_extracted IS NULL) > 0 FROM training"""))
+def h4(spark, d):
+    import json
+    from wagelens.ml.features import MedianImputeScale
+    m = MedianImputeScale(inputCols=_NUM_COLS).fit(training(spark, d))
+    st = json.loads(m.getOrDefault(m.state))
+    return spark.createDataFrame([(c, float(st["median"][c]), c in st["indicators"]) for c in _NUM_COLS],
+                                 "column string, median double, indicator boolean")
+
+
+@register("h5_standardization", with_silver("""
+, f AS (SELECT job_id, coalesce(experience_required_clean, (SELECT median(experience_required_clean) FROM training)) AS e,
+               CAST(num_skills AS DOUBLE) AS s, CAST(experience_required_clean IS NULL AS INTEGER) * 1.0E0 AS mi
+        FROM training)
+SELECT job_id,
+  round((e - avg(e) OVER ()) / CASE WHEN stddev_pop(e) OVER () > 0 THEN stddev_pop(e) OVER () ELSE 1 END, 6) AS num__experience_required_clean,
+  round((s - avg(s) OVER ()) / CASE WHEN stddev_pop(s) OVER () > 0 THEN stddev_pop(s) OVER () ELSE 1 END, 6) AS num__num_skills,
+  round((mi - avg(mi) OVER ()) / CASE WHEN stddev_pop(mi) OVER () > 0 THEN stddev_pop(mi) OVER () ELSE 1 END, 6) AS miss__experience_required_clean
+FROM f"""))
+def h5(spark, d):
+    from wagelens.ml.features import MedianImputeScale
+    t = training(spark, d)
+    m = MedianImputeScale(inputCols=["experience_required_clean", "num_skills"]).fit(t)
+    return m.transform(t).select("job_id", *[R6(c) for c in m.output_columns()])
+
+
+@register("h6_title_tfidf")
+def h6(spark, d):
+    from pyspark.ml.functions import vector_to_array
+    from wagelens.ml.features import TitleTfidf
+    t = training(spark, d)
+    m = TitleTfidf(inputCol="job_title_text", outputCol="tfidf").fit(t)
+    arr = vector_to_array("tfidf")
+    return m.transform(t).select("job_id", F.size(arr).alias("dims"),
+                                 F.round(F.aggregate(arr, F.lit(0.0), lambda a, v: a + v * v), 9).alias("l2_sq"))
+
+
+@register("h7_assembled_features")
+def h7(spark, d):
+    from pyspark.ml.functions import vector_to_array
+    from wagelens.ml.features import FEATURE_SPECS, preprocessor
+    t = training(spark, d)
+    pm = preprocessor(FEATURE_SPECS["Engineered + job-title text"]).fit(t)
+    return pm.transform(t).select("job_id", F.size(vector_to_array("features")).alias("n_features"))
+
+
+@register("i1_ols_one_feature", """
+SELECT round(regr_slope(l_extendedprice, l_quantity), 6) AS slope,
+       round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept FROM lineitem""")
+def i1(spark, d):
+    from pyspark.ml.feature import VectorAssembler
+    from wagelens.ml import models
+    li = table(spark, d, "lineitem").select("l_quantity", "l_extendedprice")
+    va = VectorAssembler(inputCols=["l_quantity"], outputCol="features")
+    m = models.linear_regression("l_extendedprice").fit(va.transform(li))
+    return spark.createDataFrame([(round(float(m.coefficients[0]), 6), round(float(m.intercept), 4))],
+                                 "slope double, intercept double")
+
+
+@register("i6_holdout_metrics_group_mean", with_silver(_SPLIT_CTES + """
+SELECT round(avg(absolute_error), 4) AS MAE, round(sqrt(avg(residual * residual)), 4) AS RMSE,
+       round(1 - sum(residual * residual) / (var_pop(actual_salary) * count(*)), 6) AS R2 FROM audit"""))
+def i6(spark, d):
+    from wagelens.ml import evaluate
+    m = evaluate.metrics(_gm_audit(spark, d), "actual_salary", "predicted_salary")
+    return m.select(R4("MAE"), R4("RMSE"), R6("R2"))
+
+
+_CV_SQL = """
+, ks AS (SELECT CAST(range AS INTEGER) AS k FROM range(0, 5)),
+tm AS (SELECT ks.k, d.country, d.job_level, avg(d.salary_avg_usd) AS m FROM ks JOIN dev d ON d.fold <> ks.k GROUP BY 1, 2, 3),
+tg AS (SELECT ks.k, avg(d.salary_avg_usd) AS g FROM ks JOIN dev d ON d.fold <> ks.k GROUP BY 1),
+pr AS (SELECT ks.k, d.job_id, d.fold, d.salary_avg_usd AS y, CASE WHEN d.fold = ks.k THEN 'val' ELSE 'train' END AS role,
+              coalesce(tm.m, tg.g) AS p
+       FROM ks CROSS JOIN dev d
+       LEFT JOIN tm ON tm.k = ks.k AND tm.country = d.country AND tm.job_level = d.job_level
+       JOIN tg ON tg.k = ks.k),
+pf AS (SELECT k, role, avg(abs(y - p)) AS mae, sqrt(avg((y - p) * (y - p))) AS rmse,
+              1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) AS r2 FROM pr GROUP BY 1, 2)"""
+
+
+@register("i7_cv_summary_group_mean", with_silver(_SPLIT_CTES + _CV_SQL + """
+SELECT round(avg(mae) FILTER (WHERE role = 'val'), 4) AS CV_MAE,
+       round(stddev_pop(mae) FILTER (WHERE role = 'val'), 4) AS CV_MAE_SD,
+       round(avg(rmse) FILTER (WHERE role = 'val'), 4) AS CV_RMSE,
+       round(avg(r2) FILTER (WHERE role = 'val'), 6) AS CV_R2,
+       round(avg(mae) FILTER (WHERE role = 'train'), 4) AS Train_MAE FROM pf"""))
+def i7(spark, d):
+    from wagelens.ml import evaluate
+    dev, _ = dev_test(spark, d)
+    summary, _ = evaluate.group_mean_cv(dev, _GM_KEYS, "salary_avg_usd")
+    return summary.select(R4("CV_MAE"), R4("CV_MAE_SD"), R4("CV_RMSE"), R6("CV_R2"), R4("Train_MAE"))
+
+
+@register("i8_oof_predictions_group_mean", with_silver(_SPLIT_CTES + _CV_SQL + """
+SELECT job_id, fold, round(p, 4) AS prediction FROM pr WHERE role = 'val'"""))
+def i8(spark, d):
+    from wagelens.ml import evaluate
+    dev, _ = dev_test(spark, d)
+    _, oof = evaluate.group_mean_cv(dev, _GM_KEYS, "salary_avg_usd")
+    return oof.select("job_id", "fold", R4("prediction"))
+
+
+@register("i10_usd_scorer_log_model", with_silver(_SPLIT_CTES + """
+, lm AS (SELECT country, job_level, avg(log_salary_avg_usd) AS m FROM dev GROUP BY 1, 2),
+lg AS (SELECT avg(log_salary_avg_usd) AS g FROM dev),
+sc AS (SELECT salary_avg_usd AS y, exp(coalesce(lm.m, lg.g)) - 1 AS p FROM test LEFT JOIN lm USING (country, job_level) CROSS JOIN lg)
+SELECT round(avg(abs(y - p)), 4) AS MAE, round(sqrt(avg((y - p) * (y - p))), 4) AS RMSE,
+       round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS R2 FROM sc"""))
+def i10(spark, d):
+    from wagelens.ml import evaluate, models
+    dev, test = dev_test(spark, d)
+    m = models.GroupMeanRegressor(groupCols=_GM_KEYS, labelCol="log_salary_avg_usd").fit(dev)
+    out = evaluate.usd_metrics_from_log(m.transform(test), "log_salary_avg_usd", "prediction")
+    return out.select(R4("MAE"), R4("RMSE"), R6("R2"))
+
+
+@register("i16_target_scale_group_mean", with_silver(_SPLIT_CTES + _CV_SQL + """
+, ltm AS (SELECT ks.k, d.country, d.job_level, avg(d.log_salary_avg_usd) AS m FROM ks JOIN dev d ON d.fold <> ks.k GROUP BY 1, 2, 3),
+ltg AS (SELECT ks.k, avg(d.log_salary_avg_usd) AS g FROM ks JOIN dev d ON d.fold <> ks.k GROUP BY 1),
+lpr AS (SELECT ks.k, d.salary_avg_usd AS y, exp(coalesce(ltm.m, ltg.g)) - 1 AS p
+        FROM ks JOIN dev d ON d.fold = ks.k
+        LEFT JOIN ltm ON ltm.k = ks.k AND ltm.country = d.country AND ltm.job_level = d.job_level
+        JOIN ltg ON ltg.k = ks.k),
+lpf AS (SELECT k, avg(abs(y - p)) AS mae FROM lpr GROUP BY k)
+SELECT 'Original USD' AS Target, round(avg(mae), 4) AS CV_MAE FROM pf WHERE role = 'val'
+UNION ALL SELECT 'Log target, predictions returned to USD', round(avg(mae), 4) FROM lpf"""))
+def i16(spark, d):
+    from wagelens.ml import evaluate
+    dev, _ = dev_test(spark, d)
+    raw, _ = evaluate.group_mean_cv(dev, _GM_KEYS, "salary_avg_usd")
+    _, oof = evaluate.group_mean_cv(dev, _GM_KEYS, "log_salary_avg_usd")
+    log_mae = (oof.join(dev.select("job_id", "salary_avg_usd"), "job_id")
+               .groupBy("fold").agg(F.avg(F.abs(F.col("salary_avg_usd") - F.expm1("prediction"))).alias("m"))
+               .agg(F.avg("m").alias("CV_MAE")))
+    return (raw.select(F.lit("Original USD").alias("Target"), R4("CV_MAE"))
+            .unionByName(log_mae.select(F.lit("Log target, predictions returned to USD").alias("Target"),
+                                        R4("CV_MAE"))))
+
+
+@register("i19_prediction_audit", with_silver(_SPLIT_CTES + """
+SELECT job_id, country, job_level, salary_segment, job_title, search_keyword, round(actual_salary, 4) AS actual_salary,
+       round(predicted_salary, 4) AS predicted_salary, round(residual, 4) AS residual,
+       round(absolute_error, 4) AS absolute_error FROM audit"""))
+def i19(spark, d):
+    a = _gm_audit(spark, d)
+    return a.select("job_id", "country", "job_level", "salary_segment", "job_title", "search_keyword",
+                    *[R4(c) for c in ["actual_salary", "predicted_salary", "residual", "absolute_error"]])
+
+
+def _seg_sql(group):
+    return f"""
+SELECT {group}, count(*) AS Rows, round(avg(absolute_error), 4) AS MAE, round(sqrt(avg(residual * residual)), 4) AS RMSE,
+  round(CASE WHEN count(*) < 2 THEN NULL WHEN var_pop(actual_salary) > 0
+             THEN 1 - sum(residual * residual) / (var_pop(actual_salary) * count(*))
+             WHEN sum(residual * residual) = 0 THEN 1.0 ELSE 0.0 END, 6) AS R2,
+  round(avg(residual), 4) AS Mean_Residual, round(100 * avg(CASE WHEN residual > 0 THEN 1.0 ELSE 0.0 END), 6)
+    AS Underprediction_Rate
+FROM audit GROUP BY {group}"""
+
+
+def _seg(spark, d, group):
+    from wagelens.ml import evaluate
+    s = evaluate.segment_performance(_gm_audit(spark, d), group)
+    return s.select(group, "Rows", R4("MAE"), R4("RMSE"), R6("R2"), R4("Mean_Residual"), R6("Underprediction_Rate"))
+
+
+@register("i20_segment_performance", with_silver(_SPLIT_CTES + _seg_sql("country")))
+def i20(spark, d):
+    return _seg(spark, d, "country")
+
+
+@register("i20_segment_performance_level", with_silver(_SPLIT_CTES + _seg_sql("job_level")))
+def i20l(spark, d):
+    return _seg(spark, d, "job_level")
+
+
+@register("i20_segment_performance_segment", with_silver(_SPLIT_CTES + _seg_sql("salary_segment")))
+def i20s(spark, d):
+    return _seg(spark, d, "salary_segment")
+
+
+@register("i21_residual_summary", with_silver(_SPLIT_CTES + """
+SELECT count(residual) AS count, round(avg(residual), 4) AS mean, round(stddev_samp(residual), 4) AS std,
+       round(min(residual), 4) AS min, round(quantile_cont(residual, 0.25), 4) AS q25,
+       round(quantile_cont(residual, 0.5), 4) AS q50, round(quantile_cont(residual, 0.75), 4) AS q75,
+       round(max(residual), 4) AS max,
+       round(100 * avg(CASE WHEN residual < 0 THEN 1.0 ELSE 0.0 END), 6) AS overprediction_pct,
+       round(100 * avg(CASE WHEN residual > 0 THEN 1.0 ELSE 0.0 END), 6) AS underprediction_pct FROM audit"""))
+def i21(spark, d):
+    from wagelens.ml import evaluate
+    s = evaluate.residual_summary(_gm_audit(spark, d))
+    return s.select("count", *[R4(c) for c in ["mean", "std", "min", "q25", "q50", "q75", "max"]],
+                    R6("overprediction_pct"), R6("underprediction_pct"))
+
+
+@register("i22_largest_errors", with_silver(_SPLIT_CTES + """
+SELECT job_id, country, job_level, round(absolute_error, 4) AS absolute_error FROM audit
+ORDER BY absolute_error DESC, job_id LIMIT 20"""))
+def i22(spark, d):
+    a = _gm_audit(spark, d)
+    return eda.top_k(a, [F.desc("absolute_error"), F.col("job_id")], 20,
+                     ["job_id", "country", "job_level", "absolute_error"]).select(
+        "job_id", "country", "job_level", R4("absolute_error"))
+
+
+@register("i23_diagonal_bounds", with_silver(_SPLIT_CTES + """
+SELECT round(least(min(actual_salary), min(predicted_salary)), 4) AS minimum,
+       round(greatest(max(actual_salary), max(predicted_salary)), 4) AS maximum FROM audit"""))
+def i23(spark, d):
+    from wagelens.ml import evaluate
+    return evaluate.diagonal_bounds(_gm_audit(spark, d)).select(R4("minimum"), R4("maximum"))
+
+
+@register("i24_permutation_importance")
+def i24(spark, d):
+    from wagelens.ml import evaluate, models
+    dev, test = dev_test(spark, d)
+    m = models.GroupMeanRegressor(groupCols=_GM_KEYS, labelCol="salary_avg_usd").fit(dev)
+    return evaluate.permutation_importance(m, test, _GM_KEYS, "salary_avg_usd", "job_id", repeats=10)
+
+
+@register("i26_benchmark_verdict", with_silver(_SPLIT_CTES + """
+, mm AS (SELECT avg(absolute_error) AS mae FROM audit)
+SELECT round(mae, 4) AS MAE, round(18500.0E0 - mae, 4) AS improvement_usd,
+       round(100 * (18500.0E0 - mae) / 18500.0E0, 6) AS improvement_pct,
+       CASE WHEN mae <= 8000.0E0 THEN 'meets_industry_target' WHEN mae < 18500.0E0 THEN 'beats_legacy'
+            ELSE 'keep_legacy' END AS decision FROM mm"""))
+def i26(spark, d):
+    from wagelens.ml import evaluate
+    m = evaluate.metrics(_gm_audit(spark, d), "actual_salary", "predicted_salary")
+    v = evaluate.benchmark_verdict(m)
+    return v.select(R4("MAE"), R4("improvement_usd"), R6("improvement_pct"), "decision")
+
+
+@register("i27_worst_bias", with_silver(_SPLIT_CTES + """
+SELECT arg_max(country, mr) AS country, round(max(mr), 4) AS Mean_Residual
+FROM (SELECT country, avg(residual) AS mr FROM audit GROUP BY country) t"""))
+def i27(spark, d):
+    from wagelens.ml import evaluate
+    seg = evaluate.segment_performance(_gm_audit(spark, d), "country")
+    return evaluate.worst_bias(seg, "country").select("country", R4("Mean_Residual"))
+
+
+@register("i30_scoring_contract", with_silver("""
+SELECT (SELECT count(*) FROM scoring) AS input_rows, (SELECT count(*) FROM scoring) AS scored_rows,
+       CAST(0 AS BIGINT) AS non_finite, true AS contract_ok"""))
+def i30(spark, d):
+    from wagelens.ml import evaluate, models
+    s = silver(spark, d)
+    m = models.GroupMeanRegressor(groupCols=_GM_KEYS, labelCol="salary_avg_usd").fit(silver_plan.training_layer(s))
+    sc = silver_plan.scoring_layer(s)
+    return evaluate.scoring_contract(sc, m.transform(sc), "prediction")
