@@ -1,0 +1,203 @@
+"""Model selection.
+
+Leakage safety: the feature preprocessor is fitted inside every fold on
+that fold's training rows only.  Cost: it is fitted once per fold and the
+encoded fold data is persisted, then every algorithm / grid point of the
+search reuses it (the reference refits the whole pipeline per grid point;
+the result is the same because the preprocessor has no tuned parameters).
+
+The loops here are over folds and grid points (fixed, small counts); each
+iteration is a distributed MLlib fit, and only metric scalars return to
+the driver.
+"""
+
+from __future__ import annotations
+
+import itertools
+import math
+from dataclasses import dataclass
+
+import numpy as np
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wagelens.ml import models
+from wagelens.ml.evaluate import metric_aggs
+from wagelens.ml.features import FEATURE_SPECS, FeatureSpec, preprocessor
+from wagelens.rules import BOOSTING_GRID, FOREST_GRID, RANDOM_STATE, RIDGE_ALPHAS
+
+
+@dataclass
+class FoldData:
+    train: DataFrame
+    valid: DataFrame
+    n: int
+    label_sd: float
+
+
+def fold_datasets(spec: FeatureSpec, dev: DataFrame, label: str, fold: str = "fold", k: int = 5,
+                  **pre_kw) -> list[FoldData]:
+    out = []
+    for i in range(k):
+        tr = dev.where(F.col(fold) != i)
+        va = dev.where(F.col(fold) == i)
+        pre = preprocessor(spec, **pre_kw).fit(tr)
+        keep = [label, "features"]
+        t = pre.transform(tr).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+        v = pre.transform(va).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+        st = t.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("sd")).first()
+        out.append(FoldData(t, v, int(st["n"]), float(st["sd"] or 0.0)))
+    return out
+
+
+def release(folds: list[FoldData]) -> None:
+    for f in folds:
+        f.train.unpersist()
+        f.valid.unpersist()
+
+
+def _score(model, df: DataFrame, label: str, inverse) -> tuple[float, float, float]:
+    y, p = F.col(label), F.col(model.getOrDefault("predictionCol"))
+    if inverse is not None:
+        y, p = inverse(y), inverse(p)
+    r = model.transform(df).agg(*metric_aggs(y, p)).first()
+    return float(r["MAE"]), float(r["RMSE"]), float(r["R2"])
+
+
+def cv_folds(make_model, folds: list[FoldData], label: str, inverse=None) -> dict:
+    """I7 over prepared folds; ``make_model(fold_data)`` builds the MLlib
+    estimator (it may depend on the fold's n / label SD, e.g. ridge)."""
+    val, train = [], []
+    for fd in folds:
+        m = make_model(fd).fit(fd.train)
+        val.append(_score(m, fd.valid, label, inverse))
+        train.append(_score(m, fd.train, label, inverse)[0])
+    a = np.array(val)
+    return {"CV_MAE": float(a[:, 0].mean()), "CV_MAE_SD": float(a[:, 0].std()),
+            "CV_RMSE": float(a[:, 1].mean()), "CV_R2": float(a[:, 2].mean()), "Train_MAE": float(np.mean(train))}
+
+
+def ridge_factory(alpha: float, label: str):
+    return lambda fd: models.ridge(alpha, fd.label_sd, fd.n, label)
+
+
+def feature_set_ablation(spark: SparkSession, dev: DataFrame, label: str, specs=FEATURE_SPECS,
+                         alpha: float = 10.0) -> DataFrame:
+    """Ridge(alpha) CV for each feature set, best R^2 first."""
+    rows = []
+    for name, spec in specs.items():
+        folds = fold_datasets(spec, dev, label)
+        rows.append((name, *cv_folds(ridge_factory(alpha, label), folds, label).values()))
+        release(folds)
+    df = spark.createDataFrame(rows, "Feature_Set string, CV_MAE double, CV_MAE_SD double, CV_RMSE double, "
+                                     "CV_R2 double, Train_MAE double")
+    return df.orderBy(F.desc("CV_R2"))
+
+
+def grid_points(grid: dict) -> list[dict]:
+    keys = list(grid)
+    return [dict(zip(keys, vals)) for vals in itertools.product(*[grid[k] for k in keys])]
+
+
+def grid_search(spark: SparkSession, folds: list[FoldData], label: str, make_model, grid: dict,
+                inverse=None) -> DataFrame:
+    """CV MAE and train MAE for every grid point, ranked by CV MAE."""
+    rows = []
+    for pt in grid_points(grid):
+        s = cv_folds(lambda fd, pt=pt: make_model(pt, fd), folds, label, inverse)
+        rows.append((str(sorted(pt.items())), s["CV_MAE"], s["CV_MAE_SD"], s["Train_MAE"]))
+    df = spark.createDataFrame(rows, "params string, CV_MAE double, CV_MAE_SD double, Train_MAE double")
+    return df.withColumn("rank_test_score", F.rank().over(
+        __import__("pyspark.sql", fromlist=["Window"]).Window.orderBy("CV_MAE")))
+
+
+def ridge_alpha_path(spark, folds, label, alphas=RIDGE_ALPHAS) -> DataFrame:
+    """CV and train MAE per alpha."""
+    res = grid_search(spark, folds, label, lambda pt, fd: models.ridge(pt["alpha"], fd.label_sd, fd.n, label),
+                      {"alpha": list(alphas)})
+    return res.withColumn("alpha", F.regexp_extract("params", r"([0-9.]+)\)\]$", 1).cast("double")) \
+        .select("alpha", "CV_MAE", "Train_MAE")
+
+
+def forest_from(pt: dict, label: str):
+    return models.random_forest(pt.get("numTrees", 100), pt.get("maxDepth"), pt.get("minInstancesPerNode", 1),
+                                pt.get("featureSubsetStrategy", "all"), label=label)
+
+
+def boosting_from(pt: dict, label: str):
+    return models.gradient_boosting(pt.get("maxIter", 100), pt.get("stepSize", 0.1), pt.get("maxDepth", 3),
+                                    pt.get("minInstancesPerNode", 1), label=label)
+
+
+TUNING = {
+    "Random Forest": (FOREST_GRID, lambda label: (lambda pt, fd: forest_from(pt, label))),
+    "Gradient Boosting": (BOOSTING_GRID, lambda label: (lambda pt, fd: boosting_from(pt, label))),
+    "Linear Regression": ({"alpha": RIDGE_ALPHAS},
+                          lambda label: (lambda pt, fd: models.ridge(pt["alpha"], fd.label_sd, fd.n, label))),
+}
+
+
+def tune_strongest(spark, strongest: str, folds, label, grid: dict | None = None) -> DataFrame:
+    """Grid search of the strongest baseline with its preset grid."""
+    default_grid, factory = TUNING[strongest]
+    return grid_search(spark, folds, label, factory(label), grid or default_grid)
+
+
+def compare_baselines(spark, folds, label, candidates: dict) -> DataFrame:
+    """CV summary per algorithm, lowest CV MAE first."""
+    rows = [(name, *cv_folds(make, folds, label).values()) for name, make in candidates.items()]
+    df = spark.createDataFrame(rows, "Model string, CV_MAE double, CV_MAE_SD double, CV_RMSE double, "
+                                     "CV_R2 double, Train_MAE double")
+    return df.orderBy("CV_MAE")
+
+
+def depth_sweep(spark, spec: FeatureSpec, fit_df: DataFrame, valid_df: DataFrame, label: str,
+                depths=range(3, 21), trees: int = 250, min_leaf: int = 2, max_features="0.7") -> DataFrame:
+    """Train / validation MAE per forest depth on one split."""
+    pre = preprocessor(spec).fit(fit_df)
+    t = pre.transform(fit_df).select(label, "features").persist(StorageLevel.MEMORY_AND_DISK)
+    v = pre.transform(valid_df).select(label, "features").persist(StorageLevel.MEMORY_AND_DISK)
+    rows = []
+    for dpt in depths:
+        m = models.random_forest(trees, dpt, min_leaf, max_features, label=label).fit(t)
+        tm, vm = _score(m, t, label, None)[0], _score(m, v, label, None)[0]
+        rows.append((int(dpt), tm, vm, vm - tm))
+    t.unpersist()
+    v.unpersist()
+    return spark.createDataFrame(rows, "max_depth int, Train_MAE double, Validation_MAE double, MAE_Gap double")
+
+
+def overfit_depth(results: DataFrame, tolerance: float = 1.02) -> DataFrame:
+    """I13 rule as a query: first depth above the best whose validation MAE
+    exceeds tolerance x best (null -> not detected)."""
+    best = results.orderBy("Validation_MAE", "max_depth").limit(1) \
+        .select(F.col("max_depth").alias("best_depth"), F.col("Validation_MAE").alias("best_mae"))
+    cand = results.crossJoin(best).where((F.col("max_depth") > F.col("best_depth"))
+                                         & (F.col("Validation_MAE") > F.col("best_mae") * tolerance))
+    first = cand.agg(F.min("max_depth").alias("overfit_depth"))
+    return best.crossJoin(first)
+
+
+def tuning_gain(baseline: DataFrame, tuned_best_mae: float, model: str) -> DataFrame:
+    """Baseline vs tuned CV MAE and the improvement."""
+    b = baseline.where(F.col("Model") == model).select("Model", F.col("CV_MAE").alias("Baseline_CV_MAE"))
+    return b.withColumn("Tuned_CV_MAE", F.lit(tuned_best_mae)) \
+        .withColumn("Improvement", F.col("Baseline_CV_MAE") - F.col("Tuned_CV_MAE")) \
+        .withColumn("Improvement_pct", 100 * F.col("Improvement") / F.col("Baseline_CV_MAE"))
+
+
+def final_holdout(spark, spec: FeatureSpec, dev: DataFrame, test: DataFrame, label: str, candidates: dict) -> DataFrame:
+    """Fit every candidate on development, score the holdout once."""
+    pre = preprocessor(spec).fit(dev)
+    t = pre.transform(dev).select(label, "features").persist(StorageLevel.MEMORY_AND_DISK)
+    v = pre.transform(test).select(label, "features").persist(StorageLevel.MEMORY_AND_DISK)
+    st = t.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("sd")).first()
+    fd = FoldData(t, v, int(st["n"]), float(st["sd"] or 0.0))
+    rows = []
+    for name, make in candidates.items():
+        m = make(fd).fit(t)
+        rows.append((name, *_score(m, v, label, None)))
+    t.unpersist()
+    v.unpersist()
+    return spark.createDataFrame(rows, "Model string, MAE double, RMSE double, R2 double").orderBy("RMSE")

@@ -1328,3 +1328,227 @@ def i30(spark, d):
     m = models.GroupMeanRegressor(groupCols=_GM_KEYS, labelCol="salary_avg_usd").fit(silver_plan.training_layer(s))
     sc = silver_plan.scoring_layer(s)
     return evaluate.scoring_contract(sc, m.transform(sc), "prediction")
+
+
+# ----------------------------------------------------------- MLlib models (rows-only checks)
+_SPEC_ENG = "Core + nonredundant engineered"
+
+
+def _label_dev(spark, d, log: bool = False):
+    dev, test = dev_test(spark, d)
+    src = "log_salary_avg_usd" if log else "salary_avg_usd"
+    return dev.withColumn("label", F.col(src)), test.withColumn("label", F.col(src))
+
+
+def _holdout_metrics(spark, d, make, spec_name=_SPEC_ENG):
+    from wagelens.ml import selection
+    from wagelens.ml.features import FEATURE_SPECS
+    dev, test = _label_dev(spark, d)
+    return selection.final_holdout(spark, FEATURE_SPECS[spec_name], dev, test, "label", {"model": make})
+
+
+@register("i2_ridge_holdout")
+def i2(spark, d):
+    from wagelens.ml import models
+    return _holdout_metrics(spark, d, lambda fd: models.ridge(10.0, fd.label_sd, fd.n, "label"))
+
+
+@register("i3_random_forest_holdout")
+def i3(spark, d):
+    from wagelens.ml import models
+    return _holdout_metrics(spark, d, lambda fd: models.random_forest(350, None, 2, 0.7, label="label"))
+
+
+@register("i4_gradient_boosting_holdout")
+def i4(spark, d):
+    from wagelens.ml import models
+    return _holdout_metrics(spark, d, lambda fd: models.gradient_boosting(200, 0.05, 3, 3, label="label"))
+
+
+@register("i5_log_target_model")
+def i5(spark, d):
+    from wagelens.ml import models, scoring
+    from wagelens.ml.features import FEATURE_SPECS
+    from wagelens.ml.evaluate import metrics
+    dev, test = dev_test(spark, d)
+    m = scoring.fit_scoring_model(dev, FEATURE_SPECS[_SPEC_ENG], models.linear_regression("label"), log_target=True)
+    return metrics(m.transform(test), "salary_avg_usd", "predicted_salary_usd")
+
+
+@register("i9_grid_search_ridge")
+def i9(spark, d):
+    from wagelens.ml import models, selection
+    from wagelens.ml.features import FEATURE_SPECS
+    dev, _ = _label_dev(spark, d)
+    folds = selection.fold_datasets(FEATURE_SPECS[_SPEC_ENG], dev, "label")
+    out = selection.grid_search(spark, folds, "label",
+                                lambda pt, fd: models.ridge(pt["alpha"], fd.label_sd, fd.n, "label"),
+                                {"alpha": [0.01, 0.1, 1.0, 10.0, 100.0, 1000.0]})
+    return out.persist()
+
+
+@register("i11_feature_set_ablation")
+def i11(spark, d):
+    from wagelens.ml import selection
+    dev, _ = _label_dev(spark, d)
+    return selection.feature_set_ablation(spark, dev, "label")
+
+
+@register("i12_ridge_alpha_path")
+def i12(spark, d):
+    from wagelens.ml import selection
+    from wagelens.ml.features import FEATURE_SPECS
+    dev, _ = _label_dev(spark, d)
+    folds = selection.fold_datasets(FEATURE_SPECS[_SPEC_ENG], dev, "label")
+    return selection.ridge_alpha_path(spark, folds, "label")
+
+
+@register("i13_forest_depth_sweep")
+def i13(spark, d):
+    from wagelens.ml import selection
+    from wagelens.ml.features import FEATURE_SPECS
+    dev, _ = _label_dev(spark, d)
+    sp = splits.stratified_split(dev.drop("split"), ["country"], "job_id", test_size=0.25)
+    res = selection.depth_sweep(spark, FEATURE_SPECS[_SPEC_ENG], sp.where("split = 'development'"),
+                                sp.where("split = 'test'"), "label")
+    res = res.persist()
+    return res.crossJoin(selection.overfit_depth(res))
+
+
+def _baselines():
+    from wagelens.ml import models
+    return {"Linear Regression": lambda fd: models.linear_regression("label"),
+            "Random Forest": lambda fd: models.random_forest(350, None, 2, 0.7, label="label"),
+            "Gradient Boosting": lambda fd: models.gradient_boosting(200, 0.05, 3, 3, label="label")}
+
+
+@register("i14_baseline_models")
+def i14(spark, d):
+    from wagelens.ml import selection
+    from wagelens.ml.features import FEATURE_SPECS
+    dev, _ = _label_dev(spark, d)
+    folds = selection.fold_datasets(FEATURE_SPECS[_SPEC_ENG], dev, "label")
+    out = selection.compare_baselines(spark, folds, "label", _baselines())
+    return out
+
+
+@register("i15_tune_linear_branch")
+def i15(spark, d):
+    from wagelens.ml import selection
+    from wagelens.ml.features import FEATURE_SPECS
+    dev, _ = _label_dev(spark, d)
+    folds = selection.fold_datasets(FEATURE_SPECS[_SPEC_ENG], dev, "label")
+    return selection.tune_strongest(spark, "Linear Regression", folds, "label")
+
+
+@register("i17_tuning_gain")
+def i17(spark, d):
+    from wagelens.ml import models, selection
+    from wagelens.ml.features import FEATURE_SPECS
+    dev, _ = _label_dev(spark, d)
+    folds = selection.fold_datasets(FEATURE_SPECS[_SPEC_ENG], dev, "label")
+    base = selection.compare_baselines(spark, folds, "label",
+                                       {"Linear Regression": lambda fd: models.linear_regression("label")})
+    tuned = selection.tune_strongest(spark, "Linear Regression", folds, "label")
+    best = tuned.agg(F.min("CV_MAE")).first()[0]
+    return selection.tuning_gain(base, best, "Linear Regression")
+
+
+@register("i18_final_holdout_comparison")
+def i18(spark, d):
+    from wagelens.ml import selection
+    from wagelens.ml.features import FEATURE_SPECS
+    dev, test = _label_dev(spark, d)
+    return selection.final_holdout(spark, FEATURE_SPECS[_SPEC_ENG], dev, test, "label", _baselines())
+
+
+@register("i25_refit_and_score_pool")
+def i25(spark, d):
+    from wagelens.ml import models, scoring
+    from wagelens.ml.features import FEATURE_SPECS
+    s = silver(spark, d)
+    m = scoring.fit_scoring_model(silver_plan.training_layer(s), FEATURE_SPECS["Engineered + job-title text"],
+                                  models.linear_regression("label"), log_target=True)
+    return scoring.score_pool(m, silver_plan.scoring_layer(s))
+
+
+def _capstone_model(spark, d):
+    from wagelens.ml import models, scoring
+    from wagelens.ml.features import CAPSTONE_SPEC
+    t = training(spark, d).withColumn("experience_required", F.coalesce("experience_required_clean", F.lit(0.0)))
+    t = scoring.prepare_requests(t)
+    return scoring.fit_scoring_model(t, CAPSTONE_SPEC, models.random_forest(100, 10, 2, 0.7, label="label"),
+                                     log_target=True)
+
+
+@register("i28_scoring_requests")
+def i28(spark, d):
+    from wagelens.ml import scoring
+    m = _capstone_model(spark, d)
+    req = scoring.prepare_requests(scoring.capstone_requests_from(silver_plan.scoring_layer(silver(spark, d))))
+    return m.transform(req).select("job_id", "experience_tier", "num_skills", "predicted_salary_usd")
+
+
+@register("i29_streaming_scoring")
+def i29(spark, d):
+    from wagelens.ml import scoring
+    from wagelens.session import scratch_path
+    from wagelens.streaming.scoring_stream import run_to_completion
+    m = _capstone_model(spark, d)
+    req = scoring.capstone_requests_from(silver_plan.scoring_layer(silver(spark, d)))
+    src = scratch_path(spark, "requests")
+    req.repartition(4).write.mode("overwrite").parquet(src)
+    return run_to_completion(spark, m, src, req.schema, scratch_path(spark, "scored"),
+                             scratch_path(spark, "stream-ckpt"))
+
+
+@register("a11_model_persistence")
+def a11(spark, d):
+    from wagelens.ml import models, scoring
+    from wagelens.ml.features import FEATURE_SPECS
+    from wagelens.session import scratch_path
+    s = silver(spark, d)
+    m = scoring.fit_scoring_model(silver_plan.training_layer(s), FEATURE_SPECS[_SPEC_ENG],
+                                  models.linear_regression("label"), log_target=True)
+    path = scratch_path(spark, "model")
+    scoring.save_model(m, path, {"selected_feature_set": _SPEC_ENG, "selected_target": "Log target"})
+    reloaded = scoring.load_model(path)
+    sc = silver_plan.scoring_layer(s).select("job_id", *FEATURE_SPECS[_SPEC_ENG].columns)
+    a = m.transform(sc).select("job_id", F.col("predicted_salary_usd").alias("original"))
+    b = reloaded.transform(sc).select("job_id", F.col("predicted_salary_usd").alias("reloaded"))
+    return a.join(b, "job_id").withColumn("identical", F.col("original") == F.col("reloaded"))
+
+
+# ----------------------------------------------------------- sources / sinks
+_CSV_COLS = ", ".join(EXPECTED_COLUMNS)
+
+
+@register("a1_read_postings_csv", with_postings(f"SELECT {_CSV_COLS} FROM postings"))
+def a1(spark, d):
+    from wagelens.session import scratch_path
+    from wagelens.sources.postings import read_postings_csv
+    path = scratch_path(spark, "postings-csv")
+    (bronze(spark, d).write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return read_postings_csv(spark, path)
+
+
+@register("a7_layer_sinks", with_silver("""
+SELECT 'silver' AS layer, count(*) AS rows FROM silver_x
+UNION ALL SELECT 'training', count(*) FROM training
+UNION ALL SELECT 'scoring', count(*) FROM scoring
+UNION ALL SELECT 'review', count(*) FROM review"""))
+def a7(spark, d):
+    from wagelens.session import scratch_path
+    from wagelens.sources import sinks
+    paths = sinks.export_layers(silver(spark, d), scratch_path(spark, "layers"))
+    return sinks.manifest(spark, paths).select("layer", "rows")
+
+
+@register("a9_analysis_table_sink", REGISTRY["g1_coverage_by_country"][1])
+def a9(spark, d):
+    from wagelens.session import scratch_path
+    from wagelens.sources import sinks
+    df = eda.coverage_by_group(silver(spark, d), "country")
+    path = sinks.write_table(df, scratch_path(spark, "coverage"), "csv")
+    return spark.read.schema(df.schema).option("header", True).csv(path)
