@@ -98,7 +98,7 @@ def random_forest(num_trees: int = 100, max_depth: int | None = None, min_leaf:
     return RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees,
                                  maxDepth=min(max_depth or MAX_TREE_DEPTH, MAX_TREE_DEPTH),
                                  minInstancesPerNode=min_leaf, featureSubsetStrategy=strategy, seed=seed,
-                                 maxBins=64)
+                                 maxBins=64, cacheNodeIds=True, maxMemoryInMB=1024, checkpointInterval=10)
 
 
 def gradient_boosting(n_estimators: int = 100, learning_rate: float = 0.1, max_depth: int = 3,
@@ -106,7 +106,7 @@ def gradient_boosting(n_estimators: int = 100, learning_rate: float = 0.1, max_d
                       label: str = "label") -> GBTRegressor:
     return GBTRegressor(featuresCol="features", labelCol=label, maxIter=n_estimators, stepSize=learning_rate,
                         maxDepth=max_depth, minInstancesPerNode=min_leaf, subsamplingRate=subsample, seed=seed,
-                        maxBins=64)
+                        maxBins=64, cacheNodeIds=True, maxMemoryInMB=1024, checkpointInterval=10)
 
 
 def baseline_models(label: str = "label", fast: bool = False) -> dict:

@@ -10,13 +10,14 @@ skew-join split the hot partition on the row side.
 
 * conflict = more than one distinct non-null value  <=>  min(x) != max(x)
   (both ignore nulls), so no ``count(distinct)`` / Expand is needed;
-* canonical row = ``min(struct(-priority, job_id))`` over the group.
+* canonical row = min of (3 - priority, job_id) packed into one long.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wagelens.functions.columns import false_if_null, normalized_key
 from wagelens.rules import STRICT, RuleSet
@@ -42,15 +43,37 @@ def conflict_name(column: str) -> str:
     return f"duplicate_{short}_conflict"
 
 
+# Canonical-row packing: (3 - priority) in the top bits, job_id below, so
+# one min() over a long picks the highest priority, then the lowest id.
+# Holds for 0 <= job_id < 2**61 (priority is 0..3).
+_ID_BITS = 61
+
+
+def _fixed_width(c: str, dtype) -> list[Column]:
+    """Values compared through fixed-width stand-ins so the aggregate stays
+    a (partial) HashAggregate: numbers / booleans as they are, strings by a
+    pair of independent hashes (collision odds ~2**-96)."""
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return [F.when(F.col(c).isNotNull(), F.xxhash64(c)), F.when(F.col(c).isNotNull(), F.hash(c))]
+    return [F.col(c)]
+
+
 def group_facts(df: DataFrame, key: str = FP, conflict_columns=("salary_avg", "job_level", "is_remote"),
                 id_col: str = "job_id", priority: Column | None = None) -> DataFrame:
-    """E2/E3/E4 per group, one row per key (partial aggregation)."""
+    """E2/E3/E4 per group, one row per key.  Every aggregate buffer is
+    fixed-width, so Spark plans a HashAggregate with map-side partial
+    aggregation (a hot fingerprint is pre-combined in every map task)."""
     prio = canonical_priority() if priority is None else priority
+    types = {f.name: f.dataType for f in df.schema.fields}
     aggs = [F.count(F.lit(1)).alias("duplicate_group_size")]
     for c in conflict_columns:
-        aggs.append(false_if_null(F.min(c) != F.max(c)).alias(conflict_name(c)))
-    aggs.append(F.min(F.struct((-prio).alias("neg_priority"), F.col(id_col).alias("id")))
-                .getField("id").alias("_canonical_id"))
+        differs = F.lit(False)
+        for v in _fixed_width(c, types[c]):
+            differs = differs | false_if_null(F.min(v) != F.max(v))
+        aggs.append(differs.alias(conflict_name(c)))
+    packed = F.shiftleft((F.lit(3) - prio).cast("long"), _ID_BITS) + F.col(id_col).cast("long")
+    mask = (1 << _ID_BITS) - 1
+    aggs.append((F.min(packed).bitwiseAND(F.lit(mask))).alias("_canonical_id"))
     return df.groupBy(key).agg(*aggs)
 
 

@@ -26,6 +26,14 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
 _CACHE: dict = {}
 
 
+def clear_cache() -> None:
+    """Drop the session-level Bronze / Silver / split caches."""
+    for v in list(_CACHE.values()):
+        for df in (v if isinstance(v, tuple) else (v,)):
+            df.unpersist()
+    _CACHE.clear()
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         REGISTRY[name] = (fn, sql)
