@@ -24,15 +24,24 @@ def false_if_null(pred: Column) -> Column:
     return F.coalesce(pred, F.lit(False))
 
 
+# Any run of (Unicode) whitespace, as Python's ``\s`` matches it.
+WHITESPACE_RUN = r"(?U)\s+"
+# The characters ``str.strip()`` removes (for regex-free trimming).
+WHITESPACE_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004"
+                    "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
 def normalize_text(c: str | Column) -> Column:
     """Collapse every (Unicode) whitespace run to one space, trim, blank -> null."""
-    collapsed = F.trim(F.regexp_replace(col(c).cast("string"), r"(?U)\s+", " "))
-    return F.when(collapsed != "", collapsed)
+    return F.nullif(F.trim(F.regexp_replace(col(c).cast("string"), WHITESPACE_RUN, " ")), F.lit(""))
 
 
-def normalized_key(c: str | Column, lowercase: bool = True) -> Column:
-    """Whitespace-normalised text, null -> '', optionally lower-cased."""
-    text = F.coalesce(normalize_text(c), F.lit(""))
+def normalized_key(c: str | Column, lowercase: bool = True, already_normalized: bool = False) -> Column:
+    """Whitespace-normalised text, null -> '', optionally lower-cased.
+    ``already_normalized`` skips the regex for columns that went through
+    ``normalize_strings`` (normalisation is idempotent)."""
+    base = col(c) if already_normalized else F.trim(F.regexp_replace(col(c).cast("string"), WHITESPACE_RUN, " "))
+    text = F.coalesce(base, F.lit(""))
     return F.lower(text) if lowercase else text
 
 
@@ -84,9 +93,7 @@ def parse_skill_list(c: str | Column, sorted_distinct: bool = True) -> Column:
     text = F.trim(col(c).cast("string"))
     items = F.regexp_extract_all(text, F.lit(_QUOTED), 0)
     cleaned = F.transform(
-        items,
-        lambda s: F.lower(F.regexp_replace(F.substring(s, F.lit(2), F.length(s) - 2),
-                                           r"^(?U)\s+|(?U)\s+$", "")))
+        items, lambda s: F.lower(F.btrim(F.substring(s, F.lit(2), F.length(s) - 2), F.lit(WHITESPACE_CHARS))))
     cleaned = F.filter(cleaned, lambda s: F.length(s) > 0)
     if sorted_distinct:
         cleaned = F.array_sort(F.array_distinct(cleaned))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wagelens.functions.columns import (coerce_double, false_if_null, isclose,
+from wagelens.functions.columns import (WHITESPACE_RUN, coerce_double, false_if_null, isclose,
                                         normalize_text, right_closed_bucket)
 from wagelens.rules import COUNTRY_FX, MAX_ANNUAL_SALARY_USD, SENIOR_LEVELS, STRICT, RuleSet
 
@@ -24,9 +24,17 @@ def string_columns(df: DataFrame) -> list[str]:
 
 
 def normalize_strings(df: DataFrame, columns=None) -> DataFrame:
-    """Whitespace normalisation over every string column, blank -> null."""
+    """Whitespace normalisation over every string column, blank -> null.
+
+    Two projections: the regex result is a column of the first, and the
+    blank -> null test of the second references it twice; Catalyst keeps
+    the projections apart (it does not collapse a non-cheap expression
+    referenced twice), so each value goes through the regex once."""
     columns = set(string_columns(df) if columns is None else columns)
-    return df.select(*[normalize_text(c).alias(c) if c in columns else F.col(c) for c in df.columns])
+    collapsed = df.select(*[F.trim(F.regexp_replace(F.col(c), WHITESPACE_RUN, " ")).alias(c)
+                            if c in columns else F.col(c) for c in df.columns])
+    return collapsed.select(*[F.when(F.col(c) != "", F.col(c)).alias(c) if c in columns else F.col(c)
+                              for c in df.columns])
 
 
 def _lookup(mapping: dict, key: Column) -> Column:

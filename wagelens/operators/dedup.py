@@ -15,6 +15,7 @@ skew-join split the hot partition on the row side.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,9 +26,9 @@ from wagelens.rules import STRICT, RuleSet
 FP = "posting_fingerprint"
 
 
-def fingerprint(columns, lowercase: bool = True) -> Column:
+def fingerprint(columns, lowercase: bool = True, already_normalized: bool = False) -> Column:
     """SHA-1 hex of the pipe-joined normalised key columns."""
-    return F.sha1(F.concat_ws("|", *[normalized_key(c, lowercase) for c in columns]))
+    return F.sha1(F.concat_ws("|", *[normalized_key(c, lowercase, already_normalized) for c in columns]))
 
 
 def canonical_priority(salary_avg="salary_avg", salary_min="salary_min",
@@ -77,9 +78,17 @@ def group_facts(df: DataFrame, key: str = FP, conflict_columns=("salary_avg", "j
     return df.groupBy(key).agg(*aggs)
 
 
-def duplicate_audit(df: DataFrame, rules: RuleSet = STRICT, id_col: str = "job_id") -> DataFrame:
-    """Fingerprint, group size, conflict flags, canonical action."""
-    with_fp = df.withColumn(FP, fingerprint(rules.dedup_columns, rules.dedup_lowercase))
+def duplicate_audit(df: DataFrame, rules: RuleSet = STRICT, id_col: str = "job_id",
+                    already_normalized: bool = False, reuse_input: bool = True) -> DataFrame:
+    """Fingerprint, group size, conflict flags, canonical action.
+
+    The fingerprinted rows feed two branches (the narrow group aggregate
+    and the join back).  With ``reuse_input`` they are persisted once, so
+    the text normalisation and SHA-1 run once per row and the source is
+    scanned once; a lost cached block is recomputed from lineage."""
+    with_fp = df.withColumn(FP, fingerprint(rules.dedup_columns, rules.dedup_lowercase, already_normalized))
+    if reuse_input:
+        with_fp = with_fp.persist(StorageLevel.MEMORY_AND_DISK)
     facts = group_facts(with_fp, FP, rules.conflict_columns, id_col)
     conflict_cols = [conflict_name(c) for c in rules.conflict_columns]
     any_conflict = F.lit(False)

@@ -19,7 +19,7 @@ from wagelens.rules import REVIEW_STATUSES, STRICT, RuleSet
 
 def build_silver(bronze: DataFrame, rules: RuleSet = STRICT) -> DataFrame:
     df = clean.normalize_strings(bronze)
-    df = dedup.duplicate_audit(df, rules)
+    df = dedup.duplicate_audit(df, rules, already_normalized=True)
     df = clean.add_currency(df)
     df = clean.add_usd(df)
     if rules.bounds_rule == "null_out":
@@ -30,7 +30,7 @@ def build_silver(bronze: DataFrame, rules: RuleSet = STRICT) -> DataFrame:
     df = clean.experience_features(df, rules)
     df = clean.seniority(df)
     df = skills.skill_features(df, rules)
-    df = df.withColumn("job_title_text", normalized_key("job_title"))
+    df = df.withColumn("job_title_text", normalized_key("job_title", already_normalized=True))
     df = clean.log_target(df)
     return df
 
