@@ -177,21 +177,18 @@ def permutation_importance(model, holdout: DataFrame, features: list[str], label
     tr_fn = inverse or (lambda c: c)
     base = holdout.persist(StorageLevel.MEMORY_AND_DISK)
     base_mae = model.transform(base).agg(F.avg(F.abs(tr_fn(F.col(label)) - tr_fn(F.col(prediction))))).first()[0]
-    ids = base.select(key)
-    copies = []
-    for f in features:
-        for r in range(repeats):
-            copies.append(ids.select(key, F.lit(f).alias("_feature"), F.lit(r).alias("_repeat")))
-    grid = copies[0]
-    for c in copies[1:]:
-        grid = grid.unionByName(c)
-    by_key = rank_within(grid, ["_feature", "_repeat"], [F.col(key)], "_r1", checkpoint=False)
+    ids = base.select(key).withColumn("_all", F.lit(0))
+    # Rank by key once (shared by every copy); rank under the seeded hash
+    # once per (feature, repeat) copy.
+    by_key = rank_within(ids, ["_all"], [F.col(key)], "_r1").drop("_all")
+    combos = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.lit(r).alias("r"))
+                                 for f in features for r in range(repeats)])).alias("_c")
+    grid = ids.select(key, combos).select(key, F.col("_c.f").alias("_feature"), F.col("_c.r").alias("_repeat"))
     shuffled = rank_within(grid, ["_feature", "_repeat"],
                            [F.md5(F.concat_ws("#", F.col(key).cast("string"), F.col("_repeat").cast("string"),
-                                              F.col("_feature"), F.lit(str(seed)))), F.col(key)], "_r2",
-                           checkpoint=False)
+                                              F.col("_feature"), F.lit(str(seed)))), F.col(key)], "_r2")
     donor = shuffled.select(F.col(key).alias("_donor"), "_feature", "_repeat", F.col("_r2").alias("_r1"))
-    pairs = by_key.join(donor, ["_feature", "_repeat", "_r1"]).select(key, "_feature", "_repeat", "_donor")
+    pairs = donor.join(by_key, "_r1").select(key, "_feature", "_repeat", "_donor")
     donor_vals = base.select(F.col(key).alias("_donor"), *[F.col(f).alias(f"_d_{f}") for f in features])
     joined = pairs.join(base, key).join(donor_vals, "_donor")
     for f in features:

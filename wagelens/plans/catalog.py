@@ -1560,3 +1560,49 @@ def a9(spark, d):
     df = eda.coverage_by_group(silver(spark, d), "country")
     path = sinks.write_table(df, scratch_path(spark, "coverage"), "csv")
     return spark.read.schema(df.schema).option("header", True).csv(path)
+
+
+# ----------------------------------------------------------- other rule presets
+@register("c12_status_counts_phase1", with_silver("""
+, ph AS (
+  SELECT *, salary_avg_usd IS NOT NULL AS ht,
+         salary_avg_usd IS NOT NULL AND (salary_min IS NULL OR salary_max IS NULL OR coalesce(salary_min <= 0, false)
+           OR coalesce(salary_max <= 0, false) OR coalesce(salary_min > salary_max, false)) AS inv
+  FROM s4),
+ph2 AS (SELECT *, ht AND NOT inv AND NOT coalesce(salary_avg_usd BETWEEN 10000 AND 500000, false) AS unit FROM ph)
+SELECT CASE WHEN ht AND NOT inv AND NOT unit THEN 'model_ready' WHEN unit THEN 'unit_review'
+            WHEN inv THEN 'invalid_bounds' ELSE 'unlabeled' END AS salary_quality_status, count(*) AS rows
+FROM ph2 GROUP BY 1"""))
+def c12p(spark, d):
+    s = silver(spark, d, PHASE1)
+    return s.groupBy("salary_quality_status").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("c12_status_counts_capstone")
+def c12cap(spark, d):
+    s = silver(spark, d, CAPSTONE)
+    return s.groupBy("salary_quality_status").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("c12_status_counts_beginner")
+def c12b(spark, d):
+    s = silver(spark, d, BEGINNER)
+    return s.groupBy("salary_quality_status").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("e3_conflict_groups_phase1", with_postings("""
+, n AS (SELECT job_id, salary_avg, job_level, is_remote,
+               sha1(concat_ws('|', lower(coalesce(nullif(trim(regexp_replace(job_title, '\\s+', ' ', 'g')), ''), '')),
+                                   lower(coalesce(nullif(trim(regexp_replace(company, '\\s+', ' ', 'g')), ''), '')),
+                                   lower(coalesce(nullif(trim(regexp_replace(location, '\\s+', ' ', 'g')), ''), '')),
+                                   lower(coalesce(nullif(trim(regexp_replace(description, '\\s+', ' ', 'g')), ''), ''))))
+                 AS posting_fingerprint FROM postings)
+SELECT count(*) AS groups, count(*) FILTER (WHERE c) AS conflicting_groups, CAST(sum(n) AS BIGINT) AS rows_in_groups
+FROM (SELECT posting_fingerprint, count(*) AS n,
+             count(DISTINCT salary_avg) > 1 OR count(DISTINCT job_level) > 1 OR count(DISTINCT is_remote) > 1 AS c
+      FROM n GROUP BY 1 HAVING count(*) > 1) g"""))
+def e3p(spark, d):
+    s = silver(spark, d, PHASE1).where(F.col("duplicate_group_size") > 1)
+    g = s.groupBy("posting_fingerprint").agg(F.count(F.lit(1)).alias("n"), F.max("duplicate_conflict").alias("c"))
+    return g.agg(F.count(F.lit(1)).alias("groups"), F.count(F.when(F.col("c"), 1)).alias("conflicting_groups"),
+                 F.sum("n").cast("bigint").alias("rows_in_groups"))
