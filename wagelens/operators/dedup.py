@@ -109,7 +109,7 @@ def repeated_members(df: DataFrame, key_columns, lowercase: bool = False) -> Dat
     (``duplicated(subset, keep=False)``), with the group size."""
     with_fp = df.withColumn(FP, fingerprint(key_columns, lowercase))
     sizes = with_fp.groupBy(FP).agg(F.count(F.lit(1)).alias("group_rows")).where("group_rows > 1")
-    return with_fp.join(sizes, FP, "left_semi").join(sizes, FP, "inner")
+    return with_fp.join(sizes, FP, "inner")
 
 
 def repeat_group_summary(silver: DataFrame) -> DataFrame:

@@ -914,7 +914,7 @@ def g17(spark, d):
 def g18(spark, d):
     from wagelens.operators import stats
     return stats.bootstrap_mean_ci(training(spark, d), ["country", "job_level"], "salary_avg_usd", "job_id",
-                                   replicates=200)
+                                   replicates=1000)
 
 
 @register("g19_iqr_outliers_lineitem", """
