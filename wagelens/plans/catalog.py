@@ -1606,3 +1606,25 @@ def e3p(spark, d):
     g = s.groupBy("posting_fingerprint").agg(F.count(F.lit(1)).alias("n"), F.max("duplicate_conflict").alias("c"))
     return g.agg(F.count(F.lit(1)).alias("groups"), F.count(F.when(F.col("c"), 1)).alias("conflicting_groups"),
                  F.sum("n").cast("bigint").alias("rows_in_groups"))
+
+
+@register("h1_feature_sets", with_silver(" UNION ALL ".join(
+    f"SELECT '{name}' AS Feature_Set, '{'|'.join(cols)}' AS columns, CAST({len(cols)} AS INTEGER) AS n_columns, "
+    f"count(*) FILTER (WHERE {' AND '.join(c + ' IS NOT NULL' for c in cols)}) AS complete_rows FROM training"
+    for name, cols in [(n, s.columns) for n, s in __import__('wagelens.ml.features', fromlist=['x'])
+                       .FEATURE_SPECS.items()])))
+def h1(spark, d):
+    from wagelens.ml.features import FEATURE_SPECS
+    t = training(spark, d)
+    aggs = []
+    for i, (name, spec) in enumerate(FEATURE_SPECS.items()):
+        spec.check_no_leakage()
+        complete = F.lit(True)
+        for c in spec.columns:
+            complete = complete & F.col(c).isNotNull()
+        aggs.append(F.count(F.when(complete, 1)).alias(f"c{i}"))
+    row = t.agg(*aggs)
+    return row.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("Feature_Set"), F.lit("|".join(spec.columns)).alias("columns"),
+                 F.lit(len(spec.columns)).alias("n_columns"), F.col(f"c{i}").alias("complete_rows"))
+        for i, (name, spec) in enumerate(FEATURE_SPECS.items())])))
