@@ -1,7 +1,7 @@
 """Contracts (A2-A6, A12) and profiling.
 
 Every check is an aggregate (one scan, partial aggregation) whose small
-result is unpivoted with ``stack``; nothing is iterated on the driver.
+result is unpivoted with ``inline``; nothing is iterated on the driver.
 """
 
 from __future__ import annotations
@@ -13,16 +13,6 @@ from pyspark.sql import types as T
 from wagelens.functions.columns import false_if_null
 
 
-def _stack(names_and_cols: list[tuple[str, Column]], key: str = "metric", value: str = "value",
-           value_type: str = "bigint") -> list[Column]:
-    """Build ``stack(n, name1, v1, ...)`` over already-aggregated columns."""
-    args = []
-    for name, c in names_and_cols:
-        args += [F.lit(name), c.cast(value_type)]
-    return [F.inline(F.array(*[F.struct(F.lit(n).alias(key), c.cast(value_type).alias(value))
-                               for n, c in names_and_cols]))]
-
-
 def unpivot_row(agg_row: DataFrame, names: list[str], key: str = "metric", value: str = "value",
                 value_type: str = "bigint") -> DataFrame:
     """One-row aggregate -> (key, value) rows."""
@@ -32,13 +22,17 @@ def unpivot_row(agg_row: DataFrame, names: list[str], key: str = "metric", value
 
 # --------------------------------------------------------------------- A
 def schema_check(df: DataFrame, expected: list[str]) -> DataFrame:
-    """A2: expected column -> present?, Spark type (small, from metadata)."""
-    spark = df.sparkSession
+    """A2: expected vs present columns with Spark type and populated rows
+    (types from the schema, counts from one aggregate)."""
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    rows = [(c, c in types, types.get(c)) for c in expected]
-    rows += [(c, True, t) for c, t in types.items() if c not in expected]
-    return spark.createDataFrame(rows, "column string, present boolean, dtype string") \
-        .withColumn("expected", F.col("column").isin(*expected))
+    present = [c for c in df.columns]
+    agg = df.agg(*[F.count(c).alias(c) for c in present])
+    entries = [F.struct(F.lit(c).alias("column"), F.lit(c in types).alias("present"),
+                        F.lit(types.get(c)).cast("string").alias("dtype"),
+                        (F.col(c) if c in types else F.lit(None)).cast("bigint").alias("non_null_rows"),
+                        F.lit(c in expected).alias("expected"))
+               for c in list(expected) + [c for c in present if c not in expected]]
+    return agg.select(F.inline(F.array(*entries)))
 
 
 def key_contract(df: DataFrame, key: str) -> DataFrame:

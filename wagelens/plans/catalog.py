@@ -108,7 +108,7 @@ def a4l(spark, d):
 
 
 @register("a5_row_rules", with_postings("""
-SELECT rule, violations FROM (
+SELECT rule, CAST(violations AS BIGINT) AS violations FROM (
   SELECT 'salary_min_positive' AS rule, sum(CASE WHEN salary_min IS NULL OR salary_min > 0 THEN 0 ELSE 1 END) AS violations FROM postings
   UNION ALL SELECT 'salary_max_positive', sum(CASE WHEN salary_max IS NULL OR salary_max > 0 THEN 0 ELSE 1 END) FROM postings
   UNION ALL SELECT 'salary_avg_positive', sum(CASE WHEN salary_avg IS NULL OR salary_avg > 0 THEN 0 ELSE 1 END) FROM postings
@@ -221,7 +221,8 @@ def b5(spark, d):
 
 
 @register("b6_category_order_keyword", with_silver("""
-SELECT search_keyword, count(*) AS count, row_number() OVER (ORDER BY count(*) DESC, search_keyword) AS rank
+SELECT search_keyword, count(*) AS count,
+       CAST(row_number() OVER (ORDER BY count(*) DESC, search_keyword) AS INTEGER) AS rank
 FROM training GROUP BY search_keyword"""))
 def b6(spark, d):
     return profile.category_order(training(spark, d), "search_keyword")
