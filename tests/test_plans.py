@@ -33,6 +33,7 @@ def test_filter_reaches_parquet_scan(spark):
 
 
 def test_silver_has_one_shuffle_for_dedup(spark):
+    spark.catalog.clearCache()      # an identical cached Silver would hide the plan
     s = build_silver(postings(spark, SMOKE), STRICT)
     plan = s._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate [posting_fingerprint") == 1
