@@ -109,6 +109,14 @@ def sum_columns(names: Iterable[str]) -> Column:
     return total
 
 
+def attach_scalars(df, scalars):
+    """Attach the columns of a global (un-grouped) aggregate to every row.
+    A global aggregate has exactly one row, so this broadcast join emits no
+    pairs: it costs one tiny broadcast and no shuffle of ``df``."""
+    from pyspark.sql import functions as F2
+    return df.crossJoin(F2.broadcast(scalars))
+
+
 def g1_skew_correction(n: Column) -> Column:
     """Factor turning population skewness g1 into the bias-corrected G1."""
     return F.sqrt(n * (n - 1)) / (n - 2)

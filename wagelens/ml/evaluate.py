@@ -14,6 +14,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wagelens.functions.columns import attach_scalars
+
 from wagelens.operators.splits import rank_within
 from wagelens.rules import INDUSTRY_MAE_USD, LEGACY_MAE_USD
 
@@ -55,7 +57,7 @@ def group_mean_cv(dev: DataFrame, groups: list[str], label: str, fold: str = "fo
              .join(per.withColumnRenamed(fold, "_k"), [*groups, "_k"], "left")
              .select(*groups, "_k", F.try_divide(F.col("_gsum") - F.coalesce("_s", F.lit(0)),
                                                  F.col("_gcnt") - F.coalesce("_n", F.lit(0))).alias("_gm")))
-    fallback = (glob.withColumnRenamed(fold, "_k").crossJoin(F.broadcast(tot))
+    fallback = (attach_scalars(glob.withColumnRenamed(fold, "_k"), tot)
                 .select("_k", F.try_divide(F.col("_ts") - F.col("_gs"), F.col("_tn") - F.col("_gn")).alias("_fm")))
     rows = (dev.select(key, *groups, fold, label, folds)
             .join(means, [*groups, "_k"], "left").join(F.broadcast(fallback), "_k", "left")
@@ -65,8 +67,8 @@ def group_mean_cv(dev: DataFrame, groups: list[str], label: str, fold: str = "fo
     val = per_fold.where("_role = 'val'")
     train = per_fold.where("_role = 'train'")
     summary = val.agg(F.avg("MAE").alias("CV_MAE"), F.stddev_pop("MAE").alias("CV_MAE_SD"),
-                      F.avg("RMSE").alias("CV_RMSE"), F.avg("R2").alias("CV_R2")) \
-        .crossJoin(train.agg(F.avg("MAE").alias("Train_MAE")))
+                      F.avg("RMSE").alias("CV_RMSE"), F.avg("R2").alias("CV_R2"))
+    summary = attach_scalars(summary, train.agg(F.avg("MAE").alias("Train_MAE")))
     oof = rows.where("_role = 'val'").select(key, fold, "prediction")
     return summary, oof
 
@@ -162,7 +164,7 @@ def scoring_contract(scoring: DataFrame, scored: DataFrame, prediction: str) ->
     a = scoring.agg(F.count(F.lit(1)).alias("input_rows"))
     b = scored.agg(F.count(F.lit(1)).alias("scored_rows"),
                    F.count(F.when(p.isNull() | F.isnan(p) | (F.abs(p) == float("inf")), 1)).alias("non_finite"))
-    return a.crossJoin(b).withColumn("contract_ok", (F.col("input_rows") == F.col("scored_rows"))
+    return attach_scalars(a, b).withColumn("contract_ok", (F.col("input_rows") == F.col("scored_rows"))
                                      & (F.col("non_finite") == 0))
 
 

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from wagelens.rules import RANDOM_STATE
 
 MAX_TREE_DEPTH = 30
+MAX_GROUPS = 100_000   # fitted means travel inside the plan as a map literal
 
 
 class _GroupMeanParams(Params):
@@ -73,7 +74,10 @@ class GroupMeanRegressor(Estimator, _GroupMeanParams, DefaultParamsReadable, Def
         y = self.getOrDefault(self.labelCol)
         cols = self.getOrDefault(self.groupCols)
         rows = (df.where(F.col(y).isNotNull()).groupBy(group_key(cols).alias("k"))
-                .agg(F.avg(y).alias("m")).collect())
+                .agg(F.avg(y).alias("m")).limit(MAX_GROUPS + 1).collect())
+        if len(rows) > MAX_GROUPS:
+            raise ValueError(f"more than {MAX_GROUPS} groups for {cols}: the group-mean baseline "
+                             "is for low-cardinality keys")
         glob = df.agg(F.avg(y)).first()[0]
         st = {"means": {r["k"]: r["m"] for r in rows}, "global": float(glob) if glob is not None else None}
         return GroupMeanModel(groupCols=cols, labelCol=y, predictionCol=self.getOrDefault(self.predictionCol),

@@ -22,6 +22,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wagelens.functions.columns import attach_scalars
+
 from wagelens.ml import models
 from wagelens.ml.evaluate import metric_aggs
 from wagelens.ml.features import FEATURE_SPECS, FeatureSpec, preprocessor
@@ -195,10 +197,10 @@ def overfit_depth(results: DataFrame, tolerance: float = 1.02) -> DataFrame:
     exceeds tolerance x best (null -> not detected)."""
     best = results.orderBy("Validation_MAE", "max_depth").limit(1) \
         .select(F.col("max_depth").alias("best_depth"), F.col("Validation_MAE").alias("best_mae"))
-    cand = results.crossJoin(best).where((F.col("max_depth") > F.col("best_depth"))
+    cand = attach_scalars(results, best).where((F.col("max_depth") > F.col("best_depth"))
                                          & (F.col("Validation_MAE") > F.col("best_mae") * tolerance))
     first = cand.agg(F.min("max_depth").alias("overfit_depth"))
-    return best.crossJoin(first)
+    return attach_scalars(best, first)
 
 
 def tuning_gain(baseline: DataFrame, tuned_best_mae: float, model: str) -> DataFrame:

@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wagelens.functions.columns import false_if_null, g1_skew_correction
+from wagelens.functions.columns import attach_scalars, false_if_null, g1_skew_correction
 
 
 def quantile(c: str | Column, q, exact: bool = True, accuracy: int = 1_000_000) -> Column:
@@ -108,7 +108,7 @@ def histogram(df: DataFrame, value: str, bins: int = 30, groups: list[str] | Non
         joined = data.join(bounds, groups)
     else:
         bounds = data.agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"))
-        joined = data.crossJoin(F.broadcast(bounds))
+        joined = attach_scalars(data, bounds)
     width = (F.col("_hi") - F.col("_lo")) / bins
     idx = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((v - F.col("_lo")) / width), F.lit(bins - 1))).cast("int")
@@ -132,7 +132,7 @@ def kde_grid(df: DataFrame, value: str, grid_points: int = 200) -> DataFrame:
     distinct = data.groupBy(v.alias("_x")).agg(F.count(F.lit(1)).alias("_w"))
     bw = F.col("_sd") * F.pow(F.col("_n"), F.lit(-0.2))
     step = (F.col("_hi") - F.col("_lo")) / max(grid_points - 1, 1)
-    pts = (distinct.crossJoin(F.broadcast(stats))
+    pts = (attach_scalars(distinct, stats)
            .withColumn("grid", F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))))
            .withColumn("x", F.col("_lo") + F.col("grid") * step)
            .withColumn("_z", (F.col("x") - F.col("_x")) / bw)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wagelens.functions.columns import false_if_null
+from wagelens.functions.columns import attach_scalars, false_if_null
 
 
 def unpivot_row(agg_row: DataFrame, names: list[str], key: str = "metric", value: str = "value",
@@ -120,7 +120,7 @@ def value_counts(df: DataFrame, column: str, dropna: bool = False) -> DataFrame:
     base = df if not dropna else df.where(F.col(column).isNotNull())
     counts = base.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
     total = base.agg(F.count(F.lit(1)).alias("_total"))
-    return (counts.crossJoin(F.broadcast(total))
+    return (attach_scalars(counts, total)
             .withColumn("pct", F.round(100.0 * F.col("count") / F.col("_total"), 4)).drop("_total"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wagelens.functions.columns import parse_skill_list, sum_columns
+from wagelens.functions.columns import attach_scalars, parse_skill_list, sum_columns
 from wagelens.rules import ALL_SKILLS, STRICT, RuleSet, skill_column
 
 
@@ -39,7 +39,7 @@ def skill_frequency(df: DataFrame, column: str = "skills_list") -> DataFrame:
     total = df.agg(F.count(F.lit(1)).alias("total_postings"))
     per = (df.select(F.explode(F.array_distinct(F.col(column))).alias("skill"))
              .groupBy("skill").agg(F.count(F.lit(1)).alias("postings")))
-    return (per.crossJoin(F.broadcast(total))
+    return (attach_scalars(per, total)
                .withColumn("pct_postings", F.round(100.0 * F.col("postings") / F.col("total_postings"), 4))
                .drop("total_postings"))
 

@@ -75,6 +75,22 @@ def stratified_split(df: DataFrame, strata: list[str], key: str, test_size: floa
             .drop("_rank", "_stratum_n"))
 
 
+def stratified_split_folds(df: DataFrame, strata: list[str], key: str, test_size: float = TEST_SIZE,
+                           k: int = CV_FOLDS, seed: int = RANDOM_STATE) -> DataFrame:
+    """F4 + F5 from one distributed rank: the first round(n * test_size)
+    rows of each stratum (md5 order) are the holdout; the remaining rows
+    keep the same order, so their fold is (rank - n_test - 1) mod k - the
+    same assignment as re-ranking the development rows alone."""
+    ranked = rank_within(df, strata, [hash_order(key, seed), F.col(key)], "_rank")
+    sizes = stratum_sizes(df, strata)
+    n_test = F.floor(F.col("_stratum_n") * test_size + 0.5)
+    dev = F.col("_rank") > n_test
+    return (ranked.join(sizes, strata)
+            .withColumn("split", F.when(dev, "development").otherwise("test"))
+            .withColumn("fold", F.when(dev, ((F.col("_rank") - n_test - 1) % k).cast("int")))
+            .drop("_rank", "_stratum_n"))
+
+
 def stratified_folds(df: DataFrame, strata: list[str], key: str, k: int = CV_FOLDS,
                      seed: int = RANDOM_STATE, name: str = "fold") -> DataFrame:
     """fold = (rank in stratum - 1) mod k, so each stratum is spread

@@ -1014,9 +1014,9 @@ def dev_test(spark, d):
     key = (id(spark), d, "devtest")
     hit = _CACHE.get(key)
     if hit is None:
-        sp = splits.stratified_split(training(spark, d), ["country"], "job_id")
-        dev = splits.stratified_folds(sp.where("split = 'development'"), ["country"], "job_id")
-        test = sp.where("split = 'test'")
+        sp = splits.stratified_split_folds(training(spark, d), ["country"], "job_id")
+        dev = sp.where("split = 'development'")
+        test = sp.where("split = 'test'").drop("fold")
         hit = (dev.persist(StorageLevel.MEMORY_AND_DISK), test.persist(StorageLevel.MEMORY_AND_DISK))
         _CACHE[key] = hit
     return hit
@@ -1393,7 +1393,8 @@ def i9(spark, d):
     out = selection.grid_search(spark, folds, "label",
                                 lambda pt, fd: models.ridge(pt["alpha"], fd.label_sd, fd.n, "label"),
                                 {"alpha": [0.01, 0.1, 1.0, 10.0, 100.0, 1000.0]})
-    return out.persist()
+    selection.release(folds)
+    return out
 
 
 @register("i11_feature_set_ablation")
@@ -1409,7 +1410,9 @@ def i12(spark, d):
     from wagelens.ml.features import FEATURE_SPECS
     dev, _ = _label_dev(spark, d)
     folds = selection.fold_datasets(FEATURE_SPECS[_SPEC_ENG], dev, "label")
-    return selection.ridge_alpha_path(spark, folds, "label")
+    out = selection.ridge_alpha_path(spark, folds, "label")
+    selection.release(folds)
+    return out
 
 
 @register("i13_forest_depth_sweep")
@@ -1421,7 +1424,8 @@ def i13(spark, d):
     res = selection.depth_sweep(spark, FEATURE_SPECS[_SPEC_ENG], sp.where("split = 'development'"),
                                 sp.where("split = 'test'"), "label")
     res = res.persist()
-    return res.crossJoin(selection.overfit_depth(res))
+    from wagelens.functions.columns import attach_scalars
+    return attach_scalars(res, selection.overfit_depth(res))
 
 
 def _baselines():
@@ -1438,6 +1442,7 @@ def i14(spark, d):
     dev, _ = _label_dev(spark, d)
     folds = selection.fold_datasets(FEATURE_SPECS[_SPEC_ENG], dev, "label")
     out = selection.compare_baselines(spark, folds, "label", _baselines())
+    selection.release(folds)
     return out
 
 
@@ -1447,7 +1452,9 @@ def i15(spark, d):
     from wagelens.ml.features import FEATURE_SPECS
     dev, _ = _label_dev(spark, d)
     folds = selection.fold_datasets(FEATURE_SPECS[_SPEC_ENG], dev, "label")
-    return selection.tune_strongest(spark, "Linear Regression", folds, "label")
+    out = selection.tune_strongest(spark, "Linear Regression", folds, "label")
+    selection.release(folds)
+    return out
 
 
 @register("i17_tuning_gain")
@@ -1460,7 +1467,9 @@ def i17(spark, d):
                                        {"Linear Regression": lambda fd: models.linear_regression("label")})
     tuned = selection.tune_strongest(spark, "Linear Regression", folds, "label")
     best = tuned.agg(F.min("CV_MAE")).first()[0]
-    return selection.tuning_gain(base, best, "Linear Regression")
+    out = selection.tuning_gain(base, best, "Linear Regression")
+    selection.release(folds)
+    return out
 
 
 @register("i18_final_holdout_comparison")
