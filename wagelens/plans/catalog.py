@@ -74,7 +74,15 @@ R6 = lambda c: F.round(F.col(c), 6).alias(c)
 # ======================================================================= A
 
 
-@register("a2_schema_check")
+@register("a2_schema_check", with_postings(" UNION ALL ".join(
+    f"SELECT '{c}' AS column, true AS present, '{t}' AS dtype, count({c}) AS non_null_rows, true AS expected "
+    f"FROM postings" for c, t in {"job_id": "bigint", "job_title": "string", "company": "string",
+                                  "location": "string", "salary_min": "double", "salary_max": "double",
+                                  "description": "string", "country": "string", "search_keyword": "string",
+                                  "experience_required": "double", "degree_required": "string",
+                                  "skills": "string", "num_skills": "int", "job_level": "string",
+                                  "is_remote": "boolean", "salary_avg": "double",
+                                  "has_salary": "boolean"}.items())))
 def a2(spark, d):
     return profile.schema_check(bronze(spark, d), EXPECTED_COLUMNS)
 
