@@ -38,10 +38,23 @@ class FoldData:
     label_sd: float
 
 
+# Independent fits submitted concurrently (as CrossValidator's
+# ``parallelism``): Spark schedules the jobs side by side.  Kept small so
+# concurrent fits do not starve each other on a shared cluster.
+PARALLELISM = 4
+
+
+def _parallel(fn, items, parallelism: int = PARALLELISM) -> list:
+    if parallelism <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as pool:
+        return list(pool.map(fn, items))
+
+
 def fold_datasets(spec: FeatureSpec, dev: DataFrame, label: str, fold: str = "fold", k: int = 5,
-                  **pre_kw) -> list[FoldData]:
-    out = []
-    for i in range(k):
+                  parallelism: int = PARALLELISM, **pre_kw) -> list[FoldData]:
+    def one(i: int) -> FoldData:
         tr = dev.where(F.col(fold) != i)
         va = dev.where(F.col(fold) == i)
         pre = preprocessor(spec, **pre_kw).fit(tr)
@@ -49,8 +62,8 @@ def fold_datasets(spec: FeatureSpec, dev: DataFrame, label: str, fold: str = "fo
         t = pre.transform(tr).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
         v = pre.transform(va).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
         st = t.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("sd")).first()
-        out.append(FoldData(t, v, int(st["n"]), float(st["sd"] or 0.0)))
-    return out
+        return FoldData(t, v, int(st["n"]), float(st["sd"] or 0.0))
+    return _parallel(one, list(range(k)), parallelism)
 
 
 def release(folds: list[FoldData]) -> None:
@@ -70,11 +83,11 @@ def _score(model, df: DataFrame, label: str, inverse) -> tuple[float, float, flo
 def cv_folds(make_model, folds: list[FoldData], label: str, inverse=None) -> dict:
     """I7 over prepared folds; ``make_model(fold_data)`` builds the MLlib
     estimator (it may depend on the fold's n / label SD, e.g. ridge)."""
-    val, train = [], []
-    for fd in folds:
+    def one(fd: FoldData):
         m = make_model(fd).fit(fd.train)
-        val.append(_score(m, fd.valid, label, inverse))
-        train.append(_score(m, fd.train, label, inverse)[0])
+        return _score(m, fd.valid, label, inverse), _score(m, fd.train, label, inverse)[0]
+    res = _parallel(one, folds)
+    val, train = [r[0] for r in res], [r[1] for r in res]
     a = np.array(val)
     return {"CV_MAE": float(a[:, 0].mean()), "CV_MAE_SD": float(a[:, 0].std()),
             "CV_RMSE": float(a[:, 1].mean()), "CV_R2": float(a[:, 2].mean()), "Train_MAE": float(np.mean(train))}
@@ -126,7 +139,7 @@ def grid_search(spark: SparkSession, folds: list[FoldData], label: str, make_mod
     val = np.zeros((len(folds), len(pts)))
     trn = np.zeros((len(folds), len(pts)))
     for f, fd in enumerate(folds):
-        fitted = [make_model(pt, fd).fit(fd.train) for pt in pts]
+        fitted = _parallel(lambda pt: make_model(pt, fd).fit(fd.train), pts)
         val[f] = _score_many(fitted, fd.valid, label, inverse)
         trn[f] = _score_many(fitted, fd.train, label, inverse)
     rows = [(str(sorted(pt.items())), float(val[:, j].mean()), float(val[:, j].std()), float(trn[:, j].mean()))
