@@ -111,10 +111,12 @@ def sum_columns(names: Iterable[str]) -> Column:
 
 def attach_scalars(df, scalars):
     """Attach the columns of a global (un-grouped) aggregate to every row.
-    A global aggregate has exactly one row, so this broadcast join emits no
-    pairs: it costs one tiny broadcast and no shuffle of ``df``."""
-    from pyspark.sql import functions as F2
-    return df.crossJoin(F2.broadcast(scalars))
+
+    Each column becomes a scalar subquery: Spark runs the one-row aggregate
+    once (merging the subqueries of one aggregate into a single job), then
+    reads it as a constant inside the projection.  No join of ``df`` at all,
+    so no shuffle, no broadcast exchange and no nested-loop join."""
+    return df.select("*", *[scalars.select(c).scalar().alias(c) for c in scalars.columns])
 
 
 def g1_skew_correction(n: Column) -> Column:

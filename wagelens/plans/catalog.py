@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from wagelens.operators import clean, dedup, eda, profile, skills as skl, splits
 from wagelens.plans import silver as silver_plan
-from wagelens.plans.oracle import with_postings, with_silver
+from wagelens.plans.oracle import null_out_status_counts, with_postings, with_silver
 from wagelens.rules import (ALL_SKILLS, BEGINNER, CAPSTONE, EXPECTED_COLUMNS, EXPECTED_COUNTRIES,
                             EXPECTED_LEVELS, PHASE1, STRICT, skill_column)
 from wagelens.sources.postings import postings, table
@@ -1596,13 +1596,13 @@ def c12p(spark, d):
     return s.groupBy("salary_quality_status").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@register("c12_status_counts_capstone")
+@register("c12_status_counts_capstone", null_out_status_counts(True, False))
 def c12cap(spark, d):
     s = silver(spark, d, CAPSTONE)
     return s.groupBy("salary_quality_status").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@register("c12_status_counts_beginner")
+@register("c12_status_counts_beginner", null_out_status_counts(True, True))
 def c12b(spark, d):
     s = silver(spark, d, BEGINNER)
     return s.groupBy("salary_quality_status").agg(F.count(F.lit(1)).alias("rows"))
