@@ -37,3 +37,20 @@ def test_silver_has_one_shuffle_for_dedup(spark):
     s = build_silver(postings(spark, SMOKE), STRICT)
     plan = s._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate [posting_fingerprint") == 1
+
+
+def test_global_aggregate_is_attached_without_a_join(spark):
+    from wagelens.functions.columns import attach_scalars
+    li = table(spark, SMOKE, "lineitem").select("l_quantity")
+    bounds = li.agg(F.min("l_quantity").alias("lo"), F.max("l_quantity").alias("hi"))
+    out = attach_scalars(li, bounds)
+    plan = _plan(out)
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan and "Join" not in plan
+    row = out.agg(F.min("lo"), F.max("hi"), F.count("*")).first()
+    ref = li.agg(F.min("l_quantity"), F.max("l_quantity"), F.count("*")).first()
+    assert tuple(row) == tuple(ref)
+
+
+def test_kde_has_no_cartesian_product(spark):
+    plan = _plan(eda.kde_grid(table(spark, SMOKE, "lineitem"), "l_extendedprice", 20))
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan

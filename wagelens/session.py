@@ -73,3 +73,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique sub-folder of the shared checkpoint folder for table sinks."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Give a CPU-heavy narrow stage at least the cluster's parallelism.
+
+    A source that arrives as a few large splits (one Parquet row group per
+    file) runs all of its per-row work (regexes, hashing) in that many
+    tasks.  When the scan has fewer partitions than the default
+    parallelism, hash-partition it on ``key`` (deterministic on retry);
+    otherwise - the normal case for a large table - return it unchanged.
+    The check reads the planned partition count only, it runs no job."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)

@@ -139,8 +139,11 @@ def postings_from_orders(orders: DataFrame) -> DataFrame:
 
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The Bronze postings table for a scale-factor folder."""
-    return postings_from_orders(table(spark, sf_dir, "orders").select("o_orderkey"))
+    """The Bronze postings table for a scale-factor folder.  Only the order
+    key is read; an under-split scan is spread over the cluster before the
+    per-row string generation (see ``session.spread``)."""
+    from wagelens.session import spread
+    return postings_from_orders(spread(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey"))
 
 
 def read_postings_csv(spark: SparkSession, path: str) -> DataFrame:
