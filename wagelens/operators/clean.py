@@ -55,18 +55,17 @@ def add_currency(df: DataFrame, country: str = "country", fx_rows=COUNTRY_FX) ->
     """Currency and local-units-per-USD by country (null when unmapped;
     ``fx_coverage_violations`` reports those)."""
     currency, rate, _ = fx_maps(fx_rows)
-    return (df.withColumn("currency", _lookup(currency, F.col(country)))
-              .withColumn("lcu_per_usd", _lookup(rate, F.col(country))))
+    return df.withColumns({"currency": _lookup(currency, F.col(country)),
+                           "lcu_per_usd": _lookup(rate, F.col(country))})
 
 
 def add_usd(df: DataFrame, columns=SALARY_COLUMNS, rate: str = "lcu_per_usd") -> DataFrame:
     """C3 + C6: numeric coercion, local copies preserved, USD = local / rate."""
-    out = df
+    cols = {}
     for c in columns:
-        out = (out.withColumn(c, coerce_double(c))
-                  .withColumn(f"{c}_local", F.col(c))
-                  .withColumn(f"{c}_usd", F.col(c) / F.col(rate)))
-    return out
+        x = coerce_double(c)
+        cols.update({c: x, f"{c}_local": x, f"{c}_usd": x / F.col(rate)})
+    return df.withColumns(cols)
 
 
 def salary_flags(df: DataFrame, rules: RuleSet = STRICT, fx_rows=COUNTRY_FX) -> DataFrame:
@@ -98,13 +97,14 @@ def salary_flags(df: DataFrame, rules: RuleSet = STRICT, fx_rows=COUNTRY_FX) ->
     if rules.unit_cap_usd is not None:
         out_of_range = out_of_range | false_if_null(avg_usd > F.lit(rules.unit_cap_usd))
     unit = has_target & ~invalid & out_of_range
-    return (df.withColumn("salary_has_target", has_target)
-              .withColumn("salary_invalid_bounds", invalid)
-              .withColumn("salary_midpoint_usd", mid_usd)
-              .withColumn("salary_midpoint_mismatch", mismatch)
-              .withColumn("salary_range_local", smax - smin)
-              .withColumn("salary_range_usd", F.col("salary_max_usd") - F.col("salary_min_usd"))
-              .withColumn("salary_unit_review", unit))
+    return df.withColumns({
+        "salary_has_target": has_target,
+        "salary_invalid_bounds": invalid,
+        "salary_midpoint_usd": mid_usd,
+        "salary_midpoint_mismatch": mismatch,
+        "salary_range_local": smax - smin,
+        "salary_range_usd": F.col("salary_max_usd") - F.col("salary_min_usd"),
+        "salary_unit_review": unit})
 
 
 def quality_status(df: DataFrame, rules: RuleSet = STRICT) -> DataFrame:
@@ -142,11 +142,11 @@ def salary_issue_flags(df: DataFrame) -> DataFrame:
     bad_order = complete & ~false_if_null((F.col("salary_min") <= F.col("salary_avg"))
                                           & (F.col("salary_avg") <= F.col("salary_max")))
     wrong_flag = F.col("has_salary") != F.col("salary_avg").isNotNull()
-    return (df.withColumn("non_positive_salary", non_positive)
-              .withColumn("invalid_salary_order", bad_order)
-              .withColumn("incorrect_salary_flag", false_if_null(wrong_flag))
-              .withColumn("salary_issue", F.col("non_positive_salary") | F.col("invalid_salary_order")
-                          | F.col("incorrect_salary_flag")))
+    wrong_flag = false_if_null(wrong_flag)
+    return df.withColumns({"non_positive_salary": non_positive,
+                           "invalid_salary_order": bad_order,
+                           "incorrect_salary_flag": wrong_flag,
+                           "salary_issue": non_positive | bad_order | wrong_flag})
 
 
 def repair_salary(df: DataFrame) -> DataFrame:
@@ -154,9 +154,7 @@ def repair_salary(df: DataFrame) -> DataFrame:
     non-positive or disordered salary, then recompute ``has_salary``."""
     flagged = df if "non_positive_salary" in df.columns else salary_issue_flags(df)
     bad = F.col("non_positive_salary") | F.col("invalid_salary_order")
-    out = flagged
-    for c in SALARY_COLUMNS:
-        out = out.withColumn(c, F.when(~bad, F.col(c)))
+    out = flagged.withColumns({c: F.when(~bad, F.col(c)) for c in SALARY_COLUMNS})
     return out.withColumn("has_salary", false_if_null(F.col("salary_avg") > 0))
 
 
@@ -165,17 +163,18 @@ def experience_features(df: DataFrame, rules: RuleSet = STRICT, column: str = "e
     x = coerce_double(column)
     valid = x.between(rules.experience_min, rules.experience_max)
     clean = F.when(valid, x)
-    return (df.withColumn("experience_invalid", x.isNotNull() & ~false_if_null(valid))
-              .withColumn("experience_required_clean", clean)
-              .withColumn("experience_missing", clean.isNull().cast("int"))
-              .withColumn("experience_tier", right_closed_bucket(clean, rules.tier)))
+    return df.withColumns({
+        "experience_invalid": x.isNotNull() & ~false_if_null(valid),
+        "experience_required_clean": clean,
+        "experience_missing": clean.isNull().cast("int"),
+        "experience_tier": right_closed_bucket(clean, rules.tier)})
 
 
 def seniority(df: DataFrame, level: str = "job_level") -> DataFrame:
     """is_senior flag and salary segment label."""
     senior = false_if_null(F.col(level).isin(*SENIOR_LEVELS)).cast("int")
-    return (df.withColumn("is_senior", senior)
-              .withColumn("salary_segment", F.when(senior == 1, "Premium").otherwise("Standard")))
+    return df.withColumns({"is_senior": senior,
+                           "salary_segment": F.when(senior == 1, "Premium").otherwise("Standard")})
 
 
 def log_target(df: DataFrame, column: str = "salary_avg_usd", out: str = "log_salary_avg_usd",

@@ -13,18 +13,21 @@ def skill_features(df: DataFrame, rules: RuleSet = STRICT, source: str = "skills
                    declared: str = "num_skills") -> DataFrame:
     """Parsed list, extracted flag, multi-hot flags, parsed
     count, mismatch with the declared count, pipe-joined form."""
-    out = (df.withColumn("skills_list", parse_skill_list(source, rules.skills_sorted_distinct))
-             .withColumn("skills_extracted", (F.size("skills_list") > 0).cast("int")))
+    # One projection per dependency level (a withColumn per flag would
+    # re-analyse the growing plan once per skill).
+    out = df.withColumn("skills_list", parse_skill_list(source, rules.skills_sorted_distinct))
     names = [skill_column(s) for s in rules.skills]
+    flags = {"skills_extracted": (F.size("skills_list") > 0).cast("int")}
     for skill, name in zip(rules.skills, names):
         if rules.skill_match == "substring":
             flag = F.coalesce(F.lower(F.col(source)).contains(skill), F.lit(False))
         else:
             flag = F.array_contains("skills_list", skill)
-        out = out.withColumn(name, flag.cast("int"))
-    out = out.withColumn("parsed_skill_count", sum_columns(names).cast("int"))
-    out = out.withColumn("num_skills_mismatch", ~F.col(declared).eqNullSafe(F.col("parsed_skill_count")))
-    return out.withColumn("skills_clean", F.array_join("skills_list", "|"))
+        flags[name] = flag.cast("int")
+    out = out.withColumns(flags).withColumn("parsed_skill_count", sum_columns(names).cast("int"))
+    return out.withColumns({
+        "num_skills_mismatch": ~F.col(declared).eqNullSafe(F.col("parsed_skill_count")),
+        "skills_clean": F.array_join("skills_list", "|")})
 
 
 def skill_vocabulary(df: DataFrame, column: str = "skills_list") -> DataFrame:
