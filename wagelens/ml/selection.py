@@ -140,8 +140,9 @@ def grid_search(spark: SparkSession, folds: list[FoldData], label: str, make_mod
     trn = np.zeros((len(folds), len(pts)))
     for f, fd in enumerate(folds):
         fitted = _parallel(lambda pt: make_model(pt, fd).fit(fd.train), pts)
-        val[f] = _score_many(fitted, fd.valid, label, inverse)
-        trn[f] = _score_many(fitted, fd.train, label, inverse)
+        # The validation and training passes are independent jobs.
+        val[f], trn[f] = _parallel(lambda part: _score_many(fitted, part, label, inverse),
+                                   [fd.valid, fd.train])
     rows = [(str(sorted(pt.items())), float(val[:, j].mean()), float(val[:, j].std()), float(trn[:, j].mean()))
             for j, pt in enumerate(pts)]
     df = spark.createDataFrame(rows, "params string, CV_MAE double, CV_MAE_SD double, Train_MAE double")
