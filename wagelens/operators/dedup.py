@@ -79,16 +79,21 @@ def group_facts(df: DataFrame, key: str = FP, conflict_columns=("salary_avg", "j
 
 
 def duplicate_audit(df: DataFrame, rules: RuleSet = STRICT, id_col: str = "job_id",
-                    already_normalized: bool = False, reuse_input: bool = True) -> DataFrame:
+                    already_normalized: bool = False, reuse_input: bool = True,
+                    persisted: list | None = None) -> DataFrame:
     """Fingerprint, group size, conflict flags, canonical action.
 
     The fingerprinted rows feed two branches (the narrow group aggregate
     and the join back).  With ``reuse_input`` they are persisted once, so
     the text normalisation and SHA-1 run once per row and the source is
-    scanned once; a lost cached block is recomputed from lineage."""
+    scanned once; a lost cached block is recomputed from lineage.  The
+    persisted frame is appended to ``persisted`` (when given) so the caller
+    can release it once the result has been materialised."""
     with_fp = df.withColumn(FP, fingerprint(rules.dedup_columns, rules.dedup_lowercase, already_normalized))
     if reuse_input:
         with_fp = with_fp.persist(StorageLevel.MEMORY_AND_DISK)
+        if persisted is not None:
+            persisted.append(with_fp)
     facts = group_facts(with_fp, FP, rules.conflict_columns, id_col)
     conflict_cols = [conflict_name(c) for c in rules.conflict_columns]
     any_conflict = F.lit(False)

@@ -60,7 +60,13 @@ def silver(spark: SparkSession, sf_dir: str, rules=STRICT) -> DataFrame:
     key = (id(spark), sf_dir, rules.name)
     hit = _CACHE.get(key)
     if hit is None:
-        hit = silver_plan.persist_silver(silver_plan.build_silver(bronze(spark, sf_dir), rules))
+        held: list = []
+        hit = silver_plan.persist_silver(silver_plan.build_silver(bronze(spark, sf_dir), rules, held))
+        # Materialise Silver once, then release the fingerprinted rows it was
+        # built from: keeping both would hold two full copies of the table.
+        hit.count()
+        for df in held:
+            df.unpersist()
         _CACHE[key] = hit
     return hit
 

@@ -17,9 +17,11 @@ from wagelens.functions.columns import normalized_key
 from wagelens.rules import REVIEW_STATUSES, STRICT, RuleSet
 
 
-def build_silver(bronze: DataFrame, rules: RuleSet = STRICT) -> DataFrame:
+def build_silver(bronze: DataFrame, rules: RuleSet = STRICT, persisted: list | None = None) -> DataFrame:
+    """``persisted`` collects the intermediate frames this plan persists
+    (the fingerprinted rows of the duplicate audit)."""
     df = clean.normalize_strings(bronze)
-    df = dedup.duplicate_audit(df, rules, already_normalized=True)
+    df = dedup.duplicate_audit(df, rules, already_normalized=True, persisted=persisted)
     df = clean.add_currency(df)
     df = clean.add_usd(df)
     if rules.bounds_rule == "null_out":
