@@ -17,11 +17,13 @@ from wagelens.functions.columns import normalized_key
 from wagelens.rules import REVIEW_STATUSES, STRICT, RuleSet
 
 
-def build_silver(bronze: DataFrame, rules: RuleSet = STRICT, persisted: list | None = None) -> DataFrame:
-    """``persisted`` collects the intermediate frames this plan persists
-    (the fingerprinted rows of the duplicate audit)."""
+def build_silver(bronze: DataFrame, rules: RuleSet = STRICT) -> DataFrame:
+    """The fingerprinted rows are not persisted here: the group-facts branch
+    prunes to the key columns, so recomputing their normalisation and
+    SHA-1 is cheaper than holding a second full copy of the table next to
+    the persisted Silver (measured: 4.9 s vs 5.3 s at sf0.1)."""
     df = clean.normalize_strings(bronze)
-    df = dedup.duplicate_audit(df, rules, already_normalized=True, persisted=persisted)
+    df = dedup.duplicate_audit(df, rules, already_normalized=True, reuse_input=False)
     df = clean.add_currency(df)
     df = clean.add_usd(df)
     if rules.bounds_rule == "null_out":
