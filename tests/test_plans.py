@@ -54,3 +54,15 @@ def test_global_aggregate_is_attached_without_a_join(spark):
 def test_kde_has_no_cartesian_product(spark):
     plan = _plan(eda.kde_grid(table(spark, SMOKE, "lineitem"), "l_extendedprice", 20))
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_spread_only_splits_under_split_scans(spark):
+    from wagelens.session import spread
+    orders = table(spark, SMOKE, "orders").select("o_orderkey")
+    target = spark.sparkContext.defaultParallelism
+    spread_out = spread(orders, "o_orderkey")
+    assert spread_out.rdd.getNumPartitions() >= min(target, orders.rdd.getNumPartitions() or target)
+    assert "Exchange hashpartitioning(o_orderkey" in _plan(spread_out) or orders.rdd.getNumPartitions() >= target
+    wide = orders.repartition(target + 2, "o_orderkey")
+    assert spread(wide, "o_orderkey") is wide
+    assert spread_out.count() == orders.count()
