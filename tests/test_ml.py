@@ -90,3 +90,16 @@ def test_overfit_rule(spark):
     assert r.best_depth == 4 and r.overfit_depth == 6
     res2 = spark.createDataFrame([(3, 10.0), (4, 9.0)], "max_depth int, Validation_MAE double")
     assert selection.overfit_depth(res2).first().overfit_depth is None
+
+
+def test_group_mean_fit_in_one_rollup_matches_brute_force(spark):
+    rows = [("a", "x", 1.0), ("a", "x", 3.0), ("a", None, 5.0), ("b", "y", None), ("b", "y", None),
+            ("c", "z", 10.0)]
+    df = spark.createDataFrame(rows, "g string, h string, y double")
+    m = models.GroupMeanRegressor(groupCols=["g", "h"], labelCol="y").fit(df)
+    got = {(r.g, r.h): r.prediction for r in m.transform(df).select("g", "h", "prediction").distinct().collect()}
+    overall = (1.0 + 3.0 + 5.0 + 10.0) / 4
+    # ("b", "y") has no label, so it falls back to the overall mean.
+    assert got == {("a", "x"): 2.0, ("a", None): 5.0, ("b", "y"): overall, ("c", "z"): 10.0}
+    empty = models.GroupMeanRegressor(groupCols=["g"], labelCol="y").fit(df.where("y IS NULL"))
+    assert json.loads(empty.getOrDefault(empty.state)) == {"means": {}, "global": None}

@@ -73,13 +73,18 @@ class GroupMeanRegressor(Estimator, _GroupMeanParams, DefaultParamsReadable, Def
     def _fit(self, df: DataFrame) -> GroupMeanModel:
         y = self.getOrDefault(self.labelCol)
         cols = self.getOrDefault(self.groupCols)
-        rows = (df.where(F.col(y).isNotNull()).groupBy(group_key(cols).alias("k"))
-                .agg(F.avg(y).alias("m")).limit(MAX_GROUPS + 1).collect())
-        if len(rows) > MAX_GROUPS:
+        # One aggregate gives the group means and the overall mean (the
+        # rollup's grand-total row); the group table reaches the driver, so
+        # at most MAX_GROUPS + 2 rows are ever collected.
+        rows = (df.where(F.col(y).isNotNull()).select(group_key(cols).alias("k"), F.col(y).alias("_y"))
+                .rollup("k").agg(F.avg("_y").alias("m"), F.grouping("k").alias("total"))
+                .limit(MAX_GROUPS + 2).collect())
+        groups = [r for r in rows if r["total"] == 0]
+        if len(groups) > MAX_GROUPS:
             raise ValueError(f"more than {MAX_GROUPS} groups for {cols}: the group-mean baseline "
                              "is for low-cardinality keys")
-        glob = df.agg(F.avg(y)).first()[0]
-        st = {"means": {r["k"]: r["m"] for r in rows}, "global": float(glob) if glob is not None else None}
+        glob = next((r["m"] for r in rows if r["total"] == 1), None)
+        st = {"means": {r["k"]: r["m"] for r in groups}, "global": float(glob) if glob is not None else None}
         return GroupMeanModel(groupCols=cols, labelCol=y, predictionCol=self.getOrDefault(self.predictionCol),
                               state=json.dumps(st))
 
