@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wagelens.llm import decontaminate, packing
+from wagelens.llm import decontaminate, packing, secret_scan
 from wagelens.llm.shared import load
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -37,3 +37,8 @@ def op7(spark, sf_dir):
 @register("op8_benchmark_decontamination")
 def op8(spark, sf_dir):
     return decontaminate.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+@register("op2_secret_scans")
+def op2(spark, sf_dir):
+    return secret_scan.digest(load(spark, sf_dir, "documents"))
