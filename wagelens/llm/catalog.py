@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wagelens.llm import decontaminate, packing, secret_scan
+from wagelens.llm import decontaminate, packing, pii, secret_scan
 from wagelens.llm.shared import load
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -42,3 +42,8 @@ def op8(spark, sf_dir):
 @register("op2_secret_scans")
 def op2(spark, sf_dir):
     return secret_scan.digest(load(spark, sf_dir, "documents"))
+
+
+@register("op10_pii_weak_supervision")
+def op10(spark, sf_dir):
+    return pii.digest(load(spark, sf_dir, "documents"))
