@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wagelens.llm import decontaminate, packing, pii, secret_scan
+from wagelens.llm import decontaminate, jaccard_join, packing, pii, secret_scan
 from wagelens.llm.shared import load
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -47,3 +47,8 @@ def op2(spark, sf_dir):
 @register("op10_pii_weak_supervision")
 def op10(spark, sf_dir):
     return pii.digest(load(spark, sf_dir, "documents"))
+
+
+@register("op3_ngram_jaccard_join")
+def op3(spark, sf_dir):
+    return jaccard_join.join(load(spark, sf_dir, "documents"))
