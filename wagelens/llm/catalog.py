@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wagelens.llm import decontaminate, jaccard_join, packing, pii, secret_scan
+from wagelens.llm import decontaminate, jaccard_join, packing, pii, secret_scan, toxicity
 from wagelens.llm.shared import load
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -52,3 +52,8 @@ def op10(spark, sf_dir):
 @register("op3_ngram_jaccard_join")
 def op3(spark, sf_dir):
     return jaccard_join.join(load(spark, sf_dir, "documents"))
+
+
+@register("op6_toxicity_nearest_examples")
+def op6(spark, sf_dir):
+    return toxicity.score(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
