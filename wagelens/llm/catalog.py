@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wagelens.llm import decontaminate, jaccard_join, packing, pii, secret_scan, toxicity
+from wagelens.llm import decontaminate, jaccard_join, nearest_vectors, packing, pii, secret_scan, toxicity
 from wagelens.llm.shared import load
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -57,3 +57,8 @@ def op3(spark, sf_dir):
 @register("op6_toxicity_nearest_examples")
 def op6(spark, sf_dir):
     return toxicity.score(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@register("op9_random_projection_forest")
+def op9(spark, sf_dir):
+    return nearest_vectors.neighbours(load(spark, sf_dir, "embeddings"))
