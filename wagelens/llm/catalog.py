@@ -9,7 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wagelens.llm import decontaminate, jaccard_join, nearest_vectors, packing, pii, secret_scan, toxicity
+import corpus_pipeline
+from wagelens.llm import decontaminate, jaccard_join, nearest_vectors, packing, pii, secret_scan, suffix_dedup, toxicity
 from wagelens.llm.shared import load
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -22,16 +23,9 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def tokenizer_path() -> str:
-    """The tokenizer file of the packing query; the operator takes any path."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 @register("op7_best_fit_packing")
 def op7(spark, sf_dir):
-    return packing.pack(load(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack(load(spark, sf_dir, "documents"), packing.tokenizer_path())
 
 
 @register("op8_benchmark_decontamination")
@@ -62,3 +56,13 @@ def op6(spark, sf_dir):
 @register("op9_random_projection_forest")
 def op9(spark, sf_dir):
     return nearest_vectors.neighbours(load(spark, sf_dir, "embeddings"))
+
+
+@register("op5_suffix_array_dedup")
+def op5(spark, sf_dir):
+    return suffix_dedup.dedup(load(spark, sf_dir, "documents"))
+
+
+@register("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from wagelens.session import materialize, scratch_path  # noqa: F401  (re-export
 #: Rows in one Arrow batch sent to a Python worker.  A batch of very long
 #: documents stays within a worker's memory; the size has no effect on results.
 BATCH_ROWS = 512
+BATCH_BYTES = 16 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,14 +23,20 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def small_batches(spark: SparkSession) -> None:
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table in the shared folder and read it back, so
     its consumers share one computation and a lost executor costs a reread."""
-    path = scratch_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    # Spark deletes the shuffle files of finished stages once the driver's JVM
+    # has collected their handles; without this they pile up on the executors.
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def id_and_text(docs: DataFrame) -> DataFrame:
@@ -38,3 +46,15 @@ def id_and_text(docs: DataFrame) -> DataFrame:
 
 def blocks_for(total: float | None, limit: float) -> int:
     return max(1, math.ceil((total or 0) / limit))
+
+
+#: Ids that a join may broadcast (8 bytes each); more are shuffled.
+BROADCAST_IDS = 1_000_000
+
+
+def by_ids(df: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join of ``df`` with a stored table of ``doc_id``s: the ids
+    are counted, and only a list within the bound is broadcast."""
+    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return df.join(ids, "doc_id", how)
