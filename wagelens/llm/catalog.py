@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from wagelens.llm import decontaminate, jaccard_join, nearest_vectors, packing, pii, secret_scan, suffix_dedup, toxicity
+from wagelens.llm import decontaminate, jaccard_join, license_scan, nearest_vectors, packing, pii, quality, secret_scan, suffix_dedup, toxicity
 from wagelens.llm.shared import load
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -66,3 +66,13 @@ def op5(spark, sf_dir):
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@register("op1_quality_kneser_ney")
+def op1(spark, sf_dir):
+    return quality.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@register("op4_license_scans")
+def op4(spark, sf_dir):
+    return license_scan.scan(load(spark, sf_dir, "documents"))
