@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from wagelens.llm.components import components
 from wagelens.llm.kernels import U64, fold64, mix, shingle_sets
-from wagelens.llm.shared import id_and_text, small_batches, store
+from wagelens.llm.shared import by_ids, id_and_text, small_batches, store
 
 WIDTH = 4
 PERCENT = 85
@@ -47,6 +47,7 @@ KEYS = 4
 ALIKE = 10
 BUCKETS = 64
 GROUP = 64
+PAIR = "rep long, n long, row binary, peer long, m long, other binary"
 
 
 def count_locally(width: int):
@@ -72,7 +73,8 @@ def count_locally(width: int):
 
 
 def describe(width: int, percent: int, shared):
-    """Per document: set size, digests, prefix tokens, min-hash of each bin."""
+    """Per document: set size, digests, prefix tokens, min-hash of each bin,
+    and the set counted over token buckets."""
 
     def run(batches):
         frequent, place = shared.value
@@ -95,30 +97,30 @@ def describe(width: int, percent: int, shared):
             new[1:] = (bins[1:] != bins[:-1]) | (row[1:] != row[:-1])
             sig = np.zeros((len(n), BINS), np.int64)
             sig[row[new], bins[new]] = value[new].view(np.int64)
+            rows = np.bincount(row * BUCKETS + bucket_of(value), minlength=BUCKETS * len(n)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(fold64(value, off).view(np.int64)),
                  pa.array(fold64(mix(value ^ U64(0xA24BAED4963EE407)), off).view(np.int64)),
                  pa.ListArray.from_arrays(pa.array(prefix_off.astype(np.int32)), pa.array(prefix)),
-                 pa.ListArray.from_arrays(pa.array(np.arange(0, BINS * len(n) + 1, BINS, dtype=np.int32)), pa.array(sig.ravel()))],
-                ["doc_id", "n", "d1", "d2", "prefix", "sig"])
+                 pa.ListArray.from_arrays(pa.array(np.arange(0, BINS * len(n) + 1, BINS, dtype=np.int32)), pa.array(sig.ravel())),
+                 pa.array([r.tobytes() for r in rows.reshape(-1, BUCKETS)], pa.binary())],
+                ["doc_id", "n", "d1", "d2", "prefix", "sig", "row"])
 
     return run
 
 
-def bucket_counts(tokens: np.ndarray) -> np.ndarray:
-    return np.bincount((tokens >> U64(20)).astype(np.int64) % BUCKETS, minlength=BUCKETS).astype(np.int32)
+def bucket_of(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> U64(20)).astype(np.int64) % BUCKETS
 
 
 def whole_sets(width: int):
-    """Sorted tokens of a set as bytes, and its row of bucket counts."""
+    """Sorted tokens of each set as bytes."""
 
     def run(batches):
         for batch in batches:
             value, off = shingle_sets(batch.column("text"), width)
-            parts = [value[a:b] for a, b in zip(off[:-1], off[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(off)), pa.array([p.tobytes() for p in parts], pa.binary()),
-                 pa.array([bucket_counts(p).tobytes() for p in parts], pa.binary())], ["rep", "n", "tokens", "row"])
+            parts = [value[a:b].tobytes() for a, b in zip(off[:-1], off[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(parts, pa.binary())], ["rep", "tokens"])
 
     return run
 
@@ -129,7 +131,7 @@ def union_row(frame):
 
     union = np.unique(np.concatenate([np.frombuffer(t, U64) for t in frame["tokens"]]))
     return pd.DataFrame({"comp": [frame["comp"].iloc[0]], "grp": [frame["grp"].iloc[0]], "least": [frame["n"].min()],
-                         "matrix_row": [bucket_counts(union).tobytes()]})
+                         "matrix_row": [np.bincount(bucket_of(union), minlength=BUCKETS).astype(np.int32).tobytes()]})
 
 
 def within_bound(percent: int, own: str, other: str, least: str):
@@ -168,11 +170,14 @@ def similar_size(percent: int, a: str, b: str):
     return (100 * F.col(a) >= percent * F.col(b)) & (100 * F.col(b) >= percent * F.col(a))
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    left = sets.select("rep", "tokens")
-    right = sets.select(F.col("rep").alias("peer"), F.col("tokens").alias("other"))
-    rows = pairs.select("rep", "peer").distinct().join(left, "rep").join(right, "peer").select("rep", "peer", "tokens", "other")
-    return rows.mapInArrow(truly_linked(percent), "rep long, peer long")
+def verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """The pairs (rep, peer) that link, and the whole sets of all the pairs."""
+    pairs = store(pairs.select("rep", "peer").distinct(), name + "-pairs")
+    ids = store(pairs.select(F.explode(F.array("rep", "peer")).alias("doc_id")).distinct(), name + "-ids")
+    sets = store(by_ids(texts, ids, "left_semi").mapInArrow(whole_sets(width), "rep long, tokens binary"), name + "-sets").dropDuplicates(["rep"])
+    rows = (pairs.join(sets, "rep").join(sets.select(F.col("rep").alias("peer"), F.col("tokens").alias("other")), "peer")
+            .select("rep", "peer", "tokens", "other"))
+    return store(rows.mapInArrow(truly_linked(percent), "rep long, peer long"), name), sets
 
 
 def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -191,11 +196,11 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
 
     described = store(texts.mapInArrow(
         describe(width, percent, shared),
-        "doc_id long, n long, d1 long, d2 long, prefix array<long>, sig array<long>"), "shingles")
+        "doc_id long, n long, d1 long, d2 long, prefix array<long>, sig array<long>, row binary"), "shingles")
     full = described.where("n > 0")
     classes = store(full.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = (full.join(classes.select(F.col("rep").alias("doc_id"), "d1", "d2"), ["doc_id", "d1", "d2"])
-            .dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "rep"))
+    copies = store(full.select("doc_id", "d1", "d2").join(classes, ["d1", "d2"]).where("doc_id <> rep").select("doc_id").distinct(), "copies")
+    reps = by_ids(full, copies, "left_anti").withColumnRenamed("doc_id", "rep")
 
     postings = reps.select("rep", "n", F.posexplode("prefix").alias("pos", "token"))
     met = postings.groupBy("token").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("token")
@@ -203,24 +208,21 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     active = postings.select("rep").distinct()
 
     # Clusters: links to the least and the greatest representative of each key.
-    alike = store(active.join(reps.select("rep", "n", "sig"), "rep"), "signatures")
+    alike = store(active.join(reps.select("rep", "n", "sig", "row").dropDuplicates(["rep"]), "rep"), "signatures")
     keys = alike.select("rep", F.posexplode(F.slice("sig", 1, KEYS)).alias("bin", "key")).where("key <> 0")
     ends = keys.groupBy("bin", "key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
     led = (keys.join(ends, ["bin", "key"]).select("rep", F.explode(F.array("lo", "hi")).alias("peer"))
            .where("rep <> peer").distinct())
-    peers = alike.select(F.col("rep").alias("peer"), F.col("n").alias("m"), F.col("sig").alias("other"))
-    same = F.aggregate(F.zip_with("sig", "other", lambda x, y: (x == y).cast("int")), F.lit(0), lambda a, x: a + x)
+    peers = alike.select(F.col("rep").alias("peer"), F.col("n").alias("m"), F.col("sig").alias("sig2"), F.col("row").alias("other"))
+    same = F.aggregate(F.zip_with("sig", "sig2", lambda x, y: (x == y).cast("int")), F.lit(0), lambda a, x: a + x)
     led = led.join(alike, "rep").join(peers, "peer").where(similar_size(percent, "n", "m") & (same >= ALIKE))
-
-    # The texts of representatives that share a prefix token, as whole sets.
-    wanted = texts.join(active.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = store(wanted.mapInArrow(whole_sets(width), "rep long, n long, tokens binary, row binary"), "sets")
-    first_links = store(verify(led, sets, percent), "first_links")
+    led = led.select("rep", "n", "row", "peer", "m", "other").mapInArrow(within_bound(percent, "row", "other", "m"), PAIR)
+    first_links, sets = verify(led, texts, width, percent, "led")
     clusters = components(first_links, "rep", "peer")
 
     sized = clusters.groupBy("component").agg(F.count("*").alias("csize"))
     clusters = clusters.join(sized, "component").select(F.col("node").alias("rep"), F.col("component").alias("comp"), "csize")
-    grouped = store(sets.select("rep").join(clusters, "rep", "left").select(
+    grouped = store(active.join(clusters, "rep", "left").select(
         "rep", F.coalesce("comp", "rep").alias("comp"), F.coalesce("csize", F.lit(1)).alias("csize"),
     ).withColumn("grp", F.pmod(F.xxhash64("rep"), F.ceil(F.col("csize") / GROUP).cast("long"))), "groups")
 
@@ -238,11 +240,11 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
         & (F.least(F.col("n") - F.col("pos"), F.col("most") - F.col("gpos")) >= need))
     queries = met.select("rep", F.col("gcomp").alias("comp"), F.col("ggrp").alias("grp")).distinct()
 
-    members = sets.join(grouped, "rep")
-    alone = members.where("csize = 1").select("comp", "grp", F.col("n").alias("least"), F.col("row").alias("matrix_row"))
-    matrix = alone.union(members.where("csize > 1").select("comp", "grp", "n", "tokens").groupBy("comp", "grp").applyInPandas(
+    rows = alike.select("rep", "n", "row")
+    alone = rows.join(grouped.where("csize = 1"), "rep").select("comp", "grp", F.col("n").alias("least"), F.col("row").alias("matrix_row"))
+    together = rows.select("rep", "n").join(grouped.where("csize > 1"), "rep").join(sets, "rep").select("comp", "grp", "n", "tokens")
+    matrix = alone.union(together.groupBy("comp", "grp").applyInPandas(
         union_row, "comp long, grp long, least long, matrix_row binary"))
-    rows = sets.select("rep", "n", "row")
     bounded = (queries.join(rows, "rep").join(matrix, ["comp", "grp"]).select("rep", "n", "row", "comp", "grp", "least", "matrix_row")
                .mapInArrow(within_bound(percent, "row", "matrix_row", "least"),
                            "rep long, n long, row binary, comp long, grp long, least long, matrix_row binary"))
@@ -250,8 +252,8 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
               .join(grouped.select(F.col("rep").alias("peer"), "comp", "grp"), ["comp", "grp"])
               .join(rows.select(F.col("rep").alias("peer"), F.col("n").alias("m"), F.col("row").alias("other")), "peer")
               .where(similar_size(percent, "n", "m")).select("rep", "n", "row", "peer", "m", "other")
-              .mapInArrow(within_bound(percent, "row", "other", "m"), "rep long, n long, row binary, peer long, m long, other binary"))
-    links = first_links.union(verify(opened, sets, percent))
+              .mapInArrow(within_bound(percent, "row", "other", "m"), PAIR))
+    links = first_links.union(verify(opened, texts, width, percent, "opened")[0])
 
     labels = components(links, "rep", "peer").withColumnRenamed("node", "rep")
     of_class = classes.join(labels, "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))
