@@ -26,45 +26,79 @@ from wagelens.llm.shared import id_and_text, small_batches, store
 
 CAPACITY = 2048
 END_ID = 0
-#: Chunks whose ids a task remembers; beyond it the memory starts anew.
-REMEMBERED = 400_000
+#: Words, and chunks of text, whose ids a task remembers.
+REMEMBERED = 500_000
 
+#: Fixed value: how byte-level tokenizers of this kind cut a text into words.
+WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+END_MARKS = frozenset(".,")
 COLUMNS = ["doc_id", "piece", "start", "length", "ids_crc32"]
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+def byte_symbols() -> dict[int, str]:
+    """The printable character by which a byte-level vocabulary spells each
+    byte: itself where printable, the others from U+0100 on in order."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + i) for i, b in enumerate(other)}
+
+
+def tokenizer_path() -> str:
+    """The tokenizer file of the registered query; ``pack`` takes any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def chunk_encoder(path: str):
-    """``text -> little-endian ids`` with remembered chunks.
+    """``text -> little-endian ids`` with remembered parts.
 
     A byte-level BPE splits a text into words before merging, and a word
     takes along one space in front.  Cutting before a space therefore never
     changes ids, unless the space stands between two other white-space
     characters or the text holds a special token; such texts are encoded
-    whole.  Chunks repeat, so most cost one look-up."""
+    whole.  Chunks between spaces repeat, and so do the words within new
+    chunks; only a new word goes through the merges."""
     import re
 
+    import regex
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    odd = re.compile(r"\s \s|<\||[\x1c-\x1f\x85]")
-
-    def encode(text: str) -> bytes:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    if type(tokenizer.pre_tokenizer).__name__ != "ByteLevel":
+        return lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    words_of, merge = regex.compile(WORD).findall, tokenizer.model.tokenize
+    symbols = byte_symbols()
+    odd = re.compile(r" (?<=\s )(?=\s)").search
+
+    class Words(dict):
+        def __missing__(self, word: str) -> bytes:
+            spelled = word.encode().decode("latin-1").translate(symbols)
+            out = np.array([t.id for t in merge(spelled)], "<u4").tobytes()
+            if len(self) < REMEMBERED:
+                self[word] = out
+            return out
 
-    class Remembered(dict):
-        def __missing__(self, part: str) -> bytes:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[part] = out = encode(" " + part)
+    class Chunks(dict):
+        def __missing__(self, chunk: str) -> bytes:
+            if chunk.isalpha():
+                out = words[" " + chunk]
+            elif chunk[-1:] in END_MARKS and chunk[:-1].isalpha():
+                out = words[" " + chunk[:-1]] + words[chunk[-1]]
+            else:
+                out = b"".join([words[w] for w in words_of(" " + chunk)])
+            if len(self) < REMEMBERED:
+                self[chunk] = out
             return out
 
-    known = Remembered()
+    words, chunks = Words(), Chunks()
 
     def ids(text: str) -> bytes:
-        if odd.search(text):
-            return encode(text)
+        if "<|" in text or odd(text) or any(c in text for c in "\x1c\x1d\x1e\x1f"):
+            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         first, *rest = text.split(" ")
-        return encode(first) + b"".join(map(known.__getitem__, rest))
+        return b"".join([*(words[w] for w in words_of(first)), *map(chunks.__getitem__, rest)])
 
     return ids
 
