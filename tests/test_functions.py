@@ -66,3 +66,13 @@ def test_inverse_normal_matches_reference_library(spark):
     got = _one(spark, ps, inv_norm_cdf(F.col("x")), "x double")
     for p, g in zip(ps, got):
         assert math.isclose(g, statistics.NormalDist().inv_cdf(p), rel_tol=1e-8, abs_tol=1e-8)
+
+
+def test_parse_skill_list_reads_whole_literals_only(spark):
+    vals = ["['a', b]", "[1, 2]", "('sql',)", "('sql')", "{'x'}", "['it\\'s']", "['a',\n 'b',]", "['a' 'b']", "{}", "['a'] x"]
+    got = _one(spark, vals, parse_skill_list("x"))
+    assert got == [[], ["1", "2"], ["sql"], [], ["x"], ["it's"], ["a", "b"], [], [], []]
+
+
+def test_parse_bool_knows_six_tokens(spark):
+    assert _one(spark, ["T", "n", "y", "f"], parse_bool("x")) == [None] * 4

@@ -1,8 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMOKE
 from wagelens.plans.silver import build_silver
-from wagelens.rules import PHASE1, STRICT
+from wagelens.rules import BEGINNER, CAPSTONE, PHASE1, STRICT
 from wagelens.sources.postings import postings
 
 
@@ -62,3 +63,33 @@ def test_usd_is_local_over_rate(spark):
     s = build_silver(_golden_df(spark), STRICT).orderBy("job_id").collect()
     assert s[0].salary_avg_usd == 700000.0 / 83.67
     assert s[5].salary_avg_usd == 5250.0 / 1.37
+
+
+@pytest.mark.parametrize("broken, said", [
+    (lambda df: df.drop("company"), "missing"),
+    (lambda df: df.withColumn("job_id", F.lit(1).cast("long")), "repeated"),
+    (lambda df: df.withColumn("job_id", F.when(F.col("job_id") > 1, F.col("job_id"))), "null"),
+    (lambda df: df.withColumn("country", F.lit("Brazil")), "unknown country"),
+    (lambda df: df.withColumn("country", F.lit(None).cast("string")), "without a currency"),
+    (lambda df: df.withColumn("job_level", F.lit("Chief")), "unknown job level")])
+def test_a_broken_contract_raises(spark, broken, said):
+    with pytest.raises(ValueError, match=said):
+        build_silver(broken(_golden_df(spark)), STRICT)
+
+
+def _status(spark, rules, rows):
+    from wagelens.sources.postings import POSTINGS_SCHEMA
+    data = [(i, f"T{i}", "Co", "City", lo, hi, f"d{i}", "USA", "k", None, "PhD", "[]", 0, "Mid", False, avg, avg is not None)
+            for i, (lo, avg, hi) in enumerate(rows)]
+    out = build_silver(spark.createDataFrame(data, POSTINGS_SCHEMA), rules).orderBy("job_id").collect()
+    return [r.salary_quality_status for r in out]
+
+
+def test_null_out_presets_follow_their_own_rules(spark):
+    rows = [(50000.0, 60000.0, 70000.0), (50000.0, 90000.0, 70000.0), (0.0, 60000.0, 70000.0), (400.0, 500.0, 600.0),
+            (4000.0, 5000.0, 6000.0), (50000.0, 51000.0, 90000.0), (None, 60000.0, None), (None, None, None)]
+    # disordered, non-positive, tiny, low, midpoint off, bounds missing, no salary
+    assert _status(spark, CAPSTONE, rows) == [
+        "model_ready", "unlabeled", "unlabeled", "unit_review", "unit_review", "model_ready", "model_ready", "unlabeled"]
+    assert _status(spark, BEGINNER, rows) == [
+        "model_ready", "model_ready", "unlabeled", "unlabeled", "model_ready", "model_ready", "model_ready", "unlabeled"]

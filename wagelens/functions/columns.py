@@ -80,24 +80,33 @@ def right_closed_bucket(c: str | Column, tier: TierRule) -> Column:
     return expr
 
 
-# A quoted Python string literal inside list text: '...' or "...".
-_QUOTED = r"""'[^']*'|"[^"]*\""""
+# An item of a Python literal: a quoted string (with escapes), a number, or a
+# named constant.  The repeats are possessive, so matching stays linear.
+_ITEM = (r"""'(?:[^'\\\n]++|\\.)*+'|"(?:[^"\\\n]++|\\.)*+\""""
+         r"""|[+-]?[0-9]++(?:\.[0-9]*+)?|True|False|None""")
+_ITEMS = rf"(?:{_ITEM})(?:\s*,\s*(?:{_ITEM}))*+\s*,?"
+# A whole list, set or tuple of such items; a tuple of one needs its comma.
+_LITERAL = (rf"(?s)^\s*(?:\[\s*(?:{_ITEMS})?\s*\]|\{{\s*{_ITEMS}\s*\}}"
+            rf"|\(\s*(?:(?:{_ITEM})\s*,\s*(?:{_ITEMS})?)?\s*\))\s*$")
 
 
 def parse_skill_list(c: str | Column, sorted_distinct: bool = True) -> Column:
-    """Text of a Python list of strings -> array<string> of lower-cased,
+    """Text of a Python list, tuple or set -> array<string> of lower-cased,
     stripped, non-empty items; malformed or null text -> empty array.
 
     ``sorted_distinct`` gives the strict form (sorted set); without it the
     order and repeats of the source are kept (capstone / beginner)."""
     text = F.trim(col(c).cast("string"))
-    items = F.regexp_extract_all(text, F.lit(_QUOTED), 0)
-    cleaned = F.transform(
-        items, lambda s: F.lower(F.btrim(F.substring(s, F.lit(2), F.length(s) - 2), F.lit(WHITESPACE_CHARS))))
+    items = F.regexp_extract_all(text, F.lit(_ITEM), 0)
+    quoted = lambda s: F.regexp_replace(
+        F.replace(F.replace(F.substring(s, F.lit(2), F.length(s) - 2), F.lit("\\n"), F.lit("\n")),
+                  F.lit("\\t"), F.lit("\t")), r"\\(.)", "$1")
+    value = lambda s: F.when(F.substring(s, 1, 1).isin("'", '"'), quoted(s)).otherwise(s)
+    cleaned = F.transform(items, lambda s: F.lower(F.btrim(value(s), F.lit(WHITESPACE_CHARS))))
     cleaned = F.filter(cleaned, lambda s: F.length(s) > 0)
     if sorted_distinct:
         cleaned = F.array_sort(F.array_distinct(cleaned))
-    is_list = F.coalesce(text.rlike(r"^\[.*\]$"), F.lit(False))
+    is_list = F.coalesce(text.rlike(_LITERAL), F.lit(False))
     return F.when(is_list, cleaned).otherwise(F.array().cast("array<string>"))
 
 

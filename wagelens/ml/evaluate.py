@@ -152,7 +152,7 @@ def benchmark_verdict(metrics_row: DataFrame, legacy: float = LEGACY_MAE_USD,
     if industry is None:
         decision = F.when(mae < legacy, "pilot").otherwise("keep_legacy")
     else:
-        decision = (F.when(mae <= industry, "meets_industry_target")
+        decision = (F.when(mae < industry, "meets_industry_target")
                     .when(mae < legacy, "beats_legacy").otherwise("keep_legacy"))
     return metrics_row.select(mae.alias("MAE"), imp.alias("improvement_usd"),
                               (100 * imp / legacy).alias("improvement_pct"), decision.alias("decision"))

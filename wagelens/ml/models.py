@@ -103,9 +103,11 @@ def ridge(alpha: float, label_sd: float, n: int, label: str = "label") -> Linear
 
 def random_forest(num_trees: int = 100, max_depth: int | None = None, min_leaf: int = 1,
                   max_features="all", seed: int = RANDOM_STATE, label: str = "label") -> RandomForestRegressor:
+    if max_depth is not None and max_depth > MAX_TREE_DEPTH:
+        raise ValueError(f"MLlib trees are at most {MAX_TREE_DEPTH} deep; {max_depth} was asked for")
     strategy = max_features if isinstance(max_features, str) else str(max_features)
     return RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees,
-                                 maxDepth=min(max_depth or MAX_TREE_DEPTH, MAX_TREE_DEPTH),
+                                 maxDepth=max_depth or MAX_TREE_DEPTH,
                                  minInstancesPerNode=min_leaf, featureSubsetStrategy=strategy, seed=seed,
                                  maxBins=64, cacheNodeIds=True, maxMemoryInMB=1024, checkpointInterval=10)
 
@@ -116,12 +118,3 @@ def gradient_boosting(n_estimators: int = 100, learning_rate: float = 0.1, max_d
     return GBTRegressor(featuresCol="features", labelCol=label, maxIter=n_estimators, stepSize=learning_rate,
                         maxDepth=max_depth, minInstancesPerNode=min_leaf, subsamplingRate=subsample, seed=seed,
                         maxBins=64, cacheNodeIds=True, maxMemoryInMB=1024, checkpointInterval=10)
-
-
-def baseline_models(label: str = "label", fast: bool = False) -> dict:
-    """I14 candidates (strict preset parameters)."""
-    return {
-        "Linear Regression": lambda stats: linear_regression(label),
-        "Random Forest": lambda stats: random_forest(350, None, 2, 0.7, label=label),
-        "Gradient Boosting": lambda stats: gradient_boosting(200, 0.05, 3, 3, label=label),
-    }

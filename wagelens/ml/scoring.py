@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wagelens.functions.columns import right_closed_bucket
-from wagelens.ml.features import FeatureSpec, preprocessor
+from wagelens.ml.features import preprocessor
 from wagelens.rules import ALL_SKILLS, STRICT, TierRule, skill_column
 
 # Scoring-form experience tiers: <=2, <=5, <=10, else (input range 0..40).
@@ -34,7 +34,7 @@ def identity_stage(col: str = "prediction", out: str = "predicted_salary_usd") -
     return SQLTransformer(statement=f"SELECT *, {col} AS {out} FROM __THIS__")
 
 
-def fit_scoring_model(training: DataFrame, spec: FeatureSpec, regressor, log_target: bool = True,
+def fit_scoring_model(training: DataFrame, spec: dict, regressor, log_target: bool = True,
                       label_source: str = "salary_avg_usd") -> PipelineModel:
     """Fit preprocessor + regressor on all labelled rows.  The log
     label is made outside the pipeline (a label stage inside it would fail

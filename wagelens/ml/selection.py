@@ -26,7 +26,7 @@ from wagelens.functions.columns import attach_scalars
 
 from wagelens.ml import models
 from wagelens.ml.evaluate import metric_aggs
-from wagelens.ml.features import FEATURE_SPECS, FeatureSpec, preprocessor
+from wagelens.ml.features import FEATURE_SPECS, preprocessor
 from wagelens.rules import BOOSTING_GRID, FOREST_GRID, RANDOM_STATE, RIDGE_ALPHAS
 
 
@@ -52,7 +52,7 @@ def _parallel(fn, items, parallelism: int = PARALLELISM) -> list:
         return list(pool.map(fn, items))
 
 
-def fold_datasets(spec: FeatureSpec, dev: DataFrame, label: str, fold: str = "fold", k: int = 5,
+def fold_datasets(spec: dict, dev: DataFrame, label: str, fold: str = "fold", k: int = 5,
                   parallelism: int = PARALLELISM, **pre_kw) -> list[FoldData]:
     def one(i: int) -> FoldData:
         tr = dev.where(F.col(fold) != i)
@@ -190,7 +190,7 @@ def compare_baselines(spark, folds, label, candidates: dict) -> DataFrame:
     return df.orderBy("CV_MAE")
 
 
-def depth_sweep(spark, spec: FeatureSpec, fit_df: DataFrame, valid_df: DataFrame, label: str,
+def depth_sweep(spark, spec: dict, fit_df: DataFrame, valid_df: DataFrame, label: str,
                 depths=range(3, 21), trees: int = 250, min_leaf: int = 2, max_features="0.7") -> DataFrame:
     """Train / validation MAE per forest depth on one split."""
     pre = preprocessor(spec).fit(fit_df)
@@ -225,7 +225,7 @@ def tuning_gain(baseline: DataFrame, tuned_best_mae: float, model: str) -> DataF
         .withColumn("Improvement_pct", 100 * F.col("Improvement") / F.col("Baseline_CV_MAE"))
 
 
-def final_holdout(spark, spec: FeatureSpec, dev: DataFrame, test: DataFrame, label: str, candidates: dict) -> DataFrame:
+def final_holdout(spark, spec: dict, dev: DataFrame, test: DataFrame, label: str, candidates: dict) -> DataFrame:
     """Fit every candidate on development, score the holdout once."""
     pre = preprocessor(spec).fit(dev)
     t = pre.transform(dev).select(label, "features").persist(StorageLevel.MEMORY_AND_DISK)

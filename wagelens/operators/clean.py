@@ -96,7 +96,7 @@ def salary_flags(df: DataFrame, rules: RuleSet = STRICT, fx_rows=COUNTRY_FX) ->
     out_of_range = false_if_null(avg_usd < floor)
     if rules.unit_cap_usd is not None:
         out_of_range = out_of_range | false_if_null(avg_usd > F.lit(rules.unit_cap_usd))
-    unit = has_target & ~invalid & out_of_range
+    unit = has_target & out_of_range if rules.bounds_rule == "null_out" else has_target & ~invalid & out_of_range
     return df.withColumns({
         "salary_has_target": has_target,
         "salary_invalid_bounds": invalid,
@@ -117,6 +117,13 @@ def quality_status(df: DataFrame, rules: RuleSet = STRICT) -> DataFrame:
         ready = has_target & ~invalid & ~unit
         status = (F.when(ready, "model_ready").when(unit, "unit_review")
                   .when(invalid, "invalid_bounds").otherwise("unlabeled"))
+    elif rules.bounds_rule == "null_out":
+        # Bad salaries are gone already; bounds and midpoints only report.
+        status = F.when(has_target & unit, "unit_review") if rules.low_unit == "review" else F.when(F.lit(False), "")
+        status = status.when(has_target, "model_ready").otherwise("unlabeled")
+        if rules.dedup_effect == "remove":
+            status = (F.when(action == "conflict_review", "duplicate_conflict")
+                      .when(action == "drop_duplicate", "duplicate_removed").otherwise(status))
     else:
         canonical = action == "keep" if rules.dedup_effect == "remove" else F.lit(True)
         ready = canonical & has_target & ~invalid & ~unit & ~mism
@@ -149,15 +156,26 @@ def salary_issue_flags(df: DataFrame) -> DataFrame:
                            "salary_issue": non_positive | bad_order | wrong_flag})
 
 
-def repair_salary(df: DataFrame) -> DataFrame:
-    """C11 (capstone): null every salary component of a record with a
-    non-positive or disordered salary, then recompute ``has_salary``."""
+def repair_salary(df: DataFrame, disordered: bool = True) -> DataFrame:
+    """C11: null every salary component of a record with a non-positive
+    (capstone: or disordered) salary, then recompute ``has_salary``."""
     flagged = df if "non_positive_salary" in df.columns else salary_issue_flags(df)
-    bad = F.col("non_positive_salary") | F.col("invalid_salary_order")
+    bad = F.col("non_positive_salary")
+    if disordered:
+        bad = bad | F.col("invalid_salary_order")
     out = flagged.withColumns({c: F.when(~bad, F.col(c)) for c in SALARY_COLUMNS})
     return out.withColumn("has_salary", false_if_null(F.col("salary_avg") > 0))
 
 
+def drop_tiny_targets(df: DataFrame, floor: float) -> DataFrame:
+    """C9 (beginner): a converted target below ``floor`` counts as missing;
+    the row stays for scoring."""
+    suspect = false_if_null(F.col("salary_avg_usd") < floor)
+    out = df.withColumn("salary_unit_suspect", suspect)
+    out = out.withColumn("salary_avg_usd", F.when(~F.col("salary_unit_suspect"), F.col("salary_avg_usd")))
+    return out.withColumn("has_salary", F.col("salary_avg_usd").isNotNull())
+
+
 def experience_features(df: DataFrame, rules: RuleSet = STRICT, column: str = "experience_required") -> DataFrame:
     """C13 + C14: range filter with audit flags and right-closed tiers."""
     x = coerce_double(column)

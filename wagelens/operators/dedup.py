@@ -10,7 +10,8 @@ skew-join split the hot partition on the row side.
 
 * conflict = more than one distinct non-null value  <=>  min(x) != max(x)
   (both ignore nulls), so no ``count(distinct)`` / Expand is needed;
-* canonical row = min of (3 - priority, job_id) packed into one long.
+* canonical row = least id of the highest priority present: one min per
+  priority, whatever the id's sign, size or type.
 """
 
 from __future__ import annotations
@@ -32,9 +33,11 @@ def fingerprint(columns, lowercase: bool = True, already_normalized: bool = Fals
 
 
 def canonical_priority(salary_avg="salary_avg", salary_min="salary_min",
-                       salary_max="salary_max") -> Column:
-    """2 for a present target + 1 for two positive bounds."""
+                       salary_max="salary_max", bounds: bool = True) -> Column:
+    """2 for a present target + 1 for two positive bounds (where they count)."""
     has_avg = F.col(salary_avg).isNotNull().cast("int")
+    if not bounds:
+        return has_avg * 2
     positive = false_if_null((F.col(salary_min) > 0) & (F.col(salary_max) > 0)).cast("int")
     return has_avg * 2 + positive
 
@@ -44,10 +47,8 @@ def conflict_name(column: str) -> str:
     return f"duplicate_{short}_conflict"
 
 
-# Canonical-row packing: (3 - priority) in the top bits, job_id below, so
-# one min() over a long picks the highest priority, then the lowest id.
-# Holds for 0 <= job_id < 2**61 (priority is 0..3).
-_ID_BITS = 61
+# Values of ``canonical_priority``, best first.
+PRIORITIES = (3, 2, 1, 0)
 
 
 def _fixed_width(c: str, dtype) -> list[Column]:
@@ -72,9 +73,7 @@ def group_facts(df: DataFrame, key: str = FP, conflict_columns=("salary_avg", "j
         for v in _fixed_width(c, types[c]):
             differs = differs | false_if_null(F.min(v) != F.max(v))
         aggs.append(differs.alias(conflict_name(c)))
-    packed = F.shiftleft((F.lit(3) - prio).cast("long"), _ID_BITS) + F.col(id_col).cast("long")
-    mask = (1 << _ID_BITS) - 1
-    aggs.append((F.min(packed).bitwiseAND(F.lit(mask))).alias("_canonical_id"))
+    aggs.append(F.coalesce(*[F.min(F.when(prio == p, F.col(id_col))) for p in PRIORITIES]).alias("_canonical_id"))
     return df.groupBy(key).agg(*aggs)
 
 
@@ -94,7 +93,8 @@ def duplicate_audit(df: DataFrame, rules: RuleSet = STRICT, id_col: str = "job_i
         with_fp = with_fp.persist(StorageLevel.MEMORY_AND_DISK)
         if persisted is not None:
             persisted.append(with_fp)
-    facts = group_facts(with_fp, FP, rules.conflict_columns, id_col)
+    facts = group_facts(with_fp, FP, rules.conflict_columns, id_col,
+                        canonical_priority(bounds=rules.bounds_decide_canonical))
     conflict_cols = [conflict_name(c) for c in rules.conflict_columns]
     any_conflict = F.lit(False)
     for c in conflict_cols:

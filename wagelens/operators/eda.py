@@ -56,7 +56,7 @@ def coverage_two_keys(silver: DataFrame, a: str = "job_level", b: str = "is_remo
             .agg(F.count(F.lit(1)).alias("postings"),
                  F.round(F.avg(F.col("salary_avg").isNotNull().cast("int")) * 100, 6).alias("labelled_pct"))
             .withColumn("label", F.concat_ws(" / ", F.col(a).cast("string"),
-                                             F.when(F.col(b), "Remote").otherwise("On-site"))))
+                                             F.when(F.col(b), "Remote").otherwise("Not Remote"))))
 
 
 def group_summary(df: DataFrame, groups: list[str], value: str, exact: bool = True) -> DataFrame:

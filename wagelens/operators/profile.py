@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wagelens.functions.columns import attach_scalars, false_if_null
+from wagelens.functions.columns import WHITESPACE_RUN, attach_scalars, false_if_null
+from wagelens.rules import COUNTRY_FX, EXPECTED_COLUMNS, EXPECTED_COUNTRIES, EXPECTED_LEVELS
 
 
 def unpivot_row(agg_row: DataFrame, names: list[str], key: str = "metric", value: str = "value",
@@ -210,3 +211,28 @@ def quality_summary(silver: DataFrame, source_columns: int) -> DataFrame:
         F.sum((F.col("duplicate_group_size") > 1).cast("long")).alias("near_duplicate_group_rows"),
     )
     return unpivot_row(agg, agg.columns, "metric", "value")
+
+
+def enforce_contract(bronze: DataFrame, key: str = "job_id") -> None:
+    """A2-A5 enforced: raise ``ValueError`` when columns are missing, the key
+    is null or repeated, a country or level is unknown, or a country has no
+    currency.  One aggregate over three pruned columns and one over the key."""
+    missing = sorted(set(EXPECTED_COLUMNS) - set(bronze.columns))
+    if missing:
+        raise ValueError(f"columns are missing: {missing}")
+    text = lambda c: F.trim(F.regexp_replace(F.col(c), WHITESPACE_RUN, " "))
+    mapped = [c for c, *_ in COUNTRY_FX]
+    count = lambda bad: F.count(F.when(bad, 1))
+    found = bronze.agg(
+        count(F.col(key).isNull()).alias("null_key"),
+        count(~text("country").isin(EXPECTED_COUNTRIES)).alias("country"),
+        count(~text("job_level").isin(EXPECTED_LEVELS)).alias("level"),
+        count(~F.coalesce(text("country").isin(mapped), F.lit(False))).alias("currency")).first()
+    said = {"null_key": f"{key} is null", "country": "unknown country", "level": "unknown job level",
+            "currency": "country without a currency"}
+    broken = [f"{said[k]} in {n} rows" for k, n in found.asDict().items() if n]
+    twice = bronze.groupBy(key).count().where((F.col("count") > 1) & F.col(key).isNotNull()).limit(1).count()
+    if twice:
+        broken.append(f"{key} is repeated")
+    if broken:
+        raise ValueError("Bronze breaks its contract: " + "; ".join(broken))

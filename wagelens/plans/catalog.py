@@ -14,9 +14,10 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wagelens.ml.features import FEATURE_SPECS, input_columns
 from wagelens.operators import clean, dedup, eda, profile, skills as skl, splits
 from wagelens.plans import silver as silver_plan
-from wagelens.plans.oracle import null_out_status_counts, with_postings, with_silver
+from wagelens.plans.oracle import beginner_status_counts, capstone_status_counts, with_postings, with_silver
 from wagelens.rules import (ALL_SKILLS, BEGINNER, CAPSTONE, EXPECTED_COLUMNS, EXPECTED_COUNTRIES,
                             EXPECTED_LEVELS, PHASE1, STRICT, skill_column)
 from wagelens.sources.postings import postings, table
@@ -336,8 +337,8 @@ _BOOL_TOKENS = ["true", " False", "YES", "no ", "1", "0", "maybe", "T", "n"]
 
 @register("c4_boolean_parsing", with_postings(f"""
 SELECT job_id, token,
-  CASE WHEN lower(trim(token)) IN ('true', '1', 'yes', 'y', 't') THEN true
-       WHEN lower(trim(token)) IN ('false', '0', 'no', 'n', 'f') THEN false END AS parsed
+  CASE WHEN lower(trim(token)) IN ('true', '1', 'yes') THEN true
+       WHEN lower(trim(token)) IN ('false', '0', 'no') THEN false END AS parsed
 FROM (SELECT job_id, [{", ".join(f"'{t}'" for t in _BOOL_TOKENS)}][CAST(job_id % {len(_BOOL_TOKENS)} AS INTEGER) + 1]
       AS token FROM postings) t"""))
 def c4(spark, d):
@@ -721,15 +722,15 @@ def f9(spark, d):
 # ----------------------------------------------------------------- G2-G22
 @register("g2_remote_share_by_country", with_silver("""
 SELECT country, count(*) AS postings, round(avg(CAST(is_remote AS INTEGER)) * 100, 6) AS remote_pct
-FROM training WHERE country IS NOT NULL GROUP BY country"""))
+FROM silver_x WHERE country IS NOT NULL GROUP BY country"""))
 def g2(spark, d):
-    return eda.share_by_group(training(spark, d), "country", "is_remote", "remote_pct")
+    return eda.share_by_group(silver(spark, d), "country", "is_remote", "remote_pct")
 
 
 @register("g3_level_remote_coverage", with_silver("""
 SELECT job_level, is_remote, count(*) AS postings,
        round(avg(CASE WHEN salary_avg IS NOT NULL THEN 1 ELSE 0 END) * 100, 6) AS labelled_pct,
-       concat_ws(' / ', job_level, CASE WHEN is_remote THEN 'Remote' ELSE 'On-site' END) AS label
+       concat_ws(' / ', job_level, CASE WHEN is_remote THEN 'Remote' ELSE 'Not Remote' END) AS label
 FROM silver_x GROUP BY job_level, is_remote"""))
 def g3(spark, d):
     return eda.coverage_two_keys(silver(spark, d), "job_level", "is_remote")
@@ -1318,7 +1319,7 @@ def i24(spark, d):
 , mm AS (SELECT avg(absolute_error) AS mae FROM audit)
 SELECT round(mae, 4) AS MAE, round(18500.0E0 - mae, 4) AS improvement_usd,
        round(100 * (18500.0E0 - mae) / 18500.0E0, 6) AS improvement_pct,
-       CASE WHEN mae <= 8000.0E0 THEN 'meets_industry_target' WHEN mae < 18500.0E0 THEN 'beats_legacy'
+       CASE WHEN mae < 8000.0E0 THEN 'meets_industry_target' WHEN mae < 18500.0E0 THEN 'beats_legacy'
             ELSE 'keep_legacy' END AS decision FROM mm"""))
 def i26(spark, d):
     from wagelens.ml import evaluate
@@ -1523,7 +1524,7 @@ def i29(spark, d):
     m = _capstone_model(spark, d)
     req = scoring.capstone_requests_from(silver_plan.scoring_layer(silver(spark, d)))
     src = scratch_path(spark, "requests")
-    req.repartition(4).write.mode("overwrite").parquet(src)
+    req.write.mode("overwrite").parquet(src)
     return run_to_completion(spark, m, src, req.schema, scratch_path(spark, "scored"),
                              scratch_path(spark, "stream-ckpt"))
 
@@ -1539,7 +1540,7 @@ def a11(spark, d):
     path = scratch_path(spark, "model")
     scoring.save_model(m, path, {"selected_feature_set": _SPEC_ENG, "selected_target": "Log target"})
     reloaded = scoring.load_model(path)
-    sc = silver_plan.scoring_layer(s).select("job_id", *FEATURE_SPECS[_SPEC_ENG].columns)
+    sc = silver_plan.scoring_layer(s).select("job_id", *input_columns(FEATURE_SPECS[_SPEC_ENG]))
     a = m.transform(sc).select("job_id", F.col("predicted_salary_usd").alias("original"))
     b = reloaded.transform(sc).select("job_id", F.col("predicted_salary_usd").alias("reloaded"))
     return a.join(b, "job_id").withColumn("identical", F.col("original") == F.col("reloaded"))
@@ -1596,13 +1597,13 @@ def c12p(spark, d):
     return s.groupBy("salary_quality_status").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@register("c12_status_counts_capstone", null_out_status_counts(True, False))
+@register("c12_status_counts_capstone", capstone_status_counts())
 def c12cap(spark, d):
     s = silver(spark, d, CAPSTONE)
     return s.groupBy("salary_quality_status").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@register("c12_status_counts_beginner", null_out_status_counts(True, True))
+@register("c12_status_counts_beginner", beginner_status_counts())
 def c12b(spark, d):
     s = silver(spark, d, BEGINNER)
     return s.groupBy("salary_quality_status").agg(F.count(F.lit(1)).alias("rows"))
@@ -1629,20 +1630,17 @@ def e3p(spark, d):
 @register("h1_feature_sets", with_silver(" UNION ALL ".join(
     f"SELECT '{name}' AS Feature_Set, '{'|'.join(cols)}' AS columns, CAST({len(cols)} AS INTEGER) AS n_columns, "
     f"count(*) FILTER (WHERE {' AND '.join(c + ' IS NOT NULL' for c in cols)}) AS complete_rows FROM training"
-    for name, cols in [(n, s.columns) for n, s in __import__('wagelens.ml.features', fromlist=['x'])
-                       .FEATURE_SPECS.items()])))
+    for name, cols in [(n, input_columns(s)) for n, s in FEATURE_SPECS.items()])))
 def h1(spark, d):
-    from wagelens.ml.features import FEATURE_SPECS
     t = training(spark, d)
     aggs = []
     for i, (name, spec) in enumerate(FEATURE_SPECS.items()):
-        spec.check_no_leakage()
         complete = F.lit(True)
-        for c in spec.columns:
+        for c in input_columns(spec):
             complete = complete & F.col(c).isNotNull()
         aggs.append(F.count(F.when(complete, 1)).alias(f"c{i}"))
     row = t.agg(*aggs)
     return row.select(F.inline(F.array(*[
-        F.struct(F.lit(name).alias("Feature_Set"), F.lit("|".join(spec.columns)).alias("columns"),
-                 F.lit(len(spec.columns)).alias("n_columns"), F.col(f"c{i}").alias("complete_rows"))
+        F.struct(F.lit(name).alias("Feature_Set"), F.lit("|".join(input_columns(spec))).alias("columns"),
+                 F.lit(len(input_columns(spec))).alias("n_columns"), F.col(f"c{i}").alias("complete_rows"))
         for i, (name, spec) in enumerate(FEATURE_SPECS.items())])))

@@ -202,65 +202,47 @@ def with_silver(select_sql: str) -> str:
     return f"WITH {SILVER}\n{select_sql}"
 
 
-def null_out_status_counts(case_sensitive_dedup: bool, remove_duplicates: bool) -> str:
-    """Status counts of the ``null_out`` presets (capstone: flag duplicates;
-    beginner: remove them).  The duplicate audit runs on the original
-    salaries; bad salaries (a non-positive component, or avg outside
-    [min, max] when all three are present) are then nulled as a record and
-    every later flag reads the repaired values.  Every unit floor is 10,000
-    USD and there is no upper cap."""
-    key = "{}" if case_sensitive_dedup else "lower({})"
-    fp = ", ".join(key.format(f"coalesce({c}, '')")
-                   for c in ("job_title", "company", "location", "country", "description"))
-    if remove_duplicates:
-        dup_first = """CASE WHEN dconf THEN 'duplicate_conflict' WHEN rn > 1 THEN 'duplicate_removed'"""
-    else:
-        dup_first = "CASE"
+_NORMED = ", ".join(f"{_norm(c)} AS {c}" for c in
+                    ("job_title", "company", "location", "country", "description", "job_level"))
+_RATE = "CASE country WHEN 'USA' THEN 1.00E0 WHEN 'UK' THEN 0.78E0 WHEN 'Canada' THEN 1.37E0 " \
+        "WHEN 'India' THEN 83.67E0 WHEN 'Australia' THEN 1.52E0 END"
+
+
+def capstone_status_counts() -> str:
+    """Capstone: a record with a non-positive component, or an average
+    outside its bounds where all three are present, loses its salaries; the
+    labelled rest below 10,000 USD is set aside; duplicates stay."""
     return with_postings(f""",
-n0 AS (
-  SELECT job_id, {", ".join(f"{_norm(c)} AS {c}" for c in
-                            ("job_title", "company", "location", "country", "description", "job_level"))},
-         salary_min, salary_avg, salary_max, is_remote
-  FROM postings),
-n1 AS (
-  SELECT *, sha1(concat_ws('|', {fp})) AS fp,
-         (CASE WHEN salary_avg IS NOT NULL THEN 2 ELSE 0 END
-          + CASE WHEN salary_min > 0 AND salary_max > 0 THEN 1 ELSE 0 END) AS prio
-  FROM n0),
-n2 AS (
-  SELECT *,
-    count(DISTINCT salary_avg) OVER w > 1 OR count(DISTINCT job_level) OVER w > 1
-      OR count(DISTINCT is_remote) OVER w > 1 AS dconf,
-    row_number() OVER (PARTITION BY fp ORDER BY prio DESC, job_id) AS rn,
-    coalesce(salary_min <= 0, false) OR coalesce(salary_avg <= 0, false) OR coalesce(salary_max <= 0, false)
-      OR (salary_min IS NOT NULL AND salary_avg IS NOT NULL AND salary_max IS NOT NULL
-          AND NOT (salary_min <= salary_avg AND salary_avg <= salary_max)) AS bad,
-    CASE country WHEN 'USA' THEN 1.00E0 WHEN 'UK' THEN 0.78E0 WHEN 'Canada' THEN 1.37E0
-                 WHEN 'India' THEN 83.67E0 WHEN 'Australia' THEN 1.52E0 END AS fx
-  FROM n1 WINDOW w AS (PARTITION BY fp)),
-n3 AS (
-  SELECT *,
-    CASE WHEN NOT bad THEN salary_min END AS mn,
-    CASE WHEN NOT bad THEN salary_avg END AS av,
-    CASE WHEN NOT bad THEN salary_max END AS mx
-  FROM n2),
-n4 AS (
-  SELECT *, coalesce(av / fx > 0, false) AS ht, mn IS NOT NULL AND mx IS NOT NULL AS complete
-  FROM n3),
-n5 AS (
-  SELECT *,
-    ht AND NOT (complete AND coalesce(mn > 0 AND mx > 0, false) AND coalesce(mn <= av AND av <= mx, false))
-      AS inv,
-    ht AND complete AND NOT coalesce(abs(av / fx - (mn / fx + mx / fx) / 2)
-                                     <= 0.01E0 + 1e-7 * abs((mn / fx + mx / fx) / 2), false) AS mism
-  FROM n4),
-n6 AS (SELECT *, ht AND NOT inv AND coalesce(av / fx < 10000.0E0, false) AS unit FROM n5)
-SELECT {dup_first}
-         WHEN ht AND NOT inv AND NOT unit AND NOT mism THEN 'model_ready'
-         WHEN av IS NULL THEN 'unlabeled'
-         WHEN inv THEN 'invalid_bounds'
-         WHEN unit THEN 'unit_review'
-         WHEN mism THEN 'midpoint_mismatch'
-         ELSE 'review_other' END AS salary_quality_status,
+p AS (SELECT {_NORMED}, salary_min, salary_avg, salary_max FROM postings),
+fixed AS (
+  SELECT CASE WHEN coalesce(least(salary_min, salary_avg, salary_max) <= 0, false)
+              OR coalesce(salary_min > salary_avg, false) AND salary_max IS NOT NULL
+              OR coalesce(salary_avg > salary_max, false) AND salary_min IS NOT NULL
+         THEN NULL ELSE salary_avg / {_RATE} END AS target
+  FROM p)
+SELECT CASE WHEN target IS NULL THEN 'unlabeled' WHEN target < 10000 THEN 'unit_review'
+            ELSE 'model_ready' END AS salary_quality_status, count(*) AS rows
+FROM fixed GROUP BY 1""")
+
+
+def beginner_status_counts() -> str:
+    """Beginner: conflicting copies go to review, of the others one labelled
+    row stays; a record with a non-positive component loses its salaries and
+    a target below 1,000 USD counts as missing; every other label trains."""
+    keys = "job_title, company, location, country, description"
+    return with_postings(f""",
+p AS (SELECT job_id, {_NORMED}, salary_min, salary_avg, salary_max, is_remote FROM postings),
+g AS (
+  SELECT {", ".join(f"coalesce({k}, '') AS k_{k}" for k in keys.split(", "))},
+         count(DISTINCT salary_avg) > 1 OR count(DISTINCT job_level) > 1 OR count(DISTINCT is_remote) > 1 AS conflict,
+         min(job_id) FILTER (WHERE salary_avg IS NOT NULL) AS labelled, min(job_id) AS any_row
+  FROM p GROUP BY ALL),
+j AS (
+  SELECT p.*, g.conflict, coalesce(g.labelled, g.any_row) = p.job_id AS kept,
+         CASE WHEN coalesce(least(salary_min, salary_avg, salary_max) <= 0, false) THEN NULL
+              ELSE salary_avg / {_RATE} END AS usd
+  FROM p JOIN g ON {" AND ".join(f"coalesce(p.{k}, '') = g.k_{k}" for k in keys.split(", "))})
+SELECT CASE WHEN conflict THEN 'duplicate_conflict' WHEN NOT kept THEN 'duplicate_removed'
+            WHEN coalesce(usd >= 1000, false) THEN 'model_ready' ELSE 'unlabeled' END AS salary_quality_status,
        count(*) AS rows
-FROM n6 GROUP BY 1""")
+FROM j GROUP BY 1""")

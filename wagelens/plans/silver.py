@@ -13,29 +13,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wagelens.operators import clean, dedup, skills
+from wagelens.operators.profile import enforce_contract
 from wagelens.functions.columns import normalized_key
 from wagelens.rules import REVIEW_STATUSES, STRICT, RuleSet
 
 
-def build_silver(bronze: DataFrame, rules: RuleSet = STRICT) -> DataFrame:
-    """The fingerprinted rows are not persisted here: the group-facts branch
+def build_silver(bronze: DataFrame, rules: RuleSet = STRICT, enforce: bool = True) -> DataFrame:
+    """Silver rows of a Bronze table.  With ``enforce`` (the default) a
+    Bronze that breaks its contract raises before anything is planned.
+    The fingerprinted rows are not persisted here: the group-facts branch
     prunes to the key columns, so recomputing their normalisation and
     SHA-1 is cheaper than holding a second full copy of the table next to
     the persisted Silver (measured: 4.9 s vs 5.3 s at sf0.1)."""
+    if enforce:
+        enforce_contract(bronze)
     df = clean.normalize_strings(bronze)
     df = dedup.duplicate_audit(df, rules, already_normalized=True, reuse_input=False)
     df = clean.add_currency(df)
     df = clean.add_usd(df)
     if rules.bounds_rule == "null_out":
-        df = clean.repair_salary(clean.salary_issue_flags(df))
+        df = clean.repair_salary(clean.salary_issue_flags(df), rules.repair_disordered)
         df = clean.add_usd(df.drop(*[f"{c}_{s}" for c in clean.SALARY_COLUMNS for s in ("local", "usd")]))
+        if rules.target_floor_usd is not None:
+            df = clean.drop_tiny_targets(df, rules.target_floor_usd)
     df = clean.salary_flags(df, rules)
     df = clean.quality_status(df, rules)
     df = clean.experience_features(df, rules)
     df = clean.seniority(df)
     df = skills.skill_features(df, rules)
     df = df.withColumn("job_title_text", normalized_key("job_title", already_normalized=True))
-    df = clean.log_target(df)
+    df = clean.log_target(df, guard_positive=rules.log_guard_positive)
     return df
 
 

@@ -36,16 +36,11 @@ EXPECTED_COLUMNS = [
 ]
 EXPECTED_COUNTRIES = ["USA", "UK", "Canada", "India", "Australia"]
 EXPECTED_LEVELS = ["Junior", "Mid", "Senior", "Lead"]
-LEVEL_ORDER = ["Junior", "Mid", "Senior", "Lead"]
 ALL_SKILLS = ["python", "sql", "spark", "aws", "excel", "machine learning", "power bi", "tableau"]
 TOP_SKILLS = ["python", "sql", "spark", "aws"]
 SENIOR_LEVELS = ["Senior", "Lead"]
 SEGMENT_LABELS = {0: "Standard", 1: "Premium"}
 
-STATUS_ORDER = [
-    "duplicate_conflict", "duplicate_removed", "model_ready", "unlabeled",
-    "invalid_bounds", "unit_review", "midpoint_mismatch", "review_other",
-]
 REVIEW_STATUSES = ["duplicate_conflict", "invalid_bounds", "unit_review",
                    "midpoint_mismatch", "review_other"]
 
@@ -59,8 +54,8 @@ LEAKAGE_COLUMNS = [
 ]
 
 # Boolean text tokens (capstone boolean parser).
-TRUE_TOKENS = ["true", "1", "yes", "y", "t"]
-FALSE_TOKENS = ["false", "0", "no", "n", "f"]
+TRUE_TOKENS = ["true", "1", "yes"]
+FALSE_TOKENS = ["false", "0", "no"]
 
 # Ridge alpha path and tuning grids (strict preset).
 RIDGE_ALPHAS = [0.01, 0.1, 1.0, 10.0, 100.0, 1_000.0]
@@ -89,7 +84,7 @@ class RuleSet:
     dedup_columns: tuple[str, ...]
     dedup_lowercase: bool
     dedup_effect: str                   # "remove" | "flag"
-    bounds_rule: str                    # "strict" | "phase1"
+    bounds_rule: str                    # "strict" | "phase1" | "null_out"
     unit_floor_usd: dict = field(default_factory=dict)  # country -> floor; "*" default
     unit_cap_usd: float | None = MAX_ANNUAL_SALARY_USD
     midpoint_rtol: float = 1e-7
@@ -103,6 +98,13 @@ class RuleSet:
     skill_match: str = "membership"     # "membership" | "substring"
     skills_sorted_distinct: bool = True
     conflict_columns: tuple[str, ...] = ("salary_avg", "job_level", "is_remote")
+    bounds_decide_canonical: bool = True  # two positive bounds break ties between copies
+    # "null_out" presets only: which records lose their salaries, and what a
+    # target below the unit floor means.
+    repair_disordered: bool = True
+    target_floor_usd: float | None = None  # targets below it count as missing
+    low_unit: str = "review"            # "review" | "flag"
+    log_guard_positive: bool = False    # log target for positive salaries only
 
     def with_(self, **changes) -> "RuleSet":
         return replace(self, **changes)
@@ -132,6 +134,7 @@ PHASE1 = RuleSet(
     midpoint_rtol=1e-5,
     midpoint_atol=1e-8,
     midpoint_basis="local",
+    log_guard_positive=True,
     tier=TierRule((-0.01, 2, 5, 10, float("inf")),
                   ("0-2 years", "3-5 years", "6-10 years", "11+ years"),
                   missing_label="Missing"),
@@ -167,6 +170,10 @@ BEGINNER = RuleSet(
                   ("Entry", "Intermediate", "Experienced", "Highly Experienced"),
                   missing_label="Unknown"),
     skills_sorted_distinct=False,
+    bounds_decide_canonical=False,
+    repair_disordered=False,
+    target_floor_usd=1_000.0,
+    low_unit="flag",
 )
 
 PRESETS = {r.name: r for r in (STRICT, PHASE1, CAPSTONE, BEGINNER)}

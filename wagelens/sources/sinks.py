@@ -36,8 +36,8 @@ def export_layers(silver: DataFrame, base: str, fmt: str = "parquet") -> dict[st
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "csv") -> str:
-    """One analysis table per folder (small tables: one file)."""
-    out = _flat(df).coalesce(1) if fmt == "csv" else df
+    """One analysis table per folder, in as many files as it has partitions."""
+    out = _flat(df) if fmt == "csv" else df
     w = out.write.mode("overwrite")
     (w.option("header", True).csv(path) if fmt == "csv" else w.parquet(path))
     return path
