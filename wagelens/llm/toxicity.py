@@ -21,7 +21,6 @@ are ignored (``reject`` keeps them).
 
 from __future__ import annotations
 
-import heapq
 from types import SimpleNamespace
 
 import numpy as np
@@ -46,6 +45,11 @@ NEAREST = 15
 BLOCK = 64
 BINS = 20
 THRESHOLD = 0.7
+#: Table of word openings that occur in the space.
+OPENING_MIX, OPENING_MASK = 0x9E3779B1, (1 << 20) - 1
+#: Blocks opened at first; their k-th cosine then decides about all others.
+FIRST_BLOCKS = 8
+REMEMBERED = 50_000
 NO_LABELS = 0.0
 PRIOR = 2.0
 
@@ -55,49 +59,65 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
 
 
-def row_terms(column, known: np.ndarray | None = None):
-    """Distinct (row, term, count) of a text column and the number of rows.
-    Terms are words and their beginnings; ``known`` keeps only listed ones."""
+def openings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The first four bytes of each word as a number, shorter words padded."""
+    padded = np.concatenate((data, np.zeros(4, np.uint8)))
+    code = np.zeros(len(start), np.int64)
+    for j in range(4):
+        code |= np.where(end - start > j, padded[start + j], 0).astype(np.int64) << (8 * j)
+    return code
+
+
+def row_terms(column, space: SimpleNamespace | None = None):
+    """Distinct (row, term, count, opening) of a text column and the number of
+    rows.  Terms are words and their beginnings; with a ``space`` only its own,
+    and only words with the opening of one are looked at."""
     data, off = text_buffer(column)
     data = LOWER[data]
     start, end, row = word_spans(data, off, ALNUM_WORDS)
-    rows, terms = [np.zeros(0, np.int64)], [np.zeros(0, U64)]
+    code = openings(data, start, end)
+    if space is not None and len(start):
+        seen = space.opened[(code * OPENING_MIX >> 8) & OPENING_MASK]
+        start, end, row, code = start[seen], end[seen], row[seen], code[seen]
+    rows, terms, codes = [np.zeros(0, np.int64)], [np.zeros(0, U64)], [np.zeros(0, np.int64)]
     prefix = prefix_hash(data) if len(start) else None
     for size in (0, *BEGINNINGS) if len(start) else ():
         longer = end - start > size
         stop = start[longer] + size if size else end
         term = span_hash(prefix, start[longer], stop) ^ U64(size)
-        mine = row[longer]
-        if known is not None:
-            hit = known[np.minimum(np.searchsorted(known, term), len(known) - 1)] == term
-            term, mine = term[hit], mine[hit]
+        mine, first = row[longer], code[longer]
+        if space is not None:
+            hit = space.terms[np.minimum(np.searchsorted(space.terms, term), len(space.terms) - 1)] == term
+            term, mine, first = term[hit], mine[hit], first[hit]
         rows.append(mine)
         terms.append(term)
-    row, term = np.concatenate(rows), np.concatenate(terms)
+        codes.append(first)
+    row, term, code = np.concatenate(rows), np.concatenate(terms), np.concatenate(codes)
     order = np.lexsort((term, row))
-    term, row = term[order], row[order]
+    term, row, code = term[order], row[order], code[order]
     new = np.ones(len(term), bool)
     new[1:] = (term[1:] != term[:-1]) | (row[1:] != row[:-1])
     at = np.flatnonzero(new)
-    return row[at], term[at], np.diff(np.append(at, len(term))), len(off) - 1
+    return row[at], term[at], np.diff(np.append(at, len(term))), code[at], len(off) - 1
 
 
 def count_terms(batches):
-    """Partial counts (term, documents, positive documents) of a task."""
+    """Partial counts (term, opening, documents, positive documents) of a task."""
 
     def flush(parts):
         if parts:
             term = np.concatenate([p[0] for p in parts])
             label = np.concatenate([p[1] for p in parts])
-            kind, at = np.unique(term, return_inverse=True)
+            kind, one, at = np.unique(term, return_index=True, return_inverse=True)
+            code = np.concatenate([p[2] for p in parts])[one]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(kind.view(np.int64)), pa.array(np.bincount(at, minlength=len(kind))),
-                 pa.array(np.bincount(at, weights=label, minlength=len(kind)).astype(np.int64))], ["term", "n", "pos"])
+                [pa.array(kind.view(np.int64)), pa.array(code), pa.array(np.bincount(at, minlength=len(kind))),
+                 pa.array(np.bincount(at, weights=label, minlength=len(kind)).astype(np.int64))], ["term", "opening", "n", "pos"])
 
     parts, size = [], 0
     for batch in batches:
-        row, term, _, _ = row_terms(batch.column("text"))
-        parts.append((term, batch.column("toxic").to_numpy()[row]))
+        row, term, _, code, _ = row_terms(batch.column("text"))
+        parts.append((term, batch.column("toxic").to_numpy()[row], code))
         size += len(term)
         if size > 2_000_000:
             yield from flush(parts)
@@ -107,7 +127,7 @@ def count_terms(batches):
 
 def vectors(column, space: SimpleNamespace):
     """Rows of unit tf-idf vectors in the space: (offsets, terms, weights)."""
-    row, term, tf, n = row_terms(column, space.terms) if len(space.terms) else (*[np.zeros(0, np.int64)] * 3, len(column))
+    row, term, tf, _, n = row_terms(column, space) if len(space.terms) else (*[np.zeros(0, np.int64)] * 4, len(column))
     at = np.searchsorted(space.terms, term)
     w = (1 + np.log(tf)) * space.idf[at]
     norm = np.sqrt(np.bincount(row, weights=w * w, minlength=n))
@@ -134,34 +154,39 @@ def build_index(off, terms, weights, n_terms: int, block: int = BLOCK) -> Simple
 
 def nearest(index: SimpleNamespace, terms, weights, k: int, without: int = -1):
     """The ``k`` examples of largest cosine (> 0): [(cosine, example)], ties to
-    the smaller example.  Blocks are opened in order of their bound until the
-    next bound lies below the k-th cosine."""
+    the smaller example.  The blocks of largest bound are scored first; of the
+    others only those whose bound reaches the k-th cosine found so far."""
     bound = np.zeros(index.blocks)
-    live = []
+    examples, parts = [], []
     for t, w in zip(terms.tolist(), weights.tolist()):
         if t in index.top:
             bound += w * index.top[t]
-            live.append((t, w))
-    best: list = []  # min-heap of (cosine, -example)
-    for b in np.argsort(-bound, kind="stable").tolist():
-        if bound[b] <= 0 or (len(best) == k and bound[b] < best[0][0] - 1e-9):
-            break
-        low = b * index.block
-        cosine = np.zeros(index.block)
-        for t, w in live:
             a, z = index.start[t], index.start[t + 1]
-            i = a + np.searchsorted(index.example[a:z], low)
-            j = a + np.searchsorted(index.example[a:z], low + index.block)
-            cosine[index.example[i:j] - low] += w * index.weight[i:j]
-        if 0 <= without - low < index.block:
-            cosine[without - low] = 0
-        for e in np.flatnonzero(cosine > 0).tolist():
-            item = (float(cosine[e]), -(low + e))
-            if len(best) < k:
-                heapq.heappush(best, item)
-            elif item > best[0]:
-                heapq.heapreplace(best, item)
-    return [(c, -e) for c, e in sorted(best, reverse=True)]
+            examples.append(index.example[a:z])
+            parts.append(w * index.weight[a:z])
+    if not examples:
+        return []
+    example, part = np.concatenate(examples), np.concatenate(parts)
+    if without >= 0:
+        other = example != without
+        example, part = example[other], part[other]
+    block = example // index.block
+
+    def scored(chosen):
+        mine = chosen[block]
+        found, at = np.unique(example[mine], return_inverse=True)
+        return found, np.bincount(at, weights=part[mine], minlength=len(found))
+
+    chosen = bound > 0
+    if chosen.sum() > FIRST_BLOCKS:
+        first = np.zeros(index.blocks, bool)
+        first[np.argpartition(-bound, FIRST_BLOCKS)[:FIRST_BLOCKS]] = True
+        _, cosine = scored(first)
+        if len(cosine) >= k:
+            chosen = first | (bound >= np.partition(cosine, -k)[-k] - 1e-9)
+    found, cosine = scored(chosen)
+    best = np.lexsort((found, -np.round(cosine, 12)))[:k]
+    return list(zip(cosine[best].tolist(), found[best].tolist()))
 
 
 def votes(found, labels) -> float:
@@ -175,14 +200,21 @@ def vote_rows(shared, k: int, itself: bool):
 
     def run(batches):
         space, index, labels, ids = shared.value
+        place = {d: i for i, d in enumerate(ids)} if itself else {}
+        known: dict = {}
         for batch in batches:
             off, terms, weights = vectors(batch.column("text"), space)
             doc = batch.column("doc_id").to_pylist()
             raw, near, sim = [], [], []
-            place = {d: i for i, d in enumerate(ids)} if itself else {}
             for i, d in enumerate(doc):
-                a, b = off[i], off[i + 1]
-                found = nearest(index, terms[a:b], weights[a:b], k, place.get(d, -1)) if a < b else []
+                t, w = terms[off[i]:off[i + 1]], weights[off[i]:off[i + 1]]
+                key = (t.tobytes(), w.tobytes())
+                found = known.get(key)
+                if found is None:
+                    found = nearest(index, t, w, k, place.get(d, -1)) if len(t) else []
+                    # Equal vectors (mostly single terms) have the same neighbours.
+                    if not itself and len(known) < REMEMBERED:
+                        known[key] = found
                 raw.append(votes(found, labels) if found else None)
                 near.append([ids[e] for _, e in found])
                 sim.append([c for c, _ in found])
@@ -232,14 +264,16 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> Da
     rate_p, rate_n = (a + 0.5) / (positive + 1), (b + 0.5) / (negative + 1)
     d = positive * negative * F.col("n") * (total - F.col("n"))
     chi = F.when(d > 0, total * F.pow(a * (negative - b) - b * (positive - a), 2) / d).otherwise(0.0)
-    counted = (examples.select("text", "toxic").mapInArrow(count_terms, "term long, n long, pos long").groupBy("term")
-               .agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")).where(F.col("n") >= LEAST_DOCUMENTS)
+    counted = (examples.select("text", "toxic").mapInArrow(count_terms, "term long, opening long, n long, pos long").groupBy("term")
+               .agg(F.min("opening").alias("opening"), F.sum("n").alias("n"), F.sum("pos").alias("pos")).where(F.col("n") >= LEAST_DOCUMENTS)
                .withColumn("chi", chi).where((F.col("chi") >= CHI_SQUARE) & ((rate_p >= RATIO * rate_n) | (rate_n >= RATIO * rate_p)))
                .orderBy(F.desc("chi"), "term").limit(TERMS).collect())
     term = np.array([r["term"] for r in counted], np.int64).view(U64)
     by = np.argsort(term)
     idf = np.log((total + 1) / (np.array([r["n"] for r in counted], float) + 1)) + 1
-    space = SimpleNamespace(terms=term[by], idf=idf[by])
+    opened = np.zeros(OPENING_MASK + 1, bool)
+    opened[(np.array([r["opening"] for r in counted], np.int64) * OPENING_MIX >> 8) & OPENING_MASK] = True
+    space = SimpleNamespace(terms=term[by], idf=idf[by], opened=opened)
 
     # At most EXAMPLES sparse vectors (a term is 16 bytes), never their texts.
     rows = (examples.mapInArrow(example_vectors(spark.sparkContext.broadcast(space)),
