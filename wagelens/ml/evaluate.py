@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from wagelens.functions.columns import attach_scalars
 
+from wagelens.operators.quantiles import checked_broadcast
 from wagelens.operators.splits import rank_within
 from wagelens.rules import INDUSTRY_MAE_USD, LEGACY_MAE_USD
 
@@ -60,7 +61,7 @@ def group_mean_cv(dev: DataFrame, groups: list[str], label: str, fold: str = "fo
     fallback = (attach_scalars(glob.withColumnRenamed(fold, "_k"), tot)
                 .select("_k", F.try_divide(F.col("_ts") - F.col("_gs"), F.col("_tn") - F.col("_gn")).alias("_fm")))
     rows = (dev.select(key, *groups, fold, label, folds)
-            .join(means, [*groups, "_k"], "left").join(F.broadcast(fallback), "_k", "left")
+            .join(checked_broadcast(means), [*groups, "_k"], "left").join(F.broadcast(fallback), "_k", "left")
             .withColumn("prediction", F.coalesce("_gm", "_fm"))
             .withColumn("_role", F.when(F.col(fold) == F.col("_k"), "val").otherwise("train")))
     per_fold = rows.groupBy("_k", "_role").agg(*metric_aggs(label, "prediction"))
@@ -73,30 +74,6 @@ def group_mean_cv(dev: DataFrame, groups: list[str], label: str, fold: str = "fo
     return summary, oof
 
 
-def cv_summary(make_pipeline, dev: DataFrame, label: str, fold: str = "fold", k: int = 5,
-               prediction: str = "prediction", inverse=None) -> dict:
-    """I7 for any estimator: one distributed fit per fold; returns the same
-    five numbers as the reference (MAE SD with ddof=0).  ``inverse`` maps
-    label/prediction columns back to the reported scale (e.g. expm1)."""
-    dev = dev.persist(StorageLevel.MEMORY_AND_DISK)
-    val_scores, train_mae = [], []
-    tr_fn = inverse or (lambda c: c)
-    for i in range(k):
-        train = dev.where(F.col(fold) != i)
-        valid = dev.where(F.col(fold) == i)
-        model = make_pipeline(train).fit(train)
-        v = model.transform(valid).agg(*metric_aggs(tr_fn(F.col(label)), tr_fn(F.col(prediction)))).first()
-        t = model.transform(train).agg(*metric_aggs(tr_fn(F.col(label)), tr_fn(F.col(prediction)))).first()
-        val_scores.append((v["MAE"], v["RMSE"], v["R2"]))
-        train_mae.append(t["MAE"])
-    import numpy as np
-    arr = np.array(val_scores, dtype=float)
-    dev.unpersist()
-    return {"CV_MAE": float(arr[:, 0].mean()), "CV_MAE_SD": float(arr[:, 0].std()),
-            "CV_RMSE": float(arr[:, 1].mean()), "CV_R2": float(arr[:, 2].mean()),
-            "Train_MAE": float(np.mean(train_mae))}
-
-
 def prediction_audit(scored: DataFrame, label: str, prediction: str = "prediction",
                      keep=("job_id", "country", "job_level", "salary_segment", "job_title", "search_keyword")) -> DataFrame:
     """Actual, predicted, residual, absolute error per row."""

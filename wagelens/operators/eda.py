@@ -1,12 +1,11 @@
 """EDA aggregates.
 
 Each table is one lazy DataFrame over Silver / training.  Group facts are
-partial aggregates; per-group statistics are joined back on the group key
-and AQE decides at runtime (from the real size of the grouped side)
-whether that join is broadcast.  One-row totals are broadcast explicitly
-(proven size: one row).  Exact quantiles use ``percentile`` (linear
-interpolation, same as pandas); ``exact=False`` switches to
-``percentile_approx`` for very large groups.
+partial aggregates; per-group statistics that rows are compared with are
+stored, checked for size and broadcast, so the rows are not shuffled on a
+few group keys.  Box plots, fences and group summaries take exact quantiles
+(linear interpolation, same as pandas) from distributed value counts
+(``quantiles``); ``exact=False`` switches to ``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -17,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wagelens.functions.columns import attach_scalars, false_if_null, g1_skew_correction
+from wagelens.operators.quantiles import checked_broadcast, quantiles_of_counts, value_counts
 
 
 def quantile(c: str | Column, q, exact: bool = True, accuracy: int = 1_000_000) -> Column:
@@ -62,6 +62,14 @@ def coverage_two_keys(silver: DataFrame, a: str = "job_level", b: str = "is_remo
 def group_summary(df: DataFrame, groups: list[str], value: str, exact: bool = True) -> DataFrame:
     """N, mean, median, min, max, bias-corrected skew per group."""
     v = F.col(value)
+    if exact:
+        stats = group_summary(df, groups, value, exact=False).drop("median")
+        middle = quantiles_of_counts(value_counts(df, groups, value), groups, value, [0.5], ["median"])
+        middle = middle.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], F.round("median", 6).alias("median"))
+        same = F.lit(True)
+        for i, g in enumerate(groups):
+            same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+        return stats.join(middle, same).select(*groups, "n", "mean", "median", "min", "max", "skew")
     return (df.where(v.isNotNull()).groupBy(*groups)
             .agg(F.count(v).alias("n"), F.round(F.avg(v), 6).alias("mean"),
                  F.round(quantile(v, 0.5, exact), 6).alias("median"),
@@ -105,7 +113,7 @@ def histogram(df: DataFrame, value: str, bins: int = 30, groups: list[str] | Non
     data = df.where(v.isNotNull())
     if groups:
         bounds = data.groupBy(*groups).agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"))
-        joined = data.join(bounds, groups)
+        joined = data.join(checked_broadcast(bounds), groups)
     else:
         bounds = data.agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"))
         joined = attach_scalars(data, bounds)
@@ -146,14 +154,17 @@ def kde_grid(df: DataFrame, value: str, grid_points: int = 200) -> DataFrame:
 
 def box_stats(df: DataFrame, groups: list[str], value: str, exact: bool = True) -> DataFrame:
     """Q1, median, Q3, IQR and Tukey whiskers (last point within
-    1.5 IQR) per group.  Two passes: quantiles by group, then whiskers on
-    the rows joined to their group's fences."""
+    1.5 IQR) per group.  Quantiles and whiskers both come from the counts
+    of distinct values; the rows themselves are read once."""
     v = F.col(value)
-    data = df.where(v.isNotNull())
-    q = (data.groupBy(*groups).agg(quantile(v, [0.25, 0.5, 0.75], exact).alias("_q"), F.count(v).alias("n"))
-         .select(*groups, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                 F.col("_q")[2].alias("q3")))
-    q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
+    data = value_counts(df, groups, value)
+    if exact:
+        q = quantiles_of_counts(data, groups, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"]).withColumnRenamed("_n", "n")
+    else:
+        q = (df.where(v.isNotNull()).groupBy(*groups)
+             .agg(quantile(v, [0.25, 0.5, 0.75], False).alias("_q"), F.count(v).alias("n"))
+             .select(*groups, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3")))
+    q = checked_broadcast(q.withColumn("iqr", F.col("q3") - F.col("q1")))
     j = data.join(q, groups)
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
@@ -181,13 +192,16 @@ def skew_comparison(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 def iqr_fences(df: DataFrame, groups: list[str], value: str, k: float = 1.5, exact: bool = True) -> DataFrame:
     """Per-group Q1/Q3 fences joined to every row, with an outlier flag."""
     v = F.col(value)
-    fences = (df.where(v.isNotNull()).groupBy(*groups)
-              .agg(quantile(v, [0.25, 0.75], exact).alias("_q"))
-              .select(*groups, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3"))
+    if exact:
+        quartiles = quantiles_of_counts(value_counts(df, groups, value), groups, value, [0.25, 0.75], ["q1", "q3"]).drop("_n")
+    else:
+        quartiles = (df.where(v.isNotNull()).groupBy(*groups).agg(quantile(v, [0.25, 0.75], False).alias("_q"))
+                     .select(*groups, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3")))
+    fences = (quartiles
               .withColumn("iqr", F.col("q3") - F.col("q1"))
               .withColumn("lower_fence", F.col("q1") - k * F.col("iqr"))
               .withColumn("upper_fence", F.col("q3") + k * F.col("iqr")))
-    out = df.join(fences, groups, "left")
+    out = df.join(checked_broadcast(fences), groups, "left")
     return out.withColumn("is_outlier", false_if_null((v < F.col("lower_fence")) | (v > F.col("upper_fence")))) \
               .withColumn("outlier_side", F.when(false_if_null(v < F.col("lower_fence")), "low")
                           .when(false_if_null(v > F.col("upper_fence")), "high"))

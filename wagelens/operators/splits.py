@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wagelens.rules import CV_FOLDS, RANDOM_STATE, TEST_SIZE
+from wagelens.operators.quantiles import checked_broadcast
 from wagelens.session import materialize
 
 
@@ -68,7 +69,7 @@ def stratified_split(df: DataFrame, strata: list[str], key: str, test_size: floa
     md5 order (portable and reproducible).  Adds ``split`` in
     {'development', 'test'}."""
     ranked = rank_within(df, strata, [hash_order(key, seed), F.col(key)], "_rank")
-    sizes = stratum_sizes(df, strata)
+    sizes = checked_broadcast(stratum_sizes(df, strata))
     n_test = F.floor(F.col("_stratum_n") * test_size + 0.5)
     return (ranked.join(sizes, strata)
             .withColumn(name, F.when(F.col("_rank") <= n_test, "test").otherwise("development"))
@@ -82,7 +83,7 @@ def stratified_split_folds(df: DataFrame, strata: list[str], key: str, test_size
     keep the same order, so their fold is (rank - n_test - 1) mod k - the
     same assignment as re-ranking the development rows alone."""
     ranked = rank_within(df, strata, [hash_order(key, seed), F.col(key)], "_rank")
-    sizes = stratum_sizes(df, strata)
+    sizes = checked_broadcast(stratum_sizes(df, strata))
     n_test = F.floor(F.col("_stratum_n") * test_size + 0.5)
     dev = F.col("_rank") > n_test
     return (ranked.join(sizes, strata)
