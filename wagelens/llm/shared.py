@@ -13,7 +13,7 @@ from wagelens.session import materialize, scratch_path  # noqa: F401  (re-export
 #: Rows in one Arrow batch sent to a Python worker.  A batch of very long
 #: documents stays within a worker's memory; the size has no effect on results.
 BATCH_ROWS = 512
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,3 +58,11 @@ def by_ids(df: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     return df.join(ids, "doc_id", how)
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete a table written by ``store`` whose consumers are stored themselves."""
+    spark = stored.sparkSession
+    for file in stored.inputFiles()[:1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
