@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wagelens.llm.kernels import BASE, U64, mix, prefix_hash, span_hash, text_buffer
-from wagelens.llm.shared import id_and_text, small_batches, store
+from wagelens.llm.shared import discard, id_and_text, small_batches, store
 from wagelens.llm.suffix_array import shares_with_previous, suffix_array
 
 LENGTH = 50
@@ -194,7 +194,7 @@ def marks_of_block(frame):
     return pd.DataFrame(out).astype({"doc_id": "int64"})
 
 
-def send_fragments(shared, length: int):
+def send_fragments(shared, length: int, shards: int):
     """Marked fragments of a block of documents, equal ones once, with places."""
 
     def run(batches):
@@ -238,7 +238,8 @@ def send_fragments(shared, length: int):
                 n = np.concatenate((n[~hot], np.ones(len(step), np.int64)))
                 key = np.concatenate((key[~hot], np.zeros(len(step), U64)))
         content = span_hash(prefix_hash(data), start, start + n + length - 1)
-        key = np.where(key == 0, mix(content), key)
+        # Only the shard travels: a hash of eight bytes a row would not compress.
+        shard = (mix(np.where(key == 0, content, key)) % U64(shards)).astype(np.int32)
         # Equal fragments of the block become one row.
         order = np.lexsort((doc, content))
         c = content[order]
@@ -258,8 +259,8 @@ def send_fragments(shared, length: int):
             binary = lambda offsets, raw: pa.Array.from_buffers(
                 pa.binary(), len(sel), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(raw.tobytes())])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key[r].view(np.int64)), binary(to, data[at]), binary(8 * bounds, d), binary(4 * bounds, p)],
-                ["key", "content", "docs", "places"])
+                [pa.array(shard[r]), binary(to, data[at]), binary(8 * bounds, d), binary(4 * bounds, p)],
+                ["shard", "content", "docs", "places"])
 
     return run
 
@@ -280,46 +281,65 @@ def sort_shard(length: int):
             yield from resolve(table)
 
     def resolve(table):
-        content, docs, places = (table.column(c).to_pylist() for c in ("content", "docs", "places"))
-        same: dict[bytes, list] = {}
-        for i, c in enumerate(content):
-            same.setdefault(c, []).append(i)
-        parts = list(same)
-        size = np.array([len(c) for c in parts], np.int64)
-        text = np.frombuffer(bytes([SEPARATOR]).join(parts) + bytes([SEPARATOR]), np.uint8)
-        begin = np.concatenate(([0], np.cumsum(size + 1)[:-1]))
-        owner = np.array([min(int(np.frombuffer(docs[i], "<i8")[0]) for i in same[c]) for c in parts], np.int64)
+        data, off = binary(table.column("content"))
+        size = np.diff(off)
+        # Equal fragments of several blocks become one part.
+        _, rep, part = np.unique(span_hash(prefix_hash(data), off[:-1], off[1:]), return_index=True, return_inverse=True)
+        size = size[rep]
+        begin = np.cumsum(size + 1) - size - 1
+        text = np.full(int((size + 1).sum()), SEPARATOR, np.uint8)
+        text[ranges(begin, size)] = data[ranges(off[rep], size)]
+        raw_docs, doc_off = binary(table.column("docs"))
+        doc = raw_docs.view("<i8").astype(np.int64)
+        place = binary(table.column("places"))[0].view("<u4").astype(np.int64)
+        part = np.repeat(part, np.diff(doc_off) // 8)
+        owner = np.full(len(rep), np.iinfo(np.int64).max)
+        np.minimum.at(owner, part, doc)
+
         order = suffix_array(text, 256)
         joined = shares_with_previous(text, order, length)[order]
         group = np.flatnonzero(~joined)
-        holder = np.repeat(np.arange(len(parts)), size + 1)
+        holder = np.repeat(np.arange(len(rep)), size + 1)
         least = np.minimum.reduceat(owner[holder[order]], group)
         of_string = np.empty(len(text), np.int64)
         of_string[order] = np.repeat(least, np.diff(np.append(group, len(text))))
-        out_doc, out_from, out_to = [], [], []
-        for k, c in enumerate(parts):
-            first = of_string[begin[k]:begin[k] + size[k] - length + 1]
-            d = np.concatenate([np.frombuffer(docs[i], "<i8") for i in same[c]])
-            p = np.concatenate([np.frombuffer(places[i], "<u4") for i in same[c]]).astype(np.int64)
-            top, low = int(first.max()), int(first.min())
-            whole = d > top
-            if whole.any():  # every string of the fragment repeats
-                out_doc.append(d[whole])
-                out_from.append(p[whole])
-                out_to.append(p[whole] + size[k])
-            for j in np.flatnonzero(~whole & (d > low)).tolist():
-                edge = np.diff(np.concatenate(([0], (first < d[j]).astype(np.int8), [0])))
-                a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-                out_doc.append(np.full(len(a), d[j]))
-                out_from.append(p[j] + a)
-                out_to.append(p[j] + b + length - 1)
-        if out_doc:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(out_doc)), pa.array((np.concatenate(out_from) << 32) | np.concatenate(out_to))], ["doc_id", "span"])
+
+        strings = size - length + 1
+        first = np.cumsum(strings) - strings
+        owners = of_string[ranges(begin, strings)]
+        top, low = np.maximum.reduceat(owners, first), np.minimum.reduceat(owners, first)
+        whole = doc > top[part]  # every string of the fragment repeats
+        some = np.flatnonzero(~whole & (doc > low[part]))
+        n = strings[part[some]]
+        who = np.repeat(np.arange(len(some)), n)
+        gone = owners[ranges(first[part[some]], n)] < doc[some][who]
+        edge = np.ones(len(who) + 1, bool)
+        edge[1:-1] = (who[1:] != who[:-1]) | (gone[1:] != gone[:-1])
+        cut = np.flatnonzero(edge)
+        a, b = cut[:-1][gone[cut[:-1]]], cut[1:][gone[cut[:-1]]]
+        at = some[who[a]] if len(a) else np.zeros(0, np.int64)
+        base = place[at] - (np.cumsum(n) - n)[who[a]] if len(a) else np.zeros(0, np.int64)
+        out_doc = np.concatenate((doc[whole], doc[at]))
+        start = np.concatenate((place[whole], base + a))
+        stop = np.concatenate((place[whole] + size[part[whole]], base + b + length - 1))
+        yield pa.RecordBatch.from_arrays([pa.array(out_doc), pa.array((start << 32) | stop)], ["doc_id", "span"])
 
     return run
 
 
+def binary(column) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of a binary column without nulls."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    column = column.cast(pa.large_binary())
+    off = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[off[0]:off[-1]], off - off[0]
+
+
+def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``start[i], start[i] + 1, ...`` for ``size[i]`` numbers, all in a row."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
 def merged(spans) -> list[tuple[int, int]]:
     out: list = []
     for x in np.sort(np.asarray(spans, np.int64)).tolist():
@@ -350,13 +370,15 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     for r in counts.orderBy(F.desc("n"), "anchor").limit(FREQUENT).collect():
         hot[r[0]] = r[1]
     shared = spark.sparkContext.broadcast(np.sort(np.array(list(hot), np.int64).view(U64)))
-    marked = texts.where("doc_id IS NOT NULL").join(marks, "doc_id")
-    parts = store(marked.select("doc_id", "text", "marks").mapInArrow(
-        send_fragments(shared, length), "key long, content binary, docs binary, places binary"), "fragments")
-    size = parts.agg(F.sum(F.octet_length("content"))).first()[0] or 0
+    for done in (sent, met):
+        discard(done)
+    # A mark stands for one fragment of about ``length`` and a third bytes.
+    size = (marks.agg(F.sum(F.octet_length("marks"))).first()[0] or 0) // 4 * (length + length // 3)
     shards = max(partitions, -(-size // SHARD_BYTES))
-    dealt = parts.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int"))
-    return store(dealt.repartition(shards, "shard").mapInArrow(sort_shard(length), "doc_id long, span long"), "spans")
+    marked = texts.where("doc_id IS NOT NULL").join(marks, "doc_id")
+    parts = marked.select("doc_id", "text", "marks").mapInArrow(
+        send_fragments(shared, length, shards), "shard int, content binary, docs binary, places binary")
+    return store(parts.repartition(shards, "shard").mapInArrow(sort_shard(length), "doc_id long, span long"), "spans")
 
 
 def unpack_counts(batches):
