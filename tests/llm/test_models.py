@@ -105,6 +105,38 @@ def test_nearest_examples_are_exact():
         assert np.allclose([c for c, _ in got], cosine[best])
 
 
+@pytest.mark.parametrize("hot", [1024, 6])
+def test_nearest_examples_of_many_rows_are_exact(monkeypatch, hot):
+    monkeypatch.setattr(toxicity, "HOT", hot)
+    rng = np.random.default_rng(4)
+    dense = np.where(rng.random((900, 50)) < 0.15, rng.random((900, 50)), 0)
+    row, term = np.nonzero(dense)
+    off = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=900))))
+    index = toxicity.build_index(off, term, dense[row, term], 50, 8)
+    got = list(toxicity.nearest_rows(index, off, term, dense[row, term], 7, list(range(900))))
+    for i, found in enumerate(got):
+        cosine = np.round(dense @ dense[i], 12)
+        cosine[i] = 0
+        best = [e for e in np.lexsort((np.arange(900), -cosine)) if cosine[e] > 0][:7]
+        assert np.allclose([c for c, _ in found], cosine[best], rtol=1e-5) and [e for _, e in found] == best
+
+
+def test_toxicity_searches_by_every_term(spark):
+    # One word too rare for any test of significance is all that two texts share.
+    texts = [f"plain{i} words{i} about nothing{i}" for i in range(40)]
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 3 != 1]
+    docs = [(i, t) for i, t in zip(ids, texts)] + [(900, "seldomly plain3"), (901, "ABOUT"), (902, "unknown1 zzz"), (903, None)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(k < 4)) for k, i in enumerate(ids[:40])], "doc_id long, toxic long")
+    got = {r.doc_id: r for r in toxicity.score(docs, labels).collect()}
+    assert got[900].near[0] == ids[3] and 0 < got[900].cosine[0] < 1
+    assert len(got[901].near) == toxicity.NEAREST and not got[902].near and not got[903].near
+    assert all(got[i].near[0] == i for i in ids[:40])
+    # idf counts the 42 documents with text, of which 41 hold "about", not the 40 examples.
+    weight = toxicity.term_weights(43, np.array([41.0]), 40, 4, np.array([40.0]), np.array([4.0]))
+    assert weight[0] == pytest.approx(math.log(44 / 42) + 1)
+
+
 def test_toxicity_on_held_out_rows(spark, edges, nothing):
     docs, labels = spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     got = toxicity.score(docs, labels).select("doc_id", "held_out", "score", "predicted").join(labels, "doc_id").toPandas()

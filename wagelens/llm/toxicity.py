@@ -1,17 +1,18 @@
 """Toxicity from the nearest labelled examples (op6).
 
 Examples are a bounded sample of labelled documents (``EXAMPLES`` rows, those
-of least hashed id).  Their terms are counted in Spark; terms that tell the
-labels apart make the vector space, weighted tf-idf and scaled to length one.
-The examples go into an inverted index whose postings lie in blocks with the
-block's largest weight, and every document finds its ``NEAREST`` examples by
+of least hashed id).  All their terms make the vector space: tf-idf with
+document frequencies counted over the whole corpus, each term weighted up by
+how much it tells the labels apart (never down), scaled to length one.  The
+examples go into an index in blocks with each term's largest weight in the
+block, and every document that shares a term finds its ``NEAREST`` examples by
 exact cosine: blocks whose bound cannot reach the current k-th score are
 skipped, nothing else is.  The examples vote with weights that fall with
 distance, and the share of votes is calibrated on the examples themselves,
 each one scored without itself.
 
-The index (at most ``EXAMPLES`` rows x ``TERMS`` terms) is broadcast; the
-scoring pass is narrow.
+The examples' terms (at most ``EXAMPLES`` rows) are broadcast; the scoring
+pass is narrow.
 
 Defined results: null and empty texts, and texts without any term of the
 space, score the calibrated share of such examples; repeated rows each give
@@ -25,31 +26,27 @@ from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wagelens.llm.kernels import ALNUM_WORDS, LOWER, U64, prefix_hash, span_hash, text_buffer, word_spans
 from wagelens.llm.shared import id_and_text, small_batches, store
 
-#: Bounds of the fitted model.
+#: Bound of the fitted model.
 EXAMPLES = 20_000
-TERMS = 4_000
 #: Besides words, their first bytes are terms (inflected and joined forms).
 BEGINNINGS = (4, 5, 6, 7)
-#: A term enters the space when its documents differ this much by label:
-#: documents, chi-square, and the ratio of its smoothed rates either way.
-LEAST_DOCUMENTS = 4
-CHI_SQUARE = 20.0
-RATIO = 8.0
 NEAREST = 15
 BLOCK = 64
 BINS = 20
 THRESHOLD = 0.7
-#: Table of word openings that occur in the space.
-OPENING_MIX, OPENING_MASK = 0x9E3779B1, (1 << 20) - 1
+#: Terms of a cluster held as matrices (the rest as postings), and clusters.
+HOT, CLUSTERS = 2048, 12
+#: Rows scored together, and the error of single precision.
+ROWS, SLACK = 128, 1e-5
 #: Blocks opened at first; their k-th cosine then decides about all others.
 FIRST_BLOCKS = 8
-REMEMBERED = 50_000
 NO_LABELS = 0.0
 PRIOR = 2.0
 
@@ -59,65 +56,62 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
 
 
-def openings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """The first four bytes of each word as a number, shorter words padded."""
-    padded = np.concatenate((data, np.zeros(4, np.uint8)))
-    code = np.zeros(len(start), np.int64)
-    for j in range(4):
-        code |= np.where(end - start > j, padded[start + j], 0).astype(np.int64) << (8 * j)
-    return code
-
-
-def row_terms(column, space: SimpleNamespace | None = None):
-    """Distinct (row, term, count, opening) of a text column and the number of
-    rows.  Terms are words and their beginnings; with a ``space`` only its own,
-    and only words with the opening of one are looked at."""
+def row_terms(column, vocabulary: np.ndarray | None = None):
+    """Distinct (row, term, count) of a text column in order and the number of
+    rows.  Terms are words and their beginnings, as hashes; with a sorted
+    ``vocabulary`` only its own, as places in it."""
     data, off = text_buffer(column)
     data = LOWER[data]
     start, end, row = word_spans(data, off, ALNUM_WORDS)
-    code = openings(data, start, end)
-    if space is not None and len(start):
-        seen = space.opened[(code * OPENING_MIX >> 8) & OPENING_MASK]
-        start, end, row, code = start[seen], end[seen], row[seen], code[seen]
-    rows, terms, codes = [np.zeros(0, np.int64)], [np.zeros(0, U64)], [np.zeros(0, np.int64)]
-    prefix = prefix_hash(data) if len(start) else None
-    for size in (0, *BEGINNINGS) if len(start) else ():
-        longer = end - start > size
-        stop = start[longer] + size if size else end
-        term = span_hash(prefix, start[longer], stop) ^ U64(size)
-        mine, first = row[longer], code[longer]
-        if space is not None:
-            hit = space.terms[np.minimum(np.searchsorted(space.terms, term), len(space.terms) - 1)] == term
-            term, mine, first = term[hit], mine[hit], first[hit]
-        rows.append(mine)
-        terms.append(term)
-        codes.append(first)
-    row, term, code = np.concatenate(rows), np.concatenate(terms), np.concatenate(codes)
-    order = np.lexsort((term, row))
-    term, row, code = term[order], row[order], code[order]
-    new = np.ones(len(term), bool)
-    new[1:] = (term[1:] != term[:-1]) | (row[1:] != row[:-1])
-    at = np.flatnonzero(new)
-    return row[at], term[at], np.diff(np.append(at, len(term))), code[at], len(off) - 1
+    if len(start) == 0:
+        return np.zeros(0, np.int64), np.zeros(0, U64 if vocabulary is None else np.int64), np.zeros(0, np.int64), len(off) - 1
+    prefix = prefix_hash(data)
+    # Each different word of the batch is cut once.
+    _, one, word = np.unique(span_hash(prefix, start, end), return_index=True, return_inverse=True)
+    first, last = start[one], end[one]
+    owner, cut = [], []
+    for size in (0, *BEGINNINGS):
+        longer = np.flatnonzero(last - first > size)
+        owner.append(longer)
+        cut.append(span_hash(prefix, first[longer], first[longer] + size if size else last[longer]) ^ U64(size))
+    owner, cut = np.concatenate(owner), np.concatenate(cut)
+    if vocabulary is None:
+        known, term = np.unique(cut, return_inverse=True)
+    else:
+        known, term = vocabulary, np.searchsorted(vocabulary, cut)
+        hit = known[np.minimum(term, len(known) - 1)] == cut if len(known) else np.zeros(len(cut), bool)
+        owner, term = owner[hit], term[hit]
+    order = np.argsort(owner, kind="stable")
+    of_word = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(one)))))
+    at, many = runs(of_word[word], of_word[word + 1])
+    width = max(len(known), 1)
+    key = np.sort(np.repeat(row, many) * width + term[order][at])
+    new = np.flatnonzero(np.concatenate((np.ones(len(key[:1]), bool), key[1:] != key[:-1])))
+    row, term = np.divmod(key[new], width)
+    return row, known[term] if vocabulary is None else term, np.diff(np.append(new, len(key))), len(off) - 1
+
+
+def runs(first: np.ndarray, last: np.ndarray):
+    """Numbers of the ranges ``first[i]:last[i]`` one after the other, and their lengths."""
+    many = last - first
+    return np.arange(many.sum()) + np.repeat(first - (np.cumsum(many) - many), many), many
 
 
 def count_terms(batches):
-    """Partial counts (term, opening, documents, positive documents) of a task."""
+    """Partial counts (term, documents, positive documents) of a task."""
 
     def flush(parts):
         if parts:
-            term = np.concatenate([p[0] for p in parts])
-            label = np.concatenate([p[1] for p in parts])
-            kind, one, at = np.unique(term, return_index=True, return_inverse=True)
-            code = np.concatenate([p[2] for p in parts])[one]
+            term, label = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+            kind, at = np.unique(term, return_inverse=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(kind.view(np.int64)), pa.array(code), pa.array(np.bincount(at, minlength=len(kind))),
-                 pa.array(np.bincount(at, weights=label, minlength=len(kind)).astype(np.int64))], ["term", "opening", "n", "pos"])
+                [pa.array(kind.view(np.int64)), pa.array(np.bincount(at, minlength=len(kind))),
+                 pa.array(np.bincount(at, weights=label, minlength=len(kind)).astype(np.int64))], ["term", "n", "pos"])
 
     parts, size = [], 0
     for batch in batches:
-        row, term, _, code, _ = row_terms(batch.column("text"))
-        parts.append((term, batch.column("toxic").to_numpy()[row], code))
+        row, term, _, _ = row_terms(batch.column("text"))
+        parts.append((term, batch.column("toxic").to_numpy()[row]))
         size += len(term)
         if size > 2_000_000:
             yield from flush(parts)
@@ -125,68 +119,177 @@ def count_terms(batches):
     yield from flush(parts)
 
 
-def vectors(column, space: SimpleNamespace):
-    """Rows of unit tf-idf vectors in the space: (offsets, terms, weights)."""
-    row, term, tf, _, n = row_terms(column, space) if len(space.terms) else (*[np.zeros(0, np.int64)] * 4, len(column))
-    at = np.searchsorted(space.terms, term)
-    w = (1 + np.log(tf)) * space.idf[at]
+def count_documents(shared):
+    """Partial document counts of the vocabulary's terms, one array per task."""
+
+    def run(batches):
+        n = np.zeros(len(shared.value), np.int64)
+        for batch in batches:
+            _, term, _, _ = row_terms(batch.column("text"), shared.value)
+            n += np.bincount(term, minlength=len(n))
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[at])], ["at", "n"])
+
+    return run
+
+
+def unit(row, term, tf, weight: np.ndarray, n: int):
+    """Rows of unit vectors: (offsets, terms, weights)."""
+    w = (1 + np.log(tf)) * weight[term]
     norm = np.sqrt(np.bincount(row, weights=w * w, minlength=n))
-    return np.concatenate(([0], np.cumsum(np.bincount(row, minlength=n)))), at, w / norm[row]
+    return np.concatenate(([0], np.cumsum(np.bincount(row, minlength=n)))), term, w / norm[row]
+
+
+def vectors(column, model: SimpleNamespace):
+    """Rows of unit vectors over the model's vocabulary."""
+    row, term, tf, n = row_terms(column, model.vocabulary)
+    return unit(row, term, tf, model.weight, n)
+
+
+def clusters_of(example, terms, weights, n: int, n_terms: int) -> np.ndarray:
+    """Cluster number of each example: k-means by cosine on the most frequent
+    terms.  It decides which examples share a block, never a result."""
+    df = np.bincount(terms, minlength=n_terms)
+    place = np.full(n_terms, -1, np.int32)
+    chosen = np.argsort(-df, kind="stable")[:HOT // 4]
+    place[chosen] = np.arange(len(chosen))
+    at = place[terms]
+    dense = np.zeros((n, len(chosen)), np.float32)
+    dense[example[at >= 0], at[at >= 0]] = weights[at >= 0]
+    middle = dense[np.unique(np.linspace(0, n - 1, CLUSTERS).astype(int))]
+    for _ in range(6):
+        cluster = np.argmax(dense @ middle.T, axis=1)
+        middle = np.stack([dense[cluster == c].sum(0) for c in range(len(middle))])
+        middle /= np.maximum(np.sqrt((middle * middle).sum(1, keepdims=True)), 1e-9)
+    return cluster
 
 
 def build_index(off, terms, weights, n_terms: int, block: int = BLOCK) -> SimpleNamespace:
-    """Postings by term, ordered by example, with the largest weight of each
-    block of ``block`` consecutive examples."""
-    example = np.repeat(np.arange(len(off) - 1), np.diff(off))
-    order = np.lexsort((example, terms))
-    terms, example, weights = terms[order], example[order], weights[order]
-    start = np.searchsorted(terms, np.arange(n_terms + 1))
-    blocks = (len(off) - 2) // block + 1 if len(off) > 1 else 0
-    top = {}
-    for t in range(n_terms):
-        a, b = start[t], start[t + 1]
-        if a < b:
-            most = np.zeros(blocks)
-            np.maximum.at(most, example[a:b] // block, weights[a:b])
-            top[t] = most
-    return SimpleNamespace(start=start, example=example, weight=weights, top=top, blocks=blocks, block=block)
+    """All terms of the examples.  Like examples lie together in blocks of
+    ``block`` places; the ``HOT`` most frequent terms of a cluster are one
+    matrix per block, with the largest weight of each term in the block, and
+    all other terms postings by term."""
+    off, terms, weights = np.asarray(off), np.asarray(terms, np.int32), np.asarray(weights, np.float32)
+    n = len(off) - 1
+    if n == 0:
+        return SimpleNamespace(n=0, n_terms=n_terms)
+    example = np.repeat(np.arange(n, dtype=np.int32), np.diff(off))
+    if np.any((terms[1:] <= terms[:-1]) & (example[1:] == example[:-1])):
+        order = np.lexsort((terms, example))
+        terms, weights = terms[order], weights[order]
+    cluster = clusters_of(example, terms, weights, n, n_terms)
+    # A cluster fills whole blocks; places left over hold no example.
+    place_of, held, parts, end = np.zeros(n, np.int32), [], [], 0
+    kept = np.ones(len(terms), bool)
+    for c in np.unique(cluster):
+        mine = np.flatnonzero(cluster == c)
+        place_of[mine] = end + np.arange(len(mine))
+        blocks = -(-len(mine) // block)
+        held.append(np.pad(mine, (0, blocks * block - len(mine)), constant_values=-1))
+        own = np.flatnonzero((cluster == c)[example])
+        df = np.bincount(terms[own], minlength=n_terms)
+        hot = np.argsort(-df, kind="stable")[:HOT]
+        hot = hot[df[hot] > 0]
+        hot_at = np.full(n_terms, -1, np.int16)
+        hot_at[hot] = np.arange(len(hot))
+        h = hot_at[terms[own]]
+        own, h = own[h >= 0], h[h >= 0]
+        kept[own] = False
+        place = place_of[example[own]] - end
+        matrix = np.zeros((blocks, len(hot), block), np.float32)
+        matrix[place // block, h, place % block] = weights[own]
+        first = end // block
+        parts.append(SimpleNamespace(first=first, last=first + blocks, hot_at=hot_at, matrix=matrix, top=matrix.max(2).T.copy()))
+        end += blocks * block
+    rare = np.flatnonzero(kept)
+    rare = rare[np.argsort(terms[rare], kind="stable")]
+    start = np.concatenate(([0], np.cumsum(np.bincount(terms[rare], minlength=n_terms))))
+    return SimpleNamespace(n=n, block=block, blocks=end // block, off=off, terms=terms, weights=weights, n_terms=n_terms, parts=parts, start=start,
+                           place=place_of[example[rare]], weight=weights[rare], place_of=place_of, example=np.concatenate(held))
+
+
+def dot(t, w, terms, weights) -> float:
+    """Product of two sparse vectors, the second one's terms in order."""
+    at = np.minimum(np.searchsorted(terms, t), len(terms) - 1)
+    return float(np.sum(w * np.where(terms[at] == t, weights[at], 0.0)))
+
+
+def nearest_rows(index: SimpleNamespace, off, terms, weights, k: int, without=None):
+    """Per row of unit vectors the ``k`` examples of largest cosine (> 0):
+    [(cosine, example)], ties to the smaller example.  The blocks of largest
+    bound are scored first; of the others only those whose bound reaches the
+    k-th cosine found so far."""
+    for a in range(0, len(off) - 1, ROWS):
+        z = min(a + ROWS, len(off) - 1)
+        n, base = z - a, off[a]
+        if index.n == 0 or off[z] == base:
+            yield from ([] for _ in range(n))
+            continue
+        t, w = terms[base:off[z]], weights[base:off[z]]
+        row, t32 = np.repeat(np.arange(n), np.diff(off[a:z + 1])), t.astype(np.int32)
+        wide = index.blocks * index.block
+        score = np.zeros((n, index.blocks, index.block), np.float32)
+        for i in range(n):
+            mine = slice(off[a + i] - base, off[a + i + 1] - base)
+            at, many = runs(index.start[t[mine]], index.start[t[mine] + 1])
+            if len(at):
+                score[i].reshape(-1)[:] = np.bincount(index.place[at], weights=np.repeat(w[mine], many) * index.weight[at], minlength=wide)
+        # The postings' sums are known; the matrices add at most their largest weights.
+        bound, queries = score.max(2), []
+        for part in index.parts:
+            h = part.hot_at[t]
+            q = np.zeros((n, part.matrix.shape[1]), np.float32)
+            q[row[h >= 0], h[h >= 0]] = w[h >= 0]
+            queries.append(q)
+            bound[:, part.first:part.last] += q @ part.top
+
+        def fill(chosen):
+            for part, q in zip(index.parts, queries):
+                for b in (part.first + np.flatnonzero(chosen[:, part.first:part.last].any(0))).tolist():
+                    rows = np.flatnonzero(chosen[:, b])
+                    score[rows, b] += (q if len(rows) == n else q[rows]) @ part.matrix[b - part.first]
+            if without is not None:
+                for i, e in enumerate(without[a:z]):
+                    if e >= 0:
+                        score[i].reshape(-1)[index.place_of[e]] = 0
+
+        least = np.zeros(n, np.float32)
+        chosen = bound > 0
+        if index.blocks > FIRST_BLOCKS:
+            first = np.argpartition(-bound, FIRST_BLOCKS, axis=1)[:, :FIRST_BLOCKS]
+            begun = np.zeros_like(chosen)
+            np.put_along_axis(begun, first, True, axis=1)
+            fill(begun)
+            seen = np.take_along_axis(score, first[:, :, None], axis=1).reshape(n, -1)
+            least = np.partition(seen, -k, axis=1)[:, -k]
+            more = chosen & ~begun & (bound >= (least - SLACK)[:, None])
+            fill(more)
+            chosen = begun | more
+            score[~chosen] = 0
+        else:
+            fill(chosen)
+        near = score.reshape(n, wide)
+        near = (near > 0) & (near >= (least - SLACK)[:, None])
+        for i in range(n):
+            found = np.flatnonzero(near[i])
+            if len(found) > k:
+                value = score[i].ravel()[found]
+                found = found[value >= np.partition(value, -k)[-k] - SLACK]
+            if len(found) == 0:
+                yield []
+                continue
+            # The last few are scored anew in double precision.
+            found = index.example[found]
+            mine = slice(off[a + i] - base, off[a + i + 1] - base)
+            cosine = np.array([dot(t32[mine], w[mine], index.terms[x:y], index.weights[x:y])
+                               for x, y in zip(index.off[found].tolist(), index.off[found + 1].tolist())])
+            best = np.lexsort((found, -np.round(cosine, 12)))[:k]
+            yield list(zip(cosine[best].tolist(), found[best].tolist()))
 
 
 def nearest(index: SimpleNamespace, terms, weights, k: int, without: int = -1):
-    """The ``k`` examples of largest cosine (> 0): [(cosine, example)], ties to
-    the smaller example.  The blocks of largest bound are scored first; of the
-    others only those whose bound reaches the k-th cosine found so far."""
-    bound = np.zeros(index.blocks)
-    examples, parts = [], []
-    for t, w in zip(terms.tolist(), weights.tolist()):
-        if t in index.top:
-            bound += w * index.top[t]
-            a, z = index.start[t], index.start[t + 1]
-            examples.append(index.example[a:z])
-            parts.append(w * index.weight[a:z])
-    if not examples:
-        return []
-    example, part = np.concatenate(examples), np.concatenate(parts)
-    if without >= 0:
-        other = example != without
-        example, part = example[other], part[other]
-    block = example // index.block
-
-    def scored(chosen):
-        mine = chosen[block]
-        found, at = np.unique(example[mine], return_inverse=True)
-        return found, np.bincount(at, weights=part[mine], minlength=len(found))
-
-    chosen = bound > 0
-    if chosen.sum() > FIRST_BLOCKS:
-        first = np.zeros(index.blocks, bool)
-        first[np.argpartition(-bound, FIRST_BLOCKS)[:FIRST_BLOCKS]] = True
-        _, cosine = scored(first)
-        if len(cosine) >= k:
-            chosen = first | (bound >= np.partition(cosine, -k)[-k] - 1e-9)
-    found, cosine = scored(chosen)
-    best = np.lexsort((found, -np.round(cosine, 12)))[:k]
-    return list(zip(cosine[best].tolist(), found[best].tolist()))
+    """``nearest_rows`` of a single vector."""
+    return next(nearest_rows(index, np.array([0, len(terms)]), np.asarray(terms), np.asarray(weights), k, [without]))
 
 
 def votes(found, labels) -> float:
@@ -195,28 +298,35 @@ def votes(found, labels) -> float:
     return sum(w * labels[e] for w, (_, e) in zip(weight, found)) / sum(weight)
 
 
+#: The last index built in this worker, by broadcast.
+_BUILT: dict = {}
+
+
+def fitted(shared):
+    """The model of a broadcast with its index, built once per worker."""
+    key = getattr(shared, "_path", None) or id(shared)
+    if key not in _BUILT:
+        _BUILT.clear()
+        model = shared.value
+        row = np.repeat(np.arange(len(model.ids)), np.diff(model.off))
+        off, terms, weights = unit(row, model.terms, model.counts, model.weight, len(model.ids))
+        _BUILT[key] = build_index(off, terms, weights, len(model.vocabulary))
+    return shared.value, _BUILT[key]
+
+
 def vote_rows(shared, k: int, itself: bool):
     """Raw share of votes per row (null: no example is near) and the evidence."""
 
     def run(batches):
-        space, index, labels, ids = shared.value
-        place = {d: i for i, d in enumerate(ids)} if itself else {}
-        known: dict = {}
+        model, index = fitted(shared)
+        place = {d: i for i, d in enumerate(model.ids.tolist())} if itself else {}
         for batch in batches:
-            off, terms, weights = vectors(batch.column("text"), space)
-            doc = batch.column("doc_id").to_pylist()
+            off, terms, weights = vectors(batch.column("text"), model)
+            without = [place[d] for d in batch.column("doc_id").to_pylist()] if itself else None
             raw, near, sim = [], [], []
-            for i, d in enumerate(doc):
-                t, w = terms[off[i]:off[i + 1]], weights[off[i]:off[i + 1]]
-                key = (t.tobytes(), w.tobytes())
-                found = known.get(key)
-                if found is None:
-                    found = nearest(index, t, w, k, place.get(d, -1)) if len(t) else []
-                    # Equal vectors (mostly single terms) have the same neighbours.
-                    if not itself and len(known) < REMEMBERED:
-                        known[key] = found
-                raw.append(votes(found, labels) if found else None)
-                near.append([ids[e] for _, e in found])
+            for found in nearest_rows(index, off, terms, weights, k, without):
+                raw.append(votes(found, model.labels) if found else None)
+                near.append([int(model.ids[e]) for _, e in found])
                 sim.append([c for c, _ in found])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(raw, pa.float64()), pa.array(near, pa.list_(pa.int64())),
@@ -255,36 +365,36 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> Da
               .where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out(F.col("doc_id"))).dropDuplicates(["doc_id"]))
     chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(EXAMPLES)
     # Copies of a text count as one example.
-    examples = store(texts.join(chosen, "doc_id").select("doc_id", "text", "toxic").where("text IS NOT NULL")
+    examples = store(texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").where("text IS NOT NULL")
                      .dropDuplicates(["doc_id"]).dropDuplicates(["text", "toxic"]), "examples")
 
     total, positive = examples.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    a, b = F.col("pos"), F.col("n") - F.col("pos")
-    negative = total - positive
-    rate_p, rate_n = (a + 0.5) / (positive + 1), (b + 0.5) / (negative + 1)
-    d = positive * negative * F.col("n") * (total - F.col("n"))
-    chi = F.when(d > 0, total * F.pow(a * (negative - b) - b * (positive - a), 2) / d).otherwise(0.0)
-    counted = (examples.select("text", "toxic").mapInArrow(count_terms, "term long, opening long, n long, pos long").groupBy("term")
-               .agg(F.min("opening").alias("opening"), F.sum("n").alias("n"), F.sum("pos").alias("pos")).where(F.col("n") >= LEAST_DOCUMENTS)
-               .withColumn("chi", chi).where((F.col("chi") >= CHI_SQUARE) & ((rate_p >= RATIO * rate_n) | (rate_n >= RATIO * rate_p)))
-               .orderBy(F.desc("chi"), "term").limit(TERMS).collect())
-    term = np.array([r["term"] for r in counted], np.int64).view(U64)
+    counted = (examples.select("text", "toxic").mapInArrow(count_terms, "term long, n long, pos long").groupBy("term")
+               .agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")).toArrow())
+    term = counted.column("term").to_numpy().view(U64)
     by = np.argsort(term)
-    idf = np.log((total + 1) / (np.array([r["n"] for r in counted], float) + 1)) + 1
-    opened = np.zeros(OPENING_MASK + 1, bool)
-    opened[(np.array([r["opening"] for r in counted], np.int64) * OPENING_MIX >> 8) & OPENING_MASK] = True
-    space = SimpleNamespace(terms=term[by], idf=idf[by], opened=opened)
-
-    # At most EXAMPLES sparse vectors (a term is 16 bytes), never their texts.
-    rows = (examples.mapInArrow(example_vectors(spark.sparkContext.broadcast(space)),
-                                "doc_id long, toxic long, terms array<long>, weights array<double>")
-            .orderBy("doc_id").toArrow())
-    ids, marks = rows.column("doc_id").to_pylist(), rows.column("toxic").to_pylist()
-    parts_t, parts_w = rows.column("terms").to_pylist(), rows.column("weights").to_pylist()
-    off = np.concatenate(([0], np.cumsum([len(t) for t in parts_t]))).astype(np.int64)
-    flat = lambda parts, kind: np.array([x for p in parts for x in p], kind)
-    index = build_index(off, flat(parts_t, np.int64), flat(parts_w, float), len(space.terms))
-    shared = spark.sparkContext.broadcast((space, index, marks, ids))
+    vocabulary, n, pos = term[by], *(counted.column(c).to_numpy()[by].astype(float) for c in ("n", "pos"))
+    del counted, term, by
+    words = spark.sparkContext.broadcast(vocabulary)
+    # How many documents of the corpus hold each term.
+    spread = (texts.select("text").where("text IS NOT NULL").mapInArrow(count_documents(words), "at int, n long")
+              .groupBy("at").agg(F.sum("n").alias("n")).toArrow())
+    df = np.zeros(len(vocabulary))
+    df[spread.column("at").to_numpy()] = spread.column("n").to_numpy()
+    documents = texts.where("text IS NOT NULL").count()
+    weight = term_weights(documents, df, total, positive, n, pos).astype(np.float32)
+
+    # At most EXAMPLES rows of term numbers and counts, never their texts.
+    rows = (examples.mapInArrow(example_terms(words), "doc_id long, toxic long, terms array<int>, counts array<int>")
+            .orderBy("doc_id").toArrow().combine_chunks())
+    flat = lambda c: rows.column(c).combine_chunks().flatten().to_numpy()
+    counts = flat("counts")
+    model = SimpleNamespace(
+        vocabulary=vocabulary, weight=weight, ids=rows.column("doc_id").to_numpy(), labels=rows.column("toxic").to_pylist(),
+        off=np.concatenate(([0], np.cumsum(pc.list_value_length(rows.column("terms")).to_numpy()))).astype(np.int64),
+        terms=flat("terms"), counts=counts.astype(np.min_scalar_type(int(counts.max(initial=1)))))
+    shared = spark.sparkContext.broadcast(model)
+    del rows, model, counts
 
     own = examples.join(examples.select("doc_id", "text").mapInArrow(vote_rows(shared, NEAREST, True), RAW), "doc_id")
     in_bin = F.when(F.col("raw").isNotNull(), F.least(F.floor(F.col("raw") * BINS), F.lit(BINS - 1)).cast("int"))
@@ -301,14 +411,23 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> Da
                       (value >= THRESHOLD).cast("int").alias("predicted"), "near", "cosine")
 
 
-def example_vectors(shared):
+def term_weights(documents: int, df, total: int, positive: int, n, pos) -> np.ndarray:
+    """Weight of each term: idf over the corpus, times one plus the root of its
+    chi-square among the examples' labels.  No term weighs less than its idf."""
+    negative = total - positive
+    d = float(positive) * negative * n * (total - n)
+    chi = np.where(d > 0, total * (pos * negative - (n - pos) * positive) ** 2 / np.where(d > 0, d, 1.0), 0.0)
+    return (np.log((documents + 1) / (df + 1)) + 1) * (1 + np.sqrt(chi))
+
+
+def example_terms(shared):
     def run(batches):
         for batch in batches:
-            off, terms, weights = vectors(batch.column("text"), shared.value)
-            off = pa.array(off.astype(np.int32))
+            row, term, tf, n = row_terms(batch.column("text"), shared.value)
+            off = pa.array(np.concatenate(([0], np.cumsum(np.bincount(row, minlength=n)))).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), pa.ListArray.from_arrays(off, pa.array(terms)),
-                 pa.ListArray.from_arrays(off, pa.array(weights))], ["doc_id", "toxic", "terms", "weights"])
+                [batch.column("doc_id"), batch.column("toxic"), pa.ListArray.from_arrays(off, pa.array(term.astype(np.int32))),
+                 pa.ListArray.from_arrays(off, pa.array(tf.astype(np.int32)))], ["doc_id", "toxic", "terms", "counts"])
 
     return run
 
