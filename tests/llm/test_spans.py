@@ -1,7 +1,9 @@
 """Secret scans (2) and personal data (10) against plain regular expressions."""
 import hashlib
 import math
+import random
 import re
+import string
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -75,6 +77,26 @@ def test_entropy_windows_equal_direct_entropy(spark):
         assert (r.h["first"], r.h["last"]) == ((hot[0], hot[-1] + 20) if hot else (None, None))
 
 
+def test_random_secrets_of_any_alphabet_are_found(spark):
+    rnd = random.Random(8)
+    upper, lower, digits = string.ascii_uppercase, string.ascii_lowercase, string.digits
+    least = {upper + digits: 0.95, upper + "234567": 0.9, lower + digits: 0.9, upper + lower + digits + "+/": 0.95}
+    rows = [(k * 1000 + i, "".join(rnd.choices(a, k=24))) for k, a in enumerate(least) for i in range(150)]
+    got = secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).where("size(spans) > 0").select("doc_id").collect()
+    found = Counter(r.doc_id // 1000 for r in got)
+    assert all(found[k] >= share * 150 for k, share in enumerate(least.values())), found
+
+
+def test_windows_around_fixed_kinds_and_paths(spark, edges):
+    secret = "q8Zt3LmP0xWv7RbN2kYsJ5dF"
+    rows = [(50, "cache/" + "deadbeef" * 4 + "/" + secret), (51, "NAME_KEY=K7Q2M9X4B8T1V6Z3N5P0"), (52, "usr/lib/x86_64/linux-gnu/libssl3/private2"),
+            (53, "MAX_BUFFER_SIZE_1024_ORDER"), (54, "internationalization-of-characteristics"), (55, "assets/" + secret)]
+    got = {r.doc_id: r.spans for r in secret_scan.scan(with_rows(spark, edges, rows)).collect()}
+    assert [s.kind for s in got[50]] == [2, 3] and got[50][1].end == len(rows[0][1]) and got[50][1].start >= 38
+    assert [s.end for s in got[51]] == [len(rows[1][1])] and [s.end for s in got[55]] == [len(rows[5][1])]
+    assert not any(got[i] for i in (52, 53, 54))
+
+
 def test_redact_masks_and_leaves_clean_rows_alone(spark, edges):
     docs = with_rows(spark, edges, SECRETS)
     out = secret_scan.redact(docs)

@@ -1,11 +1,12 @@
 """Secret scans (op2), Spark SQL expressions only.
 
-Three fixed kinds are found by pattern.  The scan adds kind ``entropy``:
-candidate strings of one character class, in which a window slides along and
-its Shannon entropy follows from incremental counts (one symbol enters, one
-leaves).  A candidate whose entropy reaches the class's threshold gives a
-span from its first to its last such window, unless the allow list knows it
-or a fixed kind already covers part of it.  One narrow pass, no shuffle.
+Three fixed kinds are found by pattern.  The scan adds kind ``entropy``: over
+every long candidate string a window slides along and its Shannon entropy
+follows from incremental counts (one symbol enters, one leaves).  The symbols
+in a window give its class, the last class takes all; a candidate with windows
+that reach their class's threshold gives a span from the first to the last of
+them, unless the allow list knows it.  Of a candidate that meets spans of a
+fixed kind, the parts outside them are candidates.  One narrow pass, no shuffle.
 
 Defined results: null text is empty and has no spans; repeated rows each give
 a row; other columns are ignored (``redact`` keeps them).
@@ -28,33 +29,55 @@ KINDS = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]{16,}", "hex": r"[0-9a-f]{24,
 NAMES = [*KINDS, "entropy"]
 
 WINDOW = 20
-#: Class -> (symbols, what a candidate must hold, bits a window must reach).
+SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
+#: Counted in a window: name -> first and last place in ``SYMBOLS``, from 1.
+COUNTED = {"upper": (1, 26), "lower": (27, 52), "digit": (53, 62), "upper_hex": (1, 6), "lower_hex": (27, 32)}
+#: Class -> (symbols, what a window must hold, bits it must reach); the first
+#: that fits decides.  Few digits among letters of one case ask for more bits.
 CLASSES = {
-    "hex": ("0123456789ABCDEF", r"^(?=.*[0-9])(?=.*[A-F])[0-9A-F]+$", 3.0),
-    "base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=",
-               r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z]).+$", 3.8),
-    "mixed": ("abcdefghijklmnopqrstuvwxyz0123456789+/_-=", r"^(?=(?:.*[0-9]){5})(?=(?:.*[a-z]){5})[a-z0-9+/_=-]+$", 3.6),
+    "hex": (SYMBOLS, lambda n: (n["digit"] > 0) & (n["digit"] < WINDOW) & (
+        n["digit"] + F.greatest(n["upper_hex"], n["lower_hex"]) == WINDOW), 3.0),
+    "base64": (SYMBOLS, lambda n: (n["digit"] > 0) & (n["lower"] > 0) & (n["upper"] > 0), 3.8),
+    "upper": (SYMBOLS, lambda n: (n["digit"] > 2) & (n["upper"] > 0), 3.5),
+    "few_upper": (SYMBOLS, lambda n: (n["digit"] > 0) & (n["upper"] > 0), 3.6),
+    "mixed": (SYMBOLS, lambda n: (n["digit"] > 2) & (n["lower"] > 0), 3.6),
+    "few_mixed": (SYMBOLS, lambda n: (n["digit"] > 0) & (n["lower"] > 0), 3.75),
+    "any": (SYMBOLS, lambda n: F.lit(True), 4.0),
 }
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 #: Strings of high entropy that are no secrets: identifiers in 8-4-4-4-12
-#: form, paths, hyphenated words and runs through an alphabet.
-ALLOWED = (r"^[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}$|^/?(?:[A-Za-z0-9_=-]+/)+[A-Za-z]+$"
-           r"|^[A-Za-z]+(?:[-_/][A-Za-z]+)+[0-9]{0,4}$|(?i:example|0123456789|abcdefgh|placeholder|xxxxx)")
+#: form, paths and joined words of which every segment is a short word with at
+#: most four digits, and runs through an alphabet.
+ALLOWED = (r"^[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}$"
+           r"|^[/_=-]*(?:(?:[A-Z]?[a-z]{1,15}|[A-Z]{1,15})[0-9]{0,4}|[0-9]{1,4})(?:[/_=-]+(?:(?:[A-Z]?[a-z]{1,15}|[A-Z]{1,15})[0-9]{0,4}|[0-9]{1,4}))*[/_=-]*$"
+           r"|(?i:example|0123456789|abcdefgh|placeholder|xxxxx)")
+#: Fewer different symbols cannot reach any class's bits.
+LEAST_SYMBOLS = math.ceil(2 ** min(bits for _, _, bits in CLASSES.values()))
 
 
 def _weighted(count: Column) -> Column:
     return F.when(count > 1, count * F.log2(count)).otherwise(F.lit(0.0))
 
 
-def hot_windows(hit: Column, symbols: str, bits: float, window: int = WINDOW) -> Column:
+def window_bits(n: Column) -> Column:
+    """Bits that a window must reach, from its counts of ``COUNTED``."""
+    out = F.lit(math.inf)
+    for _, holds, bits in reversed(CLASSES.values()):
+        out = F.when(holds(n), F.lit(bits)).otherwise(out)
+    return out
+
+
+def hot_windows(hit: Column, symbols: str = SYMBOLS, bits: float | None = None, window: int = WINDOW) -> Column:
     """First start and last end of the windows of ``hit`` with at least
-    ``bits`` of entropy, as a struct (null ends: none)."""
+    ``bits`` of entropy (none given: those of the window's class), as a struct
+    (null ends: none)."""
     codes = F.transform(F.split(hit, ""), lambda c: F.instr(F.lit(symbols), c))
     # Spark's split by "" leaves an empty string at the end in some versions.
     codes = F.filter(codes, lambda c: c > 0)
     zero = F.struct(
         F.array_repeat(F.lit(0), len(symbols)).alias("n"), F.lit(0.0).alias("s"),
-        F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"))
+        F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"),
+        F.struct(*(F.lit(0).alias(c) for c in COUNTED)).alias("held"))
 
     def step(acc, i, codes):
         enters, leaves = codes[i], F.when(i >= window, codes[i - window]).otherwise(F.lit(0))
@@ -65,11 +88,13 @@ def hot_windows(hit: Column, symbols: str, bits: float, window: int = WINDOW) ->
         down = F.when(leaves > 0, F.element_at(n, F.greatest(leaves, F.lit(1)))).otherwise(F.lit(0))
         s = s + F.when(leaves > 0, _weighted(down - 1) - _weighted(down)).otherwise(F.lit(0.0))
         n = F.transform(n, lambda v, k: v - (k + 1 == leaves).cast("int"))
-        hot = (i >= window - 1) & (F.lit(math.log2(window)) - s / window >= bits)
+        held = F.struct(*((acc["held"][c] + enters.between(a, b).cast("int") - leaves.between(a, b).cast("int")).alias(c) for c, (a, b) in COUNTED.items()))
+        need = window_bits(held) if bits is None else F.lit(bits)
+        hot = (i >= window - 1) & (F.lit(math.log2(window)) - s / window >= need)
         return F.struct(
             n.alias("n"), s.alias("s"),
             F.when(hot, F.coalesce(acc["first"], i - window + 1)).otherwise(acc["first"]).alias("first"),
-            F.when(hot, i + 1).otherwise(acc["last"]).alias("last"))
+            F.when(hot, i + 1).otherwise(acc["last"]).alias("last"), held.alias("held"))
 
     walked = F.transform(F.array(codes), lambda codes: F.aggregate(
         F.sequence(F.lit(0), F.size(codes) - 1), zero, lambda acc, i: step(acc, i, codes),
@@ -77,18 +102,30 @@ def hot_windows(hit: Column, symbols: str, bits: float, window: int = WINDOW) ->
     return F.when(F.length(hit) >= window, walked[0])
 
 
-def entropy_spans(candidates: Column, base: Column) -> Column:
-    """Spans of kind ``entropy`` among candidate spans outside the base ones."""
-    free = F.filter(candidates, lambda c: ~F.exists(
-        base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])) & ~F.regexp_like(c["hit"], F.lit(ALLOWED)))
+def outside(candidates: Column, base: Column) -> Column:
+    """The parts of candidate spans that lie outside the base spans."""
+    ordered = F.array_sort(F.transform(base, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))))
+
+    def parts(c):
+        piece = lambda a, z: span(a, z, F.lit(0), F.substring(c["hit"], a - c["start"] + 1, z - a))
 
-    def widest(c):
-        found = F.lit(None).cast("struct<first:int,last:int>")
-        for symbols, shape, bits in reversed(CLASSES.values()):
-            found = F.when(F.regexp_like(c["hit"], F.lit(shape)), hot_windows(c["hit"], symbols, bits)).otherwise(found)
-        return F.struct(c["start"].alias("at"), c["hit"].alias("hit"), found.alias("found"))
+        def step(acc, b):
+            ahead = (b["start"] < c["end"]) & (b["end"] > c["start"])
+            gap = F.when(ahead & (b["start"] > acc["at"]), F.array(piece(acc["at"], b["start"]))).otherwise(no_spans())
+            return F.struct(F.when(ahead, F.greatest(acc["at"], b["end"])).otherwise(acc["at"]).alias("at"), F.concat(acc["out"], gap).alias("out"))
 
-    hot = F.filter(F.transform(free, widest), lambda x: x["found"]["first"].isNotNull())
+        return F.aggregate(ordered, F.struct(c["start"].alias("at"), no_spans().alias("out")), step, lambda acc: F.concat(
+            acc["out"], F.when(acc["at"] < c["end"], F.array(piece(acc["at"], c["end"]))).otherwise(no_spans())))
+
+    return F.filter(F.flatten(F.transform(candidates, parts)), lambda c: F.length(c["hit"]) >= WINDOW)
+
+
+def entropy_spans(candidates: Column, base: Column) -> Column:
+    """Spans of kind ``entropy`` among the parts of candidates outside the base spans."""
+    free = F.filter(outside(candidates, base), lambda c: ~F.regexp_like(c["hit"], F.lit(ALLOWED)) & (
+        F.size(F.array_distinct(F.split(c["hit"], ""))) >= LEAST_SYMBOLS))
+    hot = F.filter(F.transform(free, lambda c: F.struct(c["start"].alias("at"), c["hit"].alias("hit"), hot_windows(c["hit"]).alias("found"))),
+                   lambda x: x["found"]["first"].isNotNull())
     return F.transform(hot, lambda x: span(
         x["at"] + x["found"]["first"], x["at"] + x["found"]["last"], F.lit(len(KINDS)), x["hit"]))
 
@@ -104,9 +141,7 @@ def with_secrets(df: DataFrame, text: Column) -> DataFrame:
     whole = F.filter("_base", lambda s: (s["kind"] != 0) | (
         F.length(F.regexp_extract(s["hit"], "^" + ASSIGN, 1)) >= 6))
     df = df.withColumn("base", whole)
-    # A class needs digits and letters in a long string.
-    guard = F.regexp_like("_text", F.lit(r"[A-Za-z+/_=-][0-9]|[0-9][A-Za-z+/_=-]"))
-    df = add_spans(df, "_text", {"candidate": (CANDIDATE, guard)}, "_long")
+    df = add_spans(df, "_text", {"candidate": (CANDIDATE, F.regexp_like("_text", F.lit(CANDIDATE)))}, "_long")
     added = F.when(F.size("_long") > 0, entropy_spans(F.col("_long"), F.col("base"))).otherwise(no_spans())
     return df.withColumn("spans", F.concat("base", added)).drop("_text", "_base", "_long")
 
