@@ -74,6 +74,20 @@ def test_quality_keeps_clean_and_drops_junk(spark, nothing):
     assert quality.classify(nothing, labels).count() == 0
 
 
+def test_small_languages_keep_their_clean_documents(spark):
+    rnd = random.Random(2)
+    words = {"big": ["the", "cat", "sat", "on", "mats"], "few": ["der", "hund", "lief", "zum", "haus"]}
+    say = lambda lang, n: " ".join(rnd.choices(words[lang], k=n))
+    free = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(i, say("big", 30), "big") for i in free[:250]] + [(i, say("few", 30), "few") for i in free[250:258]]
+    fresh = [(3000 + i, say("few", 30), "few") for i in range(60)]
+    junk = [(4000 + i, "".join(rnd.choices("qxzjkvw#%&0123456789", k=120)), lang) for i, lang in enumerate(["big", "few"] * 5)]
+    docs = spark.createDataFrame(rows + fresh + junk, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], 1) for r in rows], "doc_id long, quality long")
+    keep = {r.doc_id: r.keep for r in quality.classify(docs, labels).collect()}
+    assert all(keep[r[0]] for r in fresh) and not any(keep[r[0]] for r in junk)
+
+
 def test_licences_of_lines(spark, edges, nothing):
     rows = [(600, "abc def\nReleased under the MIT License.\nrest"), (601, "Licensed under CC BY-NC 4.0."),
             (602, "This work is licensed under the GNU General Public License, version 3."), (603, "the version of the work is under way")]

@@ -11,7 +11,11 @@ that a place needs, fits ``SHARD_ROWS`` and is broadcast, and each shard adds
 its places' log-probabilities in one narrow pass.
 
 The threshold of a language comes from quantiles of the log-perplexity of its
-unseen trusted documents, counted on a fixed grid: ``q75 + FENCE * (q75 - q25)``.
+unseen trusted documents, counted on a fixed grid: ``q75 + FENCE * (q75 - q25)``;
+copies count once.  Languages with fewer than ``LEAST`` such documents are
+calibrated on all their trusted ones, each part scored by a model that has not
+seen it; where even these are fewer, the limit over all languages holds if it
+is the larger one.
 
 Defined results: null and empty texts have null perplexity and are not kept;
 a null language counts as ''; a language without trusted documents takes the
@@ -36,6 +40,8 @@ FENCE = 5.0
 GRID = 512
 FLUSH = 8_000_000
 CALIBRATE = 4
+#: Calibration documents from which on a language has its own limit.
+LEAST = 30
 
 
 def held_out(doc_id):
@@ -221,14 +227,15 @@ def perplexity(docs: DataFrame, model: DataFrame) -> DataFrame:
 
 
 def quantiles(scored: DataFrame, by: list[str]) -> DataFrame:
-    """Threshold per group from grid counts of the log-perplexity."""
-    counts = scored.where("logppl IS NOT NULL").groupBy(*by, F.floor(F.col("logppl") * GRID).alias("bin")).agg(F.count("*").alias("n"))
+    """Threshold and number of documents per group from grid counts of the log-perplexity."""
+    counts = (scored.where("logppl IS NOT NULL").select(*by, "logppl", "n_bytes").distinct()
+              .groupBy(*by, F.floor(F.col("logppl") * GRID).alias("bin")).agg(F.count("*").alias("n")))
     upto = Window.partitionBy(*by).orderBy("bin")
     whole = Window.partitionBy(*by)
     ranked = counts.withColumn("upto", F.sum("n").over(upto)).withColumn("total", F.sum("n").over(whole))
     q = lambda x: F.min(F.when(F.col("upto") >= x * F.col("total"), F.col("bin"))) / GRID
-    return ranked.groupBy(*by).agg(q(0.25).alias("q25"), q(0.75).alias("q75")).select(
-        *by, (F.col("q75") + FENCE * (F.col("q75") - F.col("q25")) + 1.0 / GRID).alias("limit"))
+    return ranked.groupBy(*by).agg(F.sum("n").alias("n"), q(0.25).alias("q25"), q(0.75).alias("q75")).select(
+        *by, "n", (F.col("q75") + FENCE * (F.col("q75") - F.col("q25")) + 1.0 / GRID).alias("limit"))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -236,13 +243,26 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     trusted = store(labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"))
                     .where(~held_out(F.col("doc_id"))).distinct(), "trusted")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
-    unseen = F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATE)) == 0
-    scored = store(perplexity(docs, train(by_ids(texts, trusted.where(~unseen), "left_semi"))), "perplexity")
-    known = by_ids(scored, trusted.where(unseen), "left_semi")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
+                        F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATE))
+    unseen = lambda k: by_ids(texts, trusted.where(part != k), "left_semi")
+    scored = store(perplexity(docs, train(unseen(0))), "perplexity")
+    known = first = store(by_ids(scored, trusted.where(part == 0), "left_semi"), "known")
+    enough = quantiles(first, ["lang"]).where(F.col("n") >= LEAST).select("lang")
+    others = store(by_ids(texts, trusted.where(part != 0), "left_semi").join(enough, "lang", "left_anti").where("text <> ''"), "others")
+    for k in range(1, CALIBRATE):
+        mine = others.where(part == k)
+        if not mine.isEmpty():
+            known = known.unionByName(store(perplexity(mine, train(unseen(k))), f"known{k}").select(known.columns))
     by_language = quantiles(known, ["lang"])
-    overall = quantiles(known.withColumn("all", F.lit(1)), ["all"]).select("limit").first()
-    limit = F.coalesce("limit", F.lit(overall[0] if overall else None).cast("double"))
+    # The first part speaks for all languages as they are mixed, if it is large enough.
+    over = lambda table: quantiles(table.withColumn("all", F.lit(1)), ["all"]).select("n", "limit").first()
+    overall = over(first)
+    if not overall or overall["n"] < LEAST:
+        overall = over(known)
+    whole = F.lit(overall["limit"] if overall else None).cast("double")
+    limit = F.when(F.col("n") >= LEAST, F.col("limit")).otherwise(F.greatest("limit", whole))
     return scored.join(by_language, "lang", "left").select(
         "doc_id", "lang", "n_bytes", F.exp("logppl").alias("perplexity"), F.exp(limit).alias("threshold"),
         F.coalesce(F.col("logppl") <= limit, F.col("logppl").isNotNull()).alias("keep"))
