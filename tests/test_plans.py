@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SMOKE
+from smoke_data import SMOKE
 from wagelens.operators import eda
 from wagelens.operators.dedup import duplicate_audit
 from wagelens.plans.silver import build_silver

@@ -3,7 +3,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SMOKE
+from smoke_data import SMOKE
 from wagelens.ml import models, scoring
 from wagelens.ml.features import CAPSTONE_SPEC, FEATURE_SPECS
 from wagelens.plans.silver import build_silver, scoring_layer, training_layer

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMOKE
+from smoke_data import SMOKE
 from wagelens.plans.silver import build_silver
 from wagelens.rules import BEGINNER, CAPSTONE, PHASE1, STRICT
 from wagelens.sources.postings import postings
