@@ -1,7 +1,7 @@
 """Queries of the training-data operators: name -> (builder, DuckDB SQL or None).
 
-None of the ten can be given whole as SQL (index structures, tokenizers,
-fitted models); ``tests/llm`` holds each against a brute-force version."""
+SQL expresses the rows of op11 alone; the others need index structures,
+tokenizers, fitted models or eigenvectors."""
 
 from __future__ import annotations
 
@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from wagelens.llm import decontaminate, jaccard_join, license_scan, nearest_vectors, packing, pii, quality, secret_scan, suffix_dedup, toxicity
+from wagelens.llm import (decontaminate, jaccard_join, license_scan, lookup_clusters, nearest_vectors, packing, pii, quality,
+                          secret_scan, suffix_dedup, token_files, toxicity, whitening)
 from wagelens.llm.shared import load
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -76,3 +77,18 @@ def op1(spark, sf_dir):
 @register("op4_license_scans")
 def op4(spark, sf_dir):
     return license_scan.scan(load(spark, sf_dir, "documents"))
+
+
+@register("op11_lookup_table_clustering", lookup_clusters.lloyd_sql())
+def op11(spark, sf_dir):
+    return lookup_clusters.cluster(load(spark, sf_dir, "embeddings"))
+
+
+@register("op12_embedding_whitening")
+def op12(spark, sf_dir):
+    return whitening.whiten(load(spark, sf_dir, "embeddings"))
+
+
+@register("op13_token_files")
+def op13(spark, sf_dir):
+    return token_files.round_trip(load(spark, sf_dir, "documents"), token_files.tokenizer_path())
