@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from llm_cases import EDGES
 from tokenizers import Tokenizer
@@ -50,16 +51,18 @@ def test_null_and_repeated_ids(spark):
     assert sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["ids_crc32"]) for r in out) == want
 
 
-def test_chunks_encode_as_whole_texts():
+def test_chunks_encode_as_whole_texts(monkeypatch):
     rng = random.Random(8)
     parts = ["don't", "we'LL", "'start", "it's's", "\"'s", "x1y22", "...", "é", "é", "́a", "İstanbul", "日本語", "🙂🙂",
-             "<|endoftext|>", "<|ENDOFTEXT|>", "a" * 60, "\x1c", "b\x1fc", "ﬁ", "Straße", "ΣΑΣ", "the", "Model", "co-op,"]
+             "<|endoftext|>", "<|ENDOFTEXT|>", "a" * 60, "\x1c", "b\x1fc", "ﬁ", "Straße", "ΣΑΣ", "σας", "été", "ÉTÉ", "e\u0301te", "Öl,", "öl,", "слово.", "İ", "ı", "ŉ", "ǆ", "ªº", "µ", "the", "Model", "co-op,"]
     gaps = [" ", "  ", "\n", "\t", " ", " ", "　", "\x85", "", " ", "\r\n"]
     texts = ["".join(x for _ in range(rng.randrange(40)) for x in (rng.choice(parts), rng.choice(gaps))) for _ in range(300)]
-    encode = token_files.batch_encoder(WORDS, "<u2")
+    monkeypatch.setattr(token_files, "REMEMBERED", 60)
+    monkeypatch.setattr(token_files, "AT_ONCE", 50)
+    encode = token_files.ChunkIds(Tokenizer.from_file(WORDS), "<u2").encode
     got = []
     for a in range(0, len(texts), 37):
-        got += [np.frombuffer(b, "<u2").tolist() for b in encode(texts[a:a + 37])]
+        got += [np.frombuffer(b, "<u2").tolist() for b in encode(pa.array(texts[a:a + 37], pa.string()))]
     tokenizer = Tokenizer.from_file(WORDS)
     assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import gc
 import math
+import sys
+import types
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +41,12 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def worker_memory() -> dict:
+    """A dict that lives as long as the Python worker, so tasks that follow one
+    another there can share what they learned.  Results never depend on it."""
+    return sys.modules.setdefault("wagelens_worker_memory", types.ModuleType("wagelens_worker_memory")).__dict__
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """The two columns that the text operators read; other columns are pruned."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -30,21 +30,29 @@ from __future__ import annotations
 import json
 import uuid
 import zlib
+from array import array
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wagelens.llm.shared import id_and_text, scratch_path, small_batches
+from wagelens.llm.packing import byte_symbols
+from wagelens.llm.shared import id_and_text, scratch_path, small_batches, worker_memory
 
 END_ID = 2
 #: Ids, or documents, after which a task begins its next file.
 FILE_IDS, FILE_DOCUMENTS = 1 << 26, 1 << 20
-#: Chunks of text whose ids a task remembers, their longest length, and the
-#: characters of new chunks that are encoded at once.
-REMEMBERED, CHUNK, AT_ONCE = 400_000, 40, 1 << 16
+#: Chunks of text in one generation of those that a worker remembers (it has
+#: two), their longest length, and the characters of new chunks encoded at once.
+REMEMBERED, CHUNK, AT_ONCE = 600_000, 40, 1 << 16
+#: Letters from here on are left to the tokenizer's own first cut.
+LAST_LETTER = "\u0530"
+#: Marks that end a chunk as a token of their own.
+END_MARKS = frozenset(".,;:!?")
 FILE = "part int, seq int, name string, documents long, nulls long, ids long"
 
 
@@ -64,70 +72,135 @@ def opened(folder: str):
     return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
 
 
-def batch_encoder(tokenizer_path: str, dtype: str):
-    """``texts -> ids as bytes, one item a text``.
-
-    Where the tokenizer takes white space out before it merges, its tokens
-    never reach over white space, so the ids of a text are those of its chunks
-    between white space, one after the other.  Chunks repeat: new ones are
-    encoded many at a time and remembered.  Texts with control characters that
-    only Python takes for white space, or with a special token, are encoded
-    whole, as are all texts under other tokenizers."""
-    import re
-
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(tokenizer_path)
-
-    def whole(text: str) -> bytes:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype).tobytes()
-
-    first = tokenizer.pre_tokenizer.pre_tokenize_str("a b") if tokenizer.pre_tokenizer else []
-    if [w for w, _ in first] != ["a", "b"]:
-        return lambda texts: [whole(t or "") for t in texts]
-    special = [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]
-    odd = re.compile("|".join(["[\x1c-\x1f]", *special])).search
-    known: dict[str, bytes] = {}
-
-    def learn(chunks: list[str]) -> dict[str, bytes]:
-        """Ids of each chunk, encoded as one text and cut where a chunk begins."""
-        text = " ".join(chunks)
-        found = tokenizer.encode(text, add_special_tokens=False)
-        ids = np.array(found.ids, dtype)
+class ChunkIds:
+    """Ids of the chunks between ASCII white space, as bytes.
+
+    A tokenizer that takes white space out before it merges makes no token
+    that reaches over it, so the ids of a text are those of its chunks, one
+    after the other.  A batch's different chunks are looked up once each and
+    the ids gathered by number.  Of new chunks, plain words go straight to the
+    merges, a plain word with one mark behind it is put together of the two,
+    and the others are encoded many at a time: one text, cut where a chunk
+    begins (the offsets of the tokens must hit every beginning, or the chunks
+    are encoded one by one).
+
+    Two generations are remembered: what the younger one lacks is taken over
+    from the older one, and the older one falls away when the younger one is
+    full, so frequent chunks stay."""
+
+    def __init__(self, tokenizer, dtype: str):
+        self.tokenizer, self.dtype = tokenizer, dtype
+        self.code = {2: "H", 4: "I"}[np.dtype(dtype).itemsize]
+        self.young: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+        ids = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+        self.merge = merge = tokenizer.model.tokenize
+        self.symbols = byte_symbols()
+        probes = ["the", "chunk", "qzvxk", "abcdefghijklmnopqrstuvwxyz" * 2, "öàéß", "слово"]
+        parts = [[t.id for t in merge(w.encode().decode("latin-1").translate(self.symbols))] for w in probes]
+        self.splits = ids("a b") == ids("a") + ids("b") and ids(" \n a") == ids("a")
+        self.plain = parts == [ids(w) for w in probes] and ids("the,") == ids("the") + ids(",")
+        self.lowers = ids("The") == ids("the")
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def together(self, chunks: list[str]) -> None:
+        found = self.tokenizer.encode(" ".join(chunks), add_special_tokens=False)
+        ids = np.array(found.ids, self.dtype)
         begin = np.cumsum([0, *(len(c) + 1 for c in chunks[:-1])])
         at = np.array([o[0] for o in found.offsets], np.int64)
-        cut = np.searchsorted(at, begin).tolist() + [len(ids)]
-        raw, size = ids.tobytes(), ids.itemsize
-        return {c: raw[size * a:size * b] for c, a, b in zip(chunks, cut, cut[1:])}
-
-    def run(texts) -> list[bytes]:
-        split = [None if t is None or odd(t) else t.split() for t in texts]
-        new = set().union(*filter(None, split)).difference(known)
-        fresh: dict[str, bytes] = {}
-        held, n = [], 0
-        for chunk in new:
-            if not chunk.isascii() or len(chunk) > CHUNK:
-                fresh[chunk] = whole(chunk)
-                continue
-            held.append(chunk)
-            n += len(chunk)
-            if n >= AT_ONCE:
-                fresh.update(learn(held))
-                held, n = [], 0
-        if held:
-            fresh.update(learn(held))
-        if len(known) + len(fresh) > REMEMBERED:
-            # Every chunk of this batch stays at hand, the rest begins anew.
-            used = set().union(*filter(None, split)).intersection(known)
-            kept = {c: known[c] for c in used}
-            known.clear()
-            known.update(kept)
-        known.update(fresh)
-        get = known.__getitem__
-        out = [b"".join(map(get, s)) if s is not None else whole(t or "") for s, t in zip(split, texts)]
-        return out
+        cut = np.searchsorted(at, begin)
+        if len(at) == 0 or cut[-1] >= len(at) or np.any(at[cut] != begin):
+            for c in chunks:
+                self.young[c] = self.whole(c)
+            return
+        raw, size, cut = ids.tobytes(), ids.itemsize, cut.tolist() + [len(ids)]
+        for c, a, b in zip(chunks, cut, cut[1:]):
+            self.young[c] = raw[size * a:size * b]
+
+    def is_word(self, chunk: str) -> bool:
+        """Whether the first cut keeps the chunk whole: ASCII letters, or small
+        letters up to the Cyrillic ones that normalising leaves as they are."""
+        if chunk.isascii():
+            return chunk.isalpha()
+        return chunk.isalpha() and max(chunk) < LAST_LETTER and chunk == chunk.lower() and is_normalized("NFC", chunk)
+
+    def word(self, word: str) -> bytes:
+        """Ids of a word, straight from the merges."""
+        if word.isascii():
+            word = spelled = word.lower() if self.lowers else word
+        else:
+            spelled = word.encode().decode("latin-1").translate(self.symbols)
+        found = self.young.get(word)
+        if found is None:
+            found = self.old.get(word)
+            if found is None:
+                found = array(self.code, [t.id for t in self.merge(spelled)]).tobytes()
+            self.young[word] = found
+        return found
+
+    def learn(self, chunks: list[str]) -> None:
+        """Make sure that ``young`` holds all of ``chunks``."""
+        old, young = self.old, self.young
+        other, n = [], 0
+        for chunk in chunks:
+            known = old.get(chunk)
+            if known is not None:
+                young[chunk] = known
+            elif len(chunk) > CHUNK:
+                young[chunk] = self.whole(chunk)
+            elif self.plain and chunk[-1] in END_MARKS and self.is_word(chunk[:-1]):
+                mark = young.get(chunk[-1])
+                if mark is None:
+                    mark = young[chunk[-1]] = self.whole(chunk[-1])
+                young[chunk] = self.word(chunk[:-1]) + mark
+            elif self.plain and self.is_word(chunk):
+                found = self.word(chunk)
+                if chunk not in young:
+                    young[chunk] = found
+            else:
+                other.append(chunk)
+                n += len(chunk)
+                if n >= AT_ONCE:
+                    self.together(other)
+                    other, n = [], 0
+        if other:
+            self.together(other)
+
+    def encode(self, column: pa.Array) -> list[bytes]:
+        """Ids of each text; null: none."""
+        if not self.splits:
+            return [self.whole(t or "") for t in column.to_pylist()]
+        if len(self.young) > REMEMBERED:
+            self.old, self.young = self.young, {"": b""}
+        chunks = pc.ascii_split_whitespace(column.cast(pa.large_string()).fill_null(""))
+        off = chunks.offsets.to_numpy()
+        coded = chunks.flatten().dictionary_encode()
+        kinds, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        young = self.young
+        self.learn([k for k in kinds if k not in young])
+        parts = [young[k] for k in kinds]
+        size = np.dtype(self.dtype).itemsize
+        ids = np.frombuffer(b"".join(parts), self.dtype)
+        many = np.fromiter(map(len, parts), np.int64, len(parts)) // size
+        first = np.cumsum(many) - many
+        n = many[code]
+        end = np.cumsum(n)
+        flat = ids[np.arange(int(end[-1]) if len(end) else 0) + np.repeat(first[code] - (end - n), n)].tobytes()
+        cut = (np.concatenate(([0], end))[off - off[0]] * size).tolist()
+        return [flat[a:b] for a, b in zip(cut, cut[1:])]
 
-    return run
+
+def batch_encoder(tokenizer_path: str, dtype: str):
+    """``string column -> ids as bytes, one item a row``; what it learns stays
+    in the worker for the tasks that follow."""
+    from tokenizers import Tokenizer
+
+    memory, key = worker_memory(), ("chunk ids", tokenizer_path, dtype)
+    if key not in memory:
+        memory[key] = ChunkIds(Tokenizer.from_file(tokenizer_path), dtype)
+    return memory[key].encode
 
 
 def write_files(folder: str, tokenizer_path: str, end_id: int, dtype: str, file_ids: int):
@@ -151,7 +224,7 @@ def write_files(folder: str, tokenizer_path: str, end_id: int, dtype: str, file_
 
         for batch in batches:
             keys = batch.column("doc_id").to_pylist()
-            for key, raw in zip(keys, encode(batch.column("text").to_pylist())):
+            for key, raw in zip(keys, encode(batch.column("text"))):
                 if out is None:
                     name = f"{part:06d}-{seq:04d}-{uuid.uuid4().hex[:12]}"
                     out = store.open_output_stream(f"{path}/{name}.ids", buffer_size=1 << 20)
