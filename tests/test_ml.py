@@ -5,7 +5,7 @@ import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from wagelens.ml import evaluate, models, selection
+from wagelens.ml import evaluate, models
 from wagelens.ml.features import MedianImputeScale, OneHotDropFirst, TitleTfidf
 
 
@@ -86,10 +86,10 @@ def test_verdict_levels(spark):
 
 def test_overfit_rule(spark):
     res = spark.createDataFrame([(3, 10.0), (4, 9.0), (5, 9.1), (6, 9.5)], "max_depth int, Validation_MAE double")
-    r = selection.overfit_depth(res).first()
+    r = evaluate.overfit_depth(res).first()
     assert r.best_depth == 4 and r.overfit_depth == 6
     res2 = spark.createDataFrame([(3, 10.0), (4, 9.0)], "max_depth int, Validation_MAE double")
-    assert selection.overfit_depth(res2).first().overfit_depth is None
+    assert evaluate.overfit_depth(res2).first().overfit_depth is None
 
 
 def test_group_mean_fit_in_one_rollup_matches_brute_force(spark):

@@ -66,3 +66,19 @@ def test_spread_only_splits_under_split_scans(spark):
     wide = orders.repartition(target + 2, "o_orderkey")
     assert spread(wide, "o_orderkey") is wide
     assert spread_out.count() == orders.count()
+
+
+def test_hash_ranks_exchange_the_rows_once_and_store_nothing(spark):
+    """Rows go through one exchange, by (stratum, prefix); the other exchanges
+    carry counts."""
+    from wagelens.operators.splits import stratified_split_folds
+    rows = spark.range(1000).selectExpr("id", "cast(id % 3 as string) AS s", "id * 2 AS payload")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(stratified_split_folds(rows, ["s"], "id"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 << 20))
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("_stratum" in e and "_prefix" in e for e in exchanges) == 3        # rows, partial counts, offsets
+    assert len(exchanges) == 4                                                   # and the counts by stratum
+    assert "Scan ExistingRDD" not in plan and "rangepartitioning" not in plan

@@ -52,3 +52,14 @@ def test_iqr_fences_single_row_and_constant_group(spark):
     df = spark.createDataFrame([("a", 5.0), ("b", 2.0), ("b", 2.0), ("b", 2.0)], "g string, x double")
     out = eda.iqr_fences(df, ["g"], "x").collect()
     assert not any(r.is_outlier for r in out)
+
+
+def test_hash_rank_within_equals_row_number_also_for_null_strata(spark):
+    from pyspark.sql import Window
+    from wagelens.operators.splits import hash_order, hash_rank_within
+    df = spark.range(3000).selectExpr("id", "CASE WHEN id % 5 = 0 THEN NULL WHEN id % 3 = 0 THEN 'a' ELSE 'b' END AS s", "id % 2 AS t")
+    got = hash_rank_within(df, ["s", "t"], hash_order("id"), [F.col("id")], "r", "n")
+    w = Window.partitionBy("s", "t")
+    want = df.withColumn("r", F.row_number().over(w.orderBy(hash_order("id"), "id"))).withColumn("n", F.count("*").over(w))
+    assert got.count() == 3000 and got.columns == ["id", "s", "t", "r", "n"]
+    assert got.select("id", "r", "n").exceptAll(want.select("id", F.col("r").cast("long"), "n")).count() == 0

@@ -128,6 +128,13 @@ def attach_scalars(df, scalars):
     return df.select("*", *[scalars.select(c).scalar().alias(c) for c in scalars.columns])
 
 
+def attach_row(df, row):
+    """``attach_scalars`` for a one-row table that is no plain aggregate: its
+    plan runs once, as one struct, however many columns it has."""
+    one = row.select(F.struct(*row.columns).alias("_row")).scalar()
+    return df.withColumn("_row", one).select("*", *[F.col("_row")[c].alias(c) for c in row.columns]).drop("_row")
+
+
 def g1_skew_correction(n: Column) -> Column:
     """Factor turning population skewness g1 into the bias-corrected G1."""
     return F.sqrt(n * (n - 1)) / (n - 2)

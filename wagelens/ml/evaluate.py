@@ -1,23 +1,21 @@
-"""Evaluation tables.
+"""Evaluation tables.
 
 Metrics are single aggregates (MAE, RMSE, R^2 with SST = var_pop * n and
 a zero-SST guard).  Cross-validation of the group-mean baseline is fully
 declarative: per-(group, fold) sums give every leave-one-fold-out mean,
 each row is expanded over the k folds (k is a fixed bound) and one
-aggregate returns all fold scores.  MLlib models go through a fold loop
-(one distributed fit per fold, like ``CrossValidator``).
+aggregate returns all fold scores.  MLlib models go through stored encoded
+folds (``candidates.cross_validate``).
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wagelens.functions.columns import attach_scalars
+from wagelens.functions.columns import attach_row, attach_scalars
 
-from wagelens.operators.quantiles import checked_broadcast
-from wagelens.operators.splits import rank_within
+from wagelens.operators.quantiles import checked_broadcast, quantiles_of_counts, value_counts
 from wagelens.rules import INDUSTRY_MAE_USD, LEGACY_MAE_USD
 
 
@@ -100,12 +98,14 @@ def segment_performance(audit: DataFrame, group: str) -> DataFrame:
 def residual_summary(audit: DataFrame) -> DataFrame:
     """Residual describe + over / under prediction shares."""
     r = F.col("residual")
-    q = F.percentile(r, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return audit.agg(F.count(r).alias("count"), F.avg(r).alias("mean"), F.stddev_samp(r).alias("std"),
-                     F.min(r).alias("min"), q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"),
-                     F.max(r).alias("max"),
-                     (100 * F.avg((r < 0).cast("double"))).alias("overprediction_pct"),
-                     (100 * F.avg((r > 0).cast("double"))).alias("underprediction_pct"))
+    names = ["q25", "q50", "q75"]
+    q = quantiles_of_counts(value_counts(audit, [], "residual"), [], "residual", [0.25, 0.5, 0.75], names)
+    stats = audit.agg(F.count(r).alias("count"), F.avg(r).alias("mean"), F.stddev_samp(r).alias("std"),
+                      F.min(r).alias("min"), F.max(r).alias("max"),
+                      (100 * F.avg((r < 0).cast("double"))).alias("overprediction_pct"),
+                      (100 * F.avg((r > 0).cast("double"))).alias("underprediction_pct"))
+    return attach_row(stats, q.select(*names)).select(
+        "count", "mean", "std", "min", *names, "max", "overprediction_pct", "underprediction_pct")
 
 
 def diagonal_bounds(audit: DataFrame) -> DataFrame:
@@ -145,35 +145,12 @@ def scoring_contract(scoring: DataFrame, scored: DataFrame, prediction: str) ->
                                      & (F.col("non_finite") == 0))
 
 
-def permutation_importance(model, holdout: DataFrame, features: list[str], label: str, key: str,
-                           repeats: int = 10, seed: int = 42, prediction: str = "prediction",
-                           inverse=None) -> DataFrame:
-    """Mean / SD (ddof=0) of the MAE increase when one feature column
-    is permuted, over ``repeats`` permutations.  Each permutation pairs the
-    row at rank r (by key) with the row at rank r under
-    md5(key, repeat, feature); all (feature, repeat) copies are unioned and
-    scored by one ``transform``, so the whole table is one job."""
-    tr_fn = inverse or (lambda c: c)
-    base = holdout.persist(StorageLevel.MEMORY_AND_DISK)
-    base_mae = model.transform(base).agg(F.avg(F.abs(tr_fn(F.col(label)) - tr_fn(F.col(prediction))))).first()[0]
-    ids = base.select(key).withColumn("_all", F.lit(0))
-    # Rank by key once (shared by every copy); rank under the seeded hash
-    # once per (feature, repeat) copy.
-    by_key = rank_within(ids, ["_all"], [F.col(key)], "_r1").drop("_all")
-    combos = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.lit(r).alias("r"))
-                                 for f in features for r in range(repeats)])).alias("_c")
-    grid = ids.select(key, combos).select(key, F.col("_c.f").alias("_feature"), F.col("_c.r").alias("_repeat"))
-    shuffled = rank_within(grid, ["_feature", "_repeat"],
-                           [F.md5(F.concat_ws("#", F.col(key).cast("string"), F.col("_repeat").cast("string"),
-                                              F.col("_feature"), F.lit(str(seed)))), F.col(key)], "_r2")
-    donor = shuffled.select(F.col(key).alias("_donor"), "_feature", "_repeat", F.col("_r2").alias("_r1"))
-    pairs = donor.join(by_key, "_r1").select(key, "_feature", "_repeat", "_donor")
-    donor_vals = base.select(F.col(key).alias("_donor"), *[F.col(f).alias(f"_d_{f}") for f in features])
-    joined = pairs.join(base, key).join(donor_vals, "_donor")
-    for f in features:
-        joined = joined.withColumn(f, F.when(F.col("_feature") == f, F.col(f"_d_{f}")).otherwise(F.col(f)))
-    scored = model.transform(joined.drop(*[f"_d_{f}" for f in features], "_donor"))
-    per = scored.groupBy("_feature", "_repeat").agg(
-        (F.avg(F.abs(tr_fn(F.col(label)) - tr_fn(F.col(prediction)))) - F.lit(base_mae)).alias("_inc"))
-    return per.groupBy(F.col("_feature").alias("Feature")).agg(
-        F.avg("_inc").alias("Importance_MAE"), F.stddev_pop("_inc").alias("Importance_SD"))
+def overfit_depth(results: DataFrame, tolerance: float = 1.02) -> DataFrame:
+    """I13 rule as a query: first depth above the best whose validation MAE
+    exceeds tolerance x best (null -> not detected)."""
+    best = results.orderBy("Validation_MAE", "max_depth").limit(1) \
+        .select(F.col("max_depth").alias("best_depth"), F.col("Validation_MAE").alias("best_mae"))
+    cand = attach_scalars(results, best).where((F.col("max_depth") > F.col("best_depth"))
+                                         & (F.col("Validation_MAE") > F.col("best_mae") * tolerance))
+    first = cand.agg(F.min("max_depth").alias("overfit_depth"))
+    return attach_scalars(best, first)

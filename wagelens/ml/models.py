@@ -115,6 +115,8 @@ def random_forest(num_trees: int = 100, max_depth: int | None = None, min_leaf:
 def gradient_boosting(n_estimators: int = 100, learning_rate: float = 0.1, max_depth: int = 3,
                       min_leaf: int = 1, subsample: float = 1.0, seed: int = RANDOM_STATE,
                       label: str = "label") -> GBTRegressor:
+    """Shallow trees: walking a row down again costs less than keeping its node
+    between levels (8.8 s against 12.8 s for 40 trees on 5,900 rows)."""
     return GBTRegressor(featuresCol="features", labelCol=label, maxIter=n_estimators, stepSize=learning_rate,
                         maxDepth=max_depth, minInstancesPerNode=min_leaf, subsamplingRate=subsample, seed=seed,
-                        maxBins=64, cacheNodeIds=True, maxMemoryInMB=1024, checkpointInterval=10)
+                        maxBins=64, cacheNodeIds=False, maxMemoryInMB=1024, checkpointInterval=10)

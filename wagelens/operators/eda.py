@@ -3,9 +3,9 @@
 Each table is one lazy DataFrame over Silver / training.  Group facts are
 partial aggregates; per-group statistics that rows are compared with are
 stored, checked for size and broadcast, so the rows are not shuffled on a
-few group keys.  Box plots, fences and group summaries take exact quantiles
-(linear interpolation, same as pandas) from distributed value counts
-(``quantiles``); ``exact=False`` switches to ``percentile_approx``.
+few group keys.  All quantiles are exact (linear interpolation, same as
+pandas) and come from distributed value counts (``quantiles``);
+``exact=False`` of some tables switches to ``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -16,13 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wagelens.functions.columns import attach_scalars, false_if_null, g1_skew_correction
-from wagelens.operators.quantiles import checked_broadcast, quantiles_of_counts, value_counts
+from wagelens.operators.quantiles import (checked_broadcast, join_groups, quantiles_by, quantiles_of_counts, value_counts,
+                                          wide)
 
 
-def quantile(c: str | Column, q, exact: bool = True, accuracy: int = 1_000_000) -> Column:
+def approx_quantile(c: str | Column, q, accuracy: int = 1_000_000) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    if exact:
-        return F.percentile(c, q) if not isinstance(q, (list, tuple)) else F.percentile(c, F.array(*[F.lit(x) for x in q]))
     return F.percentile_approx(c, q if not isinstance(q, (list, tuple)) else list(q), accuracy)
 
 
@@ -62,42 +61,39 @@ def coverage_two_keys(silver: DataFrame, a: str = "job_level", b: str = "is_remo
 def group_summary(df: DataFrame, groups: list[str], value: str, exact: bool = True) -> DataFrame:
     """N, mean, median, min, max, bias-corrected skew per group."""
     v = F.col(value)
+    data = df.where(v.isNotNull())
+    stats = data.groupBy(*groups).agg(
+        F.count(v).alias("n"), F.round(F.avg(v), 6).alias("mean"), F.round(approx_quantile(v, 0.5), 6).alias("median"),
+        F.round(F.min(v), 6).alias("min"), F.round(F.max(v), 6).alias("max"), F.round(skew_g1(value), 6).alias("skew"))
     if exact:
-        stats = group_summary(df, groups, value, exact=False).drop("median")
-        middle = quantiles_of_counts(value_counts(df, groups, value), groups, value, [0.5], ["median"])
-        middle = middle.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], F.round("median", 6).alias("median"))
-        same = F.lit(True)
-        for i, g in enumerate(groups):
-            same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
-        return stats.join(middle, same).select(*groups, "n", "mean", "median", "min", "max", "skew")
-    return (df.where(v.isNotNull()).groupBy(*groups)
-            .agg(F.count(v).alias("n"), F.round(F.avg(v), 6).alias("mean"),
-                 F.round(quantile(v, 0.5, exact), 6).alias("median"),
-                 F.round(F.min(v), 6).alias("min"), F.round(F.max(v), 6).alias("max"),
-                 F.round(skew_g1(value), 6).alias("skew")))
+        middle = quantiles_of_counts(value_counts(df, groups, value), groups, value, [0.5], ["_m"])
+        stats = join_groups(stats.drop("median"), middle.drop("_n"), groups).withColumn("median", F.round("_m", 6))
+    return stats.select(*groups, "n", "mean", "median", "min", "max", "skew")
 
 
 def local_vs_usd_medians(df: DataFrame, groups=("country", "currency")) -> DataFrame:
     """Medians of the local and converted salary per group."""
-    return (df.groupBy(*groups)
-            .agg(F.count(F.lit(1)).alias("postings"),
-                 F.round(F.percentile("salary_avg_local", 0.5), 6).alias("median_local"),
-                 F.round(F.percentile("salary_avg_usd", 0.5), 6).alias("median_usd")))
+    return medians_with(df, list(groups), {"salary_avg_local": "median_local", "salary_avg_usd": "median_usd"},
+                        [F.count(F.lit(1)).alias("postings")])
+
+
+def medians_with(df: DataFrame, groups: list[str], names: dict[str, str], aggs: list[Column]) -> DataFrame:
+    """Plain aggregates and the medians of some columns per group."""
+    middle = wide(quantiles_by(df, groups, list(names), [0.5], ["m"]), groups, list(names), ["m"])
+    plain = df.groupBy(*groups).agg(*aggs)
+    return join_groups(plain, middle, groups).select(*plain.columns, *[F.round(f"{c}__m", 6).alias(n) for c, n in names.items()])
 
 
 def range_summary(df: DataFrame, groups=("country", "job_level"), value: str = "salary_range_usd") -> DataFrame:
     """Salary range size / median / mean by groups, non-null only."""
     v = F.col(value)
-    return (df.where(v.isNotNull()).groupBy(*groups)
-            .agg(F.count(F.lit(1)).alias("postings"),
-                 F.round(F.percentile(v, 0.5), 6).alias("median_range"),
-                 F.round(F.avg(v), 6).alias("mean_range")))
+    return medians_with(df.where(v.isNotNull()), list(groups), {value: "median_range"},
+                        [F.count(F.lit(1)).alias("postings"), F.round(F.avg(v), 6).alias("mean_range")])
 
 
 def median_by(df: DataFrame, groups, value: str = "salary_avg_usd", name: str = "median_salary_usd") -> DataFrame:
     """Postings and median per group (role family x country)."""
-    return (df.groupBy(*groups)
-            .agg(F.count(F.lit(1)).alias("postings"), F.round(F.percentile(value, 0.5), 6).alias(name)))
+    return medians_with(df, list(groups), {value: name}, [F.count(F.lit(1)).alias("postings")])
 
 
 def mix_counts(df: DataFrame, groups) -> DataFrame:
@@ -162,10 +158,9 @@ def box_stats(df: DataFrame, groups: list[str], value: str, exact: bool = True)
         q = quantiles_of_counts(data, groups, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"]).withColumnRenamed("_n", "n")
     else:
         q = (df.where(v.isNotNull()).groupBy(*groups)
-             .agg(quantile(v, [0.25, 0.5, 0.75], False).alias("_q"), F.count(v).alias("n"))
+             .agg(approx_quantile(v, [0.25, 0.5, 0.75]).alias("_q"), F.count(v).alias("n"))
              .select(*groups, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3")))
-    q = checked_broadcast(q.withColumn("iqr", F.col("q3") - F.col("q1")))
-    j = data.join(q, groups)
+    j = data.join(q.withColumn("iqr", F.col("q3") - F.col("q1")), groups)
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
     return (j.groupBy(*groups, "n", "q1", "median", "q3", "iqr")
@@ -179,14 +174,14 @@ def skew_comparison(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """N, mean, median, skew for several columns (raw vs log)."""
     aggs = []
     for label, c in columns.items():
-        aggs += [F.count(c).alias(f"{label}__n"), F.avg(c).alias(f"{label}__mean"),
-                 F.percentile(c, 0.5).alias(f"{label}__median"), skew_g1(c).alias(f"{label}__skew")]
+        aggs += [F.count(c).alias(f"{label}__n"), F.avg(c).alias(f"{label}__mean"), skew_g1(c).alias(f"{label}__skew")]
     row = df.agg(*aggs)
-    return row.select(F.inline(F.array(*[
-        F.struct(F.lit(label).alias("scale"), F.col(f"{label}__n").alias("n"),
-                 F.round(F.col(f"{label}__mean"), 6).alias("mean"),
-                 F.round(F.col(f"{label}__median"), 6).alias("median"),
-                 F.round(F.col(f"{label}__skew"), 6).alias("skew")) for label in columns])))
+    stats = row.select(F.inline(F.array(*[
+        F.struct(F.lit(label).alias("scale"), F.lit(c).alias("_c"), F.col(f"{label}__n").alias("n"),
+                 F.round(F.col(f"{label}__mean"), 6).alias("mean"), F.round(F.col(f"{label}__skew"), 6).alias("skew"))
+        for label, c in columns.items()])))
+    middle = quantiles_by(df, [], list(dict.fromkeys(columns.values())), [0.5], ["_m"]).select(F.col("_column").alias("_c"), "_m")
+    return stats.join(middle, "_c", "left").select("scale", "n", "mean", F.round("_m", 6).alias("median"), "skew")
 
 
 def iqr_fences(df: DataFrame, groups: list[str], value: str, k: float = 1.5, exact: bool = True) -> DataFrame:
@@ -195,7 +190,7 @@ def iqr_fences(df: DataFrame, groups: list[str], value: str, k: float = 1.5, exa
     if exact:
         quartiles = quantiles_of_counts(value_counts(df, groups, value), groups, value, [0.25, 0.75], ["q1", "q3"]).drop("_n")
     else:
-        quartiles = (df.where(v.isNotNull()).groupBy(*groups).agg(quantile(v, [0.25, 0.75], False).alias("_q"))
+        quartiles = (df.where(v.isNotNull()).groupBy(*groups).agg(approx_quantile(v, [0.25, 0.75]).alias("_q"))
                      .select(*groups, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3")))
     fences = (quartiles
               .withColumn("iqr", F.col("q3") - F.col("q1"))

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wagelens.functions.columns import WHITESPACE_RUN, attach_scalars, false_if_null
+from wagelens.functions.columns import WHITESPACE_RUN, attach_row, attach_scalars, false_if_null
+from wagelens.operators import quantiles
 from wagelens.rules import COUNTRY_FX, EXPECTED_COLUMNS, EXPECTED_COUNTRIES, EXPECTED_LEVELS
 
 
@@ -95,20 +96,26 @@ def preview(df: DataFrame, columns: list[str], key: str, n: int = 5) -> DataFram
 
 # --------------------------------------------------------------------- B
 def column_profile(df: DataFrame) -> DataFrame:
-    """B1: dtype, missing count and %, distinct count including null."""
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for c in df.columns:
-        aggs.append(F.count(F.when(F.col(c).isNull(), 1)).alias(f"m_{c}"))
-        aggs.append((F.count_distinct(c) + F.max(F.col(c).isNull().cast("int"))).alias(f"d_{c}"))
-    row = df.agg(*aggs)
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    out = row.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"),
-                 F.col(f"m_{c}").cast("bigint").alias("missing_count"),
-                 F.round(100.0 * F.col(f"m_{c}") / F.col("_n"), 2).alias("missing_pct"),
-                 F.col(f"d_{c}").cast("bigint").alias("distinct_count"))
-        for c in df.columns])))
-    return out
+    """B1: dtype, missing count and %, distinct count including null.
+
+    Every column is scanned by itself and its values become 128-bit hashes,
+    counted per (column, hash) map-side; the counts per column come from
+    those.  Rows are never expanded over the columns, and one exchange of
+    hashes serves all of them."""
+    pairs = None
+    for i, c in enumerate(df.columns):
+        v = F.col(c)
+        one = df.select(F.lit(i).alias("_i"), *[F.when(v.isNotNull(), F.xxhash64(F.lit(s), v)).alias(f"_h{s}") for s in (1, 2)])
+        pairs = one if pairs is None else pairs.unionAll(one)
+    distinct = pairs.groupBy("_i", "_h1", "_h2").agg(F.count(F.lit(1)).alias("_w"))
+    per = distinct.groupBy("_i").agg(
+        F.count(F.lit(1)).alias("distinct_count"), F.sum("_w").alias("_n"),
+        F.coalesce(F.sum(F.when(F.col("_h1").isNull(), F.col("_w"))), F.lit(0)).alias("missing_count"))
+    names = F.array(*[F.lit(c) for c in df.columns])
+    types = F.array(*[F.lit(f.dataType.simpleString()) for f in df.schema.fields])
+    return per.select(
+        names[F.col("_i")].alias("column"), types[F.col("_i")].alias("dtype"), "missing_count",
+        F.round(100.0 * F.col("missing_count") / F.col("_n"), 2).alias("missing_pct"), "distinct_count")
 
 
 def missing_columns(profile: DataFrame) -> DataFrame:
@@ -116,6 +123,16 @@ def missing_columns(profile: DataFrame) -> DataFrame:
     return profile.where("missing_count > 0").orderBy("missing_pct", "column")
 
 
+def describe(df: DataFrame, column: str) -> DataFrame:
+    """Count, mean, sample SD, minimum, quartiles and maximum, rounded."""
+    v, names = F.col(column), ["q25", "q50", "q75"]
+    stats = df.agg(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+                   F.min(v).alias("min"), F.max(v).alias("max"))
+    q = quantiles.quantiles_of_counts(quantiles.value_counts(df, [], column), [], column, [0.25, 0.5, 0.75], names)
+    return attach_row(stats, q.select(*names)).select(
+        "count", *[F.round(c, 6).alias(c) for c in ("mean", "std", "min", *names, "max")])
+
+
 def value_counts(df: DataFrame, column: str, dropna: bool = False) -> DataFrame:
     """Count and % per value, null as its own bucket unless dropped."""
     base = df if not dropna else df.where(F.col(column).isNotNull())

@@ -1,20 +1,19 @@
 """Exact ranks, stratified splits and fold assignment.
 
-``rank_within`` gives every row its 1-based position inside its stratum
-under a total order *without* a ``Window.partitionBy(stratum)``: with five
-countries such a window would run as five tasks, and a stratum holding a
-third of the data would be sorted by one task.  Instead:
-
-1. range-partition on (stratum, order) and sort within partitions - the
-   hot stratum spreads over many partitions;
-2. ``monotonically_increasing_id`` encodes (partition, position);
-3. a small table of per-(partition, stratum) counts gives each run its
-   offset (a running sum over at most partitions + strata rows);
-4. rank = offset + position inside the run.
-
-The sorted, id-tagged frame is checkpointed once so both consumers of the
-ids (counts and rows) see the same assignment and a lost executor
-recomputes from the checkpoint.
+A ``Window.partitionBy(stratum)`` over five countries would run as five tasks,
+and a stratum holding a third of the data would be sorted by one task.  Two
+forms give every row its 1-based position inside its stratum without that:
+
+``hash_rank_within`` for orders that begin with a hash of the row (splits,
+folds, permutations).  The first digits of the hash cut a stratum into equal
+buckets whose order is known beforehand, so counts per (stratum, prefix) give
+each bucket its offset, and the rank inside a bucket is local.  The rows are
+exchanged once, by (stratum, prefix), and nothing is stored.
+
+``rank_within`` for any order: range-partition on (stratum, order), number the
+sorted rows, and add the offsets of the (partition, stratum) runs.  The
+numbered frame is checkpointed so both consumers of the numbers agree and a
+lost executor recomputes from there.
 """
 
 from __future__ import annotations
@@ -23,7 +22,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wagelens.rules import CV_FOLDS, RANDOM_STATE, TEST_SIZE
-from wagelens.operators.quantiles import checked_broadcast
 from wagelens.session import materialize
 
 
@@ -59,8 +57,28 @@ def rank_within(df: DataFrame, strata: list[str], order: list[Column], name: str
             .drop("_pid", "_mid", "_off", "_start"))
 
 
-def stratum_sizes(df: DataFrame, strata: list[str]) -> DataFrame:
-    return df.groupBy(*strata).agg(F.count(F.lit(1)).alias("_stratum_n"))
+#: Hex digits of a hash that make a bucket: 4,096 buckets a stratum.
+PREFIX_DIGITS = 3
+
+
+def hash_rank_within(df: DataFrame, strata: list[str], order: Column, tie: list[Column], name: str = "rank",
+                     size: str | None = None, digits: int = PREFIX_DIGITS) -> DataFrame:
+    """1-based rank of each row in its stratum under (``order``, ``tie``),
+    ``order`` being a hexadecimal hash column; null strata are strata of their
+    own.  ``size`` names a column for the rows of the stratum."""
+    tagged = df.withColumn("_hash", order).withColumn("_stratum", F.struct(*strata))
+    tagged = tagged.withColumn("_prefix", F.substring("_hash", 1, digits))
+    counts = tagged.groupBy("_stratum", "_prefix").agg(F.count(F.lit(1)).alias("_in"))
+    whole = Window.partitionBy("_stratum")
+    before = whole.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_stratum", "_prefix", F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_before"),
+                            F.sum("_in").over(whole).alias("_size"))
+    local = Window.partitionBy("_stratum", "_prefix").orderBy("_hash", *tie)
+    ranked = tagged.withColumn("_local", F.row_number().over(local)).join(offsets, ["_stratum", "_prefix"])
+    ranked = ranked.withColumn(name, F.col("_before") + F.col("_local"))
+    if size:
+        ranked = ranked.withColumn(size, F.col("_size"))
+    return ranked.drop("_hash", "_stratum", "_prefix", "_local", "_before", "_size")
 
 
 def stratified_split(df: DataFrame, strata: list[str], key: str, test_size: float = TEST_SIZE,
@@ -68,12 +86,9 @@ def stratified_split(df: DataFrame, strata: list[str], key: str, test_size: floa
     """exact per-stratum holdout of round(n * test_size) rows, chosen by
     md5 order (portable and reproducible).  Adds ``split`` in
     {'development', 'test'}."""
-    ranked = rank_within(df, strata, [hash_order(key, seed), F.col(key)], "_rank")
-    sizes = checked_broadcast(stratum_sizes(df, strata))
+    ranked = hash_rank_within(df, strata, hash_order(key, seed), [F.col(key)], "_rank", "_stratum_n")
     n_test = F.floor(F.col("_stratum_n") * test_size + 0.5)
-    return (ranked.join(sizes, strata)
-            .withColumn(name, F.when(F.col("_rank") <= n_test, "test").otherwise("development"))
-            .drop("_rank", "_stratum_n"))
+    return ranked.withColumn(name, F.when(F.col("_rank") <= n_test, "test").otherwise("development")).drop("_rank", "_stratum_n")
 
 
 def stratified_split_folds(df: DataFrame, strata: list[str], key: str, test_size: float = TEST_SIZE,
@@ -82,12 +97,10 @@ def stratified_split_folds(df: DataFrame, strata: list[str], key: str, test_size
     rows of each stratum (md5 order) are the holdout; the remaining rows
     keep the same order, so their fold is (rank - n_test - 1) mod k - the
     same assignment as re-ranking the development rows alone."""
-    ranked = rank_within(df, strata, [hash_order(key, seed), F.col(key)], "_rank")
-    sizes = checked_broadcast(stratum_sizes(df, strata))
+    ranked = hash_rank_within(df, strata, hash_order(key, seed), [F.col(key)], "_rank", "_stratum_n")
     n_test = F.floor(F.col("_stratum_n") * test_size + 0.5)
     dev = F.col("_rank") > n_test
-    return (ranked.join(sizes, strata)
-            .withColumn("split", F.when(dev, "development").otherwise("test"))
+    return (ranked.withColumn("split", F.when(dev, "development").otherwise("test"))
             .withColumn("fold", F.when(dev, ((F.col("_rank") - n_test - 1) % k).cast("int")))
             .drop("_rank", "_stratum_n"))
 
@@ -96,7 +109,7 @@ def stratified_folds(df: DataFrame, strata: list[str], key: str, k: int = CV_FOL
                      seed: int = RANDOM_STATE, name: str = "fold") -> DataFrame:
     """fold = (rank in stratum - 1) mod k, so each stratum is spread
     evenly over the folds (sizes differ by at most one per stratum)."""
-    ranked = rank_within(df, strata, [hash_order(key, seed), F.col(key)], "_rank")
+    ranked = hash_rank_within(df, strata, hash_order(key, seed), [F.col(key)], "_rank")
     return ranked.withColumn(name, ((F.col("_rank") - 1) % k).cast("int")).drop("_rank")
 
 

@@ -25,6 +25,7 @@ from wagelens.sources.postings import postings, table
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
 _CACHE: dict = {}
+_RUNS: dict = {}
 
 
 def clear_cache() -> None:
@@ -33,6 +34,7 @@ def clear_cache() -> None:
         for df in (v if isinstance(v, tuple) else (v,)):
             df.unpersist()
     _CACHE.clear()
+    _RUNS.clear()
 
 
 def register(name: str, sql: str | None = None):
@@ -214,12 +216,7 @@ SELECT count(salary_avg_usd) AS count, round(avg(salary_avg_usd), 6) AS mean,
        round(quantile_cont(salary_avg_usd, 0.75), 6) AS q75, round(max(salary_avg_usd), 6) AS max
 FROM training"""))
 def b4(spark, d):
-    v = F.col("salary_avg_usd")
-    q = F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return training(spark, d).agg(
-        F.count(v).alias("count"), F.round(F.avg(v), 6).alias("mean"), F.round(F.stddev_samp(v), 6).alias("std"),
-        F.round(F.min(v), 6).alias("min"), F.round(q[0], 6).alias("q25"), F.round(q[1], 6).alias("q50"),
-        F.round(q[2], 6).alias("q75"), F.round(F.max(v), 6).alias("max"))
+    return profile.describe(training(spark, d), "salary_avg_usd")
 
 
 @register("b5_value_counts_tier", with_silver("""
@@ -1307,12 +1304,36 @@ def i23(spark, d):
     return evaluate.diagonal_bounds(_gm_audit(spark, d)).select(R4("minimum"), R4("maximum"))
 
 
-@register("i24_permutation_importance")
+_DONOR_SQL = """
+, orders AS (SELECT job_id, CAST(range AS INTEGER) AS repeat FROM test CROSS JOIN range(-1, 10)),
+ranked AS (SELECT repeat, job_id, row_number() OVER (PARTITION BY repeat ORDER BY
+                  md5(CAST(job_id AS VARCHAR) || '#' || CAST(repeat AS VARCHAR) || '#42'), job_id) AS rank FROM orders),
+donors AS (SELECT d.repeat, d.rank, o.job_id, d.job_id AS donor FROM ranked d JOIN ranked o ON o.repeat = -1 AND o.rank = d.rank
+           WHERE d.repeat >= 0)"""
+
+
+@register("i24_permutation_donors", with_silver(_SPLIT_CTES + _DONOR_SQL + """
+SELECT repeat, rank, job_id, donor FROM donors"""))
+def i24d(spark, d):
+    from wagelens.ml import permutation
+    return permutation.donors(dev_test(spark, d)[1], "job_id")
+
+
+@register("i24_permutation_importance", with_silver(_SPLIT_CTES + _DONOR_SQL + """
+, swap AS (SELECT d.repeat, o.salary_avg_usd AS y, o.country AS c, o.job_level AS l, g.country AS dc, g.job_level AS dl
+           FROM donors d JOIN test o ON o.job_id = d.job_id JOIN test g ON g.job_id = d.donor),
+inc AS (SELECT repeat, avg(abs(y - coalesce(a.m, g))) - avg(abs(y - coalesce(o.m, g))) AS country,
+               avg(abs(y - coalesce(b.m, g))) - avg(abs(y - coalesce(o.m, g))) AS job_level
+        FROM swap CROSS JOIN gglob LEFT JOIN gm o ON o.country = c AND o.job_level = l
+        LEFT JOIN gm a ON a.country = dc AND a.job_level = l LEFT JOIN gm b ON b.country = c AND b.job_level = dl GROUP BY repeat)
+SELECT 'country' AS Feature, round(avg(country), 4) AS Importance_MAE, round(stddev_pop(country), 4) AS Importance_SD FROM inc
+UNION ALL SELECT 'job_level', round(avg(job_level), 4), round(stddev_pop(job_level), 4) FROM inc"""))
 def i24(spark, d):
-    from wagelens.ml import evaluate, models
+    from wagelens.ml import models, permutation
     dev, test = dev_test(spark, d)
     m = models.GroupMeanRegressor(groupCols=_GM_KEYS, labelCol="salary_avg_usd").fit(dev)
-    return evaluate.permutation_importance(m, test, _GM_KEYS, "salary_avg_usd", "job_id", repeats=10)
+    out = permutation.importance_by_columns(m, test.select("job_id", "salary_avg_usd", *_GM_KEYS), _GM_KEYS, "salary_avg_usd", "job_id")
+    return out.select("Feature", R4("Importance_MAE"), R4("Importance_SD"))
 
 
 @register("i26_benchmark_verdict", with_silver(_SPLIT_CTES + """
@@ -1337,6 +1358,15 @@ def i27(spark, d):
     return evaluate.worst_bias(seg, "country").select("country", R4("Mean_Residual"))
 
 
+@register("i27_worst_bias_level", with_silver(_SPLIT_CTES + """
+SELECT arg_max(job_level, mr) AS job_level, round(max(mr), 4) AS Mean_Residual
+FROM (SELECT job_level, avg(residual) AS mr FROM audit GROUP BY job_level) t"""))
+def i27l(spark, d):
+    from wagelens.ml import evaluate
+    seg = evaluate.segment_performance(_gm_audit(spark, d), "job_level")
+    return evaluate.worst_bias(seg, "job_level").select("job_level", R4("Mean_Residual"))
+
+
 @register("i30_scoring_contract", with_silver("""
 SELECT (SELECT count(*) FROM scoring) AS input_rows, (SELECT count(*) FROM scoring) AS scored_rows,
        CAST(0 AS BIGINT) AS non_finite, true AS contract_ok"""))
@@ -1348,39 +1378,112 @@ def i30(spark, d):
     return evaluate.scoring_contract(sc, m.transform(sc), "prediction")
 
 
+# ----------------------------------------------------------- MLlib models, closed forms on one feature
+def _one_feature(spark, d, x="num_skills"):
+    """Development folds with one raw column as the feature vector."""
+    from pyspark.ml.feature import VectorAssembler
+    from wagelens.ml.folds import FoldData
+    dev, _ = dev_test(spark, d)
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(dev.select(
+        "job_id", "fold", F.col("salary_avg_usd").alias("usd"), F.col("log_salary_avg_usd").alias("log_usd"),
+        F.col(x).cast("double").alias("x")))
+    facts = {r["k"]: r for r in rows.select("usd", "log_usd", "fold", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("k"))
+             .where("fold <> k").groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("usd").alias("usd"),
+                                                  F.stddev_pop("log_usd").alias("log_usd")).collect()}
+    return [FoldData(rows.withColumn("held", F.col("fold") == k), facts[k]["n"],
+                     {"usd": facts[k]["usd"], "log_usd": facts[k]["log_usd"]}) for k in range(5)]
+
+
+# Per fold: means, centred sums and the ridge line of each alpha.
+_LINE_SQL = """
+, ks AS (SELECT CAST(range AS INTEGER) AS k FROM range(0, 5)),
+st AS (SELECT k, count(*) AS n, avg(num_skills) AS mx, avg(salary_avg_usd) AS my, regr_sxx(salary_avg_usd, num_skills) AS sxx,
+              regr_sxy(salary_avg_usd, num_skills) AS sxy FROM ks JOIN dev ON dev.fold <> ks.k GROUP BY k)"""
+
+
+@register("i8_oof_predictions_mllib_one_feature", with_silver(_SPLIT_CTES + _LINE_SQL + """
+SELECT job_id, fold, round(my + sxy / sxx * (num_skills - mx), 3) AS prediction FROM dev JOIN st ON st.k = dev.fold"""))
+def i8m(spark, d):
+    from wagelens.ml.candidates import LINEAR, Candidate, out_of_fold
+    out = out_of_fold(_one_feature(spark, d), Candidate(LINEAR))
+    return out.select("job_id", "fold", F.round("prediction", 3).alias("prediction"))
+
+
+@register("i9_grid_search_ridge_one_feature", with_silver(_SPLIT_CTES + _LINE_SQL + """
+, al AS (SELECT unnest([0.01E0, 0.1E0, 1E0, 10E0, 100E0, 1000E0]) AS alpha),
+pr AS (SELECT alpha, k, dev.fold = k AS held, abs(salary_avg_usd - my - sxy / (sxx + alpha) * (num_skills - mx)) AS e
+       FROM al CROSS JOIN st CROSS JOIN dev),
+pf AS (SELECT alpha, k, avg(e) FILTER (WHERE held) AS v, avg(e) FILTER (WHERE NOT held) AS t FROM pr GROUP BY 1, 2)
+SELECT alpha, round(avg(v), 3) AS CV_MAE, round(stddev_pop(v), 3) AS CV_MAE_SD, round(avg(t), 3) AS Train_MAE FROM pf GROUP BY alpha"""))
+def i9o(spark, d):
+    from wagelens.ml.candidates import LINEAR, grid_search
+    rows = [(float(c.params["alpha"]), *(round(m[n], 3) for n in ("CV_MAE", "CV_MAE_SD", "Train_MAE")))
+            for c, m in grid_search(_one_feature(spark, d), LINEAR)]
+    return spark.createDataFrame(rows, "alpha double, CV_MAE double, CV_MAE_SD double, Train_MAE double")
+
+
+@register("i5_log_target_one_feature", with_silver(_SPLIT_CTES + """
+, ks AS (SELECT CAST(range AS INTEGER) AS k FROM range(0, 5)),
+st AS (SELECT k, regr_slope(log_salary_avg_usd, num_skills) AS b, regr_intercept(log_salary_avg_usd, num_skills) AS a
+       FROM ks JOIN dev ON dev.fold <> ks.k GROUP BY k),
+pr AS (SELECT k, dev.fold = k AS held, salary_avg_usd AS y, exp(a + b * num_skills) - 1 AS p FROM st CROSS JOIN dev),
+pf AS (SELECT k, avg(abs(y - p)) FILTER (WHERE held) AS mae, sqrt(avg((y - p) * (y - p)) FILTER (WHERE held)) AS rmse,
+              1 - sum((y - p) * (y - p)) FILTER (WHERE held) / (var_pop(y) FILTER (WHERE held) * count(*) FILTER (WHERE held)) AS r2,
+              avg(abs(y - p)) FILTER (WHERE NOT held) AS t FROM pr GROUP BY k)
+SELECT round(avg(mae), 3) AS CV_MAE, round(stddev_pop(mae), 3) AS CV_MAE_SD, round(avg(rmse), 3) AS CV_RMSE, round(avg(r2), 6) AS CV_R2,
+       round(avg(t), 3) AS Train_MAE FROM pf"""))
+def i5o(spark, d):
+    from wagelens.ml.candidates import LINEAR, Candidate, cross_validate
+    m = cross_validate(_one_feature(spark, d), {"log": (Candidate(LINEAR), "Log target")})["log"]
+    row = tuple(round(m[n], 6 if n == "CV_R2" else 3) for n in ("CV_MAE", "CV_MAE_SD", "CV_RMSE", "CV_R2", "Train_MAE"))
+    return spark.createDataFrame([row], "CV_MAE double, CV_MAE_SD double, CV_RMSE double, CV_R2 double, Train_MAE double")
+
+
+@register("i2_ridge_one_feature", """
+SELECT alpha, round(regr_sxy(l_extendedprice, l_quantity) / (regr_sxx(l_extendedprice, l_quantity) + alpha), 5) AS slope
+FROM lineitem CROSS JOIN (SELECT unnest([10E0, 1000E0, 100000E0]) AS alpha) AS a GROUP BY alpha""")
+def i2o(spark, d):
+    from pyspark.ml.feature import VectorAssembler
+    from wagelens.ml import models
+    li = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(
+        table(spark, d, "lineitem").select("l_quantity", "l_extendedprice"))
+    st = li.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("l_extendedprice").alias("sd")).first()
+    rows = [(a, round(float(models.ridge(a, st["sd"], st["n"], "l_extendedprice").fit(li).coefficients[0]), 5))
+            for a in (10.0, 1000.0, 100000.0)]
+    return spark.createDataFrame(rows, "alpha double, slope double")
+
+
 # ----------------------------------------------------------- MLlib models (rows-only checks)
 _SPEC_ENG = "Core + nonredundant engineered"
 
 
-def _label_dev(spark, d, log: bool = False):
+def _holdout_metrics(spark, d, algorithm, params):
+    from wagelens.ml.candidates import Candidate, fit, scores
+    from wagelens.ml.folds import encode_split
+    from wagelens.session import scratch_path
     dev, test = dev_test(spark, d)
-    src = "log_salary_avg_usd" if log else "salary_avg_usd"
-    return dev.withColumn("label", F.col(src)), test.withColumn("label", F.col(src))
-
-
-def _holdout_metrics(spark, d, make, spec_name=_SPEC_ENG):
-    from wagelens.ml import selection
-    from wagelens.ml.features import FEATURE_SPECS
-    dev, test = _label_dev(spark, d)
-    return selection.final_holdout(spark, FEATURE_SPECS[spec_name], dev, test, "label", {"model": make})
+    fd, _ = encode_split(FEATURE_SPECS[_SPEC_ENG], dev, test, scratch_path(spark, "holdout"))
+    found = scores(fit(Candidate(algorithm, params), fd.train, fd.n, fd.sd).add(fd.rows))[True]
+    fd.rows.unpersist()
+    return spark.createDataFrame([("model", *found)], "Model string, MAE double, RMSE double, R2 double")
 
 
 @register("i2_ridge_holdout")
 def i2(spark, d):
-    from wagelens.ml import models
-    return _holdout_metrics(spark, d, lambda fd: models.ridge(10.0, fd.label_sd, fd.n, "label"))
+    from wagelens.ml.candidates import LINEAR
+    return _holdout_metrics(spark, d, LINEAR, {"alpha": 10.0})
 
 
 @register("i3_random_forest_holdout")
 def i3(spark, d):
-    from wagelens.ml import models
-    return _holdout_metrics(spark, d, lambda fd: models.random_forest(350, None, 2, 0.7, label="label"))
+    from wagelens.ml.candidates import BASELINES, FOREST
+    return _holdout_metrics(spark, d, FOREST, BASELINES[FOREST])
 
 
 @register("i4_gradient_boosting_holdout")
 def i4(spark, d):
-    from wagelens.ml import models
-    return _holdout_metrics(spark, d, lambda fd: models.gradient_boosting(200, 0.05, 3, 3, label="label"))
+    from wagelens.ml.candidates import BASELINES, BOOSTING
+    return _holdout_metrics(spark, d, BOOSTING, BASELINES[BOOSTING])
 
 
 @register("i5_log_target_model")
@@ -1393,106 +1496,131 @@ def i5(spark, d):
     return metrics(m.transform(test), "salary_avg_usd", "predicted_salary_usd")
 
 
+# ----------------------------------------------------------- the selection chain
+def selection(spark, d):
+    """The chain of a folder: its stages share stored folds and one ledger."""
+    from wagelens.ml.chain import Selection
+    from wagelens.session import scratch_path
+    key = (id(spark), d)
+    if key not in _RUNS:
+        s = silver(spark, d)
+        dev, test = dev_test(spark, d)
+        _RUNS[key] = Selection(dev, test, silver_plan.training_layer(s), silver_plan.scoring_layer(s), scratch_path(spark, "selection"))
+    return _RUNS[key]
+
+
+_CV_METRICS = ["CV_MAE", "CV_MAE_SD", "CV_RMSE", "CV_R2", "Train_MAE"]
+
+
+def _metrics(names):
+    return [F.col("metrics")[n].alias(n) for n in names]
+
+
+def _grid(spark, d, algorithm):
+    rows = [(i + 1, c.to_json(), m["CV_MAE"], m["CV_MAE_SD"], m["Train_MAE"])
+            for i, (c, m) in enumerate(selection(spark, d).grid(algorithm))]
+    return spark.createDataFrame(rows, "rank_test_score int, params string, CV_MAE double, CV_MAE_SD double, Train_MAE double")
+
+
 @register("i9_grid_search_ridge")
 def i9(spark, d):
-    from wagelens.ml import models, selection
-    from wagelens.ml.features import FEATURE_SPECS
-    dev, _ = _label_dev(spark, d)
-    folds = selection.fold_datasets(FEATURE_SPECS[_SPEC_ENG], dev, "label")
-    out = selection.grid_search(spark, folds, "label",
-                                lambda pt, fd: models.ridge(pt["alpha"], fd.label_sd, fd.n, "label"),
-                                {"alpha": [0.01, 0.1, 1.0, 10.0, 100.0, 1000.0]})
-    selection.release(folds)
-    return out
+    from wagelens.ml.candidates import LINEAR
+    return _grid(spark, d, LINEAR)
 
 
 @register("i11_feature_set_ablation")
 def i11(spark, d):
-    from wagelens.ml import selection
-    dev, _ = _label_dev(spark, d)
-    return selection.feature_set_ablation(spark, dev, "label")
+    return selection(spark, d).run("feature_set").select(F.col("candidate").alias("Feature_Set"), *_metrics(_CV_METRICS))
 
 
 @register("i12_ridge_alpha_path")
 def i12(spark, d):
-    from wagelens.ml import selection
-    from wagelens.ml.features import FEATURE_SPECS
-    dev, _ = _label_dev(spark, d)
-    folds = selection.fold_datasets(FEATURE_SPECS[_SPEC_ENG], dev, "label")
-    out = selection.ridge_alpha_path(spark, folds, "label")
-    selection.release(folds)
-    return out
+    return selection(spark, d).run("alpha").select(
+        F.get_json_object("params", "$.alpha").cast("double").alias("alpha"), *_metrics(["CV_MAE", "Train_MAE"]))
 
 
 @register("i13_forest_depth_sweep")
 def i13(spark, d):
-    from wagelens.ml import selection
-    from wagelens.ml.features import FEATURE_SPECS
-    dev, _ = _label_dev(spark, d)
-    sp = splits.stratified_split(dev.drop("split"), ["country"], "job_id", test_size=0.25)
-    res = selection.depth_sweep(spark, FEATURE_SPECS[_SPEC_ENG], sp.where("split = 'development'"),
-                                sp.where("split = 'test'"), "label")
-    res = res.persist()
     from wagelens.functions.columns import attach_scalars
-    return attach_scalars(res, selection.overfit_depth(res))
-
-
-def _baselines():
-    from wagelens.ml import models
-    return {"Linear Regression": lambda fd: models.linear_regression("label"),
-            "Random Forest": lambda fd: models.random_forest(350, None, 2, 0.7, label="label"),
-            "Gradient Boosting": lambda fd: models.gradient_boosting(200, 0.05, 3, 3, label="label")}
+    from wagelens.ml.evaluate import overfit_depth
+    res = selection(spark, d).run("depth").select(
+        F.col("metrics")["max_depth"].cast("int").alias("max_depth"), *_metrics(["Train_MAE", "Validation_MAE", "MAE_Gap"]))
+    return attach_scalars(res, overfit_depth(res))
 
 
 @register("i14_baseline_models")
 def i14(spark, d):
-    from wagelens.ml import selection
-    from wagelens.ml.features import FEATURE_SPECS
-    dev, _ = _label_dev(spark, d)
-    folds = selection.fold_datasets(FEATURE_SPECS[_SPEC_ENG], dev, "label")
-    out = selection.compare_baselines(spark, folds, "label", _baselines())
-    selection.release(folds)
-    return out
+    return selection(spark, d).run("baseline").select(F.col("candidate").alias("Model"), *_metrics(_CV_METRICS))
 
 
-@register("i15_tune_linear_branch")
+@register("i8_oof_keys_mllib", with_silver(_SPLIT_CTES + """
+SELECT job_id, fold, true AS predicted FROM dev"""))
+def i8k(spark, d):
+    from wagelens.ml.candidates import out_of_fold
+    run = selection(spark, d)
+    with run.folds().loaded(run.spec()) as folds:
+        out = out_of_fold(folds, run.winning("baseline"))
+    p = F.col("prediction")
+    return out.select("job_id", "fold", (p.isNotNull() & ~F.isnan(p) & (F.abs(p) < float("inf"))).alias("predicted"))
+
+
+@register("i15_tune_strongest")
 def i15(spark, d):
-    from wagelens.ml import selection
-    from wagelens.ml.features import FEATURE_SPECS
-    dev, _ = _label_dev(spark, d)
-    folds = selection.fold_datasets(FEATURE_SPECS[_SPEC_ENG], dev, "label")
-    out = selection.tune_strongest(spark, "Linear Regression", folds, "label")
-    selection.release(folds)
-    return out
+    return selection(spark, d).run("tuning").select(
+        F.col("place").alias("rank_test_score"), F.col("candidate").alias("Model"), "params", *_metrics(["CV_MAE", "CV_MAE_SD", "Train_MAE"]))
+
+
+@register("i15_tune_linear_branch")
+def i15l(spark, d):
+    from wagelens.ml.candidates import LINEAR
+    return _grid(spark, d, LINEAR)
+
+
+@register("i16_target_scale_tuned")
+def i16t(spark, d):
+    return selection(spark, d).run("target").select(F.col("candidate").alias("Target"), *_metrics(_CV_METRICS))
 
 
 @register("i17_tuning_gain")
 def i17(spark, d):
-    from wagelens.ml import models, selection
-    from wagelens.ml.features import FEATURE_SPECS
-    dev, _ = _label_dev(spark, d)
-    folds = selection.fold_datasets(FEATURE_SPECS[_SPEC_ENG], dev, "label")
-    base = selection.compare_baselines(spark, folds, "label",
-                                       {"Linear Regression": lambda fd: models.linear_regression("label")})
-    tuned = selection.tune_strongest(spark, "Linear Regression", folds, "label")
-    best = tuned.agg(F.min("CV_MAE")).first()[0]
-    out = selection.tuning_gain(base, best, "Linear Regression")
-    selection.release(folds)
-    return out
+    return selection(spark, d).tuning_gain()
 
 
 @register("i18_final_holdout_comparison")
 def i18(spark, d):
-    from wagelens.ml import selection
-    from wagelens.ml.features import FEATURE_SPECS
-    dev, test = _label_dev(spark, d)
-    return selection.final_holdout(spark, FEATURE_SPECS[_SPEC_ENG], dev, test, "label", _baselines())
+    return selection(spark, d).run("holdout").select(F.col("candidate").alias("Model"), *_metrics(["MAE", "RMSE", "R2"]))
+
+
+def _final_importance(spark, d):
+    from wagelens.ml import permutation
+    from wagelens.ml.folds import column_slots
+    fitted, pre, held = selection(spark, d).holdout_model()
+    slots, width = {}, 0
+    for (_, c), places in column_slots(pre).items():
+        slots.setdefault(c, []).extend(places)
+        width += len(places)
+    return permutation.importance(fitted, held, slots, width)
+
+
+@register("i24_permutation_importance_final")
+def i24f(spark, d):
+    return _final_importance(spark, d)
+
+
+@register("i27_top_features")
+def i27f(spark, d):
+    return _final_importance(spark, d).orderBy(F.desc("Importance_MAE"), "Feature").limit(3)
+
+
+@register("i25_refit_selected")
+def i25s(spark, d):
+    from wagelens.ml import scoring
+    return scoring.score_pool(selection(spark, d).final_model(), silver_plan.scoring_layer(silver(spark, d)))
 
 
 @register("i25_refit_and_score_pool")
 def i25(spark, d):
     from wagelens.ml import models, scoring
-    from wagelens.ml.features import FEATURE_SPECS
     s = silver(spark, d)
     m = scoring.fit_scoring_model(silver_plan.training_layer(s), FEATURE_SPECS["Engineered + job-title text"],
                                   models.linear_regression("label"), log_target=True)
@@ -1529,21 +1657,31 @@ def i29(spark, d):
                              scratch_path(spark, "stream-ckpt"))
 
 
-@register("a11_model_persistence")
+@register("a11_model_persistence", with_silver("SELECT job_id, true AS identical FROM scoring"))
 def a11(spark, d):
     from wagelens.ml import models, scoring
-    from wagelens.ml.features import FEATURE_SPECS
     from wagelens.session import scratch_path
     s = silver(spark, d)
-    m = scoring.fit_scoring_model(silver_plan.training_layer(s), FEATURE_SPECS[_SPEC_ENG],
-                                  models.linear_regression("label"), log_target=True)
+    m = scoring.fit_scoring_model(silver_plan.training_layer(s), FEATURE_SPECS[_SPEC_ENG], models.linear_regression("label"), log_target=True)
     path = scratch_path(spark, "model")
     scoring.save_model(m, path, {"selected_feature_set": _SPEC_ENG, "selected_target": "Log target"})
-    reloaded = scoring.load_model(path)
     sc = silver_plan.scoring_layer(s).select("job_id", *input_columns(FEATURE_SPECS[_SPEC_ENG]))
     a = m.transform(sc).select("job_id", F.col("predicted_salary_usd").alias("original"))
-    b = reloaded.transform(sc).select("job_id", F.col("predicted_salary_usd").alias("reloaded"))
-    return a.join(b, "job_id").withColumn("identical", F.col("original") == F.col("reloaded"))
+    b = scoring.load_model(path).transform(sc).select("job_id", F.col("predicted_salary_usd").alias("reloaded"))
+    return a.join(b, "job_id").select("job_id", (F.col("original") == F.col("reloaded")).alias("identical"))
+
+
+@register("a11_model_contract", with_silver("""
+SELECT 8 AS fields, 18500.0E0 AS legacy_mae_usd, 8000.0E0 AS industry_mae_usd, (SELECT count(*) FROM training) AS training_rows,
+       (SELECT count(*) FROM scoring) AS scoring_rows, 42 AS random_state, true AS columns_of_set, true AS known_target"""))
+def a11c(spark, d):
+    from wagelens.ml.folds import TARGETS
+    run = selection(spark, d)
+    c = run.contract()
+    row = (len(c), float(c["legacy_mae_usd"]), float(c["industry_mae_usd"]), c["training_rows"], c["scoring_rows"], c["random_state"],
+           c["feature_columns"] == input_columns(FEATURE_SPECS[c["selected_feature_set"]]), c["selected_target"] in TARGETS)
+    return spark.createDataFrame([row], "fields int, legacy_mae_usd double, industry_mae_usd double, training_rows long, "
+                                        "scoring_rows long, random_state int, columns_of_set boolean, known_target boolean")
 
 
 # ----------------------------------------------------------- sources / sinks
