@@ -2,7 +2,8 @@
 
 A softmax regression over sparse word uni- and bigrams tells licence families
 from ordinary paragraphs.  It is trained here on a bounded sample: up to
-``SAMPLE`` paragraphs of the corpus (those of least hash) and pieces of the
+``SAMPLE`` paragraphs of the corpus (those of least hash, of at most
+``SAMPLE_CHARS`` characters) and pieces of the
 templates put between words of them; pieces whose telling words are replaced
 teach the class ``unknown``.  Weights are kept sparse by shrinking.
 The probability from which a family is named is calibrated on rows kept out
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wagelens.llm.kernels import ALNUM_WORDS, BASE, LOWER, U64, mix, prefix_hash, span_hash, text_buffer, word_spans
-from wagelens.llm.shared import id_and_text, small_batches
+from wagelens.llm.shared import id_and_text, least_hashed, small_batches
 
 #: Characteristic sentences of licence families.
 TEMPLATES = {
@@ -66,8 +67,9 @@ TEMPLATES = {
         "All rights reserved. No part of this work may be reproduced without permission."],
 }
 FAMILIES = list(TEMPLATES)
-#: Bound of the sample of corpus paragraphs that the classifier is fitted on.
-SAMPLE = 10_000
+#: Bounds of the sample of corpus paragraphs that the classifier is fitted on:
+#: paragraphs, and characters of a sampled one (the scan reads all of any length).
+SAMPLE, SAMPLE_CHARS = 10_000, 4000
 ROUNDS, RATE, SHRINK = 300, 2.0, 1e-4
 #: Share of right names among the kept-out rows from which a probability counts.
 PRECISION = 0.99
@@ -159,8 +161,10 @@ def fit(x: np.ndarray, y: np.ndarray, classes: int):
 
 def train(docs: DataFrame) -> SimpleNamespace:
     vocab = vocabulary()
-    lines = (id_and_text(docs).select(F.explode(F.split("text", "\n")).alias("line")).where("length(line) BETWEEN 1 AND 4000")
-             .withColumn("k", F.xxhash64("line")).groupBy("k").agg(F.min("line").alias("line")).orderBy("k").limit(SAMPLE).collect())
+    lines = (id_and_text(docs).select(F.explode(F.split("text", "\n")).alias("line"))
+             .where(F.length("line").between(1, SAMPLE_CHARS)).withColumn("k", F.xxhash64("line")))
+    lines = (least_hashed(lines, F.col("k"), SAMPLE).groupBy("k").agg(F.min("line").alias("line"))
+             .orderBy("k").limit(SAMPLE).collect())
     plain = [r["line"] for r in lines if not like_template(r["line"], vocab)] or ["a"]
     texts, y = [], []
     unknown, none = len(FAMILIES), len(FAMILIES) + 1

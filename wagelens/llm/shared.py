@@ -7,7 +7,7 @@ import math
 import sys
 import types
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wagelens.session import materialize, scratch_path  # noqa: F401  (re-exported for the operators)
@@ -28,11 +28,11 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+def store(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write an intermediate table in the shared folder and read it back, so
     its consumers share one computation and a lost executor costs a reread."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     df.write.parquet(path)
     # Spark deletes the shuffle files of finished stages once the driver's JVM
     # has collected their handles; without this they pile up on the executors.
@@ -47,6 +47,24 @@ def worker_memory() -> dict:
     return sys.modules.setdefault("wagelens_worker_memory", types.ModuleType("wagelens_worker_memory")).__dict__
 
 
+def opened(folder: str):
+    """(pyarrow file system, path) of a folder that tasks and driver share."""
+    from pyarrow import fs
+
+    if folder.startswith("file:"):
+        folder = "/" + folder[5:].lstrip("/")
+    return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+
+
+def read_whole(path: str, columns: list[str]):
+    """A stored table of bounded size as one Arrow table, read by a task or the
+    driver itself: a model that every worker needs never passes the driver."""
+    import pyarrow.dataset as ds
+
+    store, folder = opened(path)
+    return ds.dataset(folder, filesystem=store, format="parquet").to_table(columns=columns).combine_chunks()
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """The two columns that the text operators read; other columns are pruned."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -56,6 +74,20 @@ def blocks_for(total: float | None, limit: float) -> int:
     return max(1, math.ceil((total or 0) / limit))
 
 
+def least_hashed(df: DataFrame, key: Column, k: int) -> DataFrame:
+    """Rows of ``df`` whose 64-bit hash ``key`` is among the about ``k`` least
+    different ones, and at least ``k`` if there are so many.  The limit comes
+    from a count, so no task sends ``k`` rows of its own anywhere."""
+    different = df.agg(F.approx_count_distinct(key, 0.02)).first()[0]
+    share = (1.2 * k + 100) / max(1, different)
+    while share < 1:
+        low = df.where(key < F.lit(int(share * 2**64) - 2**63))
+        if low.agg(F.count_distinct(key)).first()[0] >= k:
+            return low
+        share *= 4
+    return df
+
+
 #: Ids that a join may broadcast (8 bytes each); more are shuffled.
 BROADCAST_IDS = 1_000_000
 

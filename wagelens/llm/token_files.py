@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wagelens.llm.packing import byte_symbols
-from wagelens.llm.shared import id_and_text, scratch_path, small_batches, worker_memory
+from wagelens.llm.shared import id_and_text, opened, scratch_path, small_batches, worker_memory
 
 END_ID = 2
 #: Ids, or documents, after which a task begins its next file.
@@ -63,15 +63,6 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def opened(folder: str):
-    """(file system, path) of a folder that tasks and driver share."""
-    from pyarrow import fs
-
-    if folder.startswith("file:"):
-        folder = "/" + folder[5:].lstrip("/")
-    return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
-
-
 class ChunkIds:
     """Ids of the chunks between ASCII white space, as bytes.
 
