@@ -11,12 +11,14 @@ skipped, nothing else is.  The examples vote with weights that fall with
 distance, and the share of votes is calibrated on the examples themselves,
 each one scored without itself.
 
-The examples' terms (at most ``EXAMPLES`` rows) are broadcast; the scoring
-pass is narrow.
+The examples' terms (at most ``EXAMPLES`` rows) and the term table are stored
+in the shared folder and read there by each worker once; neither passes the
+driver.  The scoring pass is narrow.
 
 Defined results: null and empty texts, and texts without any term of the
 space, score the calibrated share of such examples; repeated rows each give
-a row; without any labelled row every score is ``NO_LABELS``; other columns
+a row; a document labelled twice is toxic if one label says so, and of several
+texts of one example the least counts; without any labelled row every score is ``NO_LABELS``; other columns
 are ignored (``reject`` keeps them).
 """
 
@@ -31,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wagelens.llm.kernels import ALNUM_WORDS, LOWER, U64, prefix_hash, span_hash, text_buffer, word_spans
-from wagelens.llm.shared import id_and_text, small_batches, store
+from wagelens.llm.shared import id_and_text, least_hashed, read_whole, scratch_path, small_batches, store, worker_memory
 
 #: Bound of the fitted model.
 EXAMPLES = 20_000
@@ -119,16 +121,17 @@ def count_terms(batches):
     yield from flush(parts)
 
 
-def count_documents(shared):
+def count_documents(path: str):
     """Partial document counts of the vocabulary's terms, one array per task."""
 
     def run(batches):
-        n = np.zeros(len(shared.value), np.int64)
+        words = words_of(path)
+        n = np.zeros(len(words), np.int64)
         for batch in batches:
-            _, term, _, _ = row_terms(batch.column("text"), shared.value)
+            _, term, _, _ = row_terms(batch.column("text"), words)
             n += np.bincount(term, minlength=len(n))
         at = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[at])], ["at", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(words[at].view(np.int64)), pa.array(n[at])], ["term", "df"])
 
     return run
 
@@ -298,27 +301,47 @@ def votes(found, labels) -> float:
     return sum(w * labels[e] for w, (_, e) in zip(weight, found)) / sum(weight)
 
 
-#: The last index built in this worker, by broadcast.
-_BUILT: dict = {}
-
-
-def fitted(shared):
-    """The model of a broadcast with its index, built once per worker."""
-    key = getattr(shared, "_path", None) or id(shared)
-    if key not in _BUILT:
-        _BUILT.clear()
-        model = shared.value
-        row = np.repeat(np.arange(len(model.ids)), np.diff(model.off))
-        off, terms, weights = unit(row, model.terms, model.counts, model.weight, len(model.ids))
-        _BUILT[key] = build_index(off, terms, weights, len(model.vocabulary))
-    return shared.value, _BUILT[key]
-
-
-def vote_rows(shared, k: int, itself: bool):
+#: Columns of the stored model: a row a term, and a row an example.
+TERMS, ROWS_OF = ["term", "n", "pos", "df"], ["doc_id", "toxic", "terms", "counts"]
+
+
+def words_of(path: str) -> np.ndarray:
+    """The sorted vocabulary of a stored term table, read once per worker."""
+    memory, key = worker_memory(), ("toxicity words", path)
+    if key not in memory:
+        memory[key] = np.sort(read_whole(path, ["term"]).column("term").to_numpy().view(U64))
+    return memory[key]
+
+
+def fitted(at: SimpleNamespace):
+    """The model and its index, read from the stored tables and built once per
+    worker; the last one is kept."""
+    memory, key = worker_memory(), "toxicity index"
+    if memory.get(key, (None,))[0] != at.examples:
+        memory[key] = (None,)
+        held = read_whole(at.terms, TERMS)
+        term = held.column("term").to_numpy().view(U64)
+        by = np.argsort(term)
+        n, pos, df = (held.column(c).to_numpy()[by].astype(float) for c in TERMS[1:])
+        weight = term_weights(at.documents, df, at.total, at.positive, n, pos).astype(np.float32)
+        vocabulary = term[by]
+        del held, n, pos, df, term, by
+        rows = read_whole(at.examples, ROWS_OF).sort_by("doc_id").combine_chunks()
+        size = pc.list_value_length(rows.column("terms")).to_numpy()
+        flat = lambda c: rows.column(c).combine_chunks().flatten().to_numpy()
+        model = SimpleNamespace(vocabulary=vocabulary, weight=weight, ids=rows.column("doc_id").to_numpy(),
+                                labels=rows.column("toxic").to_pylist())
+        off, terms, weights = unit(np.repeat(np.arange(len(size)), size), flat("terms"), flat("counts"), weight, len(size))
+        del rows
+        memory[key] = (at.examples, model, build_index(off, terms, weights, len(vocabulary)))
+    return memory[key][1:]
+
+
+def vote_rows(at: SimpleNamespace, k: int, itself: bool):
     """Raw share of votes per row (null: no example is near) and the evidence."""
 
     def run(batches):
-        model, index = fitted(shared)
+        model, index = fitted(at)
         place = {d: i for i, d in enumerate(model.ids.tolist())} if itself else {}
         for batch in batches:
             off, terms, weights = vectors(batch.column("text"), model)
@@ -362,48 +385,34 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> Da
     small_batches(spark)
     texts = id_and_text(docs)
     marked = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("long").alias("toxic"))
-              .where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out(F.col("doc_id"))).dropDuplicates(["doc_id"]))
-    chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(EXAMPLES)
-    # Copies of a text count as one example.
-    examples = store(texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").where("text IS NOT NULL")
-                     .dropDuplicates(["doc_id"]).dropDuplicates(["text", "toxic"]), "examples")
+              .where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out(F.col("doc_id")))
+              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    marked = store(marked, "marked")
+    chosen = least_hashed(marked, F.xxhash64("doc_id"), EXAMPLES).orderBy(F.xxhash64("doc_id"), "doc_id").limit(EXAMPLES)
+    # Copies of a text count as one example, that of the least id.
+    examples = store(texts.join(F.broadcast(chosen), "doc_id").where("text IS NOT NULL").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+                     .groupBy("text", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "text", "toxic"), "examples")
 
     total, positive = examples.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    counted = (examples.select("text", "toxic").mapInArrow(count_terms, "term long, n long, pos long").groupBy("term")
-               .agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")).toArrow())
-    term = counted.column("term").to_numpy().view(U64)
-    by = np.argsort(term)
-    vocabulary, n, pos = term[by], *(counted.column(c).to_numpy()[by].astype(float) for c in ("n", "pos"))
-    del counted, term, by
-    words = spark.sparkContext.broadcast(vocabulary)
+    counted = store(examples.select("text", "toxic").mapInArrow(count_terms, "term long, n long, pos long").groupBy("term")
+                    .agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")), "term-counts", words := scratch_path(spark, "term-counts"))
     # How many documents of the corpus hold each term.
-    spread = (texts.select("text").where("text IS NOT NULL").mapInArrow(count_documents(words), "at int, n long")
-              .groupBy("at").agg(F.sum("n").alias("n")).toArrow())
-    df = np.zeros(len(vocabulary))
-    df[spread.column("at").to_numpy()] = spread.column("n").to_numpy()
-    documents = texts.where("text IS NOT NULL").count()
-    weight = term_weights(documents, df, total, positive, n, pos).astype(np.float32)
-
-    # At most EXAMPLES rows of term numbers and counts, never their texts.
-    rows = (examples.mapInArrow(example_terms(words), "doc_id long, toxic long, terms array<int>, counts array<int>")
-            .orderBy("doc_id").toArrow().combine_chunks())
-    flat = lambda c: rows.column(c).combine_chunks().flatten().to_numpy()
-    counts = flat("counts")
-    model = SimpleNamespace(
-        vocabulary=vocabulary, weight=weight, ids=rows.column("doc_id").to_numpy(), labels=rows.column("toxic").to_pylist(),
-        off=np.concatenate(([0], np.cumsum(pc.list_value_length(rows.column("terms")).to_numpy()))).astype(np.int64),
-        terms=flat("terms"), counts=counts.astype(np.min_scalar_type(int(counts.max(initial=1)))))
-    shared = spark.sparkContext.broadcast(model)
-    del rows, model, counts
-
-    own = examples.join(examples.select("doc_id", "text").mapInArrow(vote_rows(shared, NEAREST, True), RAW), "doc_id")
+    spread = (texts.select("text").where("text IS NOT NULL").mapInArrow(count_documents(words), "term long, df long")
+              .groupBy("term").agg(F.sum("df").alias("df")))
+    at = SimpleNamespace(total=total, positive=positive, documents=texts.where("text IS NOT NULL").count(),
+                         terms=scratch_path(spark, "terms"), examples=scratch_path(spark, "example-terms"))
+    store(counted.join(spread, "term", "left").fillna(0, ["df"]), "terms", at.terms)
+    # At most EXAMPLES rows of term numbers and counts.
+    store(examples.mapInArrow(example_terms(words), "doc_id long, toxic long, terms array<int>, counts array<int>"), "example-terms", at.examples)
+
+    own = examples.join(examples.select("doc_id", "text").mapInArrow(vote_rows(at, NEAREST, True), RAW), "doc_id")
     in_bin = F.when(F.col("raw").isNotNull(), F.least(F.floor(F.col("raw") * BINS), F.lit(BINS - 1)).cast("int"))
     counts = own.groupBy(F.coalesce(in_bin, F.lit(-1)).alias("bin")).agg(F.count("*"), F.sum("toxic")).collect()
     curve = calibrate([tuple(r) for r in counts if r[0] >= 0], BINS)
     far = next((((r[2] or 0) + 0.5 * PRIOR * (positive / max(total, 1))) / (r[1] + 0.5 * PRIOR) for r in counts if r[0] < 0),
                positive / total if total else NO_LABELS)
 
-    raw = texts.mapInArrow(vote_rows(shared, NEAREST, False), RAW)
+    raw = texts.mapInArrow(vote_rows(at, NEAREST, False), RAW)
     # Within a bin the raw share still orders documents, by a millionth at most.
     fine = F.element_at(F.array(*map(F.lit, curve)), in_bin + 1) * (1 - 1e-6) + F.col("raw") * 1e-6
     value = F.when(F.col("raw").isNull(), F.lit(float(far))).otherwise(fine)
@@ -420,10 +429,10 @@ def term_weights(documents: int, df, total: int, positive: int, n, pos) -> np.nd
     return (np.log((documents + 1) / (df + 1)) + 1) * (1 + np.sqrt(chi))
 
 
-def example_terms(shared):
+def example_terms(path: str):
     def run(batches):
         for batch in batches:
-            row, term, tf, n = row_terms(batch.column("text"), shared.value)
+            row, term, tf, n = row_terms(batch.column("text"), words_of(path))
             off = pa.array(np.concatenate(([0], np.cumsum(np.bincount(row, minlength=n)))).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("toxic"), pa.ListArray.from_arrays(off, pa.array(term.astype(np.int32))),
