@@ -56,7 +56,7 @@ def opened(folder: str):
     return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
 
 
-def read_whole(path: str, columns: list[str]):
+def read_whole(path: str, columns: list[str] | None):
     """A stored table of bounded size as one Arrow table, read by a task or the
     driver itself: a model that every worker needs never passes the driver."""
     import pyarrow.dataset as ds

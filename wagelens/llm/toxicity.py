@@ -45,6 +45,8 @@ BINS = 20
 THRESHOLD = 0.7
 #: Terms of a cluster held as matrices (the rest as postings), and clusters.
 HOT, CLUSTERS = 2048, 12
+#: Parts in which the postings are sorted, to bound what a worker holds meanwhile.
+TERM_RANGES = 16
 #: Rows scored together, and the error of single precision.
 ROWS, SLACK = 128, 1e-5
 #: Blocks opened at first; their k-th cosine then decides about all others.
@@ -125,7 +127,7 @@ def count_documents(path: str):
     """Partial document counts of the vocabulary's terms, one array per task."""
 
     def run(batches):
-        words = words_of(path)
+        words, _ = words_of(path)
         n = np.zeros(len(words), np.int64)
         for batch in batches:
             _, term, _, _ = row_terms(batch.column("text"), words)
@@ -204,11 +206,18 @@ def build_index(off, terms, weights, n_terms: int, block: int = BLOCK) -> Simple
         first = end // block
         parts.append(SimpleNamespace(first=first, last=first + blocks, hot_at=hot_at, matrix=matrix, top=matrix.max(2).T.copy()))
         end += blocks * block
-    rare = np.flatnonzero(kept)
-    rare = rare[np.argsort(terms[rare], kind="stable")]
-    start = np.concatenate(([0], np.cumsum(np.bincount(terms[rare], minlength=n_terms))))
+    # The postings by term, made for one range of terms after the other.
+    count = np.bincount(terms[kept], minlength=n_terms)
+    start = np.concatenate(([0], np.cumsum(count)))
+    places, held_weights = np.zeros(start[-1], np.int32), np.zeros(start[-1], np.float32)
+    edges = np.unique(np.searchsorted(start, np.linspace(0, start[-1], TERM_RANGES + 1)))
+    for lo, hi in zip(edges, edges[1:]):
+        rare = np.flatnonzero(kept & (terms >= lo) & (terms < hi))
+        rare = rare[np.argsort(terms[rare], kind="stable")]
+        places[start[lo]:start[lo] + len(rare)] = place_of[example[rare]]
+        held_weights[start[lo]:start[lo] + len(rare)] = weights[rare]
     return SimpleNamespace(n=n, block=block, blocks=end // block, off=off, terms=terms, weights=weights, n_terms=n_terms, parts=parts, start=start,
-                           place=place_of[example[rare]], weight=weights[rare], place_of=place_of, example=np.concatenate(held))
+                           place=places, weight=held_weights, place_of=place_of, example=np.concatenate(held))
 
 
 def dot(t, w, terms, weights) -> float:
@@ -301,15 +310,15 @@ def votes(found, labels) -> float:
     return sum(w * labels[e] for w, (_, e) in zip(weight, found)) / sum(weight)
 
 
-#: Columns of the stored model: a row a term, and a row an example.
-TERMS, ROWS_OF = ["term", "n", "pos", "df"], ["doc_id", "toxic", "terms", "counts"]
-
-
-def words_of(path: str) -> np.ndarray:
-    """The sorted vocabulary of a stored term table, read once per worker."""
+def words_of(path: str) -> tuple[np.ndarray, np.ndarray | None]:
+    """The sorted vocabulary of a stored term table and, if it has them, the
+    weights; read once per worker."""
     memory, key = worker_memory(), ("toxicity words", path)
     if key not in memory:
-        memory[key] = np.sort(read_whole(path, ["term"]).column("term").to_numpy().view(U64))
+        held = read_whole(path, None)
+        term = held.column("term").to_numpy().view(U64)
+        by = np.argsort(term)
+        memory[key] = term[by], held.column("weight").to_numpy()[by] if "weight" in held.column_names else None
     return memory[key]
 
 
@@ -319,21 +328,20 @@ def fitted(at: SimpleNamespace):
     memory, key = worker_memory(), "toxicity index"
     if memory.get(key, (None,))[0] != at.examples:
         memory[key] = (None,)
-        held = read_whole(at.terms, TERMS)
-        term = held.column("term").to_numpy().view(U64)
-        by = np.argsort(term)
-        n, pos, df = (held.column(c).to_numpy()[by].astype(float) for c in TERMS[1:])
-        weight = term_weights(at.documents, df, at.total, at.positive, n, pos).astype(np.float32)
-        vocabulary = term[by]
-        del held, n, pos, df, term, by
-        rows = read_whole(at.examples, ROWS_OF).sort_by("doc_id").combine_chunks()
+        vocabulary, weight = words_of(at.terms)
+        rows = read_whole(at.examples, ["doc_id", "toxic", "terms", "weights"])
+        ids = rows.column("doc_id").to_numpy()
+        if np.any(ids[1:] < ids[:-1]):
+            rows = rows.sort_by("doc_id").combine_chunks()
+            ids = rows.column("doc_id").to_numpy()
+        model = SimpleNamespace(vocabulary=vocabulary, weight=weight, ids=ids, labels=rows.column("toxic").to_pylist())
         size = pc.list_value_length(rows.column("terms")).to_numpy()
+        off = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
         flat = lambda c: rows.column(c).combine_chunks().flatten().to_numpy()
-        model = SimpleNamespace(vocabulary=vocabulary, weight=weight, ids=rows.column("doc_id").to_numpy(),
-                                labels=rows.column("toxic").to_pylist())
-        off, terms, weights = unit(np.repeat(np.arange(len(size)), size), flat("terms"), flat("counts"), weight, len(size))
+        index = build_index(off, flat("terms"), flat("weights"), len(vocabulary))
         del rows
-        memory[key] = (at.examples, model, build_index(off, terms, weights, len(vocabulary)))
+        pa.default_memory_pool().release_unused()
+        memory[key] = (at.examples, model, index)
     return memory[key][1:]
 
 
@@ -399,11 +407,13 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> Da
     # How many documents of the corpus hold each term.
     spread = (texts.select("text").where("text IS NOT NULL").mapInArrow(count_documents(words), "term long, df long")
               .groupBy("term").agg(F.sum("df").alias("df")))
-    at = SimpleNamespace(total=total, positive=positive, documents=texts.where("text IS NOT NULL").count(),
-                         terms=scratch_path(spark, "terms"), examples=scratch_path(spark, "example-terms"))
-    store(counted.join(spread, "term", "left").fillna(0, ["df"]), "terms", at.terms)
-    # At most EXAMPLES rows of term numbers and counts.
-    store(examples.mapInArrow(example_terms(words), "doc_id long, toxic long, terms array<int>, counts array<int>"), "example-terms", at.examples)
+    documents = texts.where("text IS NOT NULL").count()
+    at = SimpleNamespace(terms=scratch_path(spark, "terms"), examples=scratch_path(spark, "example-vectors"))
+    store(counted.join(spread, "term", "left").fillna(0, ["df"])
+          .mapInArrow(weigh_terms(documents, total, positive), "term long, weight float"), "terms", at.terms)
+    # At most EXAMPLES rows of term numbers and weights, in the order of their ids.
+    store(examples.mapInArrow(example_vectors(at.terms), "doc_id long, toxic long, terms array<int>, weights array<float>")
+          .orderBy("doc_id"), "example-vectors", at.examples)
 
     own = examples.join(examples.select("doc_id", "text").mapInArrow(vote_rows(at, NEAREST, True), RAW), "doc_id")
     in_bin = F.when(F.col("raw").isNotNull(), F.least(F.floor(F.col("raw") * BINS), F.lit(BINS - 1)).cast("int"))
@@ -429,14 +439,26 @@ def term_weights(documents: int, df, total: int, positive: int, n, pos) -> np.nd
     return (np.log((documents + 1) / (df + 1)) + 1) * (1 + np.sqrt(chi))
 
 
-def example_terms(path: str):
+def weigh_terms(documents: int, total: int, positive: int):
+    def run(batches):
+        for batch in batches:
+            n, pos, df = (batch.column(c).to_numpy().astype(float) for c in ("n", "pos", "df"))
+            weight = term_weights(documents, df, total, positive, n, pos).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([batch.column("term"), pa.array(weight)], ["term", "weight"])
+
+    return run
+
+
+def example_vectors(path: str):
     def run(batches):
+        words, weight = words_of(path)
         for batch in batches:
-            row, term, tf, n = row_terms(batch.column("text"), words_of(path))
-            off = pa.array(np.concatenate(([0], np.cumsum(np.bincount(row, minlength=n)))).astype(np.int32))
+            row, term, tf, n = row_terms(batch.column("text"), words)
+            off, term, w = unit(row, term, tf, weight, n)
+            off = pa.array(off.astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("toxic"), pa.ListArray.from_arrays(off, pa.array(term.astype(np.int32))),
-                 pa.ListArray.from_arrays(off, pa.array(tf.astype(np.int32)))], ["doc_id", "toxic", "terms", "counts"])
+                 pa.ListArray.from_arrays(off, pa.array(w.astype(np.float32)))], ["doc_id", "toxic", "terms", "weights"])
 
     return run
 
