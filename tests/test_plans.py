@@ -82,3 +82,21 @@ def test_hash_ranks_exchange_the_rows_once_and_store_nothing(spark):
     assert sum("_stratum" in e and "_prefix" in e for e in exchanges) == 3        # rows, partial counts, offsets
     assert len(exchanges) == 4                                                   # and the counts by stratum
     assert "Scan ExistingRDD" not in plan and "rangepartitioning" not in plan
+
+
+def test_layers_are_one_write_and_pruned_reads(spark, tmp_path):
+    from wagelens.plans.silver import layer_counts, scoring_layer
+    from wagelens.sources import sinks
+    s = build_silver(postings(spark, SMOKE), STRICT)
+    path = sinks.export_layers(s, str(tmp_path / "silver"))
+    train = sinks.read_layer(spark, path, "training", ["job_id", "salary_avg_usd"])
+    plan = _plan(train)
+    assert "PartitionFilters: [isnotnull(salary_quality_status" in plan and "model_ready" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert "ReadSchema: struct<job_id:bigint,salary_avg_usd:double>" in plan
+    want = layer_counts(s).first()
+    got = {r["layer"]: r["rows"] for r in sinks.manifest(spark, path).collect()}
+    assert got == {k: want[k] for k in ("silver", "training", "scoring", "review")}
+    for layer in got:
+        assert sinks.read_layer(spark, path, layer).count() == got[layer]
+    out = sinks.export_layer_csv(spark, path, "scoring", str(tmp_path / "csv"))
+    assert spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(out).count() == scoring_layer(s).count()

@@ -115,3 +115,47 @@ def test_bootstrap_interval_uses_the_same_quantiles(spark):
     df = spark.range(60).selectExpr("id", "cast(id % 2 as string) AS g", "cast(id as double) AS v")
     out = stats.bootstrap_mean_ci(df, ["g"], "v", "id", replicates=50).collect()
     assert len(out) == 2 and all(r["ci_low"] <= r["mean"] <= r["ci_high"] for r in out)
+
+
+def test_binned_density_is_within_its_stated_error(spark):
+    rng = random.Random(9)
+    rows = [("a", rng.lognormvariate(11, 0.5)) for _ in range(2000)] + [(None, rng.gauss(0, 1)) for _ in range(500)] + [("c", 5.0)] * 3
+    out = eda.kde_binned(spark.createDataFrame(rows, "g string, v double"), "v", ["g"], 40, 256).collect()
+    assert len(out) == 120 and all(r["density"] is None for r in out if r["g"] == "c")
+    for g in ("a", None):
+        v = np.array([x for k, x in rows if k == g])
+        h, cell = v.std(ddof=1) * len(v) ** -0.2, (v.max() - v.min()) / 256
+        for r in (r for r in out if r["g"] == g):
+            direct = np.exp(-0.5 * ((r["x"] - v) / h) ** 2).sum() / (len(v) * h * math.sqrt(2 * math.pi))
+            assert abs(r["density"] - direct) <= 0.3989 * cell**2 / (8 * h**3) + 1e-9
+
+
+def test_poisson_draws_follow_the_distribution(spark):
+    from wagelens.operators.stats import POISSON_PART, poisson_cdf, poisson_draw
+    n = 20000
+    for rate in (1, 3, POISSON_PART):
+        df = spark.range(n).select(poisson_draw((F.col("id") + 0.5) / n, F.lit(rate)).alias("d"))
+        counts = {r["d"]: r["count"] for r in df.groupBy("d").count().collect()}
+        for k in range(12):
+            want = math.exp(-rate) * rate**k / math.factorial(k)
+            assert abs(counts.get(k, 0) / n - want) < 2 / n
+        assert poisson_cdf(rate)[-1] >= 1 - 2.0**-52
+
+
+def test_bootstrap_draws_by_value_and_weight(spark):
+    """Heavy values are drawn in parts; every replicate mean is that of plain Python."""
+    import hashlib
+    from wagelens.operators.stats import POISSON_PART, poisson_cdf
+    rows = [(i, "g", float(i % 3)) for i in range(60)]          # three values of weight 20
+    (out,) = stats.bootstrap_mean_ci(spark.createDataFrame(rows, "id long, g string, v double"), ["g"], "v", "id", replicates=40).collect()
+    means = []
+    for rep in range(1, 41):
+        total = n = 0
+        for v in range(3):
+            for part, rate in enumerate((POISSON_PART, POISSON_PART, 20 - 2 * POISSON_PART)):
+                u = int(hashlib.md5(f"{v}#{rep}#{part}#42".encode()).hexdigest()[:13], 16) / 2**52
+                d = sum(u >= c for c in poisson_cdf(rate))
+                total, n = total + d * v, n + d
+        means.append(total / n)
+    assert math.isclose(out["ci_low"], np.quantile(means, 0.025), rel_tol=1e-9)
+    assert math.isclose(out["ci_high"], np.quantile(means, 0.975), rel_tol=1e-9) and out["mean"] == 1.0 and out["n"] == 60

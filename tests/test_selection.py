@@ -123,9 +123,9 @@ BASELINES = {LINEAR: {}, FOREST: {"numTrees": 4, "maxDepth": 4, "minInstancesPer
 
 @pytest.fixture(scope="module")
 def chain(spark, rows, tmp_path_factory):
-    dev, held = rows.where("job_id >= 80"), rows.where("job_id < 80")
-    pool = rows.select("*", F.lit("t").alias("job_title"), F.lit("c").alias("company"), F.lit("l").alias("job_level"),
-                       F.lit("s").alias("salary_segment"))
+    pool = rows.select("*", F.lit("t").alias("job_title"), F.lit("c").alias("company"), F.coalesce("level", F.lit("z")).alias("job_level"),
+                       F.lit("s").alias("salary_segment"), F.lit("k").alias("search_keyword"))
+    dev, held = pool.where("job_id >= 80"), pool.where("job_id < 80")
     return Selection(dev.withColumn("fold", (F.col("job_id") % 5).cast("int")), held, rows, pool, str(tmp_path_factory.mktemp("chain")),
                      SPECS, GRIDS, BASELINES, depths=(2, 4), sweep_trees=3)
 
@@ -170,6 +170,22 @@ def test_contract_has_its_fields_and_the_saved_model_scores_alike(spark, rows, c
         assert math.isclose(got[r[0]], r[1], rel_tol=1e-9)
 
 
+def test_whole_run_is_exported_and_summed_up(spark, chain, tmp_path):
+    audit = chain.audit()
+    assert sorted(r[0] for r in audit.select("job_id").collect()) == list(range(80))
+    mae = audit.agg(F.avg("absolute_error")).first()[0]
+    facts = chain.memo(audit, chain.importance())
+    assert math.isclose(facts["MAE"], mae, rel_tol=1e-9) and math.isclose(facts["improvement_usd"], 18_500 - mae, rel_tol=1e-9)
+    assert facts["decision"] == ("pilot" if mae < 18_500 else "keep_legacy") and len(facts["top_features"]) == min(3, len(chain.spec()["levels"]) + len(chain.spec()["measures"]) + len(chain.spec()["title"]))
+    worst = audit.groupBy("country").agg(F.avg("residual").alias("r")).orderBy(F.desc("r")).first()
+    assert facts["worst_country"] == worst["country"] and math.isclose(facts["worst_country_residual"], worst["r"])
+    paths = chain.export(str(tmp_path))
+    assert len(paths) == 13
+    rows = {n: spark.read.option("header", True).csv(p).count() for n, p in paths.items()}
+    assert rows["feature_set_ablation"] == 3 and rows["final_holdout_predictions"] == 80 and rows["scoring_predictions"] == 400
+    assert rows["permutation_importance"] >= 1 and rows["holdout_metrics_by_country"] == 3
+
+
 def test_side_stages_and_a_resumed_ledger(chain):
     assert chain.run("alpha").count() == 6
     depths = chain.run("depth").collect()

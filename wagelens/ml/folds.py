@@ -22,7 +22,8 @@ from pyspark.ml.feature import VectorSlicer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wagelens.ml.features import FEATURE_SPECS, NumericModel, OneHotModel, TfidfModel, branches, preprocessor
+from wagelens.ml.features import (FEATURE_SPECS, LevelTableModel, NumericModel, OneHotModel, TfidfModel, branches,
+                                  preprocessor)
 from wagelens.rules import CV_FOLDS
 
 #: Rows of one task of a fit.  Fits are many short jobs: small folds must not
@@ -65,6 +66,9 @@ def column_slots(fitted: PipelineModel) -> dict[tuple[str, str], list[int]]:
             kept = stage._state()["kept"]
             for c in stage.getOrDefault(stage.inputCols):
                 take(("levels", c), len(kept[c]))
+        elif isinstance(stage, LevelTableModel):
+            for c, width in stage.widths().items():
+                take(("levels", c), width)
         elif isinstance(stage, NumericModel):
             for c in stage.getOrDefault(stage.inputCols):
                 take(("measures", c), 1)

@@ -26,43 +26,49 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wagelens.ml.features import TableState
 from wagelens.rules import RANDOM_STATE
+from wagelens.session import scratch_path
 
 MAX_TREE_DEPTH = 30
-MAX_GROUPS = 100_000   # fitted means travel inside the plan as a map literal
+#: Group means up to this many travel inside the plan as a map literal; more are
+#: a stored table that rows are joined to.
+INLINE_GROUPS = 1_000
 
 
 class _GroupMeanParams(Params):
     groupCols = Param(Params._dummy(), "groupCols", "group columns", typeConverter=TypeConverters.toListString)
     labelCol = Param(Params._dummy(), "labelCol", "label", typeConverter=TypeConverters.toString)
     predictionCol = Param(Params._dummy(), "predictionCol", "prediction", typeConverter=TypeConverters.toString)
-    state = Param(Params._dummy(), "state", "fitted means as JSON", typeConverter=TypeConverters.toString)
 
 
 def group_key(cols: list[str]):
     return F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in cols])
 
 
-class GroupMeanModel(Model, _GroupMeanParams, DefaultParamsReadable, DefaultParamsWritable):
+class GroupMeanModel(Model, _GroupMeanParams, TableState):
     @keyword_only
     def __init__(self, groupCols=None, labelCol="label", predictionCol="prediction", state=None):
         super().__init__()
         self._set(**self._input_kwargs)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        st = json.loads(self.getOrDefault(self.state))
+        st, out = self._state(), self.getOrDefault(self.predictionCol)
+        if "table" in st:
+            means = df.sparkSession.read.parquet(st["table"])
+            keyed = df.withColumn("_group", group_key(self.getOrDefault(self.groupCols)))
+            return (keyed.join(means.select(F.col("k").alias("_group"), F.col("m").alias("_mean")), "_group", "left")
+                    .withColumn(out, F.coalesce("_mean", F.lit(st["global"]))).drop("_group", "_mean"))
         pairs = []
         for k, v in st["means"].items():
             pairs += [F.lit(k), F.lit(float(v))]
         lookup = F.element_at(F.create_map(*pairs), group_key(self.getOrDefault(self.groupCols))) if pairs \
             else F.lit(None).cast("double")
-        return df.withColumn(self.getOrDefault(self.predictionCol), F.coalesce(lookup, F.lit(st["global"])))
+        return df.withColumn(out, F.coalesce(lookup, F.lit(st["global"])))
 
 
 class GroupMeanRegressor(Estimator, _GroupMeanParams, DefaultParamsReadable, DefaultParamsWritable):
-    """Mean label per group.  The fitted table has one entry per group, so
-    it is meant for low-cardinality keys (the means travel as a map
-    literal inside the plan)."""
+    """Mean label per group, for any number of groups."""
 
     @keyword_only
     def __init__(self, groupCols=None, labelCol="label", predictionCol="prediction"):
@@ -73,18 +79,21 @@ class GroupMeanRegressor(Estimator, _GroupMeanParams, DefaultParamsReadable, Def
     def _fit(self, df: DataFrame) -> GroupMeanModel:
         y = self.getOrDefault(self.labelCol)
         cols = self.getOrDefault(self.groupCols)
-        # One aggregate gives the group means and the overall mean (the
-        # rollup's grand-total row); the group table reaches the driver, so
-        # at most MAX_GROUPS + 2 rows are ever collected.
-        rows = (df.where(F.col(y).isNotNull()).select(group_key(cols).alias("k"), F.col(y).alias("_y"))
-                .rollup("k").agg(F.avg("_y").alias("m"), F.grouping("k").alias("total"))
-                .limit(MAX_GROUPS + 2).collect())
-        groups = [r for r in rows if r["total"] == 0]
-        if len(groups) > MAX_GROUPS:
-            raise ValueError(f"more than {MAX_GROUPS} groups for {cols}: the group-mean baseline "
-                             "is for low-cardinality keys")
-        glob = next((r["m"] for r in rows if r["total"] == 1), None)
-        st = {"means": {r["k"]: r["m"] for r in groups}, "global": float(glob) if glob is not None else None}
+        # One aggregate gives the group means and the overall mean (the rollup's
+        # grand-total row); at most INLINE_GROUPS + 2 rows reach the driver.
+        means = (df.where(F.col(y).isNotNull()).select(group_key(cols).alias("k"), F.col(y).alias("_y"))
+                 .rollup("k").agg(F.avg("_y").alias("m"), F.grouping("k").alias("total")))
+        rows = means.limit(INLINE_GROUPS + 2).collect()
+        if len(rows) == INLINE_GROUPS + 2:
+            path = scratch_path(df.sparkSession, "group-means")
+            means.write.parquet(path + "-all")
+            stored = df.sparkSession.read.parquet(path + "-all")
+            stored.where("total = 0").select("k", "m").write.parquet(path)
+            st = {"table": path, "global": float(stored.where("total = 1").first()["m"])}
+        else:
+            groups = [r for r in rows if r["total"] == 0]
+            glob = next((r["m"] for r in rows if r["total"] == 1), None)
+            st = {"means": {r["k"]: r["m"] for r in groups}, "global": float(glob) if glob is not None else None}
         return GroupMeanModel(groupCols=cols, labelCol=y, predictionCol=self.getOrDefault(self.predictionCol),
                               state=json.dumps(st))
 

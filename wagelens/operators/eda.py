@@ -148,6 +148,42 @@ def kde_grid(df: DataFrame, value: str, grid_points: int = 200) -> DataFrame:
                                            * math.sqrt(2 * math.pi)), 12).alias("density")))
 
 
+#: Cells of the linear binning between the least and the largest value of a group.
+KDE_CELLS = 1024
+
+
+def kde_binned(df: DataFrame, value: str, groups: list[str], grid_points: int = 200, cells: int = KDE_CELLS) -> DataFrame:
+    """G11 on continuous values, by group: Gaussian KDE (Scott bandwidth) on an
+    even grid over the group's [min, max].
+
+    A value is dealt to the two ends of its cell in proportion to its place in
+    it (linear binning), counted map-side; the kernel then runs over the cell
+    ends only, so its cost is groups x cells x grid points however many values
+    there are.  With cell width d and bandwidth h the density is off by at most
+    ``0.3989 * d**2 / (8 * h**3)`` (the largest second derivative of the
+    kernel).  Density is null where the bandwidth is not positive."""
+    v = F.col(value)
+    data = df.where(v.isNotNull()).select(*groups, v.cast("double").alias("_v"))
+    stats = data.groupBy(*groups).agg(F.count("_v").alias("_n"), F.stddev_samp("_v").alias("_sd"),
+                                      F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    stats = checked_broadcast(stats)
+    cell = (F.col("_hi") - F.col("_lo")) / cells
+    place = F.when(cell > 0, (F.col("_v") - F.col("_lo")) / cell).otherwise(F.lit(0.0))
+    low = F.least(F.floor(place), F.lit(cells - 1))
+    ends = F.array(F.struct(low.alias("_j"), (1 - (place - low)).alias("_w")), F.struct((low + 1).alias("_j"), (place - low).alias("_w")))
+    weights = (join_groups(data, stats, groups, "inner").select(*groups, F.inline(ends))
+               .groupBy(*groups, "_j").agg(F.sum("_w").alias("_w")))
+    step = (F.col("_hi") - F.col("_lo")) / max(grid_points - 1, 1)
+    width = F.col("_sd") * F.pow(F.col("_n"), F.lit(-0.2))
+    z = (F.col("x") - (F.col("_lo") + F.col("_j") * cell)) / F.col("_h")
+    points = (join_groups(weights, stats, groups, "inner").withColumn("_h", F.when(width > 0, width))
+              .withColumn("grid", F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))))
+              .withColumn("x", F.col("_lo") + F.col("grid") * step).withColumn("_k", F.col("_w") * F.exp(-0.5 * z * z)))
+    return (points.groupBy(*groups, "grid", "x", "_n", "_h").agg(F.sum("_k").alias("_s"))
+            .select(*groups, "grid", F.round("x", 6).alias("x"),
+                    F.round(F.col("_s") / (F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi)), 12).alias("density")))
+
+
 def box_stats(df: DataFrame, groups: list[str], value: str, exact: bool = True) -> DataFrame:
     """Q1, median, Q3, IQR and Tukey whiskers (last point within
     1.5 IQR) per group.  Quantiles and whiskers both come from the counts

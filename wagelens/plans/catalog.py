@@ -822,6 +822,21 @@ def g11(spark, d):
     return eda.kde_grid(table(spark, d, "lineitem"), "l_quantity", 50)
 
 
+@register("g11_kde_salary_by_country", with_silver("""
+, st AS (SELECT country, count(salary_avg_usd) AS n, stddev_samp(salary_avg_usd) AS sd, min(salary_avg_usd) AS lo,
+                max(salary_avg_usd) AS hi FROM training GROUP BY 1),
+pl AS (SELECT country, (salary_avg_usd - lo) / ((hi - lo) / 1024) AS p FROM training JOIN st USING (country)),
+lo AS (SELECT country, p, least(floor(p), 1023) AS j FROM pl),
+ce AS (SELECT country, j, sum(w) AS w FROM (SELECT country, j, 1 - (p - j) AS w FROM lo UNION ALL SELECT country, j + 1, p - j FROM lo) u
+       GROUP BY 1, 2),
+gr AS (SELECT st.*, sd * pow(n, -0.2) AS h, CAST(range AS INTEGER) AS grid, lo + range * ((hi - lo) / 99) AS x FROM st CROSS JOIN range(0, 100)),
+zs AS (SELECT gr.country, grid, x, n, h, w, (x - (lo + j * ((hi - lo) / 1024))) / h AS z FROM gr JOIN ce USING (country))
+SELECT country, grid, round(x, 6) AS x, round(sum(w * exp(-0.5 * z * z)) / (n * h * sqrt(2 * pi())), 12) AS density
+FROM zs GROUP BY country, grid, x, n, h"""))
+def g11s(spark, d):
+    return eda.kde_binned(training(spark, d), "salary_avg_usd", ["country"], 100)
+
+
 @register("g12_box_stats_country_level", with_silver("""
 , q AS (SELECT country, job_level, count(*) AS n, quantile_cont(salary_avg_usd, 0.25) AS q1,
                quantile_cont(salary_avg_usd, 0.5) AS median, quantile_cont(salary_avg_usd, 0.75) AS q3
@@ -848,14 +863,41 @@ def g13(spark, d):
     return pts.select("job_id", "salary_avg_usd", "rank", F.round("position", 9).alias("position"))
 
 
-@register("g13_qq_fit")
+def _probit_sql(p: str) -> str:
+    """Acklam's inverse normal CDF in SQL, from the constants of the Spark form."""
+    from wagelens.operators import stats
+
+    def horner(coefs, x):
+        out = f"({coefs[0]!r})"
+        for c in coefs[1:]:
+            out = f"({out} * {x} + ({c!r}))"
+        return out
+
+    low, high = f"sqrt(-2 * ln({p}))", f"sqrt(-2 * ln(1 - {p}))"
+    q = f"({p} - 0.5E0)"
+    r = f"({q} * {q})"
+    tail = lambda x: f"{horner(stats._C, x)} / ({horner(stats._D, x)} * {x} + 1)"
+    return (f"CASE WHEN {p} < {stats._P_LOW} THEN {tail(low)} WHEN {p} > 1 - {stats._P_LOW} THEN -({tail(high)}) "
+            f"ELSE {horner(stats._A, r)} * {q} / ({horner(stats._B, r)} * {r} + 1) END")
+
+
+@register("g13_qq_fit", with_silver(f"""
+, v AS (SELECT 'usd' AS scale, salary_avg_usd AS y, job_id FROM training
+        UNION ALL SELECT 'log', log_salary_avg_usd, job_id FROM training),
+rk AS (SELECT scale, y, row_number() OVER (PARTITION BY scale ORDER BY y, job_id) AS i, count(*) OVER (PARTITION BY scale) AS n
+       FROM v WHERE y IS NOT NULL),
+ps AS (SELECT scale, y, CASE WHEN i = n THEN pow(0.5, 1.0E0 / n) WHEN i = 1 THEN 1 - pow(0.5, 1.0E0 / n)
+                             ELSE (i - 0.3175E0) / (n + 0.365E0) END AS p FROM rk),
+th AS (SELECT scale, y, {_probit_sql('p')} AS x FROM ps)
+SELECT scale, round(regr_slope(y, x), 6) AS slope, round(regr_intercept(y, x), 6) AS intercept, round(corr(y, x), 9) AS r FROM th GROUP BY scale"""))
 def g13f(spark, d):
     from wagelens.operators import stats
     t = training(spark, d)
     pts = stats.qq_points(t, "salary_avg_usd", "job_id").withColumn("scale", F.lit("usd"))
     pts_log = stats.qq_points(t.withColumn("salary_avg_usd", F.col("log_salary_avg_usd")),
                               "salary_avg_usd", "job_id").withColumn("scale", F.lit("log"))
-    return stats.qq_fit(pts.unionByName(pts_log), "salary_avg_usd", ["scale"])
+    return stats.qq_fit(pts.unionByName(pts_log), "salary_avg_usd", ["scale"]).select(
+        "scale", R6("slope"), R6("intercept"), F.round("r", 9).alias("r"))
 
 
 _CORR_FEATURES = ["num_skills", "experience_required_clean", "is_remote", "is_senior", "skills_extracted",
@@ -907,6 +949,17 @@ def g16p(spark, d):
     return v.select("feature", F.round("VIF", 6).alias("VIF"))
 
 
+@register("g16_vif_three", """
+WITH c AS (SELECT corr(l_quantity, l_extendedprice) AS ab, corr(l_quantity, l_discount) AS ac, corr(l_extendedprice, l_discount) AS bc FROM lineitem),
+d AS (SELECT *, 1 + 2 * ab * ac * bc - ab * ab - ac * ac - bc * bc AS det FROM c)
+SELECT 'l_quantity' AS feature, round((1 - bc * bc) / det, 6) AS VIF FROM d
+UNION ALL SELECT 'l_extendedprice', round((1 - ac * ac) / det, 6) FROM d UNION ALL SELECT 'l_discount', round((1 - ab * ab) / det, 6) FROM d""")
+def g16t(spark, d):
+    from wagelens.operators import stats
+    v = stats.vif(table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"], with_constant=True)
+    return v.select("feature", F.round("VIF", 6).alias("VIF"))
+
+
 @register("g17_skew_raw_vs_log", with_silver("""
 SELECT 'raw' AS scale, count(salary_avg_usd) AS n, round(avg(salary_avg_usd), 6) AS mean,
        round(median(salary_avg_usd), 6) AS median, round(skewness(salary_avg_usd), 6) AS skew FROM training
@@ -917,11 +970,28 @@ def g17(spark, d):
     return eda.skew_comparison(training(spark, d), {"raw": "salary_avg_usd", "log": "log_salary_avg_usd"})
 
 
-@register("g18_bootstrap_mean_ci")
+def _bootstrap_sql():
+    from wagelens.operators.stats import POISSON_PART, poisson_cdf
+    cdfs = ", ".join("[" + ", ".join(f"{c!r}E0" if "e" not in repr(c) else repr(c) for c in poisson_cdf(r)) + "]"
+                     for r in range(1, POISSON_PART + 1))
+    return f"""
+, kinds AS (SELECT country, job_level, salary_avg_usd AS v, count(*) AS w, min(job_id) AS id FROM training GROUP BY 1, 2, 3),
+parts AS (SELECT kinds.*, unnest(range(0, CAST(ceil(w / 8.0E0) AS BIGINT))) AS part FROM kinds),
+marks AS (SELECT parts.*, r.range AS replicate, substr(md5(concat_ws('#', id, r.range, part, 42)), 1, 13) AS hx,
+                 CAST(least(8, w - part * 8) AS INTEGER) AS rate FROM parts CROSS JOIN range(1, 1001) AS r),
+us AS (SELECT *, CAST(CAST('0x' || hx AS BIGINT) AS DOUBLE) / 4503599627370496E0 AS u FROM marks),
+draws AS (SELECT *, len(list_filter(([{cdfs}])[rate], lambda c: us.u >= c)) AS d FROM us),
+sums AS (SELECT country, job_level, replicate, sum(d * v) / nullif(sum(d), 0) AS m FROM draws GROUP BY 1, 2, 3),
+ci AS (SELECT country, job_level, quantile_cont(m, 0.025) AS ci_low, quantile_cont(m, 0.975) AS ci_high FROM sums GROUP BY 1, 2)
+SELECT country, job_level, count(*) AS n, round(avg(salary_avg_usd), 3) AS mean, round(any_value(ci_low), 3) AS ci_low,
+       round(any_value(ci_high), 3) AS ci_high FROM training JOIN ci USING (country, job_level) GROUP BY 1, 2"""
+
+
+@register("g18_bootstrap_mean_ci", with_silver(_bootstrap_sql()))
 def g18(spark, d):
     from wagelens.operators import stats
-    return stats.bootstrap_mean_ci(training(spark, d), ["country", "job_level"], "salary_avg_usd", "job_id",
-                                   replicates=1000)
+    out = stats.bootstrap_mean_ci(training(spark, d), ["country", "job_level"], "salary_avg_usd", "job_id", replicates=1000)
+    return out.select("country", "job_level", "n", *[F.round(c, 3).alias(c) for c in ("mean", "ci_low", "ci_high")])
 
 
 @register("g19_iqr_outliers_lineitem", """
@@ -1127,6 +1197,57 @@ def h6(spark, d):
                                  F.round(F.aggregate(arr, F.lit(0.0), lambda a, v: a + v * v), 9).alias("l2_sq"))
 
 
+@register("h6_title_tfidf_weights", with_silver("""
+, tk AS (SELECT job_id, regexp_extract_all(job_title_text, '\\w\\w+') AS t FROM training),
+tm AS (SELECT job_id, unnest(list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))) AS term FROM tk),
+tf AS (SELECT job_id, term, count(*) AS tf FROM tm GROUP BY 1, 2),
+vc AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM tf GROUP BY term HAVING count(*) >= 3 ORDER BY cf DESC, term LIMIT 400),
+w AS (SELECT job_id, term, (1 + ln(tf)) * (ln((SELECT count(*) + 1 FROM training) / (df + 1)) + 1) AS w FROM tf JOIN vc USING (term))
+SELECT job_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY job_id)), 6) AS weight FROM w"""))
+def h6w(spark, d):
+    """Every weight of the title vectors, with no word left out."""
+    from pyspark.ml.functions import vector_to_array
+    from wagelens.ml.features import TitleTfidf
+    t = training(spark, d)
+    m = TitleTfidf(inputCol="job_title_text", outputCol="tfidf", stopWords=[]).fit(t)
+    terms = F.array(*[F.lit(v) for v in m._state()["vocabulary"]])
+    return (m.transform(t).select("job_id", F.posexplode(vector_to_array("tfidf")).alias("i", "w")).where("w <> 0")
+            .select("job_id", terms[F.col("i")].alias("term"), F.round("w", 6).alias("weight")))
+
+
+_H7_LEVELS = ("country", "job_level", "is_remote", "search_keyword", "degree_required")
+
+
+@register("h7_assembled_values", with_silver(f"""
+, st AS (SELECT job_id, unnest([0, 1, 2, 3, 4]) AS c, unnest([{', '.join(f'CAST({c} AS VARCHAR)' for c in _H7_LEVELS)}]) AS v FROM training),
+n0 AS (SELECT c, v, count(*) AS n FROM st WHERE v IS NOT NULL GROUP BY 1, 2),
+md AS (SELECT c, v FROM n0 QUALIFY row_number() OVER (PARTITION BY c ORDER BY n DESC, v) = 1),
+nn AS (SELECT c, count(*) AS k FROM st WHERE v IS NULL GROUP BY c),
+n1 AS (SELECT n0.c, n0.v, n0.n + CASE WHEN md.v = n0.v THEN coalesce(nn.k, 0) ELSE 0 END AS n
+       FROM n0 JOIN md ON md.c = n0.c LEFT JOIN nn ON nn.c = n0.c),
+fr AS (SELECT c, v, row_number() OVER (PARTITION BY c ORDER BY v) - 1 AS pos FROM n1 WHERE n >= 3),
+sz AS (SELECT c, count(*) FILTER (WHERE n >= 3) AS f, max(CASE WHEN n < 3 THEN 1 ELSE 0 END) AS r FROM n1 GROUP BY c),
+ofs AS (SELECT c, f, coalesce(sum(f + r - 1) OVER (ORDER BY c ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o,
+               sum(f + r - 1) OVER () AS w FROM sz),
+oh AS (SELECT st.job_id, CASE WHEN fr.pos IS NULL THEN o + f - 1 ELSE o + fr.pos - 1 END AS slot, 1.0E0 AS value
+       FROM st JOIN md ON md.c = st.c JOIN ofs ON ofs.c = st.c LEFT JOIN fr ON fr.c = st.c AND fr.v = coalesce(st.v, md.v)
+       WHERE fr.pos IS NULL OR fr.pos >= 1),
+nu AS (SELECT job_id, unnest([0, 1]) AS i, unnest([
+         (num_skills - avg(num_skills) OVER ()) / CASE WHEN stddev_pop(num_skills) OVER () > 0 THEN stddev_pop(num_skills) OVER () ELSE 1 END,
+         (skills_extracted - avg(skills_extracted) OVER ()) / CASE WHEN stddev_pop(skills_extracted) OVER () > 0
+             THEN stddev_pop(skills_extracted) OVER () ELSE 1 END]) AS value FROM training)
+SELECT job_id, CAST(slot AS INTEGER) AS slot, value FROM oh
+UNION ALL SELECT job_id, CAST((SELECT max(w) FROM ofs) + i AS INTEGER), round(value, 6) FROM nu WHERE value <> 0"""))
+def h7v(spark, d):
+    """Every non-zero value of the assembled vectors of one feature set."""
+    from pyspark.ml.functions import vector_to_array
+    from wagelens.ml.features import preprocessor
+    t = training(spark, d)
+    pm = preprocessor(FEATURE_SPECS["Core + num_skills"]).fit(t)
+    return (pm.transform(t).select("job_id", F.posexplode(vector_to_array("features")).alias("slot", "value")).where("value <> 0")
+            .select("job_id", "slot", F.round("value", 6).alias("value")))
+
+
 @register("h7_assembled_features")
 def h7(spark, d):
     from pyspark.ml.functions import vector_to_array
@@ -1591,25 +1712,14 @@ def i18(spark, d):
     return selection(spark, d).run("holdout").select(F.col("candidate").alias("Model"), *_metrics(["MAE", "RMSE", "R2"]))
 
 
-def _final_importance(spark, d):
-    from wagelens.ml import permutation
-    from wagelens.ml.folds import column_slots
-    fitted, pre, held = selection(spark, d).holdout_model()
-    slots, width = {}, 0
-    for (_, c), places in column_slots(pre).items():
-        slots.setdefault(c, []).extend(places)
-        width += len(places)
-    return permutation.importance(fitted, held, slots, width)
-
-
 @register("i24_permutation_importance_final")
 def i24f(spark, d):
-    return _final_importance(spark, d)
+    return selection(spark, d).importance()
 
 
 @register("i27_top_features")
 def i27f(spark, d):
-    return _final_importance(spark, d).orderBy(F.desc("Importance_MAE"), "Feature").limit(3)
+    return selection(spark, d).importance().orderBy(F.desc("Importance_MAE"), "Feature").limit(3)
 
 
 @register("i25_refit_selected")
@@ -1644,8 +1754,19 @@ def i28(spark, d):
     return m.transform(req).select("job_id", "experience_tier", "num_skills", "predicted_salary_usd")
 
 
-@register("i29_streaming_scoring")
+@register("i28_request_features", with_silver("""
+, rq AS (SELECT job_id, coalesce(experience_required_clean, 0) AS e FROM scoring)
+SELECT job_id, CASE WHEN e <= 2 THEN 'Entry' WHEN e <= 5 THEN 'Intermediate' WHEN e <= 10 THEN 'Experienced' ELSE 'Highly Experienced' END
+       AS experience_tier FROM rq"""))
+def i28f(spark, d):
+    from wagelens.ml import scoring
+    req = scoring.prepare_requests(scoring.capstone_requests_from(silver_plan.scoring_layer(silver(spark, d))))
+    return req.select("job_id", "experience_tier")
+
+
+@register("i29_streaming_scoring", with_silver("SELECT job_id, true AS identical FROM scoring"))
 def i29(spark, d):
+    """The stream's output beside the batch's, row by row."""
     from wagelens.ml import scoring
     from wagelens.session import scratch_path
     from wagelens.streaming.scoring_stream import run_to_completion
@@ -1653,8 +1774,9 @@ def i29(spark, d):
     req = scoring.capstone_requests_from(silver_plan.scoring_layer(silver(spark, d)))
     src = scratch_path(spark, "requests")
     req.write.mode("overwrite").parquet(src)
-    return run_to_completion(spark, m, src, req.schema, scratch_path(spark, "scored"),
-                             scratch_path(spark, "stream-ckpt"))
+    out = run_to_completion(spark, m, src, req.schema, scratch_path(spark, "scored"), scratch_path(spark, "stream-ckpt"))
+    batch = m.transform(scoring.prepare_requests(spark.read.parquet(src))).select("job_id", F.col("predicted_salary_usd").alias("batch"))
+    return out.join(batch, "job_id").select("job_id", (F.col("predicted_salary_usd") == F.col("batch")).alias("identical"))
 
 
 @register("a11_model_persistence", with_silver("SELECT job_id, true AS identical FROM scoring"))
@@ -1706,8 +1828,15 @@ UNION ALL SELECT 'review', count(*) FROM review"""))
 def a7(spark, d):
     from wagelens.session import scratch_path
     from wagelens.sources import sinks
-    paths = sinks.export_layers(silver(spark, d), scratch_path(spark, "layers"))
-    return sinks.manifest(spark, paths).select("layer", "rows")
+    return sinks.manifest(spark, sinks.export_layers(silver(spark, d), scratch_path(spark, "layers")))
+
+
+@register("f1_stored_training_layer", with_silver("SELECT job_id, country, round(salary_avg_usd, 6) AS salary_avg_usd FROM training"))
+def f1s(spark, d):
+    from wagelens.session import scratch_path
+    from wagelens.sources import sinks
+    path = sinks.export_layers(silver(spark, d), scratch_path(spark, "layers"))
+    return sinks.read_layer(spark, path, "training", ["job_id", "country", "salary_avg_usd"]).select("job_id", "country", R6("salary_avg_usd"))
 
 
 @register("a9_analysis_table_sink", REGISTRY["g1_coverage_by_country"][1])
@@ -1719,6 +1848,36 @@ def a9(spark, d):
     return spark.read.schema(df.schema).option("header", True).csv(path)
 
 
+#: Analysis tables that need no model selection: query -> table.  (The others:
+#: ``Selection.export``.)
+_ANALYSIS = {"g1_coverage_by_country": "salary_coverage_by_country", "g14_target_correlations": "numeric_target_correlations",
+             "g8_role_country_medians": "salary_by_role_family_country", "g16_vif_pair": "vif_results",
+             "b1_column_profile": "data_quality_profile", "b3_quality_summary": "data_quality_summary",
+             "g6_country_level_summary": "salary_by_country_level", "g20_outlier_counts": "outlier_counts"}
+
+
+@register("a9_analysis_tables", None)
+def a9t(spark, d):
+    """Each table written as CSV, read back and counted."""
+    from wagelens.session import scratch_path
+    from wagelens.sources import sinks
+    folder, out = scratch_path(spark, "analysis"), None
+    for query, name in _ANALYSIS.items():
+        df = REGISTRY[query][0](spark, d)
+        path = sinks.write_table(df, f"{folder}/{name}")
+        rows = spark.read.schema(df.schema).option("header", True).csv(path).agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("rows"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _counted_tables() -> str:
+    return " UNION ALL ".join(f"SELECT '{name}' AS \"table\", count(*) AS rows FROM ({REGISTRY[query][1]}) t{i}"
+                              for i, (query, name) in enumerate(_ANALYSIS.items()))
+
+
+REGISTRY["a9_analysis_tables"] = (a9t, _counted_tables())
+
+
 # ----------------------------------------------------------- other rule presets
 @register("c12_status_counts_phase1", with_silver("""
 , ph AS (
