@@ -56,6 +56,19 @@ def opened(folder: str):
     return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
 
 
+def mapped(store, path: str, dtype: str):
+    """One part as an array: memory-mapped where the store is a local or mounted folder."""
+    import numpy as np
+    from pyarrow import fs
+
+    if store.get_file_info(path).size == 0:
+        return np.zeros(0, dtype)
+    if isinstance(store, fs.LocalFileSystem):
+        return np.memmap(path, dtype, mode="r")
+    with store.open_input_file(path) as file:
+        return np.frombuffer(file.read_buffer(), dtype)
+
+
 def read_whole(path: str, columns: list[str] | None):
     """A stored table of bounded size as one Arrow table, read by a task or the
     driver itself: a model that every worker needs never passes the driver."""

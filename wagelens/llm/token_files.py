@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wagelens.llm.packing import byte_symbols
-from wagelens.llm.shared import id_and_text, opened, scratch_path, small_batches, worker_memory
+from wagelens.llm.shared import id_and_text, mapped, opened, scratch_path, small_batches, worker_memory
 
 END_ID = 2
 #: Ids, or documents, after which a task begins its next file.
@@ -277,18 +277,6 @@ def remove_strays(store, path: str, names: set[str]) -> None:
             store.delete_file(info.path)
 
 
-def mapped(store, path: str, dtype: str) -> np.ndarray:
-    """One part as an array: memory-mapped where the store is a local or mounted folder."""
-    from pyarrow import fs
-
-    if store.get_file_info(path).size == 0:
-        return np.zeros(0, dtype)
-    if isinstance(store, fs.LocalFileSystem):
-        return np.memmap(path, dtype, mode="r")
-    with store.open_input_file(path) as file:
-        return np.frombuffer(file.read_buffer(), dtype)
-
-
 class TokenFiles:
     """Random access to the documents of a folder, over memory-mapped parts."""
 

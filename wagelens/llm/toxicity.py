@@ -12,8 +12,9 @@ distance, and the share of votes is calibrated on the examples themselves,
 each one scored without itself.
 
 The examples' terms (at most ``EXAMPLES`` rows) and the term table are stored
-in the shared folder and read there by each worker once; neither passes the
-driver.  The scoring pass is narrow.
+in the shared folder; one task builds the index from them and writes it as flat
+files, which every worker maps into memory.  None of it passes the driver.  The
+scoring pass is narrow.
 
 Defined results: null and empty texts, and texts without any term of the
 space, score the calibrated share of such examples; repeated rows each give
@@ -24,6 +25,8 @@ are ignored (``reject`` keeps them).
 
 from __future__ import annotations
 
+import json
+import uuid
 from types import SimpleNamespace
 
 import numpy as np
@@ -33,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wagelens.llm.kernels import ALNUM_WORDS, LOWER, U64, prefix_hash, span_hash, text_buffer, word_spans
-from wagelens.llm.shared import id_and_text, least_hashed, read_whole, scratch_path, small_batches, store, worker_memory
+from wagelens.llm.shared import id_and_text, least_hashed, mapped, opened, read_whole, scratch_path, small_batches, store, worker_memory
 
 #: Bound of the fitted model.
 EXAMPLES = 20_000
@@ -322,26 +325,72 @@ def words_of(path: str) -> tuple[np.ndarray, np.ndarray | None]:
     return memory[key]
 
 
-def fitted(at: SimpleNamespace):
-    """The model and its index, read from the stored tables and built once per
-    worker; the last one is kept."""
-    memory, key = worker_memory(), "toxicity index"
-    if memory.get(key, (None,))[0] != at.examples:
-        memory[key] = (None,)
+#: Arrays of the index and of one of its parts.
+ARRAYS = ("off", "terms", "weights", "start", "place", "weight", "place_of", "example")
+PART_ARRAYS = ("hot_at", "matrix", "top")
+
+
+def write_index(at: SimpleNamespace):
+    """One task builds the index of the stored examples (their number is
+    bounded) and writes its arrays as flat files beside a description."""
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([build()])], ["arrays"])
+
+    def build() -> int:
         vocabulary, weight = words_of(at.terms)
         rows = read_whole(at.examples, ["doc_id", "toxic", "terms", "weights"])
         ids = rows.column("doc_id").to_numpy()
         if np.any(ids[1:] < ids[:-1]):
             rows = rows.sort_by("doc_id").combine_chunks()
             ids = rows.column("doc_id").to_numpy()
-        model = SimpleNamespace(vocabulary=vocabulary, weight=weight, ids=ids, labels=rows.column("toxic").to_pylist())
         size = pc.list_value_length(rows.column("terms")).to_numpy()
         off = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
         flat = lambda c: rows.column(c).combine_chunks().flatten().to_numpy()
         index = build_index(off, flat("terms"), flat("weights"), len(vocabulary))
-        del rows
-        pa.default_memory_pool().release_unused()
-        memory[key] = (at.examples, model, index)
+        arrays = {"vocabulary": vocabulary, "term_weight": weight, "ids": ids, "labels": rows.column("toxic").to_numpy()}
+        arrays |= {name: getattr(index, name) for name in ARRAYS if index.n}
+        parts = index.parts if index.n else []
+        arrays |= {f"{name}-{i}": getattr(p, name) for i, p in enumerate(parts) for name in PART_ARRAYS}
+        about = {"n": index.n, "n_terms": index.n_terms, "parts": [[int(p.first), int(p.last)] for p in parts], "arrays": {}}
+        if index.n:
+            about |= {"block": index.block, "blocks": int(index.blocks)}
+        store, folder = opened(at.index)
+        store.create_dir(folder, recursive=True)
+        attempt = uuid.uuid4().hex[:12]
+        for name, array in arrays.items():
+            array = np.ascontiguousarray(array)
+            about["arrays"][name] = [f"{name}-{attempt}", array.dtype.str, list(array.shape)]
+            with store.open_output_stream(f"{folder}/{name}-{attempt}") as out:
+                out.write(memoryview(array).cast("B") if array.size else b"")
+        # The description comes last: it names whole files only.
+        with store.open_output_stream(f"{folder}/about.json") as out:
+            out.write(json.dumps(about).encode())
+        return len(arrays)
+
+    return run
+
+
+def fitted(at: SimpleNamespace):
+    """The model and its index, memory-mapped: the workers of a machine share
+    one copy in its page cache.  The last one is kept open."""
+    memory, key = worker_memory(), "toxicity index"
+    if memory.get(key, (None,))[0] != at.index:
+        memory[key] = (None,)
+        store, folder = opened(at.index)
+        with store.open_input_stream(f"{folder}/about.json") as file:
+            about = json.loads(file.read())
+        held = {name: np.asarray(mapped(store, f"{folder}/{file}", dtype)).reshape(shape) for name, (file, dtype, shape) in about["arrays"].items()}
+        model = SimpleNamespace(vocabulary=held["vocabulary"], weight=held["term_weight"], ids=held["ids"], labels=held["labels"])
+        index = SimpleNamespace(n=about["n"], n_terms=about["n_terms"])
+        if index.n:
+            parts = [SimpleNamespace(first=a, last=z, **{name: held[f"{name}-{i}"] for name in PART_ARRAYS})
+                     for i, (a, z) in enumerate(about["parts"])]
+            index = SimpleNamespace(n=about["n"], n_terms=about["n_terms"], block=about["block"], blocks=about["blocks"], parts=parts,
+                                    **{name: held[name] for name in ARRAYS})
+        memory[key] = (at.index, model, index)
     return memory[key][1:]
 
 
@@ -408,12 +457,13 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> Da
     spread = (texts.select("text").where("text IS NOT NULL").mapInArrow(count_documents(words), "term long, df long")
               .groupBy("term").agg(F.sum("df").alias("df")))
     documents = texts.where("text IS NOT NULL").count()
-    at = SimpleNamespace(terms=scratch_path(spark, "terms"), examples=scratch_path(spark, "example-vectors"))
+    at = SimpleNamespace(terms=scratch_path(spark, "terms"), examples=scratch_path(spark, "example-vectors"), index=scratch_path(spark, "index"))
     store(counted.join(spread, "term", "left").fillna(0, ["df"])
           .mapInArrow(weigh_terms(documents, total, positive), "term long, weight float"), "terms", at.terms)
     # At most EXAMPLES rows of term numbers and weights, in the order of their ids.
     store(examples.mapInArrow(example_vectors(at.terms), "doc_id long, toxic long, terms array<int>, weights array<float>")
           .orderBy("doc_id"), "example-vectors", at.examples)
+    spark.range(0, 1, 1, 1).mapInArrow(write_index(at), "arrays long").collect()
 
     own = examples.join(examples.select("doc_id", "text").mapInArrow(vote_rows(at, NEAREST, True), RAW), "doc_id")
     in_bin = F.when(F.col("raw").isNotNull(), F.least(F.floor(F.col("raw") * BINS), F.lit(BINS - 1)).cast("int"))
