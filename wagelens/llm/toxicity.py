@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wagelens.llm.kernels import ALNUM_WORDS, LOWER, U64, prefix_hash, span_hash, text_buffer, word_spans
-from wagelens.llm.shared import id_and_text, least_hashed, mapped, opened, read_whole, scratch_path, small_batches, store, worker_memory
+from wagelens.llm.shared import discard, id_and_text, least_hashed, mapped, opened, read_whole, scratch_path, small_batches, store, worker_memory
 
 #: Bound of the fitted model.
 EXAMPLES = 20_000
@@ -201,26 +201,38 @@ def build_index(off, terms, weights, n_terms: int, block: int = BLOCK) -> Simple
         hot_at = np.full(n_terms, -1, np.int16)
         hot_at[hot] = np.arange(len(hot))
         h = hot_at[terms[own]]
-        own, h = own[h >= 0], h[h >= 0]
-        kept[own] = False
-        place = place_of[example[own]] - end
-        matrix = np.zeros((blocks, len(hot), block), np.float32)
-        matrix[place // block, h, place % block] = weights[own]
+        kept[own[h >= 0]] = False
         first = end // block
-        parts.append(SimpleNamespace(first=first, last=first + blocks, hot_at=hot_at, matrix=matrix, top=matrix.max(2).T.copy()))
+        parts.append(SimpleNamespace(first=first, last=first + blocks, hot_at=hot_at))
         end += blocks * block
     # The postings by term, made for one range of terms after the other.
     count = np.bincount(terms[kept], minlength=n_terms)
     start = np.concatenate(([0], np.cumsum(count)))
-    places, held_weights = np.zeros(start[-1], np.int32), np.zeros(start[-1], np.float32)
+    places, held_weights = np.zeros(start[-1], np.min_scalar_type(max(end, 1))), np.zeros(start[-1], np.float32)
     edges = np.unique(np.searchsorted(start, np.linspace(0, start[-1], TERM_RANGES + 1)))
     for lo, hi in zip(edges, edges[1:]):
         rare = np.flatnonzero(kept & (terms >= lo) & (terms < hi))
         rare = rare[np.argsort(terms[rare], kind="stable")]
         places[start[lo]:start[lo] + len(rare)] = place_of[example[rare]]
         held_weights[start[lo]:start[lo] + len(rare)] = weights[rare]
-    return SimpleNamespace(n=n, block=block, blocks=end // block, off=off, terms=terms, weights=weights, n_terms=n_terms, parts=parts, start=start,
-                           place=places, weight=held_weights, place_of=place_of, example=np.concatenate(held))
+    index = SimpleNamespace(n=n, block=block, blocks=end // block, off=off, terms=terms, weights=weights, n_terms=n_terms, parts=parts, start=start,
+                            place=places, weight=held_weights, place_of=place_of, example=np.concatenate(held))
+    for part in parts:
+        fill_matrix(index, part)
+    return index
+
+
+def fill_matrix(index: SimpleNamespace, part: SimpleNamespace) -> None:
+    """The frequent terms of a part's examples as one matrix per block, and
+    each term's largest weight in the block."""
+    wide = int(part.hot_at.max(initial=-1)) + 1
+    part.matrix = np.zeros((part.last - part.first, wide, index.block), np.float32)
+    for at, e in enumerate(index.example[part.first * index.block:part.last * index.block].tolist()):
+        if e >= 0:
+            mine = slice(index.off[e], index.off[e + 1])
+            h = part.hot_at[index.terms[mine]]
+            part.matrix[at // index.block, h[h >= 0], at % index.block] = index.weights[mine][h >= 0]
+    part.top = part.matrix.max(2).T.copy()
 
 
 def dot(t, w, terms, weights) -> float:
@@ -325,9 +337,9 @@ def words_of(path: str) -> tuple[np.ndarray, np.ndarray | None]:
     return memory[key]
 
 
-#: Arrays of the index and of one of its parts.
+#: Arrays of the index and of one of its parts that are stored.
 ARRAYS = ("off", "terms", "weights", "start", "place", "weight", "place_of", "example")
-PART_ARRAYS = ("hot_at", "matrix", "top")
+PART_ARRAYS = ("hot_at",)
 
 
 def write_index(at: SimpleNamespace):
@@ -341,16 +353,18 @@ def write_index(at: SimpleNamespace):
 
     def build() -> int:
         vocabulary, weight = words_of(at.terms)
-        rows = read_whole(at.examples, ["doc_id", "toxic", "terms", "weights"])
-        ids = rows.column("doc_id").to_numpy()
-        if np.any(ids[1:] < ids[:-1]):
-            rows = rows.sort_by("doc_id").combine_chunks()
-            ids = rows.column("doc_id").to_numpy()
-        size = pc.list_value_length(rows.column("terms")).to_numpy()
-        off = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
-        flat = lambda c: rows.column(c).combine_chunks().flatten().to_numpy()
-        index = build_index(off, flat("terms"), flat("weights"), len(vocabulary))
-        arrays = {"vocabulary": vocabulary, "term_weight": weight, "ids": ids, "labels": rows.column("toxic").to_numpy()}
+        rows = read_whole(at.examples, ["doc_id", "toxic", "text"]).sort_by("doc_id").combine_chunks()
+        off, terms, weights = [np.zeros(1, np.int64)], [], []
+        for batch in rows.to_batches(max_chunksize=ROWS):
+            row, term, tf, n = row_terms(batch.column("text"), vocabulary)
+            first, term, w = unit(row, term, tf, weight, n)
+            off.append(first[1:] + off[-1][-1])
+            terms.append(term.astype(np.int32))
+            weights.append(w.astype(np.float32))
+        ids, labels = rows.column("doc_id").to_numpy(), rows.column("toxic").to_numpy()
+        empty = [np.zeros(0, np.int32)], [np.zeros(0, np.float32)]
+        index = build_index(np.concatenate(off), np.concatenate(terms or empty[0]), np.concatenate(weights or empty[1]), len(vocabulary))
+        arrays = {"vocabulary": vocabulary, "term_weight": weight, "ids": ids, "labels": labels}
         arrays |= {name: getattr(index, name) for name in ARRAYS if index.n}
         parts = index.parts if index.n else []
         arrays |= {f"{name}-{i}": getattr(p, name) for i, p in enumerate(parts) for name in PART_ARRAYS}
@@ -390,6 +404,8 @@ def fitted(at: SimpleNamespace):
                      for i, (a, z) in enumerate(about["parts"])]
             index = SimpleNamespace(n=about["n"], n_terms=about["n_terms"], block=about["block"], blocks=about["blocks"], parts=parts,
                                     **{name: held[name] for name in ARRAYS})
+            for part in parts:
+                fill_matrix(index, part)
         memory[key] = (at.index, model, index)
     return memory[key][1:]
 
@@ -448,7 +464,7 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> Da
     chosen = least_hashed(marked, F.xxhash64("doc_id"), EXAMPLES).orderBy(F.xxhash64("doc_id"), "doc_id").limit(EXAMPLES)
     # Copies of a text count as one example, that of the least id.
     examples = store(texts.join(F.broadcast(chosen), "doc_id").where("text IS NOT NULL").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-                     .groupBy("text", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "text", "toxic"), "examples")
+                     .groupBy("text", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "text", "toxic"), "examples", example_path := scratch_path(spark, "examples"))
 
     total, positive = examples.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     counted = store(examples.select("text", "toxic").mapInArrow(count_terms, "term long, n long, pos long").groupBy("term")
@@ -457,12 +473,10 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> Da
     spread = (texts.select("text").where("text IS NOT NULL").mapInArrow(count_documents(words), "term long, df long")
               .groupBy("term").agg(F.sum("df").alias("df")))
     documents = texts.where("text IS NOT NULL").count()
-    at = SimpleNamespace(terms=scratch_path(spark, "terms"), examples=scratch_path(spark, "example-vectors"), index=scratch_path(spark, "index"))
+    at = SimpleNamespace(terms=scratch_path(spark, "terms"), examples=example_path, index=scratch_path(spark, "index"))
     store(counted.join(spread, "term", "left").fillna(0, ["df"])
           .mapInArrow(weigh_terms(documents, total, positive), "term long, weight float"), "terms", at.terms)
-    # At most EXAMPLES rows of term numbers and weights, in the order of their ids.
-    store(examples.mapInArrow(example_vectors(at.terms), "doc_id long, toxic long, terms array<int>, weights array<float>")
-          .orderBy("doc_id"), "example-vectors", at.examples)
+    discard(counted)
     spark.range(0, 1, 1, 1).mapInArrow(write_index(at), "arrays long").collect()
 
     own = examples.join(examples.select("doc_id", "text").mapInArrow(vote_rows(at, NEAREST, True), RAW), "doc_id")
@@ -499,20 +513,6 @@ def weigh_terms(documents: int, total: int, positive: int):
     return run
 
 
-def example_vectors(path: str):
-    def run(batches):
-        words, weight = words_of(path)
-        for batch in batches:
-            row, term, tf, n = row_terms(batch.column("text"), words)
-            off, term, w = unit(row, term, tf, weight, n)
-            off = pa.array(off.astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), pa.ListArray.from_arrays(off, pa.array(term.astype(np.int32))),
-                 pa.ListArray.from_arrays(off, pa.array(w.astype(np.float32)))], ["doc_id", "toxic", "terms", "weights"])
-
-    return run
-
-
 def reject(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic; all columns."""
     bad = score(docs, labels).where("predicted = 1").select("doc_id").distinct()
