@@ -245,3 +245,19 @@ def test_importance_copies_rows_by_repeat_only(spark, rows):
     assert shape(few) == shape(many) and shape(many)[2] == 0
     # both readers of the ranks explode keys and repeats, never columns
     assert shape(many)[1] <= 4
+
+
+def test_receiving_rows_are_not_looked_up_by_key(spark, rows):
+    data = rows.select("job_id", "salary_avg_usd", "country", "level")
+    both = permutation.side_by_side(data, "job_id", ["country"], 3, 42)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = both._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 << 20))
+    assert "hashpartitioning(job_id" not in plan and "hashpartitioning(donor" in plan
+    of = {r[0]: r[1] for r in data.select("job_id", "country").collect()}
+    pairs = {(p["repeat"], p["job_id"]): p["donor"] for p in permutation.donors(data, "job_id", 3).collect()}
+    got = both.select("repeat", "job_id", "donor", "country", "_d_country").collect()
+    assert {(r["repeat"], r["job_id"]): r["donor"] for r in got} == pairs and len(got) == len(pairs) == 1200
+    assert all(r["country"] == of[r["job_id"]] and r["_d_country"] == of[r["donor"]] for r in got)
