@@ -100,3 +100,41 @@ def test_layers_are_one_write_and_pruned_reads(spark, tmp_path):
         assert sinks.read_layer(spark, path, layer).count() == got[layer]
     out = sinks.export_layer_csv(spark, path, "scoring", str(tmp_path / "csv"))
     assert spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(out).count() == scoring_layer(s).count()
+
+
+def _tiny_orders(spark, folder):
+    spark.range(1, 4001).selectExpr("id AS o_orderkey").write.parquet(f"{folder}/orders.parquet")
+    return str(folder)
+
+
+def test_silver_stores_no_feature_columns(spark, tmp_path):
+    from wagelens.plans import catalog
+    catalog.clear_cache()
+    try:
+        d = _tiny_orders(spark, tmp_path)
+        s = catalog.silver(spark, d)
+        assert s.columns == build_silver(postings(spark, d), STRICT).columns
+        plan = _plan(s.where("salary_quality_status = 'model_ready'").select("job_id"))
+        relation = plan[plan.index("InMemoryRelation ["):]
+        assert "skill_python" not in relation[:relation.index("]")] and "regexp_extract_all" not in plan
+    finally:
+        catalog.clear_cache()
+
+
+def test_split_ranks_the_training_rows_once(spark, tmp_path):
+    """Development and test are filters over one cached, pruned table."""
+    from wagelens.plans import catalog
+    catalog.clear_cache()
+    try:
+        d = _tiny_orders(spark, tmp_path)
+        dev, test = catalog._gm_split(spark, d)
+        assert len(catalog._CACHE) == 3 and "description" not in dev.columns and "fold" not in test.columns
+        for part in (dev, test):
+            assert _plan(part).count("InMemoryTableScan") >= 1
+        every = catalog.training(spark, d)
+        assert dev.count() + test.count() == every.count() > 0
+        assert dev.where("fold IS NULL").count() == 0 and dev.join(test, "job_id").count() == 0
+        wide, _ = catalog.dev_test(spark, d)
+        assert dev.select("job_id", "fold").exceptAll(wide.select("job_id", "fold")).count() == 0
+    finally:
+        catalog.clear_cache()
