@@ -63,3 +63,14 @@ def test_hash_rank_within_equals_row_number_also_for_null_strata(spark):
     want = df.withColumn("r", F.row_number().over(w.orderBy(hash_order("id"), "id"))).withColumn("n", F.count("*").over(w))
     assert got.count() == 3000 and got.columns == ["id", "s", "t", "r", "n"]
     assert got.select("id", "r", "n").exceptAll(want.select("id", F.col("r").cast("long"), "n")).count() == 0
+
+
+def test_full_poisson_parts_are_drawn_without_a_list(spark):
+    from wagelens.operators import stats
+    steps = stats.poisson_cdf(stats.POISSON_PART)
+    us = [0.0, 1 - 2.0**-52, *steps[:20], *[c - 1e-9 for c in steps[1:20]]]
+    df = spark.createDataFrame([(u, r) for u in us for r in (1, 5, stats.POISSON_PART)], "u double, r int")
+    for row in df.withColumn("d", stats.poisson_draw(F.col("u"), F.col("r"))).collect():
+        assert row["d"] == sum(row["u"] >= c for c in stats.poisson_cdf(row["r"])), row
+    full = df.select(stats.poisson_draw(F.col("u"), F.lit(stats.POISSON_PART)).alias("d"))
+    assert "lambda" not in full._jdf.queryExecution().optimizedPlan().toString()
