@@ -4,13 +4,15 @@ import hashlib
 import random
 import re
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_cases import SMOKE, texts_of
 from wagelens.llm import components, decontaminate, jaccard_join, packing, suffix_array, suffix_dedup
-from wagelens.llm.kernels import ALNUM_WORDS
+from wagelens.llm.kernels import ALNUM_WORDS, text_buffer
 
 FOLD = {i: i + 32 for i in range(65, 91)}
 
@@ -108,6 +110,27 @@ def test_suffix_dedup_equals_brute_force(spark, edges, nothing):
     assert suffix_dedup.dedup(nothing).count() == 0
 
 
+def test_fragments_and_spans_travel_as_one_row_a_block_and_receiver():
+    rnd = random.Random(2)
+    passage = "".join(rnd.choice("abcd") for _ in range(400))
+    rows = [(i, passage[:200 + 20 * i]) for i in range(8)]
+    data, off = text_buffer(pa.array([t for _, t in rows]))
+    row = suffix_dedup.fragments(data, off)[0]
+    marks = [np.arange(n, dtype="<u4").tobytes() for n in np.bincount(row, minlength=len(rows)).tolist()]
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([t for _, t in rows]), pa.array(marks)], ["doc_id", "text", "marks"])
+    hot = SimpleNamespace(value=np.zeros(0, np.uint64))
+    sent = list(suffix_dedup.send_fragments(hot, 50, 3)([batch]))
+    assert sum(b.num_rows for b in sent) <= 3 < len(row)
+    spans = list(suffix_dedup.sort_shard(50, 2)(sent))
+    by_bucket = [b.slice(i, 1) for b in spans for i in range(b.num_rows)]
+    got = {}
+    for bucket in range(2):
+        for b in suffix_dedup.merge_spans([x for x in by_bucket if x.column("bucket")[0].as_py() == bucket]):
+            got |= {d: np.frombuffer(s, "<u4").tolist() for d, s in zip(*(c.to_pylist() for c in b.columns))}
+    # The first text owns its 200 bytes, each longer one adds 20 with the strings that reach them.
+    assert got == {i: [0, 200 + 20 * (i - 1)] for i in range(1, 8)}
+
+
 def test_packing_gives_each_token_one_place(spark, edges, nothing):
     from tokenizers import Tokenizer
 

@@ -11,13 +11,15 @@ document with a smaller doc_id.  Only places that can take part are sorted:
    itself and sends one copy).  Equal strings have equal anchors, so nothing
    outside marked fragments can repeat.
 2. Marked fragments go to suffix shards by anchor, equal ones of a block as
-   one with the list of their places.  Fragments of a very frequent anchor
+   one with the list of their places, all of a block and shard as one
+   compressed row.  Fragments of a very frequent anchor
    are cut into their strings and dealt by string, so that no anchor fills a
    shard.
 3. A shard builds its suffix array by induced sorting, finds in permuted
    order which suffixes share ``length`` bytes with the one before, and gives
    each string the least doc_id that holds it.
-4. Spans of strings with a smaller owner are merged per document and cut out.
+4. Spans of strings with a smaller owner travel packed in the same way to
+   buckets of documents, are merged per document and cut out.
 
 Defined results: null text is empty; texts below ``length`` bytes stay whole;
 rows of equal doc_id do not remove from each other; an empty table gives no
@@ -240,59 +242,85 @@ def send_fragments(shared, length: int, shards: int):
         content = span_hash(prefix_hash(data), start, start + n + length - 1)
         # Only the shard travels: a hash of eight bytes a row would not compress.
         shard = (mix(np.where(key == 0, content, key)) % U64(shards)).astype(np.int32)
-        # Equal fragments of the block become one row.
+        # Equal fragments of the block become one, in the order of the texts.
         order = np.lexsort((doc, content))
         c = content[order]
         first = np.flatnonzero(np.concatenate(([True], c[1:] != c[:-1])))
-        ends = np.append(first[1:], len(c))
-        docs, places = doc[order].astype("<i8"), local[order].astype("<u4")
+        many = np.diff(np.append(first, len(c)))
         rep = order[first]
-        for a in range(0, len(first), 20_000):  # bounded batches
-            sel = np.arange(a, min(a + 20_000, len(first)))
-            r = rep[sel]
-            size = (n[r] + length - 1).astype(np.int64)
-            to = np.concatenate(([0], np.cumsum(size)))
-            at = np.repeat(start[r] - to[:-1], size) + np.arange(int(to[-1]))
-            lo, hi = first[sel], ends[sel]
-            d, p = docs[lo[0]:hi[-1]], places[lo[0]:hi[-1]]
-            bounds = np.append(lo, hi[-1]) - lo[0]
-            binary = lambda offsets, raw: pa.Array.from_buffers(
-                pa.binary(), len(sel), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(raw.tobytes())])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(shard[r]), binary(to, data[at]), binary(8 * bounds, d), binary(4 * bounds, p)],
-                ["shard", "content", "docs", "places"])
+        by = np.lexsort((rep, shard[rep]))
+        first, many, rep = first[by], many[by], rep[by]
+        edge = np.flatnonzero(np.concatenate(([True], shard[rep][1:] != shard[rep][:-1])))
+        rows, held = [], 0
+        for lo, hi in zip(edge, np.append(edge[1:], len(rep))):
+            r = rep[lo:hi]
+            size, each = n[r] + length - 1, order[ranges(first[lo:hi], many[lo:hi])]
+            rows.append((int(shard[r[0]]), *packed(size.astype("<u4"), many[lo:hi].astype("<u4"), steps(doc[each]), local[each].astype("<u4"),
+                                                   data[ranges(start[r], size)])))
+            held += len(rows[-1][-1])
+            if held >= SHARD_BYTES:  # bounded batches
+                yield row_batch(rows, "shard")
+                rows, held = [], 0
+        if rows:
+            yield row_batch(rows, "shard")
 
     return run
 
 
-def sort_shard(length: int):
-    """Suffix array of a shard's fragments; spans of repeated strings."""
+def steps(ids: np.ndarray) -> np.ndarray:
+    """Ids as the difference to the one before: near ones become small."""
+    return np.diff(ids.astype(np.int64), prepend=np.int64(0)).astype("<i8")
+
+
+def packed(*arrays: np.ndarray) -> tuple[list[int], bytes]:
+    """Byte lengths of the arrays, and all of them compressed as one."""
+    parts = [a.tobytes() for a in arrays]
+    return [len(p) for p in parts], pa.compress(b"".join(parts), codec="zstd", asbytes=True)
+
+
+def unpacked(lengths: list[int], body: bytes, types: tuple[str, ...]) -> list[np.ndarray]:
+    raw = pa.decompress(body, decompressed_size=sum(lengths), codec="zstd", asbytes=True)
+    at = np.cumsum([0, *lengths])
+    return [np.frombuffer(raw[a:z], t) for a, z, t in zip(at, at[1:], types)]
+
+
+def row_batch(rows: list[tuple], key: str) -> pa.RecordBatch:
+    to, lengths, body = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(lengths, pa.list_(pa.int64())), pa.array(body, pa.binary())], [key, "lengths", "body"])
+
+
+def sort_shard(length: int, buckets: int):
+    """Suffix array of a shard's fragments; spans of repeated strings, packed
+    for the bucket of their document."""
 
     def run(batches):
         # One partition may hold several shards; each is sorted by itself.
         shards: dict[int, list] = {}
         for batch in batches:
-            shard = batch.column("shard").to_numpy()
-            for s in np.unique(shard).tolist():
-                mine = pa.Table.from_batches([batch]).filter(pa.array(shard == s))
-                shards.setdefault(s, []).append(mine.select(["content", "docs", "places"]))
+            for s, lengths, body in zip(*(batch.column(c).to_pylist() for c in ("shard", "lengths", "body"))):
+                shards.setdefault(s, []).append((lengths, body))
         for s in sorted(shards):
-            table = pa.concat_tables(shards.pop(s)).combine_chunks()
-            yield from resolve(table)
-
-    def resolve(table):
-        data, off = binary(table.column("content"))
-        size = np.diff(off)
+            doc, start, stop = resolve([unpacked(*p, ("<u4", "<u4", "<i8", "<u4", "u1")) for p in shards.pop(s)])
+            bucket = (mix(doc.astype(U64)) % U64(buckets)).astype(np.int32)
+            order = np.lexsort((start, doc, bucket))
+            bucket, doc, start, size = bucket[order], doc[order], start[order].astype("<u4"), (stop - start)[order].astype("<u4")
+            cut = np.flatnonzero(np.diff(bucket, prepend=-1))
+            rows = [(int(bucket[a]), *packed(steps(doc[a:z]), start[a:z], size[a:z])) for a, z in zip(cut, np.append(cut[1:], len(doc)))]
+            if rows:
+                yield row_batch(rows, "bucket")
+
+    def resolve(parts):
+        size, many, data, place = (np.concatenate([p[i] for p in parts]) for i in (0, 1, 4, 3))
+        size, many, place = size.astype(np.int64), many.astype(np.int64), place.astype(np.int64)
+        doc = np.concatenate([np.cumsum(p[2]) for p in parts])
+        off = np.concatenate(([0], np.cumsum(size)))
         # Equal fragments of several blocks become one part.
         _, rep, part = np.unique(span_hash(prefix_hash(data), off[:-1], off[1:]), return_index=True, return_inverse=True)
         size = size[rep]
         begin = np.cumsum(size + 1) - size - 1
         text = np.full(int((size + 1).sum()), SEPARATOR, np.uint8)
         text[ranges(begin, size)] = data[ranges(off[rep], size)]
-        raw_docs, doc_off = binary(table.column("docs"))
-        doc = raw_docs.view("<i8").astype(np.int64)
-        place = binary(table.column("places"))[0].view("<u4").astype(np.int64)
-        part = np.repeat(part, np.diff(doc_off) // 8)
+        part = np.repeat(part, many)
         owner = np.full(len(rep), np.iinfo(np.int64).max)
         np.minimum.at(owner, part, doc)
 
@@ -322,37 +350,43 @@ def sort_shard(length: int):
         out_doc = np.concatenate((doc[whole], doc[at]))
         start = np.concatenate((place[whole], base + a))
         stop = np.concatenate((place[whole] + size[part[whole]], base + b + length - 1))
-        yield pa.RecordBatch.from_arrays([pa.array(out_doc), pa.array((start << 32) | stop)], ["doc_id", "span"])
+        return out_doc, start, stop
 
     return run
 
 
-def binary(column) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and offsets of a binary column without nulls."""
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    column = column.cast(pa.large_binary())
-    off = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
-    return np.frombuffer(column.buffers()[2], np.uint8)[off[0]:off[-1]], off - off[0]
-
-
 def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """``start[i], start[i] + 1, ...`` for ``size[i]`` numbers, all in a row."""
     return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
 
 
-def merged(spans) -> list[tuple[int, int]]:
-    out: list = []
-    for x in np.sort(np.asarray(spans, np.int64)).tolist():
-        a, b = x >> 32, x & 0xFFFFFFFF
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+def merge_spans(batches):
+    """Per document the maximal runs of its spans, as (start, end) pairs."""
+    parts = [unpacked(lengths, body, ("<i8", "<u4", "<u4")) for batch in batches
+             for lengths, body in zip(batch.column("lengths").to_pylist(), batch.column("body").to_pylist())]
+    if not parts:
+        return
+    ids, who = np.unique(np.concatenate([np.cumsum(p[0]) for p in parts]), return_inverse=True)
+    start, size = (np.concatenate([p[i] for p in parts]).astype(np.int64) for i in (1, 2))
+    order = np.lexsort((start, who))
+    who, start, size = who[order], start[order], size[order]
+    # Places of one document after those of the one before, never adjacent.
+    base = who.astype(np.int64) << 33
+    reach = np.maximum.accumulate(base + start + size)
+    new = np.concatenate(([True], (base + start)[1:] > reach[:-1]))
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(who)) - 1
+    pairs = np.stack((start[first], reach[last] - base[last]), axis=1).astype("<u4")
+    cut = np.searchsorted(who[first], np.arange(len(ids) + 1))
+    for a in range(0, len(ids), 20_000):
+        z = min(a + 20_000, len(ids))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids[a:z]), pa.array([pairs[cut[i]:cut[i + 1]].tobytes() for i in range(a, z)], pa.binary())], ["doc_id", "spans"])
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc_id, span): byte spans to remove, ``start << 32 | end``, unmerged."""
+    """(doc_id, spans): the byte runs to remove of each document that has any,
+    as pairs of 32-bit start and end."""
     spark = docs.sparkSession
     small_batches(spark)
     texts = id_and_text(docs)
@@ -377,8 +411,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     shards = max(partitions, -(-size // SHARD_BYTES))
     marked = texts.where("doc_id IS NOT NULL").join(marks, "doc_id")
     parts = marked.select("doc_id", "text", "marks").mapInArrow(
-        send_fragments(shared, length, shards), "shard int, content binary, docs binary, places binary")
-    return store(parts.repartition(shards, "shard").mapInArrow(sort_shard(length), "doc_id long, span long"), "spans")
+        send_fragments(shared, length, shards), "shard int, lengths array<long>, body binary")
+    spans = parts.repartition(shards, "shard").mapInArrow(sort_shard(length, buckets), "bucket int, lengths array<long>, body binary")
+    return store(spans.repartition(partitions, "bucket").mapInArrow(merge_spans, "doc_id long, spans binary"), "spans")
 
 
 def unpack_counts(batches):
@@ -392,7 +427,7 @@ def summarise(batches):
         rows = []
         for doc, text, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "spans"))):
             raw = (text or "").encode()
-            runs = merged(spans) if spans else []
+            runs = np.frombuffer(spans or b"", "<u4").reshape(-1, 2).tolist()
             at, kept = 0, hashlib.sha256()
             for a, b in runs:
                 kept.update(raw[at:a])
@@ -407,6 +442,5 @@ def summarise(batches):
 
 def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``."""
-    spans = repeated_spans(docs, length).groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
-    return id_and_text(docs).join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(
+    return id_and_text(docs).join(repeated_spans(docs, length), "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(
         summarise, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
