@@ -64,6 +64,46 @@ def test_jaccard_join_equals_brute_force(spark, edges, nothing):
     assert jaccard_join.join(nothing).count() == 0
 
 
+def test_sketches_bound_the_overlap_of_every_pair():
+    rng = np.random.default_rng(3)
+    common = rng.integers(0, 2**64, 900, np.uint64)
+    sets = [np.unique(np.concatenate((common[:k], rng.integers(0, 2**64, n - k, np.uint64)))) for n, k in
+            ((1, 0), (4, 4), (5, 4), (300, 280), (330, 280), (900, 900), (1000, 880), (3000, 0), (3000, 0))]
+    # Many tokens of one bucket: the count passes a byte.
+    sets.append(np.arange(2000, dtype=np.uint64))
+    fine = jaccard_join.sketches(np.concatenate(sets), np.concatenate(([0], np.cumsum([len(s) for s in sets]))))
+    assert [len(f) for f in fine] == [1, 1, 2, 128, 128, 256, 256, 1024, 1024, 0]
+    pairs = [(a, b) for a in range(len(sets)) for b in range(len(sets))]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([p[0] for p in pairs]), pa.array([len(sets[a]) for a, _ in pairs]), pa.array([fine[a] for a, _ in pairs]),
+         pa.array([p[1] for p in pairs]), pa.array([len(sets[b]) for _, b in pairs]), pa.array([fine[b] for _, b in pairs])],
+        ["rep", "n", "fine", "peer", "m", "other"])
+    (left,) = jaccard_join.within_sketch(85)([batch])
+    left = set(zip(left.column("rep").to_pylist(), left.column("peer").to_pylist()))
+    for a, b in pairs:
+        both = len(np.intersect1d(sets[a], sets[b]))
+        if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+            assert (a, b) in left
+    # Unlike sets of like size go without their tokens being read; nothing is known of the last.
+    assert (7, 8) not in left and (9, 7) in left
+
+
+def test_jaccard_join_reads_whole_sets_of_likely_pairs_only(spark, monkeypatch):
+    rnd = random.Random(7)
+    # Rare words common to all texts make them candidates; the rest is different.
+    docs = spark.createDataFrame([(i, "a b c d e " + " ".join(f"w{rnd.randrange(10**9)}" for _ in range(1000))) for i in range(6)], "doc_id long, text string")
+    seen, kept = {}, jaccard_join.store
+
+    def store(df, name, *more):
+        seen[name] = kept(df, name, *more)
+        return seen[name]
+
+    monkeypatch.setattr(jaccard_join, "store", store)
+    monkeypatch.setattr(jaccard_join, "within_bound", lambda *names: lambda batches: batches)
+    assert {r.component_id for r in jaccard_join.join(docs).collect()} == set(range(6))
+    assert seen["between"].count() > 0 and seen["opened-sets"].count() == 0
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r.node: r.component for r in components.components(links, "a", "b").collect()}

@@ -13,12 +13,14 @@ Sets of distinct 4-word shingles link when 100 * overlap >= 85 * union.
 4. The token-group matrix holds, for each group, its token union counted over
    token buckets.  A query (a set of another cluster that shares a prefix
    token) bounds its overlap with the group from the two rows; only
-   qualifying groups are opened, and their members compared exactly.
+   qualifying groups are opened.  A pair's bound is taken once more from
+   sketches as fine as the sets are large, and what is left compared exactly.
 5. Connected components of all links.
 
 No pair of equal texts and no pair within a cluster is ever made, so a group
 of copies costs rows in proportion to its size; between clusters nothing is
-left out: steps 2 and 4 only discard what the threshold rules out.
+left out: steps 2 and 4 only discard what the threshold rules out.  Whole sets travel only
+for pairs that the sketches (a byte per two to four tokens) leave.
 
 Defined results: null, empty and wordless texts have no shingles and are
 their own component; repeated rows each give a row; an empty table gives no
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 
 from wagelens.llm.components import components
 from wagelens.llm.kernels import U64, fold64, mix, shingle_sets
-from wagelens.llm.shared import by_ids, id_and_text, small_batches, store
+from wagelens.llm.shared import by_ids, free_worker, id_and_text, small_batches, store
 
 WIDTH = 4
 PERCENT = 85
@@ -54,6 +56,7 @@ def count_locally(width: int):
     """Tokens that occur in two or more documents of a task's batches, with counts."""
 
     def run(batches):
+        free_worker()
         held, size = [], 0
         for batch in batches:
             held.append(shingle_sets(batch.column("text"), width)[0])
@@ -74,9 +77,10 @@ def count_locally(width: int):
 
 def describe(width: int, percent: int, shared):
     """Per document: set size, digests, prefix tokens, min-hash of each bin,
-    and the set counted over token buckets."""
+    and the set counted over token buckets, few and many."""
 
     def run(batches):
+        free_worker()
         frequent, place = shared.value
         for batch in batches:
             value, off = shingle_sets(batch.column("text"), width)
@@ -103,8 +107,8 @@ def describe(width: int, percent: int, shared):
                  pa.array(fold64(mix(value ^ U64(0xA24BAED4963EE407)), off).view(np.int64)),
                  pa.ListArray.from_arrays(pa.array(prefix_off.astype(np.int32)), pa.array(prefix)),
                  pa.ListArray.from_arrays(pa.array(np.arange(0, BINS * len(n) + 1, BINS, dtype=np.int32)), pa.array(sig.ravel())),
-                 pa.array([r.tobytes() for r in rows.reshape(-1, BUCKETS)], pa.binary())],
-                ["doc_id", "n", "d1", "d2", "prefix", "sig", "row"])
+                 pa.array([r.tobytes() for r in rows.reshape(-1, BUCKETS)], pa.binary()), pa.array(sketches(value, off), pa.binary())],
+                ["doc_id", "n", "d1", "d2", "prefix", "sig", "row", "fine"])
 
     return run
 
@@ -113,10 +117,49 @@ def bucket_of(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> U64(20)).astype(np.int64) % BUCKETS
 
 
+def sketches(value: np.ndarray, off: np.ndarray) -> list[bytes]:
+    """Each set counted over 2**k buckets, the first k bits of a token, in bytes;
+    k gives two to four tokens a bucket.  Empty where a count passes a byte."""
+    n = np.diff(off)
+    bits = np.zeros(len(n), np.int64)
+    while np.any(n > 4 << bits):
+        bits += n > 4 << bits
+    first = np.concatenate(([0], np.cumsum(1 << bits)))
+    row = np.repeat(np.arange(len(n)), n)
+    # Two shifts, as one by 64 is not defined.
+    bucket = (value >> U64(1)) >> (63 - bits[row]).astype(U64)
+    count = np.bincount(first[row] + bucket.astype(np.int64), minlength=first[-1])
+    small = count.astype(np.uint8).tobytes()
+    most = np.maximum.reduceat(count, first[:-1]) if len(n) else n
+    return [small[a:b] if m < 256 else b"" for a, b, m in zip(first[:-1].tolist(), first[1:].tolist(), most.tolist())]
+
+
+def within_sketch(percent: int):
+    """The pairs whose sketches allow the threshold.  The longer sketch is added
+    up to the length of the shorter one; an empty one allows everything."""
+
+    def run(batches):
+        for batch in batches:
+            ok = []
+            n, m = batch.column("n").to_pylist(), batch.column("m").to_pylist()
+            for x, y, i, j in zip(batch.column("fine").to_pylist(), batch.column("other").to_pylist(), n, m):
+                size = min(len(x), len(y))
+                if size:
+                    a, b = (np.frombuffer(z, np.uint8).reshape(size, -1).sum(1, dtype=np.int64) for z in (x, y))
+                    most = int(np.minimum(a, b).sum())
+                    ok.append((100 + percent) * most >= percent * (i + j))
+                else:
+                    ok.append(True)
+            yield batch.select(["rep", "peer"]).filter(pa.array(ok, pa.bool_()))
+
+    return run
+
+
 def whole_sets(width: int):
     """Sorted tokens of each set as bytes."""
 
     def run(batches):
+        free_worker()
         for batch in batches:
             value, off = shingle_sets(batch.column("text"), width)
             parts = [value[a:b].tobytes() for a, b in zip(off[:-1], off[1:])]
@@ -170,9 +213,12 @@ def similar_size(percent: int, a: str, b: str):
     return (100 * F.col(a) >= percent * F.col(b)) & (100 * F.col(b) >= percent * F.col(a))
 
 
-def verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int, name: str) -> tuple[DataFrame, DataFrame]:
-    """The pairs (rep, peer) that link, and the whole sets of all the pairs."""
-    pairs = store(pairs.select("rep", "peer").distinct(), name + "-pairs")
+def verify(pairs: DataFrame, alike: DataFrame, texts: DataFrame, width: int, percent: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """The pairs (rep, peer) that link, and the whole sets of all pairs that their sketches leave."""
+    fine = alike.select("rep", "n", "fine")
+    bounded = (pairs.select("rep", "peer").distinct().join(fine, "rep")
+               .join(fine.select(F.col("rep").alias("peer"), F.col("n").alias("m"), F.col("fine").alias("other")), "peer"))
+    pairs = store(bounded.select("rep", "n", "fine", "peer", "m", "other").mapInArrow(within_sketch(percent), "rep long, peer long"), name + "-pairs")
     ids = store(pairs.select(F.explode(F.array("rep", "peer")).alias("doc_id")).distinct(), name + "-ids")
     sets = store(by_ids(texts, ids, "left_semi").mapInArrow(whole_sets(width), "rep long, tokens binary"), name + "-sets").dropDuplicates(["rep"])
     rows = (pairs.join(sets, "rep").join(sets.select(F.col("rep").alias("peer"), F.col("tokens").alias("other")), "peer")
@@ -196,7 +242,7 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
 
     described = store(texts.mapInArrow(
         describe(width, percent, shared),
-        "doc_id long, n long, d1 long, d2 long, prefix array<long>, sig array<long>, row binary"), "shingles")
+        "doc_id long, n long, d1 long, d2 long, prefix array<long>, sig array<long>, row binary, fine binary"), "shingles")
     full = described.where("n > 0")
     classes = store(full.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep")), "classes")
     copies = store(full.select("doc_id", "d1", "d2").join(classes, ["d1", "d2"]).where("doc_id <> rep").select("doc_id").distinct(), "copies")
@@ -208,16 +254,16 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     active = postings.select("rep").distinct()
 
     # Clusters: links to the least and the greatest representative of each key.
-    alike = store(active.join(reps.select("rep", "n", "sig", "row").dropDuplicates(["rep"]), "rep"), "signatures")
+    alike = store(active.join(reps.select("rep", "n", "sig", "row", "fine").dropDuplicates(["rep"]), "rep"), "signatures")
     keys = alike.select("rep", F.posexplode(F.slice("sig", 1, KEYS)).alias("bin", "key")).where("key <> 0")
     ends = keys.groupBy("bin", "key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
     led = (keys.join(ends, ["bin", "key"]).select("rep", F.explode(F.array("lo", "hi")).alias("peer"))
            .where("rep <> peer").distinct())
     peers = alike.select(F.col("rep").alias("peer"), F.col("n").alias("m"), F.col("sig").alias("sig2"), F.col("row").alias("other"))
     same = F.aggregate(F.zip_with("sig", "sig2", lambda x, y: (x == y).cast("int")), F.lit(0), lambda a, x: a + x)
-    led = led.join(alike, "rep").join(peers, "peer").where(similar_size(percent, "n", "m") & (same >= ALIKE))
+    led = led.join(alike.drop("fine"), "rep").join(peers, "peer").where(similar_size(percent, "n", "m") & (same >= ALIKE))
     led = led.select("rep", "n", "row", "peer", "m", "other").mapInArrow(within_bound(percent, "row", "other", "m"), PAIR)
-    first_links, sets = verify(led, texts, width, percent, "led")
+    first_links, sets = verify(led, alike, texts, width, percent, "led")
     clusters = components(first_links, "rep", "peer")
 
     sized = clusters.groupBy("component").agg(F.count("*").alias("csize"))
@@ -253,7 +299,7 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
               .join(rows.select(F.col("rep").alias("peer"), F.col("n").alias("m"), F.col("row").alias("other")), "peer")
               .where(similar_size(percent, "n", "m")).select("rep", "n", "row", "peer", "m", "other")
               .mapInArrow(within_bound(percent, "row", "other", "m"), PAIR))
-    links = first_links.union(verify(opened, texts, width, percent, "opened")[0])
+    links = first_links.union(verify(opened, alike, texts, width, percent, "opened")[0])
 
     labels = components(links, "rep", "peer").withColumnRenamed("node", "rep")
     of_class = classes.join(labels, "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))
