@@ -104,6 +104,25 @@ def test_jaccard_join_reads_whole_sets_of_likely_pairs_only(spark, monkeypatch):
     assert seen["between"].count() > 0 and seen["opened-sets"].count() == 0
 
 
+def test_fragments_do_not_depend_on_the_pieces_hashed_together(monkeypatch):
+    rnd = random.Random(11)
+    texts = ["".join(rnd.choice("ab ") for _ in range(n)) for n in (0, 49, 50, 51, 700, 3, 64, 1000)]
+    data, off = text_buffer(pa.array(texts))
+    whole = suffix_dedup.fragments(data, off)
+    assert len(whole[0]) > 20
+    for piece in (1, 7, 64, len(data) - 49, len(data)):
+        monkeypatch.setattr(suffix_dedup, "PIECE", piece)
+        for x, y in zip(whole, suffix_dedup.fragments(data, off)):
+            assert np.array_equal(x, y)
+
+
+def test_doubling_equals_sorted_suffixes():
+    rng = np.random.default_rng(5)
+    for names in (np.zeros(50, int), rng.integers(0, 3, 400), np.tile(rng.integers(0, 600, 30), 12), rng.permutation(700)):
+        want = sorted(range(len(names)), key=lambda i: names[i:].tolist())
+        assert suffix_array.doubling(names).tolist() == want
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r.node: r.component for r in components.components(links, "a", "b").collect()}

@@ -90,7 +90,8 @@ def doubling(names: np.ndarray) -> np.ndarray:
     """Suffix order of a string over a large alphabet; tied suffixes alone are
     sorted again with twice the context."""
     n = len(names)
-    order = np.argsort(names, kind="stable")
+    # Ties need no order yet: the rounds below leave none.
+    order = np.argsort(names.astype(np.int32))
     place, active, key = np.arange(n), order, names[order].astype(np.int64)
     rank = np.full(2 * n + 1, -1, np.int64)  # past the end: least
     height = 1
@@ -103,7 +104,7 @@ def doubling(names: np.ndarray) -> np.ndarray:
         if len(active) == 0 or height > n:
             return order
         key = rank[active] * np.int64(n + 2) + rank[np.minimum(active + height, 2 * n)] + 1
-        by = np.argsort(key, kind="stable")
+        by = np.argsort(key)
         active, key = active[by], key[by]
         order[place] = active
         height *= 2

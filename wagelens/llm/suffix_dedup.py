@@ -51,6 +51,8 @@ SHARD_BYTES = 4 << 20
 #: only decides how its fragments are dealt.
 FREQUENT_IN_BLOCK = 64
 FREQUENT = 100_000
+#: Places hashed together: what fits a processor's own cache.
+PIECE = 1 << 16
 SEPARATOR = 0xFF  # occurs in no UTF-8 text
 
 
@@ -65,13 +67,9 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return h * U64(0x94D049BB133111EB)
 
 
-def fragments(data: np.ndarray, off: np.ndarray, length: int = LENGTH):
-    """Chains of strings with a common anchor: (row, first string's place,
-    number of strings, anchor hash), in text order."""
-    z = np.zeros(0, np.int64)
-    if len(data) < length:
-        return z, z, z, np.zeros(0, U64)
-    h = gram_hashes(data)
+def anchors(h: np.ndarray, length: int) -> np.ndarray:
+    """Place of the ``GRAM``-byte piece of least hash in each string of ``length``
+    bytes, the first of equal ones."""
     key = (h & ~U64((1 << 28) - 1)) | np.arange(len(h), dtype=U64)
     width, n = length - GRAM + 1, 1
     while 2 * n <= width:
@@ -79,7 +77,20 @@ def fragments(data: np.ndarray, off: np.ndarray, length: int = LENGTH):
         n *= 2
     if n < width:
         key = np.minimum(key[:-(width - n)], key[width - n:])
-    anchor = (key & U64((1 << 28) - 1)).astype(np.int64)
+    return (key & U64((1 << 28) - 1)).astype(np.int64)
+
+
+def fragments(data: np.ndarray, off: np.ndarray, length: int = LENGTH):
+    """Chains of strings with a common anchor: (row, first string's place,
+    number of strings, anchor hash), in text order."""
+    z = np.zeros(0, np.int64)
+    if len(data) < length:
+        return z, z, z, np.zeros(0, U64)
+    anchor, h = np.empty(len(data) - length + 1, np.int64), np.empty(len(data) - GRAM + 1, U64)
+    for at in range(0, len(anchor), PIECE):
+        piece = gram_hashes(data[at:at + PIECE + length - 1])
+        h[at:at + len(piece)] = piece
+        anchor[at:at + PIECE] = anchors(piece, length) + at
     # Strings that would cross the end of their row do not count.
     whole = np.ones(len(anchor) + length, bool)
     for j in off[1:].tolist():
