@@ -4,12 +4,16 @@ import math
 import random
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from llm_cases import SMOKE, texts_of
 from wagelens.llm import license_scan, nearest_vectors, quality, toxicity
+from wagelens.llm.shared import free_worker, worker_memory
 
 SF = "/root/testdata/sf0.01"
 
@@ -135,6 +139,45 @@ def test_nearest_examples_of_many_rows_are_exact(monkeypatch, hot):
         assert np.allclose([c for c, _ in found], cosine[best], rtol=1e-5) and [e for _, e in found] == best
 
 
+@pytest.mark.parametrize("common", [0, 0.003, 1])
+def test_stored_matrices_are_mapped_and_exact(tmp_path, monkeypatch, common):
+    monkeypatch.setattr(toxicity, "COMMON", common, raising=False)
+    rng = np.random.default_rng(6)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choice(words, rng.integers(1, 12), replace=False)) for _ in range(300)]
+    term = np.unique(toxicity.row_terms(pa.array(words), None)[1])
+    at = SimpleNamespace(**{n: str(tmp_path / n) for n in ("terms", "examples", "index")})
+    for name, table in ("terms", pa.table({"term": term.view(np.int64), "weight": rng.random(len(term)).astype(np.float32) + 0.5})), \
+                       ("examples", pa.table({"doc_id": np.arange(300), "toxic": np.arange(300) % 2, "text": texts})):
+        (tmp_path / name).mkdir()
+        pq.write_table(table, tmp_path / name / "part.parquet")
+    free_worker()
+    list(toxicity.write_index(at)([pa.RecordBatch.from_pydict({"id": [0]})]))
+    model, index = toxicity.fitted(at)
+    for part in index.parts:
+        # No worker makes a copy of its own.
+        assert part.matrix.size == 0 or isinstance(part.matrix.base, np.memmap) or isinstance(part.matrix.base.base, np.memmap)
+    off, t, w = toxicity.vectors(pa.array(texts), model)
+    dense = np.zeros((300, len(term)))
+    dense[np.repeat(np.arange(300), np.diff(off)), t] = w
+    for i, found in enumerate(toxicity.nearest_rows(index, off, t, w, 15, list(range(300)))):
+        cosine = dense @ dense[i]
+        cosine[i] = 0
+        best = np.sort(cosine[cosine > 1e-9])[::-1][:15]
+        assert len(found) == len(best) and np.allclose([c for c, _ in found], best, rtol=1e-5)
+        assert np.allclose([cosine[e] for _, e in found], best, rtol=1e-5)
+    free_worker()
+
+
+def test_new_vocabulary_drops_what_a_worker_keeps(tmp_path):
+    pq.write_table(pa.table({"term": [3, 1], "weight": pa.array([0.5, 2.0], pa.float32())}), tmp_path / "part.parquet")
+    worker_memory()["table of another operator"] = np.zeros(10)
+    words, weight = toxicity.words_of(str(tmp_path))
+    assert words.tolist() == [1, 3] and weight.tolist() == [2.0, 0.5]
+    assert list(worker_memory()) == [("toxicity words", str(tmp_path))]
+    free_worker()
+
+
 def test_toxicity_searches_by_every_term(spark):
     # One word too rare for any test of significance is all that two texts share.
     texts = [f"plain{i} words{i} about nothing{i}" for i in range(40)]

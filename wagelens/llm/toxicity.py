@@ -13,7 +13,7 @@ each one scored without itself.
 
 The examples' terms (at most ``EXAMPLES`` rows) and the term table are stored
 in the shared folder; one task builds the index from them and writes it as flat
-files, which every worker maps into memory.  None of it passes the driver.  The
+files, matrices included, which every worker maps into memory.  None of it passes the driver.  The
 scoring pass is narrow.
 
 Defined results: null and empty texts, and texts without any term of the
@@ -26,6 +26,7 @@ are ignored (``reject`` keeps them).
 from __future__ import annotations
 
 import json
+import math
 import uuid
 from types import SimpleNamespace
 
@@ -36,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wagelens.llm.kernels import ALNUM_WORDS, LOWER, U64, prefix_hash, span_hash, text_buffer, word_spans
-from wagelens.llm.shared import discard, id_and_text, least_hashed, mapped, opened, read_whole, scratch_path, small_batches, store, worker_memory
+from wagelens.llm.shared import discard, free_worker, give_back, id_and_text, least_hashed, mapped, opened, read_whole, scratch_path, small_batches, store, worker_memory
 
 #: Bound of the fitted model.
 EXAMPLES = 20_000
@@ -46,14 +47,18 @@ NEAREST = 15
 BLOCK = 64
 BINS = 20
 THRESHOLD = 0.7
-#: Terms of a cluster held as matrices (the rest as postings), and clusters.
-HOT, CLUSTERS = 2048, 12
+#: Terms of a cluster held as matrices (the rest as postings): at most so many,
+#: and such whose share of its examples times that of all examples is over
+#: ``COMMON``; clusters, and the terms that make them.
+HOT, COMMON, CLUSTERS, COARSE = 4096, 0.003, 12, 512
+#: A posting: the example's place and the term's weight in it.
+ENTRY = np.dtype([("place", np.int32), ("weight", np.float32)])
 #: Parts in which the postings are sorted, to bound what a worker holds meanwhile.
 TERM_RANGES = 16
 #: Rows scored together, and the error of single precision.
 ROWS, SLACK = 128, 1e-5
-#: Blocks opened at first; their k-th cosine then decides about all others.
-FIRST_BLOCKS = 8
+#: Places of which the best one counts towards the k-th score.
+GROUP = 32
 NO_LABELS = 0.0
 PRIOR = 2.0
 
@@ -68,7 +73,7 @@ def row_terms(column, vocabulary: np.ndarray | None = None):
     rows.  Terms are words and their beginnings, as hashes; with a sorted
     ``vocabulary`` only its own, as places in it."""
     data, off = text_buffer(column)
-    data = LOWER[data]
+    data = np.frombuffer(data.tobytes().translate(LOWER.tobytes()), np.uint8)
     start, end, row = word_spans(data, off, ALNUM_WORDS)
     if len(start) == 0:
         return np.zeros(0, np.int64), np.zeros(0, U64 if vocabulary is None else np.int64), np.zeros(0, np.int64), len(off) - 1
@@ -85,7 +90,9 @@ def row_terms(column, vocabulary: np.ndarray | None = None):
     if vocabulary is None:
         known, term = np.unique(cut, return_inverse=True)
     else:
-        known, term = vocabulary, np.searchsorted(vocabulary, cut)
+        # Searched in order, neighbours read the same part of the vocabulary.
+        by, known, term = np.argsort(cut), vocabulary, np.empty(len(cut), np.int64)
+        term[by] = np.searchsorted(vocabulary, cut[by])
         hit = known[np.minimum(term, len(known) - 1)] == cut if len(known) else np.zeros(len(cut), bool)
         owner, term = owner[hit], term[hit]
     order = np.argsort(owner, kind="stable")
@@ -115,6 +122,7 @@ def count_terms(batches):
                 [pa.array(kind.view(np.int64)), pa.array(np.bincount(at, minlength=len(kind))),
                  pa.array(np.bincount(at, weights=label, minlength=len(kind)).astype(np.int64))], ["term", "n", "pos"])
 
+    free_worker()
     parts, size = [], 0
     for batch in batches:
         row, term, _, _ = row_terms(batch.column("text"))
@@ -124,6 +132,8 @@ def count_terms(batches):
             yield from flush(parts)
             parts, size = [], 0
     yield from flush(parts)
+    del parts
+    give_back()
 
 
 def count_documents(path: str):
@@ -137,6 +147,7 @@ def count_documents(path: str):
             n += np.bincount(term, minlength=len(n))
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(words[at].view(np.int64)), pa.array(n[at])], ["term", "df"])
+        give_back()
 
     return run
 
@@ -159,7 +170,7 @@ def clusters_of(example, terms, weights, n: int, n_terms: int) -> np.ndarray:
     terms.  It decides which examples share a block, never a result."""
     df = np.bincount(terms, minlength=n_terms)
     place = np.full(n_terms, -1, np.int32)
-    chosen = np.argsort(-df, kind="stable")[:HOT // 4]
+    chosen = np.argsort(-df, kind="stable")[:COARSE]
     place[chosen] = np.arange(len(chosen))
     at = place[terms]
     dense = np.zeros((n, len(chosen)), np.float32)
@@ -172,11 +183,12 @@ def clusters_of(example, terms, weights, n: int, n_terms: int) -> np.ndarray:
     return cluster
 
 
-def build_index(off, terms, weights, n_terms: int, block: int = BLOCK) -> SimpleNamespace:
+def build_index(off, terms, weights, n_terms: int, block: int = BLOCK, matrices: bool = True) -> SimpleNamespace:
     """All terms of the examples.  Like examples lie together in blocks of
     ``block`` places; the ``HOT`` most frequent terms of a cluster are one
     matrix per block, with the largest weight of each term in the block, and
-    all other terms postings by term."""
+    all other terms postings by term.  Without ``matrices`` the caller makes
+    those one after the other."""
     off, terms, weights = np.asarray(off), np.asarray(terms, np.int32), np.asarray(weights, np.float32)
     n = len(off) - 1
     if n == 0:
@@ -188,7 +200,7 @@ def build_index(off, terms, weights, n_terms: int, block: int = BLOCK) -> Simple
     cluster = clusters_of(example, terms, weights, n, n_terms)
     # A cluster fills whole blocks; places left over hold no example.
     place_of, held, parts, end = np.zeros(n, np.int32), [], [], 0
-    kept = np.ones(len(terms), bool)
+    kept, everywhere = np.ones(len(terms), bool), np.bincount(terms, minlength=n_terms)
     for c in np.unique(cluster):
         mine = np.flatnonzero(cluster == c)
         place_of[mine] = end + np.arange(len(mine))
@@ -197,7 +209,7 @@ def build_index(off, terms, weights, n_terms: int, block: int = BLOCK) -> Simple
         own = np.flatnonzero((cluster == c)[example])
         df = np.bincount(terms[own], minlength=n_terms)
         hot = np.argsort(-df, kind="stable")[:HOT]
-        hot = hot[df[hot] > 0]
+        hot = hot[df[hot] / len(mine) * (everywhere[hot] / n) > COMMON]
         hot_at = np.full(n_terms, -1, np.int16)
         hot_at[hot] = np.arange(len(hot))
         h = hot_at[terms[own]]
@@ -208,44 +220,55 @@ def build_index(off, terms, weights, n_terms: int, block: int = BLOCK) -> Simple
     # The postings by term, made for one range of terms after the other.
     count = np.bincount(terms[kept], minlength=n_terms)
     start = np.concatenate(([0], np.cumsum(count)))
-    places, held_weights = np.zeros(start[-1], np.min_scalar_type(max(end, 1))), np.zeros(start[-1], np.float32)
+    posting = np.zeros(start[-1], ENTRY)
     edges = np.unique(np.searchsorted(start, np.linspace(0, start[-1], TERM_RANGES + 1)))
     for lo, hi in zip(edges, edges[1:]):
         rare = np.flatnonzero(kept & (terms >= lo) & (terms < hi))
         rare = rare[np.argsort(terms[rare], kind="stable")]
-        places[start[lo]:start[lo] + len(rare)] = place_of[example[rare]]
-        held_weights[start[lo]:start[lo] + len(rare)] = weights[rare]
+        mine = posting[start[lo]:start[lo] + len(rare)]
+        mine["place"], mine["weight"] = place_of[example[rare]], weights[rare]
     index = SimpleNamespace(n=n, block=block, blocks=end // block, off=off, terms=terms, weights=weights, n_terms=n_terms, parts=parts, start=start,
-                            place=places, weight=held_weights, place_of=place_of, example=np.concatenate(held))
-    for part in parts:
-        fill_matrix(index, part)
+                            posting=posting.view(np.int64), place_of=place_of, example=np.concatenate(held))
+    for part in parts if matrices else []:
+        part.matrix, part.top = matrix_of(index, part)
     return index
 
 
-def fill_matrix(index: SimpleNamespace, part: SimpleNamespace) -> None:
+def matrix_of(index: SimpleNamespace, part: SimpleNamespace) -> tuple[np.ndarray, np.ndarray]:
     """The frequent terms of a part's examples as one matrix per block, and
     each term's largest weight in the block."""
     wide = int(part.hot_at.max(initial=-1)) + 1
-    part.matrix = np.zeros((part.last - part.first, wide, index.block), np.float32)
+    matrix = np.zeros((part.last - part.first, wide, index.block), np.float32)
     for at, e in enumerate(index.example[part.first * index.block:part.last * index.block].tolist()):
         if e >= 0:
             mine = slice(index.off[e], index.off[e + 1])
             h = part.hot_at[index.terms[mine]]
-            part.matrix[at // index.block, h[h >= 0], at % index.block] = index.weights[mine][h >= 0]
-    part.top = part.matrix.max(2).T.copy()
+            matrix[at // index.block, h[h >= 0], at % index.block] = index.weights[mine][h >= 0]
+    return matrix, matrix.max(2).T.copy()
 
 
-def dot(t, w, terms, weights) -> float:
-    """Product of two sparse vectors, the second one's terms in order."""
-    at = np.minimum(np.searchsorted(terms, t), len(terms) - 1)
-    return float(np.sum(w * np.where(terms[at] == t, weights[at], 0.0)))
+def least_of(score: np.ndarray, k: int) -> np.ndarray:
+    """What the ``k``-th score of each row reaches at least: the ``k``-th largest
+    of the best of groups of places."""
+    group = math.gcd(score.shape[2], GROUP)
+    best = score.reshape(len(score), -1, group).max(2)
+    return np.partition(best, -k, axis=1)[:, -k] if best.shape[1] >= k else np.zeros(len(score), np.float32)
+
+
+def hide(score: np.ndarray, index: SimpleNamespace, without, a: int, z: int) -> None:
+    """The example that row ``a``, ``a + 1``, ... may not find scores 0."""
+    if without is not None:
+        for i, e in enumerate(without[a:z]):
+            if e >= 0:
+                score[i].reshape(-1)[index.place_of[e]] = 0
 
 
 def nearest_rows(index: SimpleNamespace, off, terms, weights, k: int, without=None):
     """Per row of unit vectors the ``k`` examples of largest cosine (> 0):
-    [(cosine, example)], ties to the smaller example.  The blocks of largest
-    bound are scored first; of the others only those whose bound reaches the
-    k-th cosine found so far."""
+    [(cosine, example)], ties to the smaller example.  The postings are summed
+    first; of the blocks those are scored whose bound reaches what the k-th
+    cosine is at least by these sums."""
+    asked = np.zeros(index.n_terms)
     for a in range(0, len(off) - 1, ROWS):
         z = min(a + ROWS, len(off) - 1)
         n, base = z - a, off[a]
@@ -253,48 +276,34 @@ def nearest_rows(index: SimpleNamespace, off, terms, weights, k: int, without=No
             yield from ([] for _ in range(n))
             continue
         t, w = terms[base:off[z]], weights[base:off[z]]
-        row, t32 = np.repeat(np.arange(n), np.diff(off[a:z + 1])), t.astype(np.int32)
+        row, w32 = np.repeat(np.arange(n), np.diff(off[a:z + 1])), w.astype(np.float32)
         wide = index.blocks * index.block
         score = np.zeros((n, index.blocks, index.block), np.float32)
         for i in range(n):
             mine = slice(off[a + i] - base, off[a + i + 1] - base)
             at, many = runs(index.start[t[mine]], index.start[t[mine] + 1])
             if len(at):
-                score[i].reshape(-1)[:] = np.bincount(index.place[at], weights=np.repeat(w[mine], many) * index.weight[at], minlength=wide)
+                met = index.posting.take(at, mode="clip").view(ENTRY)
+                score[i].reshape(-1)[:] = np.bincount(met["place"], weights=np.repeat(w32[mine], many) * met["weight"], minlength=wide)
         # The postings' sums are known; the matrices add at most their largest weights.
+        hide(score, index, without, a, z)
+        least = least_of(score, k)
         bound, queries = score.max(2), []
         for part in index.parts:
             h = part.hot_at[t]
+            hot = np.flatnonzero(h >= 0)
             q = np.zeros((n, part.matrix.shape[1]), np.float32)
-            q[row[h >= 0], h[h >= 0]] = w[h >= 0]
+            q[row[hot], h[hot]] = w32[hot]
             queries.append(q)
             bound[:, part.first:part.last] += q @ part.top
-
-        def fill(chosen):
-            for part, q in zip(index.parts, queries):
-                for b in (part.first + np.flatnonzero(chosen[:, part.first:part.last].any(0))).tolist():
-                    rows = np.flatnonzero(chosen[:, b])
-                    score[rows, b] += (q if len(rows) == n else q[rows]) @ part.matrix[b - part.first]
-            if without is not None:
-                for i, e in enumerate(without[a:z]):
-                    if e >= 0:
-                        score[i].reshape(-1)[index.place_of[e]] = 0
-
-        least = np.zeros(n, np.float32)
-        chosen = bound > 0
-        if index.blocks > FIRST_BLOCKS:
-            first = np.argpartition(-bound, FIRST_BLOCKS, axis=1)[:, :FIRST_BLOCKS]
-            begun = np.zeros_like(chosen)
-            np.put_along_axis(begun, first, True, axis=1)
-            fill(begun)
-            seen = np.take_along_axis(score, first[:, :, None], axis=1).reshape(n, -1)
-            least = np.partition(seen, -k, axis=1)[:, -k]
-            more = chosen & ~begun & (bound >= (least - SLACK)[:, None])
-            fill(more)
-            chosen = begun | more
-            score[~chosen] = 0
-        else:
-            fill(chosen)
+        chosen = (bound > 0) & (bound >= (least - SLACK)[:, None])
+        for part, q in zip(index.parts, queries):
+            for b in (part.first + np.flatnonzero(chosen[:, part.first:part.last].any(0))).tolist():
+                rows = np.flatnonzero(chosen[:, b])
+                score[rows, b] += (q if len(rows) == n else q[rows]) @ part.matrix[b - part.first]
+        hide(score, index, without, a, z)
+        score[~chosen] = 0
+        least = least_of(score, k)
         near = score.reshape(n, wide)
         near = (near > 0) & (near >= (least - SLACK)[:, None])
         for i in range(n):
@@ -308,8 +317,10 @@ def nearest_rows(index: SimpleNamespace, off, terms, weights, k: int, without=No
             # The last few are scored anew in double precision.
             found = index.example[found]
             mine = slice(off[a + i] - base, off[a + i + 1] - base)
-            cosine = np.array([dot(t32[mine], w[mine], index.terms[x:y], index.weights[x:y])
+            asked[t[mine]] = w[mine]
+            cosine = np.array([asked.take(index.terms[x:y], mode="clip") @ index.weights[x:y].astype(float)
                                for x, y in zip(index.off[found].tolist(), index.off[found + 1].tolist())])
+            asked[t[mine]] = 0
             best = np.lexsort((found, -np.round(cosine, 12)))[:k]
             yield list(zip(cosine[best].tolist(), found[best].tolist()))
 
@@ -330,6 +341,8 @@ def words_of(path: str) -> tuple[np.ndarray, np.ndarray | None]:
     weights; read once per worker."""
     memory, key = worker_memory(), ("toxicity words", path)
     if key not in memory:
+        # What a query's other operators, or its other steps, keep here is done with.
+        free_worker()
         held = read_whole(path, None)
         term = held.column("term").to_numpy().view(U64)
         by = np.argsort(term)
@@ -338,8 +351,21 @@ def words_of(path: str) -> tuple[np.ndarray, np.ndarray | None]:
 
 
 #: Arrays of the index and of one of its parts that are stored.
-ARRAYS = ("off", "terms", "weights", "start", "place", "weight", "place_of", "example")
-PART_ARRAYS = ("hot_at",)
+ARRAYS = ("off", "terms", "weights", "start", "posting", "place_of", "example")
+PART_ARRAYS = ("hot_at", "matrix", "top")
+
+
+def example_vectors(path: str, vocabulary: np.ndarray, weight: np.ndarray):
+    """Ids, labels and unit vectors (offsets, terms, weights) of the stored examples."""
+    rows = read_whole(path, ["doc_id", "toxic", "text"]).sort_by("doc_id").combine_chunks()
+    off, terms, weights = [np.zeros(1, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.float32)]
+    for batch in rows.to_batches(max_chunksize=ROWS):
+        row, term, tf, n = row_terms(batch.column("text"), vocabulary)
+        first, term, w = unit(row, term, tf, weight, n)
+        off.append(first[1:] + off[-1][-1])
+        terms.append(term.astype(np.int32))
+        weights.append(w.astype(np.float32))
+    return rows.column("doc_id").to_numpy(), rows.column("toxic").to_numpy(), np.concatenate(off), np.concatenate(terms), np.concatenate(weights)
 
 
 def write_index(at: SimpleNamespace):
@@ -350,39 +376,39 @@ def write_index(at: SimpleNamespace):
         for batch in batches:
             if batch.num_rows:
                 yield pa.RecordBatch.from_arrays([pa.array([build()])], ["arrays"])
+        free_worker()
 
     def build() -> int:
         vocabulary, weight = words_of(at.terms)
-        rows = read_whole(at.examples, ["doc_id", "toxic", "text"]).sort_by("doc_id").combine_chunks()
-        off, terms, weights = [np.zeros(1, np.int64)], [], []
-        for batch in rows.to_batches(max_chunksize=ROWS):
-            row, term, tf, n = row_terms(batch.column("text"), vocabulary)
-            first, term, w = unit(row, term, tf, weight, n)
-            off.append(first[1:] + off[-1][-1])
-            terms.append(term.astype(np.int32))
-            weights.append(w.astype(np.float32))
-        ids, labels = rows.column("doc_id").to_numpy(), rows.column("toxic").to_numpy()
-        empty = [np.zeros(0, np.int32)], [np.zeros(0, np.float32)]
-        index = build_index(np.concatenate(off), np.concatenate(terms or empty[0]), np.concatenate(weights or empty[1]), len(vocabulary))
-        arrays = {"vocabulary": vocabulary, "term_weight": weight, "ids": ids, "labels": labels}
-        arrays |= {name: getattr(index, name) for name in ARRAYS if index.n}
+        ids, labels, off, terms, weights = example_vectors(at.examples, vocabulary, weight)
+        give_back()
+        index = build_index(off, terms, weights, len(vocabulary), matrices=False)
         parts = index.parts if index.n else []
-        arrays |= {f"{name}-{i}": getattr(p, name) for i, p in enumerate(parts) for name in PART_ARRAYS}
         about = {"n": index.n, "n_terms": index.n_terms, "parts": [[int(p.first), int(p.last)] for p in parts], "arrays": {}}
         if index.n:
             about |= {"block": index.block, "blocks": int(index.blocks)}
         store, folder = opened(at.index)
         store.create_dir(folder, recursive=True)
         attempt = uuid.uuid4().hex[:12]
-        for name, array in arrays.items():
+
+        def write(name: str, array) -> None:
             array = np.ascontiguousarray(array)
             about["arrays"][name] = [f"{name}-{attempt}", array.dtype.str, list(array.shape)]
             with store.open_output_stream(f"{folder}/{name}-{attempt}") as out:
                 out.write(memoryview(array).cast("B") if array.size else b"")
+
+        for name, array in {"vocabulary": vocabulary, "term_weight": weight, "ids": ids, "labels": labels}.items():
+            write(name, array)
+        for name in ARRAYS if index.n else []:
+            write(name, getattr(index, name))
+        # One part's matrices are held at a time.
+        for i, part in enumerate(parts):
+            for name, array in zip(PART_ARRAYS, (part.hot_at, *matrix_of(index, part))):
+                write(f"{name}-{i}", array)
         # The description comes last: it names whole files only.
         with store.open_output_stream(f"{folder}/about.json") as out:
             out.write(json.dumps(about).encode())
-        return len(arrays)
+        return len(about["arrays"])
 
     return run
 
@@ -392,7 +418,7 @@ def fitted(at: SimpleNamespace):
     one copy in its page cache.  The last one is kept open."""
     memory, key = worker_memory(), "toxicity index"
     if memory.get(key, (None,))[0] != at.index:
-        memory[key] = (None,)
+        free_worker()
         store, folder = opened(at.index)
         with store.open_input_stream(f"{folder}/about.json") as file:
             about = json.loads(file.read())
@@ -404,8 +430,6 @@ def fitted(at: SimpleNamespace):
                      for i, (a, z) in enumerate(about["parts"])]
             index = SimpleNamespace(n=about["n"], n_terms=about["n_terms"], block=about["block"], blocks=about["blocks"], parts=parts,
                                     **{name: held[name] for name in ARRAYS})
-            for part in parts:
-                fill_matrix(index, part)
         memory[key] = (at.index, model, index)
     return memory[key][1:]
 
@@ -427,6 +451,7 @@ def vote_rows(at: SimpleNamespace, k: int, itself: bool):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(raw, pa.float64()), pa.array(near, pa.list_(pa.int64())),
                  pa.array(sim, pa.list_(pa.float64()))], ["doc_id", "raw", "near", "cosine"])
+        give_back()
 
     return run
 
