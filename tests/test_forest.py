@@ -9,7 +9,8 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from wagelens.ml import candidates, forest, models
-from wagelens.ml.candidates import BOOSTING, FOREST, Candidate, fit
+from wagelens.ml.candidates import BOOSTING, FOREST, Candidate, depth_maes, fit, scored
+from wagelens.ml.folds import FoldData
 
 PARAMS = {"numTrees": 30, "maxDepth": None, "minInstancesPerNode": 2, "featureSubsetStrategy": "0.7"}
 
@@ -119,6 +120,17 @@ def test_boosting_in_a_task_equals_mllib_and_larger_fits_stay_mllibs(rows, monke
     assert type(fit(c, train, 450, {"usd": 1.0, "log_usd": 1.0}).parts[0]).__name__ == "GBTRegressionModel"
 
 
+def test_depths_of_one_fit_equal_their_own_fits(rows):
+    fd = FoldData(rows.select("job_id", "usd", "held", "features"), 450, {"usd": 1.0, "log_usd": 1.0})
+    grid = {"numTrees": 4, "minInstancesPerNode": 2, "featureSubsetStrategy": "0.7"}
+    found = depth_maes(Candidate(FOREST, grid), fd, [12, 2, 5])
+    assert sorted(found) == [2, 5, 12]
+    for d, maes in found.items():
+        own = scored(Candidate(FOREST, grid | {"maxDepth": d}), fd)
+        assert all(math.isclose(maes[held], own[held][0], rel_tol=1e-12) for held in (True, False))
+    assert math.isclose(scored(Candidate(FOREST, grid | {"maxDepth": 5}), fd, rows=fd.valid)[True][0], found[5][True], rel_tol=1e-12)
+
+
 def test_thresholds_and_packs():
     assert list(forest.thresholds(np.array([3.0, 1.0, 1.0, 2.0]), 5)) == [1.5, 2.5] and len(forest.thresholds(np.zeros(9), 5)) == 0
     many = forest.thresholds(np.arange(1000.0), 9)
